@@ -62,3 +62,122 @@ FROM events GROUP BY 1 ORDER BY jumlah_artikel DESC
 def q_hourly_news_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = stats.hourly_news_count(news_events(spark, sf_dir))
     return out.withColumn("jam", F.col("jam").cast("long"))
+
+
+# ================================================================ series
+from tickwise.operators import series as S  # noqa: E402
+from tickwise.operators import snapshot, lookup  # noqa: E402
+from tickwise.functions import scalar as fn  # noqa: E402
+
+_R = 6  # digits fractional series outputs are rounded to on both sides
+
+
+def _sql_round(expr: str, digits: int = _R) -> str:
+    return f"round({expr}, {digits})"
+
+
+def _scaled_round(c, digits: int = _R):
+    """Rounding that is bit-identical to DuckDB's ``round(double, d)`` (scale, round half away
+    from zero, unscale). Spark's own ROUND works on the shortest decimal form instead, which
+    differs on values a hair off an exact tie -- frequent with 2-decimal prices."""
+    k = float(10 ** digits)
+    col = F.col(c) if isinstance(c, str) else c
+    return F.round(col * F.lit(k), 0) / F.lit(k)
+
+# DuckDB CTEs: base series (P1/P2), features (W1-W8), feature rows with positions.
+_SQL_FEATURES = """
+b AS (
+  SELECT event_type AS symbol, CAST(value AS DOUBLE) AS price,
+         CAST(epoch_ms(ts) // 1000 AS DOUBLE) AS ts, event_id AS seq
+  FROM events
+  WHERE event_type IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
+    AND ts IS NOT NULL AND event_id IS NOT NULL),
+p AS (
+  SELECT *,
+    (price - lag(price) OVER w) / NULLIF(lag(price) OVER w, 0) * 100 AS pct_change,
+    avg(price) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS ma7,
+    avg(price) OVER (w ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) AS ma14,
+    (price - lag(price, 5) OVER w) / NULLIF(lag(price, 5) OVER w, 0) * 100 AS momentum
+  FROM b WINDOW w AS (PARTITION BY symbol ORDER BY ts, seq)),
+f0 AS (
+  SELECT *,
+    lag(pct_change, 1) OVER w AS pct_lag1,
+    lag(pct_change, 2) OVER w AS pct_lag2,
+    lag(pct_change, 3) OVER w AS pct_lag3,
+    stddev_samp(pct_change) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS volatility,
+    price / NULLIF(ma7, 0) AS ma_ratio,
+    ma7 / NULLIF(ma14, 0) AS ma_cross
+  FROM p WINDOW w AS (PARTITION BY symbol ORDER BY ts, seq)),
+f AS (
+  SELECT * FROM f0
+  WHERE pct_change IS NOT NULL AND pct_lag1 IS NOT NULL AND pct_lag2 IS NOT NULL
+    AND pct_lag3 IS NOT NULL AND ma7 IS NOT NULL AND ma14 IS NOT NULL AND ma_ratio IS NOT NULL
+    AND ma_cross IS NOT NULL AND volatility IS NOT NULL AND momentum IS NOT NULL
+    AND NOT isnan(volatility)),
+fp AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS pos,
+         count(*) OVER (PARTITION BY symbol) AS n
+  FROM f),
+raw AS (SELECT symbol, count(*) AS raw_n FROM b GROUP BY symbol)
+"""
+
+
+def _features(spark: SparkSession, sf_dir: str, leak_free: bool = False) -> DataFrame:
+    base = S.base_series(price_events(spark, sf_dir))
+    return S.series_features(base, leak_free=leak_free)
+
+
+def _features_pos(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    base = S.base_series(price_events(spark, sf_dir))
+    feats = S.with_positions(S.series_features(base))
+    return feats, S.key_sizes(base)
+
+
+def _rounded(df: DataFrame, cols: list[str], digits: int = _R) -> DataFrame:
+    return df.select(*[_scaled_round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("series_features", "WITH " + _SQL_FEATURES + """
+SELECT symbol, seq, ts, price,
+""" + ",\n".join(f"  {_sql_round(c)} AS {c}" for c in S.FEATURE_OUT) + "\nFROM f")
+def q_series_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = _features(spark, sf_dir).select("symbol", "seq", "ts", "price", *S.FEATURE_OUT)
+    return _rounded(f, S.FEATURE_OUT)
+
+
+@register("chrono_split", "WITH " + _SQL_FEATURES + """
+SELECT fp.symbol, seq, pos, n,
+       CASE WHEN pos <= floor(n * 0.8) THEN 'train' ELSE 'val' END AS split
+FROM fp JOIN raw USING (symbol)
+WHERE raw_n >= 20 AND n - floor(n * 0.8) >= 5
+""")
+def q_chrono_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, sizes = _features_pos(spark, sf_dir)
+    return S.chrono_split(feats, sizes).select("symbol", "seq", "pos", "n", "split")
+
+
+@register("history_tail", "WITH " + _SQL_FEATURES + """
+SELECT symbol, seq, pos - (n - LEAST(n, 50)) AS point,
+       strftime(make_timestamp(CAST(ts * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
+       round(price, 2) AS price
+FROM fp WHERE pos > n - 50
+""")
+def q_history_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, _ = _features_pos(spark, sf_dir)
+    t = S.tail_rows(feats, S.HISTORY_POINTS)
+    return t.select("symbol", "seq",
+                    (F.col("pos") - (F.col("n") - F.least(F.col("n"), F.lit(S.HISTORY_POINTS)))).alias("point"),
+                    fn.iso_utc("ts").alias("timestamp"), F.round("price", 2).alias("price"))
+
+
+@register("sampling_interval", "WITH " + _SQL_FEATURES + """
+SELECT symbol,
+       CAST(CASE WHEN max(n) > 1 THEN round_even(
+              (max(ts) FILTER (WHERE pos = n) - max(ts) FILTER (WHERE pos = greatest(1, n - 10)))
+              / (max(n) - greatest(1, max(n) - 10)), 0) ELSE 60 END AS BIGINT) AS interval_s,
+       max(ts) AS last_ts
+FROM fp GROUP BY symbol
+""")
+def q_sampling_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, _ = _features_pos(spark, sf_dir)
+    return S.sampling_interval(feats)
