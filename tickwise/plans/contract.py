@@ -181,3 +181,123 @@ FROM fp GROUP BY symbol
 def q_sampling_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats, _ = _features_pos(spark, sf_dir)
     return S.sampling_interval(feats)
+
+
+# ================================================================ snapshots, dedup, lookups
+from pyspark.sql import Window  # noqa: E402
+
+from tickwise.sources import rss, vendor  # noqa: E402
+from tickwise.sources.tables import table  # noqa: E402
+
+_ISO_US = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
+@register("latest_per_key", """
+SELECT symbol, seq, price_usd, change_24h, timestamp FROM (
+  SELECT event_type AS symbol, event_id AS seq, value AS price_usd, value - 50.0 AS change_24h,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1
+""")
+def q_latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4: whole latest row per key (T3 body)."""
+    latest = snapshot.latest_per_key(price_events(spark, sf_dir), "symbol", ["event_ts", "seq"])
+    return latest.select("symbol", "seq", "price_usd", "change_24h",
+                         F.date_format("event_ts", _ISO_US).alias("timestamp"))
+
+
+@register("first_wins_dedup", """
+WITH u AS (
+  SELECT md5(text) AS dedup_key, 'benchmark' AS origin, item_id AS id, 0 AS r FROM benchmark
+  UNION ALL
+  SELECT md5(text), 'documents', doc_id, 1 FROM documents)
+SELECT dedup_key, origin, id FROM (
+  SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY r, id) AS rn FROM u) WHERE rn = 1
+""")
+def q_first_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 + U2 + A5: the newer batch (benchmark passages) before the stored rows (documents),
+    one row per text digest, first arrival wins."""
+    newer = table(spark, sf_dir, "benchmark").select(
+        F.md5("text").alias("dedup_key"), F.lit("benchmark").alias("origin"), F.col("item_id").alias("id"))
+    older = table(spark, sf_dir, "documents").select(
+        F.md5("text").alias("dedup_key"), F.lit("documents").alias("origin"), F.col("doc_id").alias("id"))
+    return snapshot.merge_first_wins(newer, older, "dedup_key", ["id"]).select("dedup_key", "origin", "id")
+
+
+@register("newest_k", """
+SELECT event_id, symbol, rank, rank <= 5 AS in_top5 FROM (
+  SELECT event_id, event_type AS symbol,
+         row_number() OVER (ORDER BY ts DESC, event_id DESC) AS rank FROM events) WHERE rank <= 20
+""")
+def q_newest_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O6 + O7: newest 20 rows (top-k report) and which of them the 5-item view shows."""
+    ev = price_events(spark, sf_dir)
+    top = snapshot.newest_k(ev, [F.col("event_ts").desc(), F.col("seq").desc()], 20)
+    r = F.row_number().over(Window.orderBy(F.col("event_ts").desc(), F.col("seq").desc()))
+    return top.select(F.col("seq").alias("event_id"), "symbol", r.cast("long").alias("rank")) \
+        .withColumn("in_top5", F.col("rank") <= 5)
+
+
+@register("article_id", """
+SELECT page_id, left(md5(url), 8) AS article_id,
+       CASE WHEN regexp_extract(html, '<title>(.*?)</title>', 1) = '' THEN 'No Title'
+            ELSE regexp_extract(html, '<title>(.*?)</title>', 1) END AS title,
+       url AS link, left(html, 500) AS summary
+FROM pages
+""")
+def q_article_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 + F14 + P10: pages as feed items -> article id, title default, 500-char summary."""
+    pages = table(spark, sf_dir, "pages")
+    items = pages.select("page_id", F.col("url").alias("link"), F.col("html").alias("description"),
+                         F.nullif(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit("")).alias("title"),
+                         F.lit(None).cast("string").alias("pubDate"))
+    news = rss.normalize_news(items, F.lit(None).cast("string"), F.lit("pages"), keep=["page_id"])
+    return news.select("page_id", "article_id", "title", "link", "summary")
+
+
+@register("unseen_rows", """
+SELECT doc_id, source FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
+""")
+def q_unseen_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 + P13 + U3: items whose id was not seen before (documents without a label row)."""
+    return lookup.unseen(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                         "doc_id").select("doc_id", "source")
+
+
+@register("lookup_name", """
+SELECT c_custkey, COALESCE(n_name, CAST(c_nationkey AS VARCHAR)) AS nation,
+       COALESCE(r_name, CAST(n_regionkey AS VARCHAR)) AS region
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+LEFT JOIN region ON n_regionkey = r_regionkey
+""")
+def q_lookup_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key -> display name with fallback to the key (size-checked broadcast lookups)."""
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = table(spark, sf_dir, "nation")
+    c = lookup.join_small(cust, nation.select("n_nationkey", "n_regionkey"),
+                          cust["c_nationkey"] == nation["n_nationkey"], "left")
+    c = lookup.lookup_name(c, nation, "c_nationkey", "n_nationkey", "n_name", "nation")
+    c = lookup.lookup_name(c, table(spark, sf_dir, "region"), "n_regionkey", "r_regionkey", "r_name", "region")
+    return c.select("c_custkey", "nation", "region")
+
+
+@register("payload_fields", """
+SELECT event_id, COALESCE(CAST(json_extract(props, '$.k') AS DOUBLE), 0.0) AS k FROM events
+""")
+def q_payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F13 + F15 (+ S14's JSON access): numeric member of a JSON payload, default 0."""
+    return table(spark, sf_dir, "events").select("event_id", vendor.json_field("props", "k", 0.0).alias("k"))
+
+
+@register("source_fallback", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS poll, o_orderpriority AS source
+FROM orders o
+WHERE o_orderpriority = (SELECT min(i.o_orderpriority) FROM orders i WHERE i.o_orderdate = o.o_orderdate)
+""")
+def q_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per poll (order date) only the rows of the best source present (priority)."""
+    o = table(spark, sf_dir, "orders")
+    best = lookup.keep_best_source(o, "o_orderdate", "o_orderpriority")
+    return best.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("poll"),
+                       F.col("o_orderpriority").alias("source"))
