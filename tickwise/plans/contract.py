@@ -73,7 +73,7 @@ _R = 6  # digits fractional series outputs are rounded to on both sides
 
 
 def _sql_round(expr: str, digits: int = _R) -> str:
-    return f"round({expr}, {digits})"
+    return f"(round({expr}, {digits}) + 0.0)"
 
 
 def _scaled_round(c, digits: int = _R):
@@ -82,7 +82,8 @@ def _scaled_round(c, digits: int = _R):
     differs on values a hair off an exact tie -- frequent with 2-decimal prices."""
     k = float(10 ** digits)
     col = F.col(c) if isinstance(c, str) else c
-    return F.round(col * F.lit(k), 0) / F.lit(k)
+    # "+ 0.0" turns a negative zero into zero on both sides
+    return F.round(col * F.lit(k), 0) / F.lit(k) + F.lit(0.0)
 
 # DuckDB CTEs: base series (P1/P2), features (W1-W8), feature rows with positions.
 _SQL_FEATURES = """
@@ -301,3 +302,112 @@ def q_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = lookup.keep_best_source(o, "o_orderdate", "o_orderpriority")
     return best.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("poll"),
                        F.col("o_orderpriority").alias("source"))
+
+
+# ================================================================ fit, metrics, selection, forecast
+from tickwise.operators import forecast as FC  # noqa: E402
+from tickwise.operators import regression as RG  # noqa: E402
+
+_SQL_SPLIT = _SQL_FEATURES + """,
+sp AS (
+  SELECT fp.*, CASE WHEN pos <= floor(n * 0.8) THEN 'train' ELSE 'val' END AS split
+  FROM fp JOIN raw USING (symbol) WHERE raw_n >= 20 AND n - floor(n * 0.8) >= 5)
+"""
+
+
+def _sql_lag1_fit(src: str, name: str) -> str:
+    """One-lag least squares (pct_change on pct_lag1) per symbol over ``src``."""
+    return f"""
+{name}0 AS (
+  SELECT symbol, avg(pct_lag1) AS mx, avg(pct_change) AS my,
+         sum(pct_lag1 * pct_lag1) / count(*) - avg(pct_lag1) * avg(pct_lag1) AS vxx,
+         sum(pct_lag1 * pct_change) / count(*) - avg(pct_lag1) * avg(pct_change) AS vxy
+  FROM {src} GROUP BY symbol),
+{name} AS (SELECT symbol, my - mx * (vxy / vxx) AS a, vxy / vxx AS b FROM {name}0)"""
+
+
+_LAG1 = ["pct_lag1"]
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats, sizes = _features_pos(spark, sf_dir)
+    return S.chrono_split(feats, sizes)
+
+
+@register("linear_forecast", "WITH RECURSIVE " + _SQL_FEATURES + "," + _sql_lag1_fit("fp", "coef") + """,
+lastrow AS (SELECT symbol, price, pct_change, ts FROM fp WHERE pos = n),
+iv AS (
+  SELECT symbol, CAST(CASE WHEN max(n) > 1 THEN round_even(
+           (max(ts) FILTER (WHERE pos = n) - max(ts) FILTER (WHERE pos = greatest(1, n - 10)))
+           / (max(n) - greatest(1, max(n) - 10)), 0) ELSE 60 END AS BIGINT) AS interval_s
+  FROM fp GROUP BY symbol),
+rec(symbol, step, price, x) AS (
+  SELECT symbol, 0, price, pct_change FROM lastrow
+  UNION ALL
+  SELECT r.symbol, r.step + 1, round(r.price * (1 + (c.a + c.b * r.x) / 100), 2), c.a + c.b * r.x
+  FROM rec r JOIN coef c ON r.symbol = c.symbol WHERE r.step < 10)
+SELECT rec.symbol, CAST(step AS BIGINT) AS step,
+       strftime(make_timestamp(CAST((l.ts + iv.interval_s * step) * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
+       rec.price, round(x, 6) + 0.0 AS pct
+FROM rec JOIN lastrow l USING (symbol) JOIN iv USING (symbol) WHERE step >= 1
+""")
+def q_linear_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9-M11 + A12 + F16: 10-step recursive forecast of a one-lag linear model refit on all
+    feature rows (M8), as one higher-order expression per key."""
+    feats, _ = _features_pos(spark, sf_dir)
+    coefs = RG.fit_keyed_ols(feats, "symbol", _LAG1, "pct_change")
+    fc = FC.forecast_linear(FC.context(feats), coefs, features=_LAG1)
+    return fc.select("symbol", "step", "timestamp", "price", _scaled_round("pct").alias("pct"))
+
+
+@register("val_metrics", "WITH " + _SQL_SPLIT + "," + _sql_lag1_fit("(SELECT * FROM sp WHERE split = 'train')", "coef") + """
+SELECT symbol,
+       round(1 - sum((pct_change - (a + b * pct_lag1)) ^ 2)
+                 / (sum(pct_change * pct_change) - sum(pct_change) * sum(pct_change) / count(*)), 4) + 0.0 AS r2,
+       round(avg(abs(pct_change - (a + b * pct_lag1))), 6) + 0.0 AS mae
+FROM sp JOIN coef USING (symbol) WHERE split = 'val' GROUP BY symbol
+""")
+def q_val_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R^2 and MAE on the validation rows of a one-lag fit on the training rows."""
+    sp = _split(spark, sf_dir)
+    coefs = RG.fit_keyed_ols(sp.where(F.col("split") == "train"), "symbol", _LAG1, "pct_change")
+    pred = RG.predict_keyed(sp.where(F.col("split") == "val"), coefs, "symbol", _LAG1)
+    m = RG.regression_metrics(pred, ["symbol"], "pct_change")
+    return m.select("symbol", _scaled_round("r2", 4).alias("r2"), _scaled_round("mae", 6).alias("mae"))
+
+
+def candidate_metrics(sp: DataFrame) -> DataFrame:
+    """Validation metrics of three closed-form models per key: one-lag least squares,
+    persistence (next change = last change) and the training mean."""
+    train = sp.where(F.col("split") == "train")
+    val = sp.where(F.col("split") == "val")
+    coefs = RG.fit_keyed_ols(train, "symbol", _LAG1, "pct_change")
+    lin = RG.predict_keyed(val, coefs, "symbol", _LAG1).withColumn("name", F.lit("LinearLag1")).withColumn("order", F.lit(0))
+    per = val.withColumn("prediction", F.col("pct_lag1")).withColumn("name", F.lit("Persistence")).withColumn("order", F.lit(1))
+    means = train.groupBy(F.col("symbol").alias("_mk")).agg(F.avg("pct_change").alias("prediction"))
+    mean = lookup.join_small(val, means, F.col("symbol") == F.col("_mk")).drop("_mk") \
+        .withColumn("name", F.lit("TrainMean")).withColumn("order", F.lit(2))
+    cols = ["symbol", "name", "order", "pct_change", "prediction"]
+    allp = lin.select(*cols).unionByName(per.select(*cols)).unionByName(mean.select(*cols))
+    m = RG.regression_metrics(allp, ["symbol", "name", "order"], "pct_change")
+    return m.select("symbol", "name", "order", _scaled_round("r2", 4).alias("r2"), _scaled_round("mae", 6).alias("mae"))
+
+
+@register("model_select", "WITH " + _SQL_SPLIT + "," + _sql_lag1_fit("(SELECT * FROM sp WHERE split = 'train')", "coef") + """,
+tm AS (SELECT symbol, avg(pct_change) AS m FROM sp WHERE split = 'train' GROUP BY symbol),
+preds AS (
+  SELECT symbol, 'LinearLag1' AS name, 0 AS ord, pct_change, a + b * pct_lag1 AS p FROM sp JOIN coef USING (symbol) WHERE split = 'val'
+  UNION ALL SELECT symbol, 'Persistence', 1, pct_change, pct_lag1 FROM sp WHERE split = 'val'
+  UNION ALL SELECT symbol, 'TrainMean', 2, pct_change, m FROM sp JOIN tm USING (symbol) WHERE split = 'val'),
+met AS (
+  SELECT symbol, name, ord,
+         round(1 - sum((pct_change - p) ^ 2) / (sum(pct_change * pct_change) - sum(pct_change) * sum(pct_change) / count(*)), 4) + 0.0 AS r2,
+         round(avg(abs(pct_change - p)), 6) + 0.0 AS mae
+  FROM preds GROUP BY symbol, name, ord)
+SELECT symbol, name, r2, mae FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY r2 DESC, ord) AS rn
+  FROM met WHERE NOT isnan(r2) AND r2 > -999) WHERE rn = 1
+""")
+def q_model_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A8 + M7: best of three closed-form models per key by rounded validation R^2."""
+    return FC.select_best(candidate_metrics(_split(spark, sf_dir)))
