@@ -176,6 +176,11 @@ def with_positions(df: DataFrame, s: Series = Series(), width: float | None = No
     return j.withColumn("pos", (F.col("_off") + F.col("_rn")).cast("long")).drop("_k", "_c", "_off", "_rn")
 
 
+def has_rows(df: DataFrame, n: int) -> bool:
+    """P5: at least n rows (stops counting at n)."""
+    return df.limit(n).count() >= n
+
+
 def key_sizes(base: DataFrame, key: str = "symbol") -> DataFrame:
     """Raw rows per key (partial aggregate)."""
     return base.groupBy(key).agg(F.count(F.lit(1)).alias("raw_n"))

@@ -63,3 +63,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(spark: SparkSession, df, name: str):
+    """Cut lineage by writing ``df`` as parquet below the shared checkpoint folder and reading
+    it back. Survives executor loss (unlike local checkpoints) and is reused by later jobs."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
