@@ -80,7 +80,7 @@ def direction(change) -> Column:
 
 def fmt_number(x) -> Column:
     """F19 + P14: grouped number with at most two decimals; NULL shows as a dash."""
-    return F.coalesce(F.format_number(_c(x), "#,##0.##"), F.lit(NULL_DASH))
+    return F.coalesce(F.call_function("format_number", _c(x), F.lit("#,##0.##")), F.lit(NULL_DASH))
 
 
 def time_label(ts) -> Column:

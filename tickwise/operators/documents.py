@@ -7,6 +7,8 @@ small (``has_at_most``): they pass through one task by nature.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,8 @@ def _bounded(df: DataFrame, what: str) -> None:
 
 
 def rows_array(df: DataFrame, order=None) -> DataFrame:
-    """One row holding all rows of ``df`` as array<struct> (in ``order`` when given)."""
+    """One row holding all rows of ``df`` as array<struct>, sorted by ``order`` when given
+    (plain sortable expressions; negate a numeric key for descending order)."""
     _bounded(df, "result")
     cols = df.columns
     if order:
@@ -34,15 +37,17 @@ def rows_array(df: DataFrame, order=None) -> DataFrame:
 
 def combined_document(sections: dict[str, tuple[DataFrame, list] | DataFrame]) -> DataFrame:
     """One JSON object ``{name: [rows...], ...}``; empty sections give ``[]`` and
-    NULL fields stay ``null`` (valid JSON, R10)."""
-    parts = []
-    for name, sec in sections.items():
+    NULL fields stay ``null`` (valid JSON, R10). Each section is rendered to a JSON fragment
+    on its own; the fragments are unioned and joined in section order (no cross join)."""
+    frags = None
+    for i, (name, sec) in enumerate(sections.items()):
         df, order = (sec if isinstance(sec, tuple) else (sec, None))
-        parts.append(rows_array(df, order).select(F.coalesce(F.col("rows"), F.array()).alias(name)))
-    doc = parts[0]
-    for p in parts[1:]:
-        doc = doc.crossJoin(p)  # 1 row x 1 row
-    return doc.select(F.to_json(F.struct(*sections.keys()), {"ignoreNullFields": "false"}).alias("json"))
+        arr = rows_array(df, order).select(F.coalesce(F.col("rows"), F.array()).alias("rows"))
+        frag = arr.select(F.lit(i).alias("i"), F.concat(F.lit(json.dumps(name) + ":"),
+                                                        F.to_json("rows", {"ignoreNullFields": "false"})).alias("frag"))
+        frags = frag if frags is None else frags.unionByName(frag)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "frag"))), lambda e: e["frag"]), ",")
+    return frags.agg(F.concat(F.lit("{"), body, F.lit("}")).alias("json"))
 
 
 def forecast_document(result: DataFrame, key: str = "symbol") -> DataFrame:

@@ -411,3 +411,214 @@ SELECT symbol, name, r2, mae FROM (
 def q_model_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8 + M7: best of three closed-form models per key by rounded validation R^2."""
     return FC.select_best(candidate_metrics(_split(spark, sf_dir)))
+
+
+# ================================================================ serving views and monitoring
+from tickwise.operators import documents as DOC  # noqa: E402
+from tickwise.operators import monitor as MON  # noqa: E402
+from tickwise.operators import views as VW  # noqa: E402
+from tickwise.sources import kafka as KF  # noqa: E402
+from tickwise.sources.landing import landing_inventory  # noqa: E402
+
+_FMT2 = "rtrim(rtrim(format('{{:,.2f}}', {x}), '0'), '.')"
+
+
+@register("direction_view", f"""
+SELECT event_type AS symbol, event_id AS seq,
+       {_FMT2.format(x='value')} AS price,
+       CASE WHEN value - 50.0 >= 0 THEN 'up' ELSE 'down' END AS direction,
+       printf('%.2f', abs(value - 50.0)) AS change_abs,
+       {_FMT2.format(x='round(value * 16500, 0)')} AS price_local,
+       strftime(ts, '%m/%d %H:%M') AS time_label,
+       CAST(hour(ts) AS VARCHAR) || ':00' AS hour_label
+FROM events
+""")
+def q_direction_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P12 + P14 + V1 + F19-F22: display values of every price event."""
+    ev = price_events(spark, sf_dir)
+    return ev.select("symbol", "seq", fn.fmt_number("price_usd").alias("price"),
+                     fn.direction("change_24h").alias("direction"),
+                     fn.fixed(F.abs(F.col("change_24h")), 2).alias("change_abs"),
+                     fn.fmt_number("price_idr").alias("price_local"),
+                     fn.time_label("event_ts").alias("time_label"),
+                     fn.hour_label(F.hour("event_ts")).alias("hour_label"))
+
+
+def _linear_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """history + one-lag linear forecast per key in the forecast-document shape."""
+    feats, _ = _features_pos(spark, sf_dir)
+    coefs = RG.fit_keyed_ols(feats, "symbol", _LAG1, "pct_change")
+    fc = FC.forecast_linear(FC.context(feats), coefs, features=_LAG1)
+    fa = (fc.groupBy(F.col("symbol").alias("_fk"))
+          .agg(F.array_sort(F.collect_list(F.struct("step", "timestamp", "price"))).alias("_f"))
+          .select("_fk", F.transform("_f", lambda e: F.struct(e["timestamp"].alias("timestamp"),
+                                                              e["price"].alias("price"))).alias("forecast")))
+    h = FC.history(feats)
+    return h.join(fa, h["symbol"] == fa["_fk"]).drop("_fk").withColumn(
+        "model", F.struct(F.lit("LinearLag1").alias("name"), F.lit(None).cast("double").alias("r2"),
+                          F.lit(None).cast("double").alias("mae")))
+
+
+_SQL_LINEAR_POINTS = """,
+lastrow AS (SELECT symbol, price, pct_change, ts FROM fp WHERE pos = n),
+iv AS (
+  SELECT symbol, CAST(CASE WHEN max(n) > 1 THEN round_even(
+           (max(ts) FILTER (WHERE pos = n) - max(ts) FILTER (WHERE pos = greatest(1, n - 10)))
+           / (max(n) - greatest(1, max(n) - 10)), 0) ELSE 60 END AS BIGINT) AS interval_s
+  FROM fp GROUP BY symbol),
+rec(symbol, step, price, x) AS (
+  SELECT symbol, 0, price, pct_change FROM lastrow
+  UNION ALL
+  SELECT r.symbol, r.step + 1, round(r.price * (1 + (c.a + c.b * r.x) / 100), 2), c.a + c.b * r.x
+  FROM rec r JOIN coef c ON r.symbol = c.symbol WHERE r.step < 10),
+fc AS (
+  SELECT rec.symbol, step, l.ts + iv.interval_s * step AS ts, rec.price
+  FROM rec JOIN lastrow l USING (symbol) JOIN iv USING (symbol) WHERE step >= 1),
+hist AS (SELECT symbol, pos - (n - LEAST(n, 50)) AS point, ts, round(price, 2) AS price, LEAST(n, 50) AS nh FROM fp WHERE pos > n - 50)
+"""
+
+
+@register("series_align", "WITH RECURSIVE " + _SQL_FEATURES + "," + _sql_lag1_fit("fp", "coef") + _SQL_LINEAR_POINTS + """
+SELECT symbol, CAST(point AS BIGINT) AS position, 'history' AS series,
+       strftime(make_timestamp(CAST(ts * 1000000 AS BIGINT)), '%m/%d %H:%M') AS label,
+       price AS history_price, CASE WHEN point = nh THEN price END AS forecast_price
+FROM hist
+UNION ALL
+SELECT fc.symbol, CAST(h.nh + step AS BIGINT), 'forecast',
+       strftime(make_timestamp(CAST(fc.ts * 1000000 AS BIGINT)), '%m/%d %H:%M'), NULL, fc.price
+FROM fc JOIN (SELECT DISTINCT symbol, nh FROM hist) h USING (symbol)
+""")
+def q_series_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U5 + V5: history and forecast as one labelled chart series per key."""
+    al = VW.series_align(_linear_result(spark, sf_dir))
+    return al.withColumn("position", F.col("position").cast("long"))
+
+
+@register("forecast_summary", "WITH RECURSIVE " + _SQL_FEATURES + "," + _sql_lag1_fit("fp", "coef") + _SQL_LINEAR_POINTS + """,
+lh AS (SELECT symbol, price AS last_price, nh FROM hist WHERE point = nh),
+lf AS (SELECT symbol, price AS last_forecast FROM fc WHERE step = 10)
+SELECT symbol, last_price, last_forecast,
+       round(last_forecast - last_price, 6) + 0.0 AS delta,
+       round((last_forecast - last_price) / NULLIF(last_price, 0) * 100, 6) + 0.0 AS delta_pct,
+       CASE WHEN last_forecast - last_price >= 0 THEN 'up' ELSE 'down' END AS direction,
+       CAST(nh AS INTEGER) AS history_points, 10 AS forecast_points, 'LinearLag1' AS model_name
+FROM lh JOIN lf USING (symbol)
+""")
+def q_forecast_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V4 + V6: last price vs last forecast, delta and percent, point counts, model."""
+    s = VW.forecast_summary(_linear_result(spark, sf_dir))
+    return s.select("symbol", "last_price", "last_forecast", _scaled_round("delta").alias("delta"),
+                    _scaled_round("delta_pct").alias("delta_pct"), "direction", "history_points",
+                    "forecast_points", "model_name")
+
+
+# Fixed check time for the freshness query (the driver tables end on 2024-01-30).
+FRESHNESS_NOW = "2024-01-31 00:00:00"
+
+
+@register("freshness", f"""
+WITH lu AS (SELECT event_type AS name, max(ts) AS last_ts, count(*) AS messages FROM events GROUP BY 1),
+a AS (SELECT name, messages,
+             CAST(floor((epoch_us(TIMESTAMP '{FRESHNESS_NOW}') - epoch_us(last_ts)) / 60000000) AS BIGINT) AS age_min
+      FROM lu)
+SELECT name, age_min,
+       CASE WHEN age_min < 5 THEN 'ok' WHEN age_min < 30 THEN 'warn' ELSE 'stale' END AS status,
+       messages,
+       CASE WHEN age_min > 10 THEN CASE WHEN messages = 0 THEN 'producer' ELSE 'consumer' END
+            ELSE 'healthy' END AS cause
+FROM a
+""")
+def q_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N1 + N5 + F23: age class per stream and the root-cause rule."""
+    ev = price_events(spark, sf_dir)
+    fresh = MON.freshness(MON.last_update_per(ev, "symbol", "event_ts"),
+                          F.lit(FRESHNESS_NOW).cast("timestamp"))
+    vol = ev.groupBy(F.col("symbol").alias("name")).agg(F.count(F.lit(1)).alias("messages"))
+    return MON.root_cause(fresh, vol).select("name", "age_min", "status", "messages", "cause")
+
+
+@register("volume_check", """
+SELECT topic, CAST(sum(e) AS BIGINT) AS messages, CASE WHEN sum(e) > 0 THEN 'ok' ELSE 'fail' END AS status
+FROM (SELECT event_type AS topic, user_id % 4 AS p, max(event_id) + 1 AS e FROM events GROUP BY 1, 2)
+GROUP BY topic
+""")
+def q_volume_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A10 + N2: messages per topic as the sum of partition end offsets (events as a log:
+    topic = event_type, partition = user_id mod 4, offset = event_id)."""
+    log = table(spark, sf_dir, "events").select(F.col("event_type").alias("topic"),
+                                                (F.col("user_id") % 4).alias("partition"),
+                                                F.col("event_id").alias("offset"))
+    return MON.volume_status(KF.message_volume(log)).select("topic", "messages", "status")
+
+
+@register("error_lines", """
+WITH logs AS (
+  SELECT 'conv-' || CAST(conv_id AS VARCHAR) AS source, turn AS t, text AS line FROM conversations
+  UNION ALL
+  SELECT 'user-' || CAST(user_id AS VARCHAR), epoch_us(ts), event_type || ' ' || props FROM events),
+recent AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY t DESC) AS r FROM logs),
+hits AS (SELECT source, t, line, row_number() OVER (PARTITION BY source ORDER BY t DESC) AS rank
+         FROM recent WHERE r <= 50 AND regexp_matches(line, '(?i)(error|failed|exception|traceback)'))
+SELECT source, t, line, rank FROM hits WHERE rank <= 3
+""")
+def q_error_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N4 + O8 + F24: last 3 error lines among the last 50 lines of every log source
+    (conversation turns and event records as log lines)."""
+    conv = table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("conv-"), F.col("conv_id").cast("string")).alias("source"),
+        F.col("turn").alias("t"), F.col("text").alias("line"))
+    ev = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("source"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("t"),
+        F.concat_ws(" ", "event_type", "props").alias("line"))
+    out = MON.error_lines(conv.unionByName(ev))
+    return out.select("source", "t", "line", F.col("rank").cast("long").alias("rank"))
+
+
+@register("landing_inventory")
+def q_landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S19 + N3 + F26: files and whole KB per landing directory (contents never read)."""
+    return MON.volume_status(landing_inventory(spark, sf_dir), "files")
+
+
+@register("combined_document")
+def q_combined_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + J4 + V7: the dashboard's one-object result document (stats, volatility, news)."""
+    ev = price_events(spark, sf_dir)
+    return DOC.combined_document({
+        "statistik": (stats.price_stats(ev), [-F.col("rata_rata_usd"), F.col("symbol")]),
+        "volatilitas": (stats.hourly_volatility(ev), [-F.col("avg_volatilitas"), F.col("jam"), F.col("symbol")]),
+        "berita": (stats.hourly_news_count(news_events(spark, sf_dir)), [-F.col("jumlah_artikel"), F.col("jam")]),
+    })
+
+
+# ================================================================ Spark ML forecasts (rows-only)
+from tickwise.plans.forecast_job import build_forecast  # noqa: E402
+
+
+def _forecast_rows(result: DataFrame) -> DataFrame:
+    pts = result.select("symbol", "model", F.posexplode("forecast").alias("i", "p"))
+    return pts.select("symbol", (F.col("i") + 1).cast("long").alias("step"), F.col("p.timestamp").alias("timestamp"),
+                      F.col("p.price").alias("price"), F.col("model.name").alias("model_name"),
+                      F.col("model.r2").alias("r2"), F.col("model.mae").alias("mae"))
+
+
+@register("ml_forecast_lr")
+def q_ml_forecast_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1-M3, M6-M12 keyed: the 7-feature linear model (least squares = the standardized
+    linear regression of the original) for every key in one plan, validated, refit and
+    forecast 10 steps."""
+    return _forecast_rows(build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"]))
+
+
+@register("ml_forecast")
+def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Linear regression, random forest (100 x depth 6) and gradient-boosted trees
+    (80 x depth 5) per key, best by validation R^2, refit on all rows, 10-step forecast."""
+    return _forecast_rows(build_forecast(spark, price_events(spark, sf_dir)))
+
+
+@register("forecast_document")
+def q_forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 + J5 + V8: ``{symbol: {history, forecast, model}}`` document of the keyed model."""
+    return DOC.forecast_document(build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"]))
