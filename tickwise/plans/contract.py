@@ -622,3 +622,115 @@ def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 + J5 + V8: ``{symbol: {history, forecast, model}}`` document of the keyed model."""
     return DOC.forecast_document(build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"]))
+
+
+# ================================================================ streaming (file source, availableNow)
+from pyspark.sql import types as T  # noqa: E402
+
+from tickwise.schemas import NEWS_EVENT, PRICE_EVENT  # noqa: E402
+from tickwise.session import scratch_path  # noqa: E402
+from tickwise.streaming import ingest, snapshots  # noqa: E402
+from tickwise.plans.analysis_job import normalize_prices  # noqa: E402
+
+_STREAM_FILE_ROWS = 2000   # rows per source file: several micro-batches at every scale
+_STREAM_TIMEOUT_S = 600
+_PRICE_WIRE = T.StructType(PRICE_EVENT.fields + [T.StructField("seq", T.LongType())])
+_ISO_WIRE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
+
+def _price_files(spark: SparkSession, sf_dir: str) -> str:
+    """All events as price_event JSON lines (the wire form) in a new shared scratch folder."""
+    path = scratch_path(spark, "price-src")
+    ev = price_events(spark, sf_dir)
+    (ev.select("symbol", "coin_id", "price_usd", "price_idr", "change_24h",
+               F.date_format("event_ts", _ISO_WIRE).alias("timestamp"), "seq")
+     .write.option("maxRecordsPerFile", _STREAM_FILE_ROWS).json(path))
+    return path
+
+
+def _await(q) -> None:
+    if not q.awaitTermination(_STREAM_TIMEOUT_S):
+        q.stop()
+        raise TimeoutError(f"stream {q.name} did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def _stream(spark: SparkSession, path: str, schema: T.StructType):
+    return KF.read_topic(spark, "crypto", schema, fmt="json", path=path, max_files_per_trigger=1)
+
+
+@register("stream_landing", ORACLES["price_stats"])
+def q_stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + S7 + T1 + T8 + P11: land the event stream through the checkpointed file sink (run
+    twice on the same checkpoint: the second run adds nothing), then A1 over the landing table."""
+    src = _price_files(spark, sf_dir)
+    landing, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "landing-ckpt")
+    for _ in range(2):
+        _await(ingest.land(_stream(spark, src, _PRICE_WIRE), landing, ckpt, trigger="availableNow"))
+    landed = normalize_prices(spark.read.parquet(landing))
+    return stats.price_stats(landed)
+
+
+@register("stream_latest", """
+SELECT symbol, seq, price_usd, change_24h, timestamp FROM (
+  SELECT event_type AS symbol, event_id AS seq, value AS price_usd, value - 50.0 AS change_24h,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp,
+         row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS rn
+  FROM events) WHERE rn = 1
+""")
+def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 (scope="all"): stateful latest row per key over the whole stream, complete mode,
+    each micro-batch's full state written as a snapshot version."""
+    src = _price_files(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "latest-ckpt")
+    st = _stream(spark, src, _PRICE_WIRE).withColumn("_t", fn.parse_ts("timestamp"))
+    latest = (st.groupBy("symbol")
+              .agg(F.max_by(F.struct(*[F.col(c) for c in _PRICE_WIRE.fieldNames()]),
+                            F.struct("_t", "seq")).alias("_row"))
+              .select("_row.*"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(snapshots.version_path(out, batch_id))
+
+    q = (latest.writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    _await(q)
+    last = snapshots.latest_version_below(spark, out, 1 << 62)
+    return spark.read.parquet(last).select("symbol", "seq", "price_usd", "change_24h", "timestamp")
+
+
+@register("stream_dedup", """
+SELECT DISTINCT md5(text) AS dedup_key FROM documents
+""")
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: stream of documents keyed by text digest, repeated keys dropped with checkpointed
+    (restart-safe) state; the appended output holds each key once."""
+    src = scratch_path(spark, "doc-src")
+    (table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("dedup_key"))
+     .write.option("maxRecordsPerFile", _STREAM_FILE_ROWS // 4).json(src))
+    out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "dedup-ckpt")
+    st = spark.readStream.schema("doc_id long, dedup_key string").option("maxFilesPerTrigger", 1).json(src)
+    q = (snapshots.dedup_stream(st, "dedup_key").writeStream.format("parquet")
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    _await(q)
+    return spark.read.parquet(out).select("dedup_key")
+
+
+@register("stream_news_snapshot")
+def q_stream_news_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5 + U1 + A5 + O6: live news snapshot kept by ``foreachBatch`` over a news stream
+    (pages as feed items): newest batch first, unique ids, 20 kept, versioned writes."""
+    src = scratch_path(spark, "news-src")
+    pages = table(spark, sf_dir, "pages")
+    items = pages.select(F.col("url").alias("link"), F.col("html").alias("description"),
+                         F.nullif(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit("")).alias("title"),
+                         F.lit(None).cast("string").alias("pubDate"))
+    news = rss.normalize_news(items, F.lit("2024-01-31T00:00:00+00:00"), F.lit("pages"))
+    news.write.option("maxRecordsPerFile", 50).json(src)
+    out, ckpt = scratch_path(spark, "news-snap"), scratch_path(spark, "news-snap-ckpt")
+    q = (_stream(spark, src, NEWS_EVENT).writeStream.foreachBatch(snapshots.news_snapshot_writer(out))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    _await(q)
+    last = snapshots.latest_version_below(spark, out, 1 << 62)
+    return spark.read.parquet(last).select("_rank", "article_id", "title", "link")

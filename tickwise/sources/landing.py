@@ -71,11 +71,16 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
 
 
 def read_landing(spark: SparkSession, path, schema: T.StructType, layout: str = "array") -> DataFrame:
-    """One reader per layout."""
+    """One reader per layout (R20): ``array`` (foreign landing files), ``lines`` (JSON
+    lines), ``parquet`` (our own landing table, columnar with pushdown)."""
     if layout == "array":
         return read_array_files(spark, path, schema)
     if layout == "lines":
         return read_json_lines(spark, path, schema)
+    if layout == "parquet":
+        return spark.read.schema(schema).parquet(path).select(
+            *schema.fieldNames(), F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_modification_time").alias("_file_mtime"))
     raise ValueError(f"unknown layout {layout!r}")
 
 
