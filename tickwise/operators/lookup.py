@@ -17,18 +17,25 @@ def has_at_most(df: DataFrame, n: int) -> bool:
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join with ``small`` broadcast only after proving its size; otherwise a shuffle join
-    (AQE may still convert it at runtime, and splits skewed partitions)."""
-    side = F.broadcast(small) if has_at_most(small, max_rows) else small
-    return big.join(side, on, how)
+               max_rows: int = BROADCAST_MAX_ROWS, check: bool = False) -> DataFrame:
+    """Join a side expected to be small.
+
+    ``check=True`` (for base tables such as dimensions, cheap to count): broadcast only after
+    a bounded count proves at most ``max_rows`` rows. ``check=False`` (for derived sides --
+    aggregates, coefficients -- whose count would execute their whole lineage once more):
+    a plain join; adaptive execution measures the side at runtime and broadcasts it only
+    when its actual size is under the broadcast threshold, and splits skewed partitions of
+    the big side otherwise."""
+    if check and has_at_most(small, max_rows):
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)
 
 
 def lookup_name(df: DataFrame, dim: DataFrame, key: str, dim_key: str, name: str,
                 out: str = "display_name", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Left lookup key -> name, falling back to the key itself."""
     d = dim.select(F.col(dim_key).alias("_lk"), F.col(name).alias("_lname"))
-    j = join_small(df, d, df[key] == d["_lk"], "left", max_rows)
+    j = join_small(df, d, df[key] == d["_lk"], "left", max_rows, check=True)
     return j.withColumn(out, F.coalesce(F.col("_lname"), F.col(key).cast("string"))).drop("_lk", "_lname")
 
 

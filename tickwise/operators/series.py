@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.scalar import epoch_seconds, pct_change, safe_ratio
-from tickwise.operators.lookup import join_small
 
 # Rows of look-back the features need: ma14 = 13 preceding rows; the leak-free variant one more.
 FEATURE_HALO = 14
@@ -155,11 +154,14 @@ def series_features_whole_key(base: DataFrame, s: Series = Series(), leak_free:
     return _apply(base, _feature_columns(s, w, leak_free)).na.drop()
 
 
-def with_positions(df: DataFrame, s: Series = Series(), width: float | None = None) -> DataFrame:
+def with_positions(df: DataFrame, s: Series = Series(), width: float | None = None,
+                   key_extra: DataFrame | None = None) -> DataFrame:
     """Adds ``pos`` (1-based time order inside the key) and ``n`` (rows of the key).
 
     Uses the frame's ``_chunk`` when present; positions are per-chunk row numbers plus the
-    prefix sum of earlier chunk sizes (from a one-row-per-chunk summary)."""
+    prefix sum of earlier chunk sizes (from a one-row-per-chunk summary). ``key_extra``
+    (one row per key, e.g. :func:`key_sizes`) is attached through that small summary, so the
+    rows are only ever joined on (key, chunk) -- the partitioning they already have."""
     if CHUNK not in df.columns:
         if width is None:
             width = plan_width(df, s)
@@ -172,6 +174,9 @@ def with_positions(df: DataFrame, s: Series = Series(), width: float | None = No
         F.col(s.key).alias("_k"), F.col(CHUNK).alias("_c"),
         F.coalesce(F.sum("_cnt").over(kw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
         F.sum("_cnt").over(Window.partitionBy(s.key)).alias("n"))
+    if key_extra is not None:
+        ke = key_extra.withColumnRenamed(s.key, "_ek")
+        offsets = offsets.join(ke, offsets["_k"] == ke["_ek"], "left").drop("_ek")
     j = ranked.join(offsets, (ranked[s.key] == offsets["_k"]) & (ranked[CHUNK] == offsets["_c"]))
     return j.withColumn("pos", (F.col("_off") + F.col("_rn")).cast("long")).drop("_k", "_c", "_off", "_rn")
 
@@ -186,15 +191,14 @@ def key_sizes(base: DataFrame, key: str = "symbol") -> DataFrame:
     return base.groupBy(key).agg(F.count(F.lit(1)).alias("raw_n"))
 
 
-def chrono_split(feats: DataFrame, raw_sizes: DataFrame, s: Series = Series(),
+def chrono_split(feats: DataFrame, s: Series = Series(),
                  min_rows: int = MIN_ROWS_PER_KEY, min_val: int = MIN_VAL_ROWS,
                  train_fraction: float = TRAIN_FRACTION) -> DataFrame:
     """W9 + P6 + P7: first floor(0.8 n) feature rows train, the rest validation; keys with
     fewer than ``min_rows`` raw rows or fewer than ``min_val`` validation rows are dropped.
-    ``feats`` must carry ``pos``/``n`` (see :func:`with_positions`)."""
+    ``feats`` carries ``pos``/``n``/``raw_n`` (``with_positions(..., key_extra=key_sizes(base))``)."""
     n_train = F.floor(F.col("n") * F.lit(train_fraction)).cast("long")
-    sizes = raw_sizes.withColumnRenamed(s.key, "_k2")
-    j = join_small(feats, sizes, F.col(s.key) == F.col("_k2")).drop("_k2")
+    j = feats
     return (j.withColumn("n_train", n_train)
             .where((F.col("raw_n") >= min_rows) & (F.col("n") - F.col("n_train") >= min_val))
             .withColumn("split", F.when(F.col("pos") <= F.col("n_train"), F.lit("train")).otherwise(F.lit("val"))))

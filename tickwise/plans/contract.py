@@ -130,8 +130,8 @@ def _features(spark: SparkSession, sf_dir: str, leak_free: bool = False) -> Data
 
 def _features_pos(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     base = S.base_series(price_events(spark, sf_dir))
-    feats = S.with_positions(S.series_features(base))
-    return feats, S.key_sizes(base)
+    feats = S.with_positions(S.series_features(base), key_extra=S.key_sizes(base))
+    return feats, None
 
 
 def _rounded(df: DataFrame, cols: list[str], digits: int = _R) -> DataFrame:
@@ -153,8 +153,8 @@ FROM fp JOIN raw USING (symbol)
 WHERE raw_n >= 20 AND n - floor(n * 0.8) >= 5
 """)
 def q_chrono_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feats, sizes = _features_pos(spark, sf_dir)
-    return S.chrono_split(feats, sizes).select("symbol", "seq", "pos", "n", "split")
+    feats, _ = _features_pos(spark, sf_dir)
+    return S.chrono_split(feats).select("symbol", "seq", "pos", "n", "split")
 
 
 @register("history_tail", "WITH " + _SQL_FEATURES + """
@@ -277,7 +277,7 @@ def q_lookup_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation")
     c = lookup.join_small(cust, nation.select("n_nationkey", "n_regionkey"),
-                          cust["c_nationkey"] == nation["n_nationkey"], "left")
+                          cust["c_nationkey"] == nation["n_nationkey"], "left", check=True)
     c = lookup.lookup_name(c, nation, "c_nationkey", "n_nationkey", "n_name", "nation")
     c = lookup.lookup_name(c, table(spark, sf_dir, "region"), "n_regionkey", "r_regionkey", "r_name", "region")
     return c.select("c_custkey", "nation", "region")
@@ -330,8 +330,8 @@ _LAG1 = ["pct_lag1"]
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feats, sizes = _features_pos(spark, sf_dir)
-    return S.chrono_split(feats, sizes)
+    feats, _ = _features_pos(spark, sf_dir)
+    return S.chrono_split(feats)
 
 
 @register("linear_forecast", "WITH RECURSIVE " + _SQL_FEATURES + "," + _sql_lag1_fit("fp", "coef") + """,

@@ -33,8 +33,9 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
         base = base.where(F.col("symbol").isin(list(keys)))
     if not S.has_rows(base, S.MIN_ROWS_TOTAL):  # P5
         return _empty(spark)
-    feats = S.with_positions(S.series_features(base, width=width, leak_free=leak_free))
-    sp = S.chrono_split(feats, S.key_sizes(base))
+    feats = S.with_positions(S.series_features(base, width=width, leak_free=leak_free),
+                             key_extra=S.key_sizes(base))
+    sp = S.chrono_split(feats)
     if materialize_features:
         sp = materialize(spark, sp.sortWithinPartitions("symbol", "ts", "seq"), "features")
     train, val = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "val")
