@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.functions.scalar import article_id, left_chars
-from tickwise.operators.lookup import join_small
 from tickwise.schemas import RSS_ITEM
 
 # Fixed values of the news record.
@@ -43,7 +42,9 @@ def read_feeds(spark: SparkSession, paths, poll_ts: Column | None = None) -> Dat
              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).load(paths)
              .withColumn("_feed", F.col("_metadata.file_path"))
              .withColumn("_mtime", F.col("_metadata.file_modification_time")))
-    bad = items.where(F.col("_corrupt_record").isNotNull()).select(F.col("_feed").alias("_bad")).distinct()
-    good = join_small(items, bad, items["_feed"] == bad["_bad"], "left_anti")
+    # one pass: a feed (one file, a small bounded group) is dropped when any item is malformed
+    w = Window.partitionBy("_feed")
+    good = (items.withColumn("_bad", F.max(F.col("_corrupt_record").isNotNull()).over(w))
+            .where(~F.col("_bad")))
     pts = poll_ts if poll_ts is not None else F.date_format("_mtime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     return normalize_news(good, pts, F.col("_feed"))
