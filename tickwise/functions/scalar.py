@@ -95,7 +95,8 @@ def hour_label(h) -> Column:
 
 def fixed(x, digits: int = 2) -> Column:
     """fixed number of decimals as text; NULL shows as a dash."""
-    return F.coalesce(F.format_string(f"%.{digits}f", _c(x)), F.lit(NULL_DASH))
+    x = _c(x)  # format_string renders NULL as the text "null", so test first
+    return F.when(x.isNull(), F.lit(NULL_DASH)).otherwise(F.format_string(f"%.{digits}f", x))
 
 
 def age_minutes(now, ts) -> Column:
