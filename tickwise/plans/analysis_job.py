@@ -22,6 +22,18 @@ def normalize_news(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_ts", parse_ts("timestamp"))
 
 
+def register_views(prices: DataFrame, news: DataFrame, api_view: str = "crypto_api",
+                   rss_view: str = "crypto_rss") -> None:
+    """S3: name the two event tables for SQL users."""
+    prices.createOrReplaceTempView(api_view)
+    news.createOrReplaceTempView(rss_view)
+
+
+def stamp_poll_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
+    """One UTC time stamp for every row of a poll/batch (evaluated once per query)."""
+    return df.withColumn(col, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
+
+
 def analysis_results(prices: DataFrame, news: DataFrame) -> dict[str, DataFrame]:
     """A1-A3 (+ O1-O3) over normalized events."""
     return {
@@ -37,6 +49,7 @@ def run_analysis(spark: SparkSession, landing_root: str, out_root: str, layout:
     report counts (S4), write the three result tables (S9) and the combined document (S10)."""
     prices = normalize_prices(load_or_empty(spark, f"{landing_root}/api", PRICE_EVENT, layout))
     news = normalize_news(load_or_empty(spark, f"{landing_root}/rss", NEWS_EVENT, layout))
+    register_views(prices, news)
     counts = record_counts(api=prices, rss=news)
     res = analysis_results(prices, news)
     for name, df in res.items():
