@@ -29,6 +29,7 @@ from tickwise.functions.scalar import epoch_seconds, pct_change, safe_ratio
 FEATURE_HALO = 14
 # Target rows per (key, chunk) task when the width is planned from the data.
 TARGET_CHUNK_ROWS = 1_000_000
+MIN_CHUNK_ROWS = 10_000
 # Fixed values of the original model set-up.
 MIN_ROWS_TOTAL = 20       # P5: fewer rows in total -> nothing is forecast
 MIN_ROWS_PER_KEY = 20     # P6: fewer raw rows for a key -> key skipped
@@ -65,14 +66,18 @@ def base_series(prices: DataFrame, key: str = "symbol", price: str = "price_usd"
 
 
 def plan_width(df: DataFrame, s: Series, target_rows: int = TARGET_CHUNK_ROWS) -> float:
-    """Chunk width (seconds) giving the densest key about ``target_rows`` rows per chunk.
-    One partial aggregate per key, then a global max -- a single small job."""
+    """Chunk width (seconds) so the densest key gets about ``target_rows`` rows per chunk --
+    fewer when the data is small, so that there are at least ~3 chunks per core. One partial
+    aggregate per key, then a global one: a single small job returning one row."""
     per_key = df.groupBy(s.key).agg(
+        F.count(F.lit(1)).alias("cnt"),
         (F.count(F.lit(1)) / F.greatest(F.max(s.ts) - F.min(s.ts), F.lit(1.0))).alias("rate"))
-    rate = per_key.agg(F.max("rate")).first()[0]
+    rate, total = per_key.agg(F.max("rate"), F.sum("cnt")).first()
     if not rate:
         return float(2 ** 40)
-    return float(max(1, math.floor(target_rows / rate)))
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    rows = max(MIN_CHUNK_ROWS, min(target_rows, total // (3 * cores)))
+    return float(max(1, math.floor(rows / rate)))
 
 
 def _chunked(df: DataFrame, s: Series, width: float) -> DataFrame:
@@ -169,6 +174,18 @@ def with_positions(df: DataFrame, s: Series = Series(), width: float | None = No
     w = Window.partitionBy(s.key, CHUNK).orderBy(*s.order())
     ranked = df.withColumn("_rn", F.row_number().over(w))
     sizes = df.groupBy(s.key, CHUNK).agg(F.count(F.lit(1)).alias("_cnt"))
+    offsets = _offsets(sizes, s, key_extra)
+    j = ranked.join(offsets, (ranked[s.key] == offsets["_k"]) & (ranked[CHUNK] == offsets["_c"]))
+    return j.withColumn("pos", (F.col("_off") + F.col("_rn")).cast("long")).drop("_k", "_c", "_off", "_rn")
+
+
+def has_rows(df: DataFrame, n: int) -> bool:
+    """P5: at least n rows (stops counting at n)."""
+    return df.limit(n).count() >= n
+
+
+def _offsets(sizes: DataFrame, s: Series, key_extra: DataFrame | None) -> DataFrame:
+    """Per (key, chunk): rows in earlier chunks of the key (``_off``) and rows of the key (``n``)."""
     kw = Window.partitionBy(s.key).orderBy(CHUNK)
     offsets = sizes.select(
         F.col(s.key).alias("_k"), F.col(CHUNK).alias("_c"),
@@ -177,13 +194,33 @@ def with_positions(df: DataFrame, s: Series = Series(), width: float | None = No
     if key_extra is not None:
         ke = key_extra.withColumnRenamed(s.key, "_ek")
         offsets = offsets.join(ke, offsets["_k"] == ke["_ek"], "left").drop("_ek")
-    j = ranked.join(offsets, (ranked[s.key] == offsets["_k"]) & (ranked[CHUNK] == offsets["_c"]))
-    return j.withColumn("pos", (F.col("_off") + F.col("_rn")).cast("long")).drop("_k", "_c", "_off", "_rn")
+    return offsets
 
 
-def has_rows(df: DataFrame, n: int) -> bool:
-    """P5: at least n rows (stops counting at n)."""
-    return df.limit(n).count() >= n
+def feature_table(spark, base: DataFrame, s: Series = Series(), width: float | None = None,
+                  leak_free: bool = False, target_rows: int = TARGET_CHUNK_ROWS,
+                  materialize_rows: bool = True) -> DataFrame:
+    """Feature rows with ``pos``, ``n`` and ``raw_n`` -- the table every later step reads.
+
+    One full shuffle: the (key, chunk) windows compute the features and, in the same pass,
+    each row's number inside its chunk. The rows are then written once to the shared
+    checkpoint folder (``materialize_rows``), so nothing downstream re-runs the windows. Global
+    positions add the chunk's offset from a one-row-per-chunk summary, broadcast after a
+    bounded count (it has about rows / ``target_rows`` entries), so the rows are never
+    shuffled again."""
+    from tickwise.operators.lookup import join_small
+    from tickwise.session import materialize
+
+    if width is None:
+        width = plan_width(base, s, target_rows)
+    f = series_features(base, s, width, leak_free)
+    f = f.withColumn("_rn", F.row_number().over(Window.partitionBy(s.key, CHUNK).orderBy(*s.order())))
+    if materialize_rows:
+        f = materialize(spark, f, "features")
+    sizes = f.groupBy(s.key, CHUNK).agg(F.max("_rn").alias("_cnt"))
+    offsets = _offsets(sizes, s, key_sizes(base, s.key))
+    j = join_small(f, offsets, (f[s.key] == offsets["_k"]) & (f[CHUNK] == offsets["_c"]), check=True)
+    return j.withColumn("pos", (F.col("_off") + F.col("_rn")).cast("long")).drop("_k", "_c", "_off", "_rn")
 
 
 def key_sizes(base: DataFrame, key: str = "symbol") -> DataFrame:

@@ -89,7 +89,7 @@ def _scaled_round(c, digits: int = _R):
 _SQL_FEATURES = """
 b AS (
   SELECT event_type AS symbol, CAST(value AS DOUBLE) AS price,
-         CAST(epoch_ms(ts) // 1000 AS DOUBLE) AS ts, event_id AS seq
+         CAST(epoch_us(ts) // 1000000 AS DOUBLE) AS ts, event_id AS seq
   FROM events
   WHERE event_type IS NOT NULL AND value IS NOT NULL AND NOT isnan(value)
     AND ts IS NOT NULL AND event_id IS NOT NULL),
@@ -130,8 +130,7 @@ def _features(spark: SparkSession, sf_dir: str, leak_free: bool = False) -> Data
 
 def _features_pos(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     base = S.base_series(price_events(spark, sf_dir))
-    feats = S.with_positions(S.series_features(base), key_extra=S.key_sizes(base))
-    return feats, None
+    return S.feature_table(spark, base), None
 
 
 def _rounded(df: DataFrame, cols: list[str], digits: int = _R) -> DataFrame:

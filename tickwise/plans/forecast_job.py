@@ -13,7 +13,6 @@ from tickwise.operators import regression as RG
 from tickwise.operators import series as S
 from tickwise.operators.lookup import join_small
 from tickwise.schemas import FEATURE_COLS, FORECAST_ENTRY
-from tickwise.session import materialize
 
 
 def _empty(spark: SparkSession) -> DataFrame:
@@ -33,11 +32,9 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
         base = base.where(F.col("symbol").isin(list(keys)))
     if not S.has_rows(base, S.MIN_ROWS_TOTAL):  # P5
         return _empty(spark)
-    feats = S.with_positions(S.series_features(base, width=width, leak_free=leak_free),
-                             key_extra=S.key_sizes(base))
+    feats = S.feature_table(spark, base, width=width, leak_free=leak_free,
+                            materialize_rows=materialize_features)
     sp = S.chrono_split(feats)
-    if materialize_features:
-        sp = materialize(spark, sp.sortWithinPartitions("symbol", "ts", "seq"), "features")
     train, val = sp.where(F.col("split") == "train"), sp.where(F.col("split") == "val")
 
     metrics = []
