@@ -67,3 +67,22 @@ def test_constant_zero_and_null_prices(spark):
     z = [r.seq - 100 for r in f.where("symbol = 'Z'").collect()]
     # division by the zero price gives NULL (no ANSI error) and those rows are dropped
     assert sorted(z) == [i for i in range(5, 30) if i not in (11, 12, 13, 14, 15)]
+
+
+def test_bursty_hot_key_chunks_stay_bounded(spark):
+    rng = random.Random(11)
+    rows, seq = [], 0
+    t0 = 1_704_067_200.0
+    for i in range(3000):   # hot key: 90% of its rows inside one hour, rest spread over 30 days
+        seq += 1
+        t = t0 + 86400 * 10 + rng.uniform(0, 3600) if i % 10 else t0 + rng.uniform(0, 30 * 86400)
+        rows.append(("HOT", round(rng.uniform(1, 500), 2), float(int(t)), seq))
+    for i in range(300):
+        seq += 1
+        rows.append(("COLD", round(rng.uniform(1, 500), 2), float(int(t0 + rng.uniform(0, 30 * 86400))), seq))
+    base = spark.createDataFrame(rows, "symbol string, price double, ts double, seq long")
+    s = S.Series()
+    width = S.plan_width(base, s, target_rows=500)
+    sizes = base.groupBy("symbol", F.floor(F.col("ts") / width)).count().agg(F.max("count")).first()[0]
+    assert sizes <= 1000        # the burst hour is split; a key-average plan would give ~2700
+    assert _feat_map(S.series_features(base, width=width)) == _feat_map(S.series_features_whole_key(base))

@@ -23,7 +23,7 @@ def arr_mean(arr: Column) -> Column:
 
 
 def arr_pop_std(arr: Column) -> Column:
-    """Population standard deviation of the elements."""
+    """Population standard deviation of the elements (F17: power and square root)."""
     m = arr_mean(arr)
     sq = F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
     return F.sqrt(sq / F.size(arr))

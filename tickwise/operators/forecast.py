@@ -75,7 +75,7 @@ def step_features(prices: Column, pcts: Column, consistent: bool = False) -> dic
 
 
 def next_price(prev: Column, pct: Column) -> Column:
-    """Prev * (1 + pct/100), rounded to cents."""
+    """Prev * (1 + pct/100), rounded to cents (F2; Spark's half-up rounding, R6)."""
     return F.round(prev * (F.lit(1.0) + pct / F.lit(100.0)), 2)
 
 

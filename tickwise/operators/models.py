@@ -34,6 +34,7 @@ MAX_TREE_KEYS = 64
 
 
 def make_estimator(name: str, label: str = LABEL):
+    """M3 linear regression, M4 random forest, M5 gradient-boosted trees."""
     if name == "LinearRegression":
         return LinearRegression(featuresCol="features", labelCol=label, maxIter=LR_MAX_ITER)
     if name == "RandomForest":

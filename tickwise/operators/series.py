@@ -30,6 +30,7 @@ FEATURE_HALO = 14
 # Target rows per (key, chunk) task when the width is planned from the data.
 TARGET_CHUNK_ROWS = 1_000_000
 MIN_CHUNK_ROWS = 10_000
+PLAN_BUCKET_S = 3600.0    # burst granularity the width planner looks at
 # Fixed values of the original model set-up.
 MIN_ROWS_TOTAL = 20       # P5: fewer rows in total -> nothing is forecast
 MIN_ROWS_PER_KEY = 20     # P6: fewer raw rows for a key -> key skipped
@@ -66,18 +67,19 @@ def base_series(prices: DataFrame, key: str = "symbol", price: str = "price_usd"
 
 
 def plan_width(df: DataFrame, s: Series, target_rows: int = TARGET_CHUNK_ROWS) -> float:
-    """Chunk width (seconds) so the densest key gets about ``target_rows`` rows per chunk --
-    fewer when the data is small, so that there are at least ~3 chunks per core. One partial
-    aggregate per key, then a global one: a single small job returning one row."""
-    per_key = df.groupBy(s.key).agg(
-        F.count(F.lit(1)).alias("cnt"),
-        (F.count(F.lit(1)) / F.greatest(F.max(s.ts) - F.min(s.ts), F.lit(1.0))).alias("rate"))
-    rate, total = per_key.agg(F.max("rate"), F.sum("cnt")).first()
-    if not rate:
+    """Chunk width (seconds) so that the densest hour of any key yields about ``target_rows``
+    rows per chunk -- fewer when the data is small, so that there are at least ~3 chunks per
+    core. Planning from the densest (key, hour) rather than a key's average keeps bursty hot
+    keys balanced. Partial aggregates only; one row comes back to the driver."""
+    per_hour = df.groupBy(s.key, F.floor(F.col(s.ts) / F.lit(PLAN_BUCKET_S)).alias("_h")).agg(
+        F.count(F.lit(1)).alias("cnt"), (F.max(s.ts) - F.min(s.ts)).alias("span"))
+    peak, total = per_hour.agg(
+        F.max(F.col("cnt") / F.greatest(F.col("span"), F.lit(1.0))), F.sum("cnt")).first()
+    if not peak:
         return float(2 ** 40)
     cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    rows = max(MIN_CHUNK_ROWS, min(target_rows, total // (3 * cores)))
-    return float(max(1, math.floor(rows / rate)))
+    rows = max(min(MIN_CHUNK_ROWS, target_rows), min(target_rows, total // (3 * cores)))
+    return float(max(1, math.floor(rows / peak)))
 
 
 def _chunked(df: DataFrame, s: Series, width: float) -> DataFrame:
@@ -109,7 +111,12 @@ def with_halo(df: DataFrame, s: Series, width: float, halo: int) -> DataFrame:
 
 
 def _feature_columns(s: Series, w, leak_free: bool = False) -> list[tuple[str, Column]]:
-    """W1-W8 as (name, expression) in dependency order; ``w`` orders rows by time."""
+    """W1-W8 as (name, expression) in dependency order; ``w`` orders rows by (time, tie-break)
+    (R8) -- the window's ordering replaces the original's explicit sorts (O4, O5).
+
+    W1 percent change; W2 lagged changes 1-3; W3/W4 moving averages over 7/14 rows (partial
+    frames allowed); W5 price / ma7; W6 ma7 / ma14; W7 sample deviation of the change over 7
+    rows; W8 momentum against 5 rows back. Divisions are ``try_divide`` (R9)."""
     p = F.col(s.value)
     feats = [
         ("pct_change", pct_change(p, F.lag(p, 1).over(w))),
@@ -232,7 +239,8 @@ def chrono_split(feats: DataFrame, s: Series = Series(),
                  min_rows: int = MIN_ROWS_PER_KEY, min_val: int = MIN_VAL_ROWS,
                  train_fraction: float = TRAIN_FRACTION) -> DataFrame:
     """W9 + P6 + P7: first floor(0.8 n) feature rows train, the rest validation; keys with
-    fewer than ``min_rows`` raw rows or fewer than ``min_val`` validation rows are dropped.
+    fewer than ``min_rows`` raw rows or fewer than ``min_val`` validation rows are dropped
+    (R7: a key needs 26 raw rows -- 5 are lost to the lags, and 25 leave only 4 validation rows).
     ``feats`` carries ``pos``/``n``/``raw_n`` (``with_positions(..., key_extra=key_sizes(base))``)."""
     n_train = F.floor(F.col("n") * F.lit(train_fraction)).cast("long")
     j = feats

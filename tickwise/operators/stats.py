@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 
 def price_stats(prices: DataFrame, key: str = "symbol", price: str = "price_usd") -> DataFrame:
-    """A1 + O1: per-key mean/max/min/sample-stddev rounded to 2 digits, row count; mean desc."""
+    """A1 + O1: per-key mean/max/min/sample-stddev rounded to 2 digits (F1: SQL ROUND, half-up,
+    R6), row count; mean desc."""
     p = F.col(price)
     return (prices.groupBy(F.col(key).alias("symbol"))
             .agg(F.round(F.avg(p), 2).alias("rata_rata_usd"),
@@ -25,7 +26,7 @@ def price_stats(prices: DataFrame, key: str = "symbol", price: str = "price_usd"
 
 def hourly_volatility(prices: DataFrame, ts: str = "event_ts", key: str = "symbol",
                       change: str = "change_24h") -> DataFrame:
-    """A2 + O2: hour-of-day (pooled over dates, R1) x key: mean |24h change| (R2), rows."""
+    """A2 + O2: hour-of-day (F4, pooled over dates, R1) x key: mean |24h change| (F3, R2), rows."""
     return (prices.groupBy(F.hour(F.col(ts)).alias("jam"), F.col(key).alias("symbol"))
             .agg(F.round(F.avg(F.abs(F.col(change))), 4).alias("avg_volatilitas"),
                  F.count(F.lit(1)).alias("jumlah_data"))

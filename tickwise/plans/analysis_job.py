@@ -30,7 +30,7 @@ def register_views(prices: DataFrame, news: DataFrame, api_view: str = "crypto_a
 
 
 def stamp_poll_time(df: DataFrame, col: str = "timestamp") -> DataFrame:
-    """One UTC time stamp for every row of a poll/batch (evaluated once per query)."""
+    """P8 + F11: one UTC "now" stamp for every row of a poll/batch (evaluated once per query)."""
     return df.withColumn(col, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
 
 

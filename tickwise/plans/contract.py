@@ -619,15 +619,17 @@ def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("forecast_document")
 def q_forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S11 + J5 + V8: ``{symbol: {history, forecast, model}}`` document of the keyed model."""
-    return DOC.forecast_document(build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"]))
+    """S11 + J5 + V8: ``{symbol: {history, forecast, model}}`` document of the keyed model,
+    built from the written result table (the size check then costs one small scan)."""
+    res = build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"])
+    return DOC.forecast_document(materialize(spark, res, "forecast"))
 
 
 # ================================================================ streaming (file source, availableNow)
 from pyspark.sql import types as T  # noqa: E402
 
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT  # noqa: E402
-from tickwise.session import scratch_path  # noqa: E402
+from tickwise.session import materialize, scratch_path  # noqa: E402
 from tickwise.streaming import ingest, snapshots  # noqa: E402
 from tickwise.plans.analysis_job import normalize_prices  # noqa: E402
 

@@ -26,7 +26,8 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
                    materialize_features: bool = True) -> DataFrame:
     """Per symbol: history (last 50 points), forecast (``horizon`` points) and the winning
     model (name, R^2, MAE). ``prices`` are normalized price events (symbol, price_usd,
-    event_ts, seq). ``keys`` is the optional allow-list (P4)."""
+    event_ts, seq). ``keys`` is the optional allow-list (P4); per-key work is keyed, the
+    original's per-key filter (P3) survives only as the row filter of each per-key tree fit."""
     base = S.base_series(prices)
     if keys is not None:
         base = base.where(F.col("symbol").isin(list(keys)))

@@ -22,7 +22,8 @@ def _arrival_cols(df: DataFrame) -> list[Column]:
 
 
 def read_array_files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """S1 + S2 for ``array`` files: one document per file, exploded to records.
+    """S1 + S2 for ``array`` files: one document per file, exploded to records (F8: explode,
+    then the record struct's fields).
 
     Each file is read whole (as a multi-line JSON reader does); the document is an array of
     records or an object wrapping one. For a wrapper, the first member by name that parses as

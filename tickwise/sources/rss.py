@@ -34,7 +34,8 @@ def normalize_news(items: DataFrame, poll_ts, source, title: str = "title", link
 
 
 def read_feeds(spark: SparkSession, paths, poll_ts: Column | None = None) -> DataFrame:
-    """Every ``<item>`` of the feed files; a feed with any malformed item is skipped whole.
+    """S17 + U4: every ``<item>`` of all feed files (the union of feeds is one multi-path
+    read); a feed with any malformed item is skipped whole.
     ``source`` is the feed file; ``timestamp``/default ``published`` is ``poll_ts`` (default:
     the file's modification time as ISO string)."""
     schema = T.StructType(list(RSS_ITEM.fields) + [T.StructField("_corrupt_record", T.StringType())])
