@@ -628,10 +628,10 @@ def q_forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ================================================================ streaming (file source, availableNow)
 from pyspark.sql import types as T  # noqa: E402
 
-from tickwise.schemas import NEWS_EVENT, PRICE_EVENT  # noqa: E402
+from tickwise.schemas import NEWS_EVENT, PRICE_EVENT, STATS  # noqa: E402
 from tickwise.session import materialize, scratch_path  # noqa: E402
 from tickwise.streaming import ingest, snapshots  # noqa: E402
-from tickwise.plans.analysis_job import normalize_prices  # noqa: E402
+from tickwise.plans.analysis_job import normalize_prices, run_analysis  # noqa: E402
 
 _STREAM_FILE_ROWS = 2000   # rows per source file: several micro-batches at every scale
 _STREAM_TIMEOUT_S = 600
@@ -735,3 +735,49 @@ def q_stream_news_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     _await(q)
     last = snapshots.latest_version_below(spark, out, 1 << 62)
     return spark.read.parquet(last).select("_rank", "article_id", "title", "link")
+
+
+# ================================================================ dashboard tables, JSON landing path
+@register("dashboard_tables", f"""
+WITH st AS (
+  SELECT event_type AS symbol, ROUND(AVG(value), 2) AS m, ROUND(MAX(value), 2) AS hi,
+         ROUND(MIN(value), 2) AS lo, ROUND(STDDEV_SAMP(value), 2) AS sd
+  FROM events GROUP BY event_type),
+vo AS (
+  SELECT CAST(HOUR(ts) AS VARCHAR) || ':00' AS hour, event_type AS symbol,
+         ROUND(AVG(ABS(value - 50.0)), 4) AS v
+  FROM events GROUP BY HOUR(ts), event_type)
+SELECT 'stats' AS tbl, symbol, NULL AS hour, {_FMT2.format(x='m')} AS a, {_FMT2.format(x='hi')} AS b,
+       {_FMT2.format(x='lo')} AS c, {_FMT2.format(x='sd')} AS d FROM st
+UNION ALL
+SELECT 'volatility', symbol, hour, {_FMT2.format(x='v')} || '%', NULL, NULL, NULL FROM vo
+""")
+def q_dashboard_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: the statistics and volatility tables as the dashboard shows them."""
+    ev = price_events(spark, sf_dir)
+    st = VW.stats_view(stats.price_stats(ev)).select(
+        F.lit("stats").alias("tbl"), "symbol", F.lit(None).cast("string").alias("hour"),
+        F.col("rata_rata_usd").alias("a"), F.col("tertinggi_usd").alias("b"),
+        F.col("terendah_usd").alias("c"), F.col("std_deviasi").alias("d"))
+    vo = VW.volatility_view(stats.hourly_volatility(ev)).select(
+        F.lit("volatility").alias("tbl"), "symbol", "hour", F.col("volatility").alias("a"),
+        *[F.lit(None).cast("string").alias(x) for x in ("b", "c", "d")])
+    return st.unionByName(vo)
+
+
+@register("json_landing_stats", ORACLES["price_stats"])
+def q_json_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 + S2 + S3 + S4 + S9 + S10 end to end: every event landed as the original landed them
+    (one JSON array document per file), read back with the explicit schema, and the analysis
+    job's A1 table read from its written output."""
+    src = scratch_path(spark, "landing-array")
+    ev = price_events(spark, sf_dir).select(
+        "symbol", "coin_id", "price_usd", "price_idr", "change_24h",
+        F.date_format("event_ts", _ISO_WIRE).alias("timestamp"))
+    # one array document per file: group rows of a file-sized bucket into one JSON text row
+    bucket = F.floor(F.monotonically_increasing_id() / F.lit(_STREAM_FILE_ROWS))
+    (ev.groupBy(bucket.alias("_b")).agg(F.to_json(F.collect_list(F.struct(*ev.columns))).alias("value"))
+     .select("value").repartition(8).write.text(f"{src}/api"))
+    out = scratch_path(spark, "analysis-out")
+    run_analysis(spark, src, out, layout="array")
+    return spark.read.schema(STATS).json(f"{out}/statistik")
