@@ -12,13 +12,7 @@ __all__ = [
     "hour_label", "fixed", "age_minutes", "kb", "with_default",
 ]
 
-# Fixed values that must equal the original pipeline's.
-# - case-insensitive words that mark a log line as an error
-ERROR_PATTERN = "(?i)(error|failed|exception|traceback)"
-# - presentation value for a missing number
-NULL_DASH = "—"
-# - manual USD -> IDR rate used when a vendor has no local-currency price
-FX_USD_TO_IDR = 16500
+from tickwise.constants import ERROR_PATTERN, FX_USD_TO_IDR, NULL_DASH  # noqa: E402
 
 
 def _c(x) -> Column:

@@ -22,7 +22,7 @@ from tickwise.functions.scalar import iso_utc, safe_ratio
 from tickwise.operators.series import CONTEXT_POINTS, HISTORY_POINTS, Series, sampling_interval, tail_rows
 from tickwise.schemas import FEATURE_COLS
 
-HORIZON = 10  # fixed: forecast steps
+from tickwise.constants import HORIZON, NO_MODEL_R2  # noqa: E402
 
 
 def context(feats: DataFrame, s: Series = Series(), k: int = CONTEXT_POINTS) -> DataFrame:
@@ -129,10 +129,6 @@ def forecast_with_model(ctx: DataFrame, predict: Callable[[DataFrame], DataFrame
     return res.select(key, "o.step", "o.ts", iso_utc(F.col("o.ts")).alias("timestamp"), "o.price", "o.pct")
 
 
-# Fixed value: a metric no real model reaches; keys whose models all fail keep it and are dropped.
-NO_MODEL_R2 = -999.0
-
-
 def select_best(metrics: DataFrame, key: str = "symbol") -> DataFrame:
     """A8 + M7: per key the model with the highest rounded R^2; ties keep the earlier model
     (``order``); NaN never wins (R18). Input: key, name, order, r2, mae."""

@@ -24,12 +24,10 @@ from tickwise.schemas import FEATURE_COLS
 
 LABEL = "pct_change"
 
-# Candidate models in selection order (ties keep the earlier one) and settings.
-MODEL_ORDER = ["LinearRegression", "RandomForest", "GBT"]
-LR_MAX_ITER = 200
-RF_TREES, RF_DEPTH = 100, 6
-GBT_ITER, GBT_DEPTH = 80, 5
-SEED = 42
+# Candidate models in selection order (ties keep the earlier one) and their settings.
+from tickwise.constants import (GBT_DEPTH, GBT_ITER, LR_MAX_ITER, MAE_DIGITS,  # noqa: E402
+                                MODEL_ORDER, R2_DIGITS, RF_DEPTH, RF_TREES, SEED)
+
 MAX_TREE_KEYS = 64
 
 
@@ -56,7 +54,7 @@ def make_pipeline(name: str, label: str = LABEL, features: Sequence[str] = FEATU
 
 def round_metrics(m: DataFrame) -> DataFrame:
     """A7 reporting precision: R^2 to 4 digits, MAE to 6 (R16: MAE is in percentage points)."""
-    return m.withColumn("r2", F.round("r2", 4)).withColumn("mae", F.round("mae", 6))
+    return m.withColumn("r2", F.round("r2", R2_DIGITS)).withColumn("mae", F.round("mae", MAE_DIGITS))
 
 
 def _fit_eval(split: DataFrame, key: str, value, name: str, order: int, label: str):

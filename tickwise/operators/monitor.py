@@ -10,12 +10,8 @@ from pyspark.sql import functions as F
 from tickwise.functions.scalar import ERROR_PATTERN, age_minutes
 from tickwise.operators.lookup import join_small
 
-# Freshness classes (minutes) and the root-cause age threshold.
-FRESH_OK_MIN = 5
-FRESH_WARN_MIN = 30
-ROOT_CAUSE_AGE_MIN = 10
-LOG_TAIL_LINES = 50
-LOG_SHOW_LINES = 3
+from tickwise.constants import (FRESH_OK_MIN, FRESH_WARN_MIN, LOG_SHOW_LINES,  # noqa: E402
+                                LOG_TAIL_LINES, ROOT_CAUSE_AGE_MIN)
 
 
 def freshness(last_update: DataFrame, now: Column, expected: Sequence[str] | None = None,

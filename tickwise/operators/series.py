@@ -31,15 +31,10 @@ FEATURE_HALO = 14
 TARGET_CHUNK_ROWS = 1_000_000
 MIN_CHUNK_ROWS = 10_000
 PLAN_BUCKET_S = 3600.0    # burst granularity the width planner looks at
-# Fixed values of the original model set-up.
-MIN_ROWS_TOTAL = 20       # P5: fewer rows in total -> nothing is forecast
-MIN_ROWS_PER_KEY = 20     # P6: fewer raw rows for a key -> key skipped
-MIN_VAL_ROWS = 5          # P7: fewer validation rows -> key skipped
-TRAIN_FRACTION = 0.8      # W9: chronological split
-HISTORY_POINTS = 50       # W10
-CONTEXT_POINTS = 15       # W11
-INTERVAL_DIFFS = 10       # A9
-DEFAULT_INTERVAL = 60     # A9 with a single row
+# P5 / P6 / P7 guards, W9 split, W10 / W11 tails, A9 interval.
+from tickwise.constants import (CONTEXT_POINTS, DEFAULT_INTERVAL, HISTORY_POINTS,  # noqa: E402,F401
+                                INTERVAL_DIFFS, MIN_ROWS_PER_KEY, MIN_ROWS_TOTAL, MIN_VAL_ROWS,
+                                TRAIN_FRACTION)
 
 CHUNK = "_chunk"
 HALO_FLAG = "_halo"

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from tickwise.functions.scalar import direction, fixed, fmt_number, hour_label, time_label
 
-# Display names per symbol, falling back to the symbol itself.
-DISPLAY_NAMES = {"BTC": "Bitcoin (BTC)", "ETH": "Ethereum (ETH)", "BNB": "BNB (BNB)"}
+from tickwise.constants import DISPLAY_NAMES, NEWS_VIEW_SIZE  # noqa: E402
 
 
 def display_name(symbol_col: str = "symbol"):
@@ -38,7 +37,7 @@ def volatility_view(vol: DataFrame) -> DataFrame:
                       F.concat(fmt_number("avg_volatilitas"), F.lit("%")).alias("volatility"))
 
 
-def news_view(snapshot: DataFrame, k: int = 5) -> DataFrame:
+def news_view(snapshot: DataFrame, k: int = NEWS_VIEW_SIZE) -> DataFrame:
     """The first k items of the ordered snapshot (title, link, published, source)."""
     return snapshot.limit(k).select("title", "link", F.coalesce("published", F.lit("")).alias("published"),
                                     F.coalesce("source", F.lit("")).alias("source"))

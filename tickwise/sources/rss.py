@@ -9,9 +9,7 @@ from pyspark.sql import types as T
 from tickwise.functions.scalar import article_id, left_chars
 from tickwise.schemas import RSS_ITEM
 
-# Fixed values of the news record.
-DEFAULT_TITLE = "No Title"
-SUMMARY_CHARS = 500
+from tickwise.constants import DEFAULT_TITLE, SUMMARY_CHARS  # noqa: E402
 
 
 def normalize_news(items: DataFrame, poll_ts, source, title: str = "title", link: str = "link",

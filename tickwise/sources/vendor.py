@@ -18,8 +18,7 @@ from tickwise.functions.scalar import FX_USD_TO_IDR
 from tickwise.operators.lookup import literal_table
 from tickwise.schemas import VENDOR_A, VENDOR_B
 
-# The tracked coins as (symbol, vendor-A coin id).
-COINS = [("BTC", "bitcoin"), ("ETH", "ethereum"), ("BNB", "binancecoin")]
+from tickwise.constants import CHANGE_DIGITS, COINS, LOCAL_PRICE_DIGITS, PRICE_DIGITS  # noqa: E402
 
 
 def json_field(doc, key: str, default: float | None = None) -> Column:
@@ -46,9 +45,10 @@ def _a_complete(m: Column, coin: Column) -> Column:
 def _a_row(m: Column, coin: Column) -> Column:
     e = _a_entry(m, coin)
     return F.struct(coin["symbol"].alias("symbol"), coin["coin_id"].alias("coin_id"),
-                    F.round(F.element_at(e, F.lit("usd")), 2).alias("price_usd"),
-                    F.round(F.element_at(e, F.lit("idr")), 0).alias("price_idr"),
-                    F.round(F.coalesce(F.element_at(e, F.lit("usd_24h_change")), F.lit(0.0)), 4).alias("change_24h"))
+                    F.round(F.element_at(e, F.lit("usd")), PRICE_DIGITS).alias("price_usd"),
+                    F.round(F.element_at(e, F.lit("idr")), LOCAL_PRICE_DIGITS).alias("price_idr"),
+                    F.round(F.coalesce(F.element_at(e, F.lit("usd_24h_change")), F.lit(0.0)),
+                            CHANGE_DIGITS).alias("change_24h"))
 
 
 def _b_entry(raw: Column, coin: Column) -> Column:
@@ -62,11 +62,11 @@ def _b_complete(raw: Column, coin: Column) -> Column:
 
 def _b_row(raw: Column, coin: Column) -> Column:
     e = _b_entry(raw, coin)
-    usd = F.round(e["PRICE"], 2)
+    usd = F.round(e["PRICE"], PRICE_DIGITS)
     return F.struct(coin["symbol"].alias("symbol"), coin["coin_id"].alias("coin_id"),
                     usd.alias("price_usd"),
-                    F.round(usd * F.lit(float(FX_USD_TO_IDR)), 0).alias("price_idr"),  # P9
-                    F.round(F.coalesce(e["CHANGEPCT24HOUR"], F.lit(0.0)), 4).alias("change_24h"))
+                    F.round(usd * F.lit(float(FX_USD_TO_IDR)), LOCAL_PRICE_DIGITS).alias("price_idr"),  # P9
+                    F.round(F.coalesce(e["CHANGEPCT24HOUR"], F.lit(0.0)), CHANGE_DIGITS).alias("change_24h"))
 
 
 def normalize_polls(polls: DataFrame, coins: Sequence[tuple[str, str]] = COINS,

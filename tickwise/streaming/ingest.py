@@ -14,8 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickwise.functions.scalar import parse_ts
 
-# Fixed value: flush cadence of the landing stream.
-LANDING_TRIGGER = "120 seconds"
+from tickwise.constants import LANDING_TRIGGER  # noqa: E402
 
 
 def _trigger(writer, trigger: str | None):

@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 from tickwise.operators import snapshot
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
 
-# Fixed value: articles kept in the live news snapshot.
-NEWS_SNAPSHOT_SIZE = 20
+from tickwise.constants import NEWS_SNAPSHOT_SIZE  # noqa: E402
 
 
 def version_path(root: str, batch_id: int) -> str:
