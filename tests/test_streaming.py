@@ -110,3 +110,14 @@ def test_analysis_job_end_to_end(spark, tmp_path):
     doc = json.loads(spark.read.text(f"{out}/spark_results").first()[0])
     assert doc["statistik"][0]["rata_rata_usd"] == 101.0 and doc["berita"] == []
     assert len({r.timestamp for r in stamp_poll_time(spark.range(5)).collect()}) == 1
+
+
+def test_snapshot_versions_are_pruned(spark, tmp_path):
+    out = str(tmp_path / "live")
+    w = snapshots.price_snapshot_writer(out, keep=2)
+    for b in range(5):
+        w(spark.createDataFrame([("BTC", "bitcoin", float(b), 1.0, 0.1, f"t{b}")], PRICE_EVENT), b)
+    import os
+    assert sorted(os.listdir(out)) == ["v=000000000003", "v=000000000004"]
+    snap = spark.read.parquet(snapshots.latest_version_below(spark, out, 99)).first()
+    assert snap.price_usd == 4.0

@@ -42,6 +42,24 @@ def latest_version_below(spark: SparkSession, root: str, batch_id: int) -> str |
     return None if best is None else version_path(root, best)
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int | None) -> None:
+    """Remove all but the newest ``keep`` complete versions (None keeps everything). Readers
+    only ever open the newest complete version, so older ones are safe to drop."""
+    if not keep:
+        return
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return
+    done = sorted((st.getPath() for st in fs.listStatus(p)
+                   if st.isDirectory() and st.getPath().getName().startswith("v=")
+                   and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))),
+                  key=lambda q: q.getName())
+    for old in done[:-keep]:
+        fs.delete(old, True)
+
+
 def read_snapshot(spark: SparkSession, root: str, batch_id: int, schema: T.StructType) -> DataFrame:
     """Previous snapshot or an empty one (S12, S13: an unreadable version counts as empty)."""
     prev = latest_version_below(spark, root, batch_id)
@@ -50,7 +68,11 @@ def read_snapshot(spark: SparkSession, root: str, batch_id: int, schema: T.Struc
     return spark.read.schema(schema).parquet(prev)
 
 
-def price_snapshot_writer(root: str):
+# Snapshot versions kept on disk (the newest is the live one).
+KEEP_VERSIONS = 16
+
+
+def price_snapshot_writer(root: str, keep: int | None = KEEP_VERSIONS):
     """T3 (scope="batch", parity R14): per micro-batch the last arrival per symbol within the
     batch replaces the snapshot; an empty batch leaves it unchanged (P11)."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -60,6 +82,7 @@ def price_snapshot_writer(root: str):
                  .withColumn("_a", _arrival_key(batch)))
         latest = snapshot.latest_per_key(keyed, "symbol", ["_a"])
         latest.select(*PRICE_EVENT.fieldNames()).write.mode("overwrite").parquet(version_path(root, batch_id))
+        prune_versions(batch.sparkSession, root, keep)
     return run
 
 
@@ -75,7 +98,7 @@ def _arrival_key(batch: DataFrame) -> "F.Column":
     return F.concat_ws("|", *parts)
 
 
-def news_snapshot_writer(root: str, k: int = NEWS_SNAPSHOT_SIZE):
+def news_snapshot_writer(root: str, k: int = NEWS_SNAPSHOT_SIZE, keep: int | None = KEEP_VERSIONS):
     """T5: batch rows (oldest first) before the stored snapshot rows, unique article ids
     (first wins, R15), first ``k`` kept, written as the next version with its order."""
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -93,6 +116,7 @@ def news_snapshot_writer(root: str, k: int = NEWS_SNAPSHOT_SIZE):
         from pyspark.sql import Window
         out = top.withColumn("_rank", F.row_number().over(Window.orderBy("_b", "_a")).cast("long"))
         out.select(*cols, "_rank").write.mode("overwrite").parquet(version_path(root, batch_id))
+        prune_versions(spark, root, keep)
     return run
 
 
