@@ -38,6 +38,7 @@ def read_feeds(spark: SparkSession, paths, poll_ts: Column | None = None) -> Dat
     the file's modification time as ISO string)."""
     schema = T.StructType(list(RSS_ITEM.fields) + [T.StructField("_corrupt_record", T.StringType())])
     items = (spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE")
+             .option("ignoreSurroundingSpaces", False)
              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).load(paths)
              .withColumn("_feed", F.col("_metadata.file_path"))
              .withColumn("_mtime", F.col("_metadata.file_modification_time")))
