@@ -121,3 +121,17 @@ def test_snapshot_versions_are_pruned(spark, tmp_path):
     assert sorted(os.listdir(out)) == ["v=000000000003", "v=000000000004"]
     snap = spark.read.parquet(snapshots.latest_version_below(spark, out, 99)).first()
     assert snap.price_usd == 4.0
+
+
+def test_analysis_refresher_on_trigger(spark, tmp_path):
+    root, out, ck = tmp_path / "land", str(tmp_path / "res"), str(tmp_path / "ck")
+    src = tmp_path / "src"
+    _write_lines(src, [{"symbol": "BTC", "coin_id": "bitcoin", "price_usd": 10.0, "price_idr": 1.0,
+                        "change_24h": 1.0, "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
+    ingest.land(kafka.read_topic(spark, "api", PRICE_EVENT, fmt="json", path=str(src)),
+                str(root / "api"), str(tmp_path / "lck"), "availableNow").awaitTermination(120)
+    refresh = snapshots.analysis_refresher(spark, str(root), out, layout="parquet")
+    q = (spark.readStream.schema(PRICE_EVENT).json(str(src)).writeStream.foreachBatch(refresh)
+         .option("checkpointLocation", ck).trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    assert spark.read.json(f"{out}/statistik").first().jumlah_data == 1

@@ -9,3 +9,14 @@ Subpackages:
 """
 
 __version__ = "0.1.0"
+
+# Python functions that run inside Spark tasks (pandas helpers) are serialized by value, so
+# executors need no installed copy of this package (no --py-files, any working directory).
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle: ship the package with --py-files
+    pass

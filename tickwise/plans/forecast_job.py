@@ -22,12 +22,15 @@ def _empty(spark: SparkSession) -> DataFrame:
 
 def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str] = tuple(ML.MODEL_ORDER),
                    keys: Sequence[str] | None = None, horizon: int = FC.HORIZON, width: float | None = None,
-                   leak_free: bool = False, consistent: bool = False, parallelism: int = 4,
+                   leak_free: bool = False, consistent: bool = False, parallelism: int | None = None,
                    materialize_features: bool = True) -> DataFrame:
     """Per symbol: history (last 50 points), forecast (``horizon`` points) and the winning
     model (name, R^2, MAE). ``prices`` are normalized price events (symbol, price_usd,
     event_ts, seq). ``keys`` is the optional allow-list (P4); per-key work is keyed, the
     original's per-key filter (P3) survives only as the row filter of each per-key tree fit."""
+    # concurrent per-key fits; each is a long chain of small jobs (GBT: ~7 per iteration), so
+    # more threads mostly contend for the driver's scheduler
+    parallelism = parallelism or 4
     base = S.base_series(prices)
     if keys is not None:
         base = base.where(F.col("symbol").isin(list(keys)))

@@ -139,11 +139,11 @@ def dedup_stream(stream: DataFrame, key: str = "article_id", watermark: tuple[st
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def analysis_refresher(spark: SparkSession, landing: str, out_root: str):
+def analysis_refresher(spark: SparkSession, landing: str, out_root: str, layout: str = "parquet"):
     """On every trigger recompute the three batch aggregates over the landing table and
-    overwrite the result tables (S9)."""
+    overwrite the result tables and the combined document (S9, S10)."""
     from tickwise.plans.analysis_job import run_analysis
 
     def run(_batch: DataFrame, _batch_id: int) -> None:
-        run_analysis(spark, landing, out_root, layout="lines")
+        run_analysis(spark, landing, out_root, layout=layout)
     return run
