@@ -42,8 +42,11 @@ def read_feeds(spark: SparkSession, paths, poll_ts: Column | None = None) -> Dat
              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).load(paths)
              .withColumn("_feed", F.col("_metadata.file_path"))
              .withColumn("_mtime", F.col("_metadata.file_modification_time")))
-    # one pass: a feed (one file, a small bounded group) is dropped when any item is malformed
-    w = Window.partitionBy("_feed")
+    # one pass: a feed (one file, a small bounded group) is dropped when any item is malformed.
+    # The frame is ordered by link so that a data column is always read: Spark refuses scans
+    # whose only column is the corrupt-record column (e.g. under a bare count()).
+    w = (Window.partitionBy("_feed").orderBy("link")
+         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     good = (items.withColumn("_bad", F.max(F.col("_corrupt_record").isNotNull()).over(w))
             .where(~F.col("_bad")))
     pts = poll_ts if poll_ts is not None else F.date_format("_mtime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
