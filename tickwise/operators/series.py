@@ -53,7 +53,10 @@ class Series:
 
 def base_series(prices: DataFrame, key: str = "symbol", price: str = "price_usd",
                 ts: str = "event_ts", tiebreak: str = "seq") -> DataFrame:
-    """P1 + P2: (symbol, price double, ts whole epoch seconds, seq), rows with any NULL/NaN dropped."""
+    """P1 + P2: (symbol, price double, ts whole epoch seconds, seq), rows with any NULL/NaN dropped.
+    The NULL tests on the source columns are pushed into the scan; the cast/NaN part follows."""
+    prices = prices.where(F.col(key).isNotNull() & F.col(price).isNotNull()
+                          & F.col(ts).isNotNull() & F.col(tiebreak).isNotNull())
     out = prices.select(F.col(key).alias("symbol"),
                         F.col(price).try_cast("double").alias("price"),
                         epoch_seconds(F.col(ts)).alias("ts"),
