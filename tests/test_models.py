@@ -105,3 +105,18 @@ def test_spark_ml_trees_per_key(spark, feats):
     refit = ML.refit_per_key(feats, [("A", "RandomForest")])
     fc = FC.forecast_with_model(FC.context(feats.where("symbol = 'A'")), ML.model_predictor(refit["A"])).collect()
     assert len(fc) == 10 and all(math.isfinite(r.price) for r in fc)
+
+
+def test_forecast_job_outputs_and_small_run_keeps_previous(spark, tmp_path):
+    import json
+    from tickwise.plans.forecast_job import build_forecast, write_forecast_outputs
+    rows = [("BTC", 100.0 + (i % 7) * 0.5 + i * 0.1, float(1_704_067_200 + 60 * i), i) for i in range(60)]
+    prices = spark.createDataFrame(rows, "symbol string, price_usd double, ts double, seq long") \
+        .withColumn("event_ts", F.timestamp_seconds("ts"))
+    out = str(tmp_path / "out")
+    assert write_forecast_outputs(spark, build_forecast(spark, prices, models=["LinearRegression"]), out)
+    doc = json.loads(spark.read.text(f"{out}/forecast").first()[0])
+    assert len(doc["BTC"]["history"]) == 50 and len(doc["BTC"]["forecast"]) == 10
+    tiny = build_forecast(spark, prices.limit(19), models=["LinearRegression"])   # P5: < 20 rows
+    assert tiny.count() == 0 and not write_forecast_outputs(spark, tiny, out)
+    assert json.loads(spark.read.text(f"{out}/forecast").first()[0]) == doc    # R17: old file kept

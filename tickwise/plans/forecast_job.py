@@ -85,3 +85,16 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
                              F.struct("name", "r2", "mae").alias("model")), F.col("symbol") == F.col("_mk"))
            .drop("_mk"))
     return res.select("symbol", "history", "forecast", "model")
+
+
+def write_forecast_outputs(spark: SparkSession, result: DataFrame, out_root: str) -> bool:
+    """S9 + S11: write the forecast table and the ``{symbol: ...}`` document. A run without any
+    forecast (too little data, P5) writes nothing, so the previous outputs stay (R17)."""
+    from tickwise.operators import documents as DOC
+    if not S.has_rows(result, 1):
+        return False
+    table_path = f"{out_root}/forecast_table"
+    result.write.mode("overwrite").json(table_path)
+    back = spark.read.schema(result.schema).json(table_path)
+    DOC.write_document(DOC.forecast_document(back), f"{out_root}/forecast")
+    return True
