@@ -135,3 +135,21 @@ def test_analysis_refresher_on_trigger(spark, tmp_path):
          .option("checkpointLocation", ck).trigger(availableNow=True).start())
     q.awaitTermination(120)
     assert spark.read.json(f"{out}/statistik").first().jumlah_data == 1
+
+
+def test_two_topic_pipeline(spark, tmp_path):
+    api_src, rss_src, root = tmp_path / "a", tmp_path / "r", str(tmp_path / "lake")
+    _write_lines(api_src, [{"symbol": "BTC", "coin_id": "bitcoin", "price_usd": 1.0, "price_idr": 1.0,
+                            "change_24h": 0.0, "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
+    _write_lines(rss_src, [{"article_id": "x", "title": "t", "link": "l", "summary": "", "published": "",
+                            "source": "s", "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
+    api = kafka.read_topic(spark, "api", PRICE_EVENT, fmt="json", path=str(api_src))
+    rss_s = kafka.read_topic(spark, "rss", NEWS_EVENT, fmt="json", path=str(rss_src))
+    qs = ingest.start_pipeline(api, rss_s, root, trigger="availableNow",
+                               snapshot_fns={"api": snapshots.price_snapshot_writer(f"{root}/live_api"),
+                                             "rss": snapshots.news_snapshot_writer(f"{root}/live_rss")})
+    for q in qs:
+        q.awaitTermination(120)
+    assert spark.read.parquet(f"{root}/api").count() == 1 and spark.read.parquet(f"{root}/rss").count() == 1
+    assert spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_rss", 99)).first().article_id == "x"
+    assert spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_api", 99)).first().symbol == "BTC"

@@ -78,3 +78,17 @@ def test_error_lines_last_three_of_last_fifty(spark):
     df = spark.createDataFrame(lines, "source string, t long, line string")
     out = MON.error_lines(df).collect()
     assert sorted((r.source, r.t) for r in out) == [("c1", 94), ("c1", 96), ("c1", 98), ("c3", 1)]
+
+
+def test_served_data_merges_documents(spark):
+    ev = spark.createDataFrame([("BTC", 1.0, 0.5, "2026-05-04 07:00:00")],
+                               "symbol string, price_usd double, change_24h double, event_ts string") \
+        .withColumn("event_ts", F.to_timestamp("event_ts"))
+    res = DOC.combined_document({"statistik": stats.price_stats(ev)})
+    live = ev.select("symbol", "price_usd")
+    news = spark.createDataFrame([("id1", "t")], "article_id string, title string")
+    d = json.loads(DOC.served_data(res, live, news).first().json)
+    assert d["spark"]["statistik"][0]["symbol"] == "BTC" and d["live"][0]["price_usd"] == 1.0
+    assert d["news"] == [{"article_id": "id1", "title": "t"}]
+    empty = json.loads(DOC.served_data(None, live.limit(0), news).first().json)
+    assert empty["spark"] == [] and empty["live"] == []

@@ -50,6 +50,24 @@ def combined_document(sections: dict[str, tuple[DataFrame, list] | DataFrame]) -
     return frags.agg(F.concat(F.lit("{"), body, F.lit("}")).alias("json"))
 
 
+def served_data(results_doc: DataFrame | None, live: DataFrame, news: DataFrame) -> DataFrame:
+    """The data endpoint's object ``{"spark": <results document>, "live": [...],
+    "news": [...]}``; a missing results document is ``[]`` as in the original (R17)."""
+    frags = []
+    spark_part = (results_doc.select(F.lit(0).alias("i"), F.concat(F.lit('"spark":'), F.col("json")).alias("frag"))
+                  if results_doc is not None else None)
+    for i, (name, df) in enumerate((("live", live), ("news", news)), start=1):
+        arr = rows_array(df).select(F.coalesce(F.col("rows"), F.array()).alias("rows"))
+        frags.append(arr.select(F.lit(i).alias("i"), F.concat(F.lit(json.dumps(name) + ":"),
+                                                               F.to_json("rows", {"ignoreNullFields": "false"})).alias("frag")))
+    u = frags[0].unionByName(frags[1])
+    if spark_part is not None:
+        u = u.unionByName(spark_part)
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "frag"))), lambda e: e["frag"]), ",")
+    prefix = "{" if spark_part is not None else '{"spark":[],'
+    return u.agg(F.concat(F.lit(prefix), body, F.lit("}")).alias("json"))
+
+
 def forecast_document(result: DataFrame, key: str = "symbol") -> DataFrame:
     """``{symbol: {history, forecast, model}}`` as one JSON string."""
     _bounded(result, "forecast result")
