@@ -9,6 +9,7 @@ the key allow-list (P4) -- ``max_keys`` refuses to start an unbounded number of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -29,6 +30,22 @@ from tickwise.constants import (GBT_DEPTH, GBT_ITER, LR_MAX_ITER, MAE_DIGITS,  #
                                 MODEL_ORDER, R2_DIGITS, RF_DEPTH, RF_TREES, SEED)
 
 MAX_TREE_KEYS = 64
+# Rows per partition of one key's training input: Spark ML runs several small jobs per tree
+# level and iteration, so a small key should not be spread over many tiny tasks.
+ROWS_PER_FIT_PARTITION = 500_000
+
+
+def key_rows(split: DataFrame, keys: Sequence, key: str = "symbol") -> dict:
+    """Feature rows per key for a bounded key list (one small aggregate)."""
+    sub = split.where(F.col(key).isin(list(keys)))
+    return {r[0]: r[1] for r in sub.groupBy(key).agg(F.count(F.lit(1))).collect()}
+
+
+def _key_input(split: DataFrame, key: str, value, rows: int | None) -> DataFrame:
+    part = split.where(F.col(key) == F.lit(value))
+    if rows:
+        part = part.coalesce(max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
+    return part
 
 
 def make_estimator(name: str, label: str = LABEL):
@@ -57,8 +74,8 @@ def round_metrics(m: DataFrame) -> DataFrame:
     return m.withColumn("r2", F.round("r2", R2_DIGITS)).withColumn("mae", F.round("mae", MAE_DIGITS))
 
 
-def _fit_eval(split: DataFrame, key: str, value, name: str, order: int, label: str):
-    rows = split.where(F.col(key) == F.lit(value))
+def _fit_eval(split: DataFrame, key: str, value, name: str, order: int, label: str, n_rows=None):
+    rows = _key_input(split, key, value, n_rows)
     train, val = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val")
     try:
         fitted = make_pipeline(name, label).fit(train)
@@ -77,9 +94,10 @@ def evaluate_per_key(spark: SparkSession, split: DataFrame, keys: Sequence, mode
     if len(keys) > max_keys:
         raise ValueError(f"{len(keys)} keys exceed max_keys={max_keys} for per-key Spark ML fits; "
                          "pass an allow-list or use the keyed linear model")
+    sizes = key_rows(split, keys, key)
     jobs = [(k, n, MODEL_ORDER.index(n)) for k in keys for n in models]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        res = list(pool.map(lambda j: _fit_eval(split, key, j[0], j[1], j[2], label), jobs))
+        res = list(pool.map(lambda j: _fit_eval(split, key, j[0], j[1], j[2], label, sizes.get(j[0])), jobs))
     schema = T.StructType([T.StructField(key, split.schema[key].dataType), T.StructField("name", T.StringType()),
                            T.StructField("order", T.IntegerType()), T.StructField("r2", T.DoubleType()),
                            T.StructField("mae", T.DoubleType())])
@@ -91,9 +109,11 @@ def evaluate_per_key(spark: SparkSession, split: DataFrame, keys: Sequence, mode
 def refit_per_key(split: DataFrame, winners: Sequence[tuple], key: str = "symbol", label: str = LABEL,
                   parallelism: int = 4) -> dict:
     """M8: refit each key's winning pipeline on all its feature rows."""
+    sizes = key_rows(split, [k for k, _ in winners], key)
+
     def fit(kn):
         k, n = kn
-        return (k, make_pipeline(n, label).fit(split.where(F.col(key) == F.lit(k))))
+        return (k, make_pipeline(n, label).fit(_key_input(split, key, k, sizes.get(k))))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         return dict(pool.map(fit, winners))
 
