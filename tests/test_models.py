@@ -40,37 +40,19 @@ def test_keyed_ols_matches_spark_ml_linear_regression(spark, feats):
             assert ours[(key, r.seq)] == pytest.approx(r.prediction, rel=1e-6, abs=1e-8)
 
 
-def _python_forecast(prices, pcts, coef, last_ts, interval, horizon=10):
-    """The original step rules, written out plainly."""
-    prices, pcts, out = list(prices), list(pcts), []
-    for i in range(1, horizon + 1):
-        lag1 = pcts[-1]
-        lag2 = pcts[-2] if len(pcts) >= 2 else lag1
-        lag3 = pcts[-3] if len(pcts) >= 3 else lag2
-        ma7 = sum(prices[-7:]) / min(7, len(prices))
-        ma14 = sum(prices[-14:]) / min(14, len(prices))
-        mean = sum(pcts[-7:]) / min(7, len(pcts))
-        vol = (sum((p - mean) ** 2 for p in pcts[-7:]) / min(7, len(pcts))) ** 0.5
-        mom = (prices[-1] - prices[-5]) / prices[-5] * 100 if len(prices) >= 5 else 0.0
-        x = [lag1, lag2, lag3, prices[-1] / ma7 if ma7 else 1.0, ma7 / ma14 if ma14 else 1.0, vol, mom]
-        pct = coef[0] + sum(b * v for b, v in zip(coef[1:], x))
-        price = round(prices[-1] * (1 + pct / 100), 2)
-        out.append((i, last_ts + interval * i, price, pct))
-        prices.append(price)
-        pcts.append(pct)
-    return out
-
-
 def test_recursive_forecast_matches_python_loop(spark, feats):
+    from tools.loop_baseline import roll_forward
     coefs = RG.fit_keyed_ols(feats, "symbol", FEATURE_COLS, "pct_change")
     ctx = FC.context(feats)
     got = {(r.symbol, r.step): r for r in FC.forecast_linear(ctx, coefs).collect()}
     cmap = {r.symbol: [r.intercept] + [r[f"b{i}"] for i in range(7)] for r in coefs.collect()}
     for c in ctx.collect():
-        exp = _python_forecast(c.prices, c.pcts, cmap[c.symbol], c.last_ts, c.interval_s)
-        for step, ts, price, pct in exp:
+        b = cmap[c.symbol]
+        model = lambda x, b=b: b[0] + sum(w * v for w, v in zip(b[1:], x))
+        for step, price, pct in roll_forward(c.prices, c.pcts, model, 10):
             g = got[(c.symbol, step)]
-            assert g.ts == ts and g.price == pytest.approx(price, abs=0.011) and g.pct == pytest.approx(pct, rel=1e-9)
+            assert g.ts == c.last_ts + c.interval_s * step
+            assert g.price == pytest.approx(price, abs=0.011) and g.pct == pytest.approx(pct, rel=1e-9)
 
 
 def test_model_path_forecast_equals_expression_path(spark, feats):
