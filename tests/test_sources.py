@@ -105,3 +105,15 @@ def test_news_defaults(spark):
     items = spark.createDataFrame([(None, None, None, None)], "title string, link string, description string, pubDate string")
     r = rss.normalize_news(items, F.lit("ts"), F.lit("src")).first()
     assert (r.title, r.link, r.summary, r.published, r.article_id) == ("No Title", "", "", "ts", "d41d8cd9")
+
+
+def test_vendor_b_null_change_fails_poll_absent_change_is_zero(spark):
+    a_bad = json.dumps({"bitcoin": {"usd": 1.0}})  # idr missing: A incomplete
+    b_null = json.loads(B_OK)
+    b_null["RAW"]["ETH"]["USD"]["CHANGEPCT24HOUR"] = None
+    b_absent = json.loads(B_OK)
+    del b_absent["RAW"]["ETH"]["USD"]["CHANGEPCT24HOUR"]
+    out = vendor.normalize_polls(_polls(spark, [("p1", a_bad, json.dumps(b_null)),
+                                                ("p2", a_bad, json.dumps(b_absent))])).collect()
+    assert {r.timestamp for r in out} == {"p2"}
+    assert [r.change_24h for r in out if r.symbol == "ETH"] == [0.0]

@@ -28,12 +28,11 @@ NEWS_EVENT = T.StructType([
 # Vendor payload A: coin_id -> {usd, idr, usd_24h_change}. A map keeps "absent" and "null" apart.
 VENDOR_A = T.MapType(T.StringType(), T.MapType(T.StringType(), T.DoubleType()))
 
-# Vendor payload B: RAW.<SYM>.USD.{PRICE, CHANGEPCT24HOUR}.
+# Vendor payload B: RAW.<SYM>.USD.{PRICE, CHANGEPCT24HOUR}; the innermost level is a map too,
+# so a member that is present but null is told apart from an absent one (as for vendor A).
 VENDOR_B = T.StructType([
-    T.StructField("RAW", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StructType([
-        T.StructField("PRICE", T.DoubleType()),
-        T.StructField("CHANGEPCT24HOUR", T.DoubleType()),
-    ])))),
+    T.StructField("RAW", T.MapType(T.StringType(), T.MapType(
+        T.StringType(), T.MapType(T.StringType(), T.DoubleType())))),
 ])
 
 # RSS <item> rows.

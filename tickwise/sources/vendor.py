@@ -56,17 +56,21 @@ def _b_entry(raw: Column, coin: Column) -> Column:
 
 
 def _b_complete(raw: Column, coin: Column) -> Column:
+    """The symbol's USD entry with a non-NULL PRICE; a change key that is present must be
+    non-NULL (absent means 0)."""
     e = _b_entry(raw, coin)
-    return F.coalesce(e.isNotNull() & e["PRICE"].isNotNull(), F.lit(False))
+    change_ok = (~F.map_contains_key(e, F.lit("CHANGEPCT24HOUR"))) | F.element_at(e, F.lit("CHANGEPCT24HOUR")).isNotNull()
+    return F.coalesce(e.isNotNull() & F.element_at(e, F.lit("PRICE")).isNotNull() & change_ok, F.lit(False))
 
 
 def _b_row(raw: Column, coin: Column) -> Column:
     e = _b_entry(raw, coin)
-    usd = F.round(e["PRICE"], PRICE_DIGITS)
+    usd = F.round(F.element_at(e, F.lit("PRICE")), PRICE_DIGITS)
     return F.struct(coin["symbol"].alias("symbol"), coin["coin_id"].alias("coin_id"),
                     usd.alias("price_usd"),
                     F.round(usd * F.lit(float(FX_USD_TO_IDR)), LOCAL_PRICE_DIGITS).alias("price_idr"),  # P9
-                    F.round(F.coalesce(e["CHANGEPCT24HOUR"], F.lit(0.0)), CHANGE_DIGITS).alias("change_24h"))
+                    F.round(F.coalesce(F.element_at(e, F.lit("CHANGEPCT24HOUR")), F.lit(0.0)),
+                            CHANGE_DIGITS).alias("change_24h"))
 
 
 def normalize_polls(polls: DataFrame, coins: Sequence[tuple[str, str]] = COINS,
