@@ -686,10 +686,7 @@ def q_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _price_files(spark, sf_dir)
     out, ckpt = scratch_path(spark, "latest"), scratch_path(spark, "latest-ckpt")
     st = _stream(spark, src, _PRICE_WIRE).withColumn("_t", fn.parse_ts("timestamp"))
-    latest = (st.groupBy("symbol")
-              .agg(F.max_by(F.struct(*[F.col(c) for c in _PRICE_WIRE.fieldNames()]),
-                            F.struct("_t", "seq")).alias("_row"))
-              .select("_row.*"))
+    latest = snapshots.live_latest_all(st, "symbol", ["_t", "seq"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(snapshots.version_path(out, batch_id))

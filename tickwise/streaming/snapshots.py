@@ -120,10 +120,12 @@ def news_snapshot_writer(root: str, k: int = NEWS_SNAPSHOT_SIZE, keep: int | Non
     return run
 
 
-def live_latest_all(stream: DataFrame, key: str = "symbol", arrival: Sequence[str] = ("_file_mtime", "_file")) -> DataFrame:
-    """T3 (scope="all"): stateful latest row per key over the whole stream (complete mode)."""
+def live_latest_all(stream: DataFrame, key: str = "symbol",
+                    order: Sequence[str] = ("_file_mtime", "_file")) -> DataFrame:
+    """T3 (scope="all"): stateful latest row per key over the whole stream (complete mode);
+    ``order`` decides "latest" (arrival by default, or event time plus a tie-break)."""
     cols = [c for c in stream.columns if not c.startswith("_")]
-    arr = [a for a in arrival if a in stream.columns]
+    arr = [a for a in order if a in stream.columns]
     g = stream.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
                                          F.struct(*[F.col(a) for a in arr])).alias("_row"))
     return g.select(*[F.col(f"_row.{c}").alias(c) for c in cols])
