@@ -35,6 +35,9 @@ def build_session(master: str | None = None, app: str = "tickwise",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     apply_runtime_conf(spark)
+    for k, v in (extra or {}).items():  # explicit settings of the caller win
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
     return spark
 
 
