@@ -102,3 +102,14 @@ def test_forecast_job_outputs_and_small_run_keeps_previous(spark, tmp_path):
     tiny = build_forecast(spark, prices.limit(19), models=["LinearRegression"])   # P5: < 20 rows
     assert tiny.count() == 0 and not write_forecast_outputs(spark, tiny, out)
     assert json.loads(spark.read.text(f"{out}/forecast").first()[0]) == doc    # R17: old file kept
+
+
+def test_one_feature_closed_form_equals_general_solve(spark):
+    rows = [("A", float(i), 2.0 + 0.5 * i + (i % 3) * 0.1) for i in range(40)]
+    rows += [("C", 7.0, float(i)) for i in range(10)]          # constant feature: slope 0
+    df = spark.createDataFrame(rows, "k string, x double, y double")
+    closed = {r.k: (r.intercept, r.b0) for r in RG.fit_keyed_ols(df, "k", ["x"], "y").collect()}
+    general = {r.k: (r.intercept, r.b0) for r in RG.solve_ols(RG.ols_stats(df, ["k"], ["x"], "y"), ["k"], 1).collect()}
+    for k in ("A", "C"):
+        assert closed[k] == pytest.approx(general[k], rel=1e-9, abs=1e-9)
+    assert closed["C"] == pytest.approx((4.5, 0.0))

@@ -85,9 +85,25 @@ def linear_prediction(features: Sequence[str], prefix: str = "b") -> Column:
     return e
 
 
+def _solve_one(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One feature: slope = cov(x, y) / var(x), intercept = mean(y) - slope * mean(x); a
+    constant feature gets slope 0 (the minimum-norm solution). Pure column expressions."""
+    n = F.col("st_n")
+    mx, my = F.element_at("st_sx", 1) / n, F.col("st_sy") / n
+    vxx = F.element_at("st_sxx", 1) / n - mx * mx
+    cxy = F.element_at("st_sxy", 1) / n - mx * my
+    live = vxx > F.lit(1e-24) * F.greatest(F.lit(1.0), mx * mx)
+    slope = F.when(live, cxy / vxx).otherwise(F.lit(0.0))
+    return stats.select(*keys, (my - slope * mx).alias("intercept"), slope.alias("b0"))
+
+
 def fit_keyed_ols(df: DataFrame, key: str, features: Sequence[str], label: str,
                   by: Sequence[str] = ()) -> DataFrame:
-    return solve_ols(ols_stats(df, [key, *by], features, label), [key, *by], len(features))
+    """Least squares per group; closed form for one feature, a small solve otherwise."""
+    stats = ols_stats(df, [key, *by], features, label)
+    if len(features) == 1:
+        return _solve_one(stats, [key, *by])
+    return solve_ols(stats, [key, *by], len(features))
 
 
 def predict_keyed(df: DataFrame, coefs: DataFrame, key: str, features: Sequence[str],
