@@ -103,10 +103,10 @@ def test_analysis_job_end_to_end(spark, tmp_path):
     api = [{"symbol": "BTC", "coin_id": "bitcoin", "price_usd": 100 + i, "price_idr": 1.0, "change_24h": -i,
             "timestamp": f"2026-05-04T0{i}:00:00+00:00"} for i in range(3)]
     (root / "api").mkdir(parents=True)
-    (root / "api" / "crypto-api_2026-05-04_07-00-00.json").write_text(json.dumps(api))
+    (root / "api" / "prices_2026-05-04_07-00-00.json").write_text(json.dumps(api))
     res = run_analysis(spark, str(root), out)           # no rss directory: empty news (S12)
     assert {r.dataset: r.rows for r in res["counts"].collect()} == {"api": 3, "rss": 0}
-    assert spark.sql("SELECT count(*) FROM crypto_api").first()[0] == 3
+    assert spark.sql("SELECT count(*) FROM price_events").first()[0] == 3
     doc = json.loads(spark.read.text(f"{out}/spark_results").first()[0])
     assert doc["statistik"][0]["rata_rata_usd"] == 101.0 and doc["berita"] == []
     assert len({r.timestamp for r in stamp_poll_time(spark.range(5)).collect()}) == 1

@@ -22,8 +22,8 @@ def normalize_news(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_ts", parse_ts("timestamp"))
 
 
-def register_views(prices: DataFrame, news: DataFrame, api_view: str = "crypto_api",
-                   rss_view: str = "crypto_rss") -> None:
+def register_views(prices: DataFrame, news: DataFrame, api_view: str = "price_events",
+                   rss_view: str = "news_events") -> None:
     """S3: name the two event tables for SQL users."""
     prices.createOrReplaceTempView(api_view)
     news.createOrReplaceTempView(rss_view)

@@ -658,7 +658,7 @@ def _await(q) -> None:
 
 
 def _stream(spark: SparkSession, path: str, schema: T.StructType):
-    return KF.read_topic(spark, "crypto", schema, fmt="json", path=path, max_files_per_trigger=1)
+    return KF.read_topic(spark, "prices", schema, fmt="json", path=path, max_files_per_trigger=1)
 
 
 @register("stream_landing", ORACLES["price_stats"])
