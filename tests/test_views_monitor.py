@@ -92,3 +92,17 @@ def test_served_data_merges_documents(spark):
     assert d["news"] == [{"article_id": "id1", "title": "t"}]
     empty = json.loads(DOC.served_data(None, live.limit(0), news).first().json)
     assert empty["spark"] == [] and empty["live"] == []
+
+
+def test_freshness_from_output_files(spark, tmp_path):
+    import os
+    import time
+    d = tmp_path / "live_api"
+    d.mkdir()
+    f = d / "part-0.json"
+    f.write_text("{}")
+    old = time.time() - 20 * 60
+    os.utime(f, (old, old))
+    lu = MON.output_last_update(spark, {"live_api": str(d), "live_rss": str(tmp_path / "missing")})
+    got = {r.name: r.status for r in MON.freshness(lu, F.current_timestamp(), expected=["live_api", "live_rss"]).collect()}
+    assert got == {"live_api": "warn", "live_rss": "fail"}

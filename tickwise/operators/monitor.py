@@ -30,6 +30,25 @@ def freshness(last_update: DataFrame, now: Column, expected: Sequence[str] | Non
     return lu.select("name", age.alias("age_min"), status.alias("status"))
 
 
+def output_last_update(spark, outputs: dict) -> DataFrame:
+    """Newest file modification time per named output location (file contents are not read;
+    a missing location gives no row, so :func:`freshness` with ``expected`` reports it 'fail')."""
+    from pyspark.sql.utils import AnalysisException
+    parts = []
+    for name, path in outputs.items():
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        except AnalysisException:
+            continue
+        parts.append(files.select(F.lit(name).alias("name"), F.col("modificationTime").alias("last_ts")))
+    if not parts:
+        return spark.createDataFrame([], "name string, last_ts timestamp")
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("name").agg(F.max("last_ts").alias("last_ts"))
+
+
 def last_update_per(df: DataFrame, name: str, ts: str) -> DataFrame:
     """Newest event time per output/source (partial aggregate)."""
     return df.groupBy(F.col(name).alias("name")).agg(F.max(ts).alias("last_ts"))

@@ -65,7 +65,7 @@ def read_snapshot(spark: SparkSession, root: str, batch_id: int, schema: T.Struc
     prev = latest_version_below(spark, root, batch_id)
     if prev is None:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(prev)
+    return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(prev)
 
 
 # Snapshot versions kept on disk (the newest is the live one).
