@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-CORRUPT = "_corrupt_record"
-
-
 def _arrival_cols(df: DataFrame) -> list[Column]:
     return [F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_modification_time").alias("_file_mtime")]
@@ -30,7 +27,9 @@ def read_array_files(spark: SparkSession, path: str | list[str], schema: T.Struc
     an array of records is used (the inferred-column order of the original reader, but never a
     member of the wrong type). Unparseable files contribute no rows (S13) and are counted in
     ``_bad_file``. Output: record fields + ``_file``, ``_file_mtime``, ``_pos`` (0-based
-    position inside the file) for arrival ordering.
+    position inside the file) for arrival ordering. Like a multi-line JSON reader, a file is
+    one task; files are landed per flush, so each is small (a single document must stay
+    below the 2 GB text limit).
     """
     paths = [path] if isinstance(path, str) else list(path)
     raw = (spark.read.option("wholetext", True).text(paths)
