@@ -617,6 +617,13 @@ def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forecast_rows(build_forecast(spark, price_events(spark, sf_dir)))
 
 
+@register("ml_forecast_rf")
+def q_ml_forecast_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4 + M6-M12: random forest (100 trees, depth 6, seed 42) per key through the Spark ML
+    pipeline, validated, refit on all rows and forecast 10 steps."""
+    return _forecast_rows(build_forecast(spark, price_events(spark, sf_dir), models=["RandomForest"]))
+
+
 @register("forecast_document")
 def q_forecast_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 + J5 + V8: ``{symbol: {history, forecast, model}}`` document of the keyed model,
@@ -887,6 +894,7 @@ COVERS = {
     "combined_document": "S10 J4 V7 R10",
     "ml_forecast_lr": "M1 M2 M3 M6 M7 M8 M9 M12 P3 P4 P5 P6 P7",
     "ml_forecast": "M1 M2 M3 M4 M5 M6 M7 M8 M9 M10 M11 M12",
+    "ml_forecast_rf": "M1 M2 M4 M6 M7 M8 M9 M12",
     "forecast_document": "S11 J5 V8",
     "stream_landing": "S5 S7 S8 T1 T2 T8 P11",
     "stream_latest": "T3 R14",
