@@ -23,11 +23,13 @@ def _empty(spark: SparkSession) -> DataFrame:
 def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str] = tuple(ML.MODEL_ORDER),
                    keys: Sequence[str] | None = None, horizon: int = FC.HORIZON, width: float | None = None,
                    leak_free: bool = False, consistent: bool = False, parallelism: int | None = None,
-                   materialize_features: bool = True) -> DataFrame:
+                   materialize_features: bool = True, max_tree_keys: int = ML.MAX_TREE_KEYS) -> DataFrame:
     """Per symbol: history (last 50 points), forecast (``horizon`` points) and the winning
     model (name, R^2, MAE). ``prices`` are normalized price events (symbol, price_usd,
     event_ts, seq). ``keys`` is the optional allow-list (P4); per-key work is keyed, the
-    original's per-key filter (P3) survives only as the row filter of each per-key tree fit."""
+    original's per-key filter (P3) survives only as the row filter of each per-key tree fit.
+    Tree models are fitted per key; more than ``max_tree_keys`` keys is refused with an error
+    (no key is silently left out) -- the linear model has no such bound."""
     # concurrent per-key fits; each is a long chain of small jobs (GBT: ~7 per iteration), so
     # more threads mostly contend for the driver's scheduler
     parallelism = parallelism or 4
@@ -50,8 +52,9 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
     trees = [m for m in models if m != "LinearRegression"]
     fitted_keys: list = []
     if trees:
-        fitted_keys = [r[0] for r in sp.select("symbol").distinct().limit(ML.MAX_TREE_KEYS + 1).collect()]
-        tm, _ = ML.evaluate_per_key(spark, sp, fitted_keys, trees, parallelism=parallelism)
+        fitted_keys = [r[0] for r in sp.select("symbol").distinct().limit(max_tree_keys + 1).collect()]
+        tm, _ = ML.evaluate_per_key(spark, sp, fitted_keys, trees, parallelism=parallelism,
+                                    max_keys=max_tree_keys)
         metrics.append(tm)
     allm = metrics[0]
     for m in metrics[1:]:
