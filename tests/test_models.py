@@ -113,3 +113,8 @@ def test_one_feature_closed_form_equals_general_solve(spark):
     for k in ("A", "C"):
         assert closed[k] == pytest.approx(general[k], rel=1e-9, abs=1e-9)
     assert closed["C"] == pytest.approx((4.5, 0.0))
+
+
+def test_tree_fits_refuse_more_keys_than_allowed(spark, feats):
+    with pytest.raises(ValueError, match="max_keys"):
+        ML.evaluate_per_key(spark, feats, ["A", "B"], ["RandomForest"], max_keys=1)
