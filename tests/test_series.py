@@ -86,3 +86,16 @@ def test_bursty_hot_key_chunks_stay_bounded(spark):
     sizes = base.groupBy("symbol", F.floor(F.col("ts") / width)).count().agg(F.max("count")).first()[0]
     assert sizes <= 1000        # the burst hour is split; a key-average plan would give ~2700
     assert _feat_map(S.series_features(base, width=width)) == _feat_map(S.series_features_whole_key(base))
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=6, deadline=None)
+@given(sizes=st.lists(st.integers(min_value=1, max_value=120), min_size=1, max_size=4),
+       width=st.sampled_from([1.0, 45.0, 700.0, 86400.0]),
+       seed=st.integers(min_value=0, max_value=10_000))
+def test_property_chunked_equals_whole_key(spark, sizes, width, seed):
+    base = _series(spark, {f"K{i}": n for i, n in enumerate(sizes)}, seed=seed)
+    assert _feat_map(S.series_features(base, width=width)) == _feat_map(S.series_features_whole_key(base))

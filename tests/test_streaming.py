@@ -153,3 +153,15 @@ def test_two_topic_pipeline(spark, tmp_path):
     assert spark.read.parquet(f"{root}/api").count() == 1 and spark.read.parquet(f"{root}/rss").count() == 1
     assert spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_rss", 99)).first().article_id == "x"
     assert spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_api", 99)).first().symbol == "BTC"
+
+
+def test_dedup_stream_with_watermark_bounds_state(spark, tmp_path):
+    src, out, ck = tmp_path / "w", str(tmp_path / "wo"), str(tmp_path / "wck")
+    _write_lines(src, [{"article_id": "x", "ts": "2026-05-04T07:00:00"}, {"article_id": "x", "ts": "2026-05-04T07:00:30"},
+                       {"article_id": "y", "ts": "2026-05-04T07:01:00"}], "1.json")
+    st = (spark.readStream.schema("article_id string, ts string").json(str(src))
+          .withColumn("ts", F.to_timestamp("ts")))
+    q = (snapshots.dedup_stream(st, "article_id", watermark=("ts", "10 minutes")).writeStream.format("parquet")
+         .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
+    q.awaitTermination(120)
+    assert sorted(r.article_id for r in spark.read.parquet(out).collect()) == ["x", "y"]
