@@ -165,3 +165,22 @@ def test_dedup_stream_with_watermark_bounds_state(spark, tmp_path):
          .option("checkpointLocation", ck).trigger(availableNow=True).start(out))
     q.awaitTermination(120)
     assert sorted(r.article_id for r in spark.read.parquet(out).collect()) == ["x", "y"]
+
+
+def test_cli_land_analysis_forecast(spark, tmp_path):
+    from tickwise import cli
+    src = tmp_path / "api_src"
+    rows = [{"symbol": "BTC", "coin_id": "bitcoin", "price_usd": 100.0 + (i % 5) + i * 0.1, "price_idr": 1.0,
+             "change_24h": 0.1, "timestamp": f"2026-05-04T{i // 60:02d}:{i % 60:02d}:00+00:00"} for i in range(60)]
+    _write_lines(src, rows, "1.json")
+    rss_src = tmp_path / "rss_src"
+    _write_lines(rss_src, [{"article_id": "x", "title": "t", "link": "l", "summary": "", "published": "",
+                            "source": "s", "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
+    root, out = str(tmp_path / "lake"), str(tmp_path / "out")
+    assert cli.main(["land", "--api-src", str(src), "--rss-src", str(rss_src), "--root", root,
+                     "--trigger", "availableNow"], spark=spark) == 0
+    assert cli.main(["analysis", "--landing", root, "--out", out], spark=spark) == 0
+    assert cli.main(["forecast", "--landing", root, "--out", out, "--models", "LinearRegression"], spark=spark) == 0
+    doc = json.loads(spark.read.text(f"{out}/forecast").first()[0])
+    assert len(doc["BTC"]["forecast"]) == 10
+    assert json.loads(spark.read.text(f"{out}/spark_results").first()[0])["statistik"][0]["jumlah_data"] == 60
