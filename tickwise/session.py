@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+LOCAL_SCRATCH = "spark.tickwise.localScratch"
+
 # Settings every job relies on: UTC hour-of-day semantics (R1), ANSI on with try_* guards (R9),
 # adaptive execution for partition coalescing and skew splitting.
 BASE_CONF = {
@@ -17,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # each statement's shuffle files go when it ends; lineage is cut by written tables, not by shuffles
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -49,23 +52,23 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and scratch tables.
-
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    fresh local folder is created and registered.
-    """
+    """Shared folder for scratch tables: the cluster's ``spark.checkpoint.dir`` (or the checkpoint
+    folder set on the context). Only a session with a ``local`` master may go without; it gets a
+    folder of its own, remembered in the session. On a cluster, executors and driver would each
+    write to their own disks, so a missing setting is an error there."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or spark.conf.get(LOCAL_SCRATCH, None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tickwise-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="tickwise-scratch-")
+        spark.conf.set(LOCAL_SCRATCH, root)
     return root
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(spark: SparkSession, df, name: str):
@@ -73,4 +76,14 @@ def materialize(spark: SparkSession, df, name: str):
     it back. Survives executor loss (unlike local checkpoints) and is reused by later jobs."""
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, df) -> None:
+    """Delete the files of a table that ``materialize`` wrote and that no plan reads any more."""
+    jvm, root = spark.sparkContext._jvm, checkpoint_root(spark).rstrip("/")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if root.split(":", 1)[-1].lstrip("/") not in folder:
+            raise ValueError(f"{folder} is not a scratch table")
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
