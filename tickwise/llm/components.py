@@ -10,20 +10,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.llm.joins import lookup
 from tickwise.session import materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-    return both.join(least, F.col("u") == F.col("k")).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return lookup(both, least, ["u"]).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), "m")
-    moved = down.join(least, F.col("u") == F.col("k")).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select(F.col("k").alias("u"), F.col("m").alias("v"))).distinct()
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = lookup(down, least, ["u"]).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickwise.llm.joins import lookup
+
 LINES = 3
 SPACE = " \t\n\x0b\x0c\r"
 _EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
@@ -47,7 +49,7 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     w = windows(docs)
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "text_hash", F.col("at")[0].alias("pos"))
     repeated = w.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).filter("n > 1").drop("n")
-    later = w.join(repeated, ["h1", "h2"]).filter(
+    later = lookup(w, repeated, ["h1", "h2"]).filter(
         ~(F.col("doc_id").eqNullSafe(F.when(~F.col("first.none"), F.col("first.doc"))) & (F.col("text_hash") == F.col("first.text_hash")) & (F.col("at")[0] == F.col("first.pos"))))
     return later.groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_set("at"))).alias("covered"))
 

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.components import components
+from tickwise.llm.joins import lookup
 from tickwise.llm.text import column_bytes, lower_ascii, mix64, row_chunks, row_shingles, word_hashes
 from tickwise.session import materialize
 
@@ -228,7 +229,7 @@ def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | Non
 def _blocks(members: DataFrame) -> DataFrame:
     """(d, n, cluster) dealt into blocks: adds block (string) and home."""
     count = members.groupBy("cluster").agg(F.count("*").alias("_m"))
-    rows = members.join(count.withColumnRenamed("cluster", "_c"), F.col("cluster") == F.col("_c")).drop("_c")
+    rows = lookup(members, count, ["cluster"])
     small = rows.filter(F.col("_m") <= BLOCK).select("d", "n", "cluster", F.concat_ws("/", "cluster").alias("block"), F.lit(True).alias("home"))
     large = rows.filter(F.col("_m") > BLOCK)
     # a class and, as visitors, the class below it
@@ -236,8 +237,8 @@ def _blocks(members: DataFrame) -> DataFrame:
     dealt = large.withColumn("_class", F.explode(F.array(size_class, size_class + 1))).withColumn("home", F.col("_class") == size_class)
     # a visitor may be linked only if sizes allow: the ratio is checked again in the block
     per = dealt.groupBy("cluster", "_class").agg(F.count("*").alias("_n"))
-    per = per.select(F.col("cluster").alias("_c"), F.col("_class").alias("_k"), F.ceil(F.col("_n") / (BLOCK // 2)).cast("int").alias("chunks"))
-    dealt = dealt.join(per, (F.col("cluster") == F.col("_c")) & (F.col("_class") == F.col("_k")))
+    per = per.select("cluster", "_class", F.ceil(F.col("_n") / (BLOCK // 2)).cast("int").alias("chunks"))
+    dealt = lookup(dealt, per, ["cluster", "_class"])
     own = F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(own, j).alias("a"), F.greatest(own, j).alias("b")))
     dealt = dealt.withColumn("_pair", F.explode(pairs))
@@ -300,7 +301,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "text_hash", "n", F.coalesce("_l", "d").alias("label"))
     rows = materialize(spark, rows, "ngram-labels")
     least = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = rows.join(least, "label").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
+    out = lookup(rows, least, ["label"]).select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
     alone = keyed.filter("d is null").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone)
 

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.llm.joins import lookup
 from tickwise.llm.text import column_bytes, gram_hashes, mix64, row_chunks, word_hashes
 from tickwise.session import materialize
 
@@ -193,8 +194,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     hits = materialize(spark, places.join(shared, "gram").groupBy("rid", "doc_id").agg(F.collect_list("at").alias("ats")), "suffix-hits")
     suffixes = materialize(spark, _suffixes(docs, hits.filter(F.size("ats") > 0)), "suffixes")
     found = materialize(spark, _matches(suffixes, "after", "before").unionByName(_matches(suffixes, "before", "after")).distinct(), "suffix-matches")
-    first = found.groupBy("key").agg(F.min(F.struct("doc_id", "rid")).alias("f")).select(F.col("key").alias("_k"), F.col("f.rid").alias("_first"))
-    spans = found.join(first, F.col("key") == F.col("_k")).select("rid", F.struct((F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + GRAM + F.col("r")).alias("b"), (F.col("rid") != F.col("_first")).alias("later")).alias("s"))
+    first = found.groupBy("key").agg(F.min(F.struct("doc_id", "rid")).alias("f")).select("key", F.col("f.rid").alias("_first"))
+    spans = lookup(found, first, ["key"]).select("rid", F.struct((F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + GRAM + F.col("r")).alias("b"), (F.col("rid") != F.col("_first")).alias("later")).alias("s"))
     spans = materialize(spark, spans.groupBy(F.col("rid").alias("_rid")).agg(F.collect_set("s").alias("spans")), "suffix-spans")
 
     def run(batches):
