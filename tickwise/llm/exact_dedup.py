@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickwise.llm.joins import lookup
+
 # A chunk ends after a letter pair of these classes (about one place in 300 of prose), not before
 # MIN_CHUNK code points and at the latest after MAX_CHUNK.
 MIN_CHUNK = 512
@@ -57,7 +59,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     pieces = chunked(docs, doc_id, text)
     ids = verified_chunks(pieces)
     # a digest is looked up by its occurrences; the join splits the partitions of frequent chunks
-    named = pieces.select("doc_id", "n_chars", "sha", "pos", "digest").join(ids, "digest")
+    named = lookup(pieces.select("doc_id", "n_chars", "sha", "pos", "digest"), ids, ["digest"])
     rows = named.groupBy("doc_id", "n_chars", "sha").agg(
         F.sort_array(F.collect_set(F.struct("pos", "chunk_id"))).alias("parts"),
         F.sum((F.col("pos") == 0).cast("long")).alias("copies"))
@@ -65,7 +67,7 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     best = F.struct(F.col("n_chars").alias("a"), F.coalesce(-F.col("doc_id"), F.lit(-(1 << 63))).alias("b"))
     groups = rows.groupBy("recipe").agg(F.max(best).alias("best"), F.sum("copies").alias("group_size"))
     groups = groups.select("recipe", F.when(F.col("best.b") > -(1 << 63), -F.col("best.b")).alias("keep_id"), F.col("best.a").alias("keep_chars"), "group_size")
-    out = rows.join(groups, "recipe")
+    out = lookup(rows, groups, ["recipe"])
     out = out.select("doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"),
                      (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_chars") == F.col("keep_chars"))).alias("kept"),
                      F.lower(F.hex("sha")).alias("text_sha256"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"))
