@@ -90,7 +90,8 @@ def with_next(docs: DataFrame, order: str = "doc_id", partitions: int | None = N
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     least = -(1 << 63)
     ids = docs.select(F.coalesce(F.col(order).cast("long"), F.lit(least)).alias("id"))
-    cuts = [i / n for i in range(1, n)] or [0.5]
+    ranges = 8 * n    # several to a task, so that tasks come out even
+    cuts = [i / ranges for i in range(1, ranges)]
     bounds = ids.agg(F.percentile_approx("id", cuts, 10_000).alias("b")).first()["b"]
     edges = np.unique(np.array(bounds or [], dtype=np.int64))
 
