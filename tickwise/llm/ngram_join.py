@@ -282,8 +282,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     clusters = components(edges)
     # one row per candidate set; its n-grams are read again from the text that names it
     named = keyed.select("doc_id", "text_hash", "n", "d").filter("d is not null")
-    members = named.join(clusters, F.col("d") == F.col("node")).groupBy("d", "n", F.col("component").alias("cluster")).agg(
-        F.min(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text_hash")).alias("m"))
+    one = named.groupBy("d", "n").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text_hash")).alias("m"))
+    members = one.join(clusters, F.col("d") == F.col("node")).withColumnRenamed("component", "cluster")
     members = materialize(spark, members.select("d", "n", "cluster", "m.doc_id", "m.text_hash"), "ngram-members")
 
     def read_sets(batches):
@@ -297,7 +297,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     sets = texts.select("d", "text").mapInArrow(read_sets, "d long, grams binary").dropDuplicates(["d"])
     links = materialize(spark, _join_blocks(sets, members.select("d", "n", "cluster")), "ngram-links")
     linked = components(links)
-    rows = named.join(linked.withColumnRenamed("component", "_l"), F.col("d") == F.col("node"), "left")
+    rows = lookup(named, linked.select(F.col("node").alias("d"), F.col("component").alias("_l")), ["d"], "left")
     rows = rows.select("doc_id", "text_hash", "n", F.coalesce("_l", "d").alias("label"))
     rows = materialize(spark, rows, "ngram-labels")
     least = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
