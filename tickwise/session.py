@@ -18,6 +18,10 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a join that needs few rows of a large scan filters the scan by a Bloom filter (8 MB at most)
+    # of the small side's keys before the exchange
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "16MB",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     # each statement's shuffle files go when it ends; lineage is cut by written tables, not by shuffles
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.ui.enabled": "false",
