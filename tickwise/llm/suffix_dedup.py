@@ -20,13 +20,15 @@ is ``removed`` unless its passage's first document (smallest doc_id) is the docu
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.joins import lookup
-from tickwise.llm.text import column_bytes, gram_hashes, mix64, row_chunks, word_hashes
+from tickwise.llm.text import column_bytes, gram_hashes, row_chunks, word_hashes
 from tickwise.session import materialize
 
 MIN_WORDS = 50
@@ -104,21 +106,15 @@ _MATCH = "edge boolean, " + _SUFFIX + ", l int, r int, key long"
 
 def _common(a: bytes, b: bytes) -> int:
     """Equal leading 4-byte words."""
-    if a == b:
-        return len(a) // 4
-    n = min(len(a), len(b)) // 4
-    x = np.frombuffer(a, np.uint32, n) != np.frombuffer(b, np.uint32, n)
-    return int(x.argmax()) if x.any() else n
+    n = min(len(a), len(b))
+    differ = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
+    return (n - (differ.bit_length() + 7) // 8) // 4
 
 
-def _window_key(gram: bytes, before: bytes, after: bytes, l: int, r: int) -> int:
+def _window_key(gram: bytes, before: bytes, after: bytes, l: int) -> int:
     """Name of the passage's MIN_WORDS words that lie furthest left around the gram."""
-    l = min(l, REACH)
-    words = np.frombuffer(before[:4 * l] + after[:4 * (REACH - l)], ">u4").astype(np.uint64)
-    h = mix64(np.frombuffer(gram, ">u8").astype(np.uint64) + np.uint64(l))
-    for w in words:
-        h = mix64(h * np.uint64(31) + w)
-    return int(h.view(np.int64)[0])
+    words = hashlib.blake2b(gram + before[:4 * l] + after[:4 * (REACH - l)], digest_size=8, salt=bytes([l]))
+    return int.from_bytes(words.digest(), signed=True)
 
 
 def _neighbours(batches):
@@ -131,7 +127,7 @@ def _neighbours(batches):
         l, r = _common(x[1], y[1]), _common(x[2], y[2])
         if l + GRAM + r >= MIN_WORDS:
             for z in (x, y):
-                out.append((False, *z, l, r, _window_key(z[0], z[1], z[2], l, r)))
+                out.append((False, *z, l, r, _window_key(z[0], z[1], z[2], l)))
 
     def emit():
         names = [f.split()[0] for f in _MATCH.split(", ")]
