@@ -18,6 +18,7 @@ its own; repeated rows are packed each; an empty table gives no pieces.
 from __future__ import annotations
 
 import base64
+import functools
 import re
 import zlib
 
@@ -53,12 +54,16 @@ def encoder(paths: tuple[str, str]):
         with open(paths[0], "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        slow = Tokenizer.from_file(paths[1])
-        slow.encode_special_tokens = True
+
+        @functools.cache
+        def slow() -> Tokenizer:
+            tokenizer = Tokenizer.from_file(paths[1])
+            tokenizer.encode_special_tokens = True
+            return tokenizer
 
         def encode(text: str) -> np.ndarray:
             if _LONG_GAP.search(text):
-                return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint16)
+                return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint16)
             return np.array(fast.encode_ordinary(text), np.uint16)
 
         _ENCODERS[paths] = encode

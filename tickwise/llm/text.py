@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _SEP = np.zeros(256, bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
