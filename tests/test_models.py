@@ -41,7 +41,6 @@ def test_keyed_ols_matches_spark_ml_linear_regression(spark, feats):
 
 
 def test_recursive_forecast_matches_python_loop(spark, feats):
-    from tools.loop_baseline import roll_forward
     coefs = RG.fit_keyed_ols(feats, "symbol", FEATURE_COLS, "pct_change")
     ctx = FC.context(feats)
     got = {(r.symbol, r.step): r for r in FC.forecast_linear(ctx, coefs).collect()}
@@ -49,7 +48,14 @@ def test_recursive_forecast_matches_python_loop(spark, feats):
     for c in ctx.collect():
         b = cmap[c.symbol]
         model = lambda x, b=b: b[0] + sum(w * v for w, v in zip(b[1:], x))
-        for step, price, pct in roll_forward(c.prices, c.pcts, model, 10):
+        prices, pcts = list(c.prices), list(c.pcts)
+        for step in range(1, 11):  # each step from a one-row frame of the state so far
+            state = spark.createDataFrame([(prices, pcts)], "prices array<double>, pcts array<double>")
+            x = state.select(*[f.alias(n) for n, f in FC.step_features(F.col("prices"), F.col("pcts")).items()]).first()
+            pct = model([x[n] for n in FEATURE_COLS])
+            price = round(prices[-1] * (1 + pct / 100), 2)
+            prices.append(price)
+            pcts.append(pct)
             g = got[(c.symbol, step)]
             assert g.ts == c.last_ts + c.interval_s * step
             assert g.price == pytest.approx(price, abs=0.011) and g.pct == pytest.approx(pct, rel=1e-9)

@@ -781,7 +781,7 @@ def q_json_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one array document per file: group rows of a file-sized bucket into one JSON text row
     bucket = F.floor(F.monotonically_increasing_id() / F.lit(_STREAM_FILE_ROWS))
     (ev.groupBy(bucket.alias("_b")).agg(F.to_json(F.collect_list(F.struct(*ev.columns))).alias("value"))
-     .select("value").repartition(8).write.text(f"{src}/api"))
+     .select("value").write.option("maxRecordsPerFile", 1).text(f"{src}/api"))
     out = scratch_path(spark, "analysis-out")
     run_analysis(spark, src, out, layout="array")
     return spark.read.schema(STATS).json(f"{out}/statistik")

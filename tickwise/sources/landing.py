@@ -18,6 +18,26 @@ def _arrival_cols(df: DataFrame) -> list[Column]:
             F.col("_metadata.file_modification_time").alias("_file_mtime")]
 
 
+def _documents(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    """One row per file: ``_file``, ``_file_mtime`` and ``_recs``, the record list its document
+    holds (null when there is none)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    # wholetext is an argument: text() would override the option with its own default
+    raw = spark.read.text(paths, wholetext=True).select(F.col("value").alias("doc"), *_arrival_cols(None))
+    arr_t = T.ArrayType(schema)
+    trimmed = F.regexp_replace(F.col("doc"), r"^\s+", "")
+    as_array = F.from_json(F.col("doc"), arr_t)
+    members = F.from_json(F.col("doc"), T.MapType(T.StringType(), T.StringType()))
+    # first member (by name) whose value parses as an array of records
+    wrapped = F.filter(
+        F.transform(F.array_sort(F.map_keys(members)),
+                    lambda k: F.from_json(F.element_at(members, k), arr_t)),
+        lambda a: a.isNotNull())
+    records = (F.when(F.startswith(trimmed, F.lit("[")), as_array)
+               .when(F.startswith(trimmed, F.lit("{")), F.get(wrapped, F.lit(0))))
+    return raw.select("_file", "_file_mtime", records.alias("_recs"))
+
+
 def read_array_files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """S1 + S2 for ``array`` files: one document per file, exploded to records (F8: explode,
     then the record struct's fields).
@@ -25,40 +45,21 @@ def read_array_files(spark: SparkSession, path: str | list[str], schema: T.Struc
     Each file is read whole (as a multi-line JSON reader does); the document is an array of
     records or an object wrapping one. For a wrapper, the first member by name that parses as
     an array of records is used (the inferred-column order of the original reader, but never a
-    member of the wrong type). Unparseable files contribute no rows (S13) and are counted in
-    ``_bad_file``. Output: record fields + ``_file``, ``_file_mtime``, ``_pos`` (0-based
+    member of the wrong type). Unparseable files contribute no rows (S13) and are listed by
+    ``bad_files``. Output: record fields + ``_file``, ``_file_mtime``, ``_pos`` (0-based
     position inside the file) for arrival ordering. Like a multi-line JSON reader, a file is
     one task; files are landed per flush, so each is small (a single document must stay
     below the 2 GB text limit).
     """
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = (spark.read.option("wholetext", True).text(paths)
-           .select(F.col("value").alias("doc"), *_arrival_cols(None)))
-    arr_t = T.ArrayType(schema)
-    trimmed = F.ltrim(F.col("doc"))
-    as_array = F.from_json(F.col("doc"), arr_t)
-    members = F.from_json(F.col("doc"), T.MapType(T.StringType(), T.StringType()))
-    # first member (by name) whose value parses as an array of records
-    wrapped = F.filter(
-        F.transform(F.array_sort(F.map_keys(members)),
-                    lambda k: F.from_json(F.element_at(members, k), arr_t)),
-        lambda a: a.isNotNull())
-    records = (F.when(F.startswith(trimmed, F.lit("[")), as_array)
-               .when(F.startswith(trimmed, F.lit("{")), F.element_at(wrapped, 1)))
-    parsed = raw.select("_file", "_file_mtime", records.alias("_recs"))
+    parsed = _documents(spark, path, schema)
     return (parsed.select("_file", "_file_mtime", F.posexplode("_recs").alias("_pos", "_r"))
             .select(*[F.col("_r").getField(f.name).alias(f.name) for f in schema.fields],
                     "_file", "_file_mtime", "_pos"))
 
 
 def bad_files(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Files of the ``array`` layout that hold no parseable record list (S13 report)."""
-    paths = [path] if isinstance(path, str) else list(path)
-    raw = spark.read.option("wholetext", True).text(paths).select(
-        "value", F.col("_metadata.file_path").alias("_file"))
-    ok = F.from_json("value", T.ArrayType(schema)).isNotNull() | F.from_json(
-        "value", T.MapType(T.StringType(), T.ArrayType(schema))).isNotNull()
-    return raw.where(~F.coalesce(ok, F.lit(False))).select("_file")
+    """Files of the ``array`` layout that ``read_array_files`` gets no record list from."""
+    return _documents(spark, path, schema).where(F.col("_recs").isNull()).select("_file")
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
