@@ -3,7 +3,7 @@
 Each topic is its own streaming query with its own checkpoint (T2/S8); the sink is Spark's
 file sink, which commits every micro-batch exactly once through the checkpoint (T8, R13), so
 a restart never loses or duplicates a batch. Empty micro-batches write no files (P11). The
-landing table is partitioned by event date, so batch jobs prune by date.
+landing table is partitioned by event date; readers that filter on it prune folders.
 """
 
 from __future__ import annotations
