@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import LONG, rows
+from cases import LONG, empty, messy, rows  # noqa: F401
 from tickwise.llm import exact_dedup, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup
 from tickwise.llm.components import components
 from tickwise.llm.text import row_shingles, strings_bytes, word_hashes

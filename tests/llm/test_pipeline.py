@@ -1,6 +1,7 @@
 """The pipeline's stages against plain versions, each on its own input, and the registry."""
 
 import brute
+from cases import empty, messy  # noqa: F401
 import corpus_pipeline as P
 import __spark_entry__ as E
 
