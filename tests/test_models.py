@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +122,32 @@ def test_one_feature_closed_form_equals_general_solve(spark):
     assert closed["C"] == pytest.approx((4.5, 0.0))
 
 
-def test_tree_fits_refuse_more_keys_than_allowed(spark, feats):
-    with pytest.raises(ValueError, match="max_keys"):
-        ML.evaluate_per_key(spark, feats, ["A", "B"], ["RandomForest"], max_keys=1)
+def test_waves_cover_every_item_once(spark):
+    from tickwise.plans.forecast_job import _waves
+    step = lambda xs: spark.createDataFrame([(x,) for x in xs], "x long")
+    assert sorted(r.x for r in _waves(spark, iter(range(7)), 3, "waves", step).collect()) == list(range(7))
+    assert _waves(spark, iter(()), 3, "waves", step).count() == 0
+    assert _waves(spark, iter(()), 3, "waves", lambda xs: None) is None
+
+
+@pytest.mark.parametrize("noise", [1e-2, 1e-5, 1e-7])
+def test_least_squares_keeps_its_digits_around_a_large_mean(spark, noise):
+    rng = random.Random(5)
+    rows = []
+    for _ in range(4000):
+        a, b = rng.gauss(0, 1), rng.gauss(0, 1)
+        rows.append(("A", 1 + noise * a, 1 + noise * b, 0.25 * a - 0.5 * b + rng.gauss(0, 0.1)))
+    df = spark.createDataFrame(rows, "k string, x double, z double, y double").repartition(4)
+    got = RG.fit_keyed_ols(df, "k", ["x", "z"], "y").first()
+    x = np.array([[r[1] - 1, r[2] - 1] for r in rows])
+    y = np.array([r[3] for r in rows])
+    want, *_ = np.linalg.lstsq(np.column_stack([(x - x.mean(0)) / noise]), y - y.mean(), rcond=None)
+    assert [got.b0 * noise, got.b1 * noise] == pytest.approx(list(want), rel=1e-6)
+    pred = RG.regression_metrics(df.withColumn("prediction", F.lit(1.0)), ["k"], "x").first()
+    assert math.isfinite(pred.r2)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    from tickwise.operators.lookup import fits_broadcast
+    df = spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("t"))
+    assert fits_broadcast(df, 20_000) and not fits_broadcast(df, 5_000) and fits_broadcast(df.limit(0), 1_000)

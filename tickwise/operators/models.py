@@ -3,8 +3,9 @@
 Linear regression runs keyed for every key at once (``regression.py``: sufficient statistics,
 no per-key job). Tree models cannot be trained per key inside one Spark ML job, so each
 (key, model) fit is its own distributed Spark job over that key's rows of a materialized
-feature table; fits are submitted concurrently from a small thread pool. This is bounded by
-the key allow-list (P4) -- ``max_keys`` refuses to start an unbounded number of fits.
+feature table; fits are submitted concurrently from a small thread pool, for a wave of keys at a
+time (``WAVE_KEYS``), and each wave's results are written before the next starts, so the driver
+never holds more than one wave of models.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -29,7 +31,8 @@ LABEL = "pct_change"
 from tickwise.constants import (GBT_DEPTH, GBT_ITER, LR_MAX_ITER, MAE_DIGITS,  # noqa: E402
                                 MODEL_ORDER, R2_DIGITS, RF_DEPTH, RF_TREES, SEED)
 
-MAX_TREE_KEYS = 64
+# Keys whose models the driver holds at once.
+WAVE_KEYS = 64
 # Rows per partition of one key's training input: Spark ML runs several small jobs per tree
 # level and iteration, so a small key should not be spread over many tiny tasks.
 ROWS_PER_FIT_PARTITION = 500_000
@@ -81,19 +84,15 @@ def _fit_eval(split: DataFrame, key: str, value, name: str, order: int, label: s
         fitted = make_pipeline(name, label).fit(train)
         m = regression_metrics(fitted.transform(val), [key], label).first()
         return (value, name, order, float(m["r2"]), float(m["mae"])), (value, name, fitted)
-    except Exception as e:  # M7: a failing model is reported and skipped
+    except IllegalArgumentException as e:  # M7: a model that its data does not allow is reported and skipped
         print(f"model {name} failed for {key}={value}: {str(e)[:200]}")
         return None, None
 
 
 def evaluate_per_key(spark: SparkSession, split: DataFrame, keys: Sequence, models: Sequence[str],
-                     key: str = "symbol", label: str = LABEL, parallelism: int = 4,
-                     max_keys: int = MAX_TREE_KEYS) -> tuple[DataFrame, dict]:
+                     key: str = "symbol", label: str = LABEL, parallelism: int = 4) -> tuple[DataFrame, dict]:
     """M3-M7 via Spark ML for each (key, model): validation metrics DataFrame
     (key, name, order, r2, mae -- unrounded) and the fitted train models."""
-    if len(keys) > max_keys:
-        raise ValueError(f"{len(keys)} keys exceed max_keys={max_keys} for per-key Spark ML fits; "
-                         "pass an allow-list or use the keyed linear model")
     sizes = key_rows(split, keys, key)
     jobs = [(k, n, MODEL_ORDER.index(n)) for k in keys for n in models]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

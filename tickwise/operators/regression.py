@@ -2,9 +2,9 @@
 
 For regParam 0 the original's linear model (assembler -> standard scaler -> linear
 regression) is the ordinary least-squares fit with intercept; scaling does not change its
-predictions. Per key it needs only additive sums (n, sum x, sum y, sum x x', sum x y, sum y^2),
-which Spark aggregates partially on every map task -- a key holding a third of the rows costs
-one small buffer per task. The p x p solve runs per key on the one-row-per-key summary in a
+predictions. Per key it needs the means, variances and covariances, which Spark aggregates partially
+and merges without cancellation -- a key holding a third of the rows costs one small buffer per
+task, and features that barely move around a large mean keep their digits. The p x p solve runs per key on the one-row-per-key summary in a
 ``mapInPandas`` helper (numpy, no data through the driver).
 """
 
@@ -25,28 +25,24 @@ def _pairs(p: int) -> list[tuple[int, int]]:
 
 
 def ols_stats(df: DataFrame, keys: Sequence[str], features: Sequence[str], label: str) -> DataFrame:
-    """Per-group sums needed for the least-squares fit and for R^2."""
+    """Per-group moments about the means needed for the least-squares fit."""
     x = [F.col(c) for c in features]
     y = F.col(label)
     return df.groupBy(*keys).agg(
         F.count(F.lit(1)).cast("double").alias("st_n"),
-        F.array(*[F.sum(c) for c in x]).alias("st_sx"),
-        F.sum(y).alias("st_sy"),
-        F.array(*[F.sum(x[i] * x[j]) for i, j in _pairs(len(x))]).alias("st_sxx"),
-        F.array(*[F.sum(c * y) for c in x]).alias("st_sxy"),
-        F.sum(y * y).alias("st_syy"))
+        F.array(*[F.avg(c) for c in x]).alias("st_mx"),
+        F.avg(y).alias("st_my"),
+        F.array(*[F.covar_pop(x[i], x[j]) for i, j in _pairs(len(x))]).alias("st_cxx"),
+        F.array(*[F.covar_pop(c, y) for c in x]).alias("st_cxy"))
 
 
-def _solve_row(n, sx, sy, sxx, sxy, p):
+def _solve_row(n, mx, my, cov, cxy, p):
     if n is None or n < 1:
         return [float("nan")] * (p + 1)
-    sx = np.asarray(sx, float)
-    mx, my = sx / n, sy / n
-    m = np.zeros((p, p))
-    for v, (i, j) in zip(sxx, _pairs(p)):
-        m[i, j] = m[j, i] = v
-    cxx = m / n - np.outer(mx, mx)
-    cxy = np.asarray(sxy, float) / n - mx * my
+    mx, cxy = np.asarray(mx, float), np.asarray(cxy, float)
+    cxx = np.zeros((p, p))
+    for v, (i, j) in zip(cov, _pairs(p)):
+        cxx[i, j] = cxx[j, i] = v
     d = np.sqrt(np.clip(np.diag(cxx), 0.0, None))
     live = d > 1e-12 * np.maximum(1.0, np.abs(mx))
     b = np.zeros(p)
@@ -68,7 +64,7 @@ def solve_ols(stats: DataFrame, keys: Sequence[str], p: int) -> DataFrame:
 
     def solve(batches):
         for pdf in batches:
-            rows = [_solve_row(r.st_n, r.st_sx, r.st_sy, r.st_sxx, r.st_sxy, p) for r in pdf.itertuples(index=False)]
+            rows = [_solve_row(r.st_n, r.st_mx, r.st_my, r.st_cxx, r.st_cxy, p) for r in pdf.itertuples(index=False)]
             out = pd.DataFrame(rows, columns=["intercept", *[f"b{i}" for i in range(p)]])
             for k in reversed(keys):
                 out.insert(0, k, pdf[k].values)
@@ -88,10 +84,8 @@ def linear_prediction(features: Sequence[str], prefix: str = "b") -> Column:
 def _solve_one(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One feature: slope = cov(x, y) / var(x), intercept = mean(y) - slope * mean(x); a
     constant feature gets slope 0 (the minimum-norm solution). Pure column expressions."""
-    n = F.col("st_n")
-    mx, my = F.element_at("st_sx", 1) / n, F.col("st_sy") / n
-    vxx = F.element_at("st_sxx", 1) / n - mx * mx
-    cxy = F.element_at("st_sxy", 1) / n - mx * my
+    mx, my = F.element_at("st_mx", 1), F.col("st_my")
+    vxx, cxy = F.element_at("st_cxx", 1), F.element_at("st_cxy", 1)
     live = vxx > F.lit(1e-24) * F.greatest(F.lit(1.0), mx * mx)
     slope = F.when(live, cxy / vxx).otherwise(F.lit(0.0))
     return stats.select(*keys, (my - slope * mx).alias("intercept"), slope.alias("b0"))
@@ -118,8 +112,6 @@ def regression_metrics(pred: DataFrame, keys: Sequence[str], label: str, predict
     """R^2 = 1 - SSE/SST (SST around the evaluated rows' mean) and MAE, per group."""
     y, p = F.col(label), F.col(prediction)
     g = pred.groupBy(*keys).agg(
-        F.sum((y - p) * (y - p)).alias("m_sse"), F.sum(y).alias("m_sy"), F.sum(y * y).alias("m_syy"),
-        F.count(F.lit(1)).alias("m_n"), F.avg(F.abs(y - p)).alias("mae"))
-    sst = F.col("m_syy") - F.col("m_sy") * F.col("m_sy") / F.col("m_n")
-    r2 = F.lit(1.0) - F.try_divide(F.col("m_sse"), sst)
+        F.avg((y - p) * (y - p)).alias("m_mse"), F.var_pop(y).alias("m_var"), F.avg(F.abs(y - p)).alias("mae"))
+    r2 = F.lit(1.0) - F.try_divide(F.col("m_mse"), F.col("m_var"))
     return g.select(*keys, F.coalesce(r2, F.lit(float("nan"))).alias("r2"), "mae")

@@ -640,32 +640,36 @@ from tickwise.session import materialize, scratch_path  # noqa: E402
 from tickwise.streaming import ingest, snapshots  # noqa: E402
 from tickwise.plans.analysis_job import normalize_prices, run_analysis  # noqa: E402
 
-_STREAM_FILE_ROWS = 2000   # rows per source file: several micro-batches at every scale
-_STREAM_TIMEOUT_S = 600
+_STREAM_BATCHES = 4        # micro-batches at every scale; their size grows with the data
+_ARRAY_DOC_ROWS = 2000     # records per landed JSON array document
 _PRICE_WIRE = T.StructType(PRICE_EVENT.fields + [T.StructField("seq", T.LongType())])
 _ISO_WIRE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
 
 
+def _stream_files(spark: SparkSession, df: DataFrame, path: str) -> str:
+    """``df`` as JSON-lines source files, as many as the session has shuffle partitions."""
+    df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).write.json(path)
+    return path
+
+
+def _files_per_batch(spark: SparkSession, path: str) -> int:
+    return -(-len(spark.read.text(path).inputFiles()) // _STREAM_BATCHES)
+
+
 def _price_files(spark: SparkSession, sf_dir: str) -> str:
     """All events as price_event JSON lines (the wire form) in a new shared scratch folder."""
-    path = scratch_path(spark, "price-src")
-    ev = price_events(spark, sf_dir)
-    (ev.select("symbol", "coin_id", "price_usd", "price_idr", "change_24h",
-               F.date_format("event_ts", _ISO_WIRE).alias("timestamp"), "seq")
-     .write.option("maxRecordsPerFile", _STREAM_FILE_ROWS).json(path))
-    return path
+    rows = price_events(spark, sf_dir).select("symbol", "coin_id", "price_usd", "price_idr", "change_24h",
+                                              F.date_format("event_ts", _ISO_WIRE).alias("timestamp"), "seq")
+    return _stream_files(spark, rows, scratch_path(spark, "price-src"))
 
 
 def _await(q) -> None:
-    if not q.awaitTermination(_STREAM_TIMEOUT_S):
-        q.stop()
-        raise TimeoutError(f"stream {q.name} did not finish")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    """Wait until the stream has read all that was there; its failure is raised."""
+    q.awaitTermination()
 
 
 def _stream(spark: SparkSession, path: str, schema: T.StructType):
-    return KF.read_topic(spark, "prices", schema, fmt="json", path=path, max_files_per_trigger=1)
+    return KF.read_topic(spark, "prices", schema, fmt="json", path=path, max_files_per_trigger=_files_per_batch(spark, path))
 
 
 @register("stream_landing", ORACLES["price_stats"])
@@ -711,11 +715,10 @@ SELECT DISTINCT md5(text) AS dedup_key FROM documents
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: stream of documents keyed by text digest, repeated keys dropped with checkpointed
     (restart-safe) state; the appended output holds each key once."""
-    src = scratch_path(spark, "doc-src")
-    (table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("dedup_key"))
-     .write.option("maxRecordsPerFile", _STREAM_FILE_ROWS // 4).json(src))
+    keyed = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("dedup_key"))
+    src = _stream_files(spark, keyed, scratch_path(spark, "doc-src"))
     out, ckpt = scratch_path(spark, "dedup"), scratch_path(spark, "dedup-ckpt")
-    st = spark.readStream.schema("doc_id long, dedup_key string").option("maxFilesPerTrigger", 1).json(src)
+    st = spark.readStream.schema("doc_id long, dedup_key string").option("maxFilesPerTrigger", _files_per_batch(spark, src)).json(src)
     q = (snapshots.dedup_stream(st, "dedup_key").writeStream.format("parquet")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     _await(q)
@@ -726,13 +729,12 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_news_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 + U1 + A5 + O6: live news snapshot kept by ``foreachBatch`` over a news stream
     (pages as feed items): newest batch first, unique ids, 20 kept, versioned writes."""
-    src = scratch_path(spark, "news-src")
     pages = table(spark, sf_dir, "pages")
     items = pages.select(F.col("url").alias("link"), F.col("html").alias("description"),
                          F.nullif(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit("")).alias("title"),
                          F.lit(None).cast("string").alias("pubDate"))
     news = rss.normalize_news(items, F.lit("2024-01-31T00:00:00+00:00"), F.lit("pages"))
-    news.write.option("maxRecordsPerFile", 50).json(src)
+    src = _stream_files(spark, news, scratch_path(spark, "news-src"))
     out, ckpt = scratch_path(spark, "news-snap"), scratch_path(spark, "news-snap-ckpt")
     q = (_stream(spark, src, NEWS_EVENT).writeStream.foreachBatch(snapshots.news_snapshot_writer(out))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -779,7 +781,7 @@ def q_json_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "symbol", "coin_id", "price_usd", "price_idr", "change_24h",
         F.date_format("event_ts", _ISO_WIRE).alias("timestamp"))
     # one array document per file: group rows of a file-sized bucket into one JSON text row
-    bucket = F.floor(F.monotonically_increasing_id() / F.lit(_STREAM_FILE_ROWS))
+    bucket = F.floor(F.monotonically_increasing_id() / F.lit(_ARRAY_DOC_ROWS))
     (ev.groupBy(bucket.alias("_b")).agg(F.to_json(F.collect_list(F.struct(*ev.columns))).alias("value"))
      .select("value").write.option("maxRecordsPerFile", 1).text(f"{src}/api"))
     out = scratch_path(spark, "analysis-out")
