@@ -82,10 +82,39 @@ def test_bursty_hot_key_chunks_stay_bounded(spark):
         rows.append(("COLD", round(rng.uniform(1, 500), 2), float(int(t0 + rng.uniform(0, 30 * 86400))), seq))
     base = spark.createDataFrame(rows, "symbol string, price double, ts double, seq long")
     s = S.Series()
-    width = S.plan_width(base, s, target_rows=500)
-    sizes = base.groupBy("symbol", F.floor(F.col("ts") / width)).count().agg(F.max("count")).first()[0]
+    cut = S.plan_chunks(base, s, target_rows=500)
+    sizes = S._chunked(base, s, cut).groupBy("symbol", S.CHUNK).count().agg(F.max("count")).first()[0]
     assert sizes <= 1000        # the burst hour is split; a key-average plan would give ~2700
-    assert _feat_map(S.series_features(base, width=width)) == _feat_map(S.series_features_whole_key(base))
+    assert _feat_map(S.series_features(base, target_rows=500)) == _feat_map(S.series_features_whole_key(base))
+
+
+@pytest.mark.parametrize("spec,target", [({"HOT": 6000, **{f"K{i}": 3 for i in range(2000)}}, 1000), ({"A": 900, "B": 80}, 300)])
+def test_planned_halo_is_small_and_hot_key_is_cut(spark, spec, target):
+    """Keys that fit one chunk get no halo; a cut key gets at most the look-back per chunk."""
+    base = _series(spark, spec)
+    s = S.Series()
+    cut = S.plan_chunks(base, s, target_rows=target)
+    h = S.with_halo(base, s, cut, S.FEATURE_HALO).groupBy("symbol").agg(
+        F.sum(F.col(S.HALO_FLAG).cast("int")).alias("halo"), F.countDistinct(S.CHUNK).alias("chunks"),
+        F.sum((~F.col(S.HALO_FLAG)).cast("int")).alias("n")).collect()
+    assert sum(r.n for r in h) == sum(spec.values())
+    assert sum(r.halo for r in h) <= 0.05 * sum(spec.values())
+    hot = max(h, key=lambda r: r.n)
+    assert hot.chunks >= hot.n // (2 * target)
+    assert all(r.chunks == 1 and r.halo == 0 for r in h if r is not hot)
+    assert _feat_map(S.series_features(base, target_rows=target)) == _feat_map(S.series_features_whole_key(base))
+
+
+def test_positions_over_planned_chunks(spark):
+    base = _series(spark, {"HOT": 1200, "A": 40})
+    feats = S.feature_table(spark, base, target_rows=200)
+    for k, n in {"HOT": 1195, "A": 35}.items():
+        assert sorted(r.pos for r in feats.where(F.col("symbol") == k).collect()) == list(range(1, n + 1))
+
+
+def test_no_cut_without_a_large_key(spark):
+    assert S.plan_chunks(_series(spark, {"A": 50, "B": 50}), S.Series()) is None
+    assert S.plan_chunks(_series(spark, {"A": 5}).where("symbol = 'x'"), S.Series()) is None
 
 
 from hypothesis import given, settings

@@ -1,36 +1,39 @@
 """Keyed time-series windows that stay balanced under key skew.
 
 The original computes its lag / moving-window features with one window per key ordered by
-time. On a cluster that makes a key holding a third of all rows a single task. Here every
-series is cut into time chunks ``floor(ts / width)`` and windows run per (key, chunk). Each
-chunk is given a *halo*: the last ``halo`` rows of the same key before the chunk starts,
-taken from per-chunk tails (a partial-limited window, so only ``halo`` rows per chunk and map
-task are shuffled). With the halo in place, every bounded look-back (lags up to 5, frames up
-to 14 rows) sees exactly the rows a single whole-key window would see; halo rows are dropped
-after the window. Global row positions inside a key (needed for the chronological split and
-the tails) come from per-chunk counts and a prefix sum over the chunk summary, never from a
-whole-key window.
-
-``width`` is planned from one cheap aggregate so the densest key gets about ``target_rows``
-rows per chunk; tests force small widths to exercise multi-chunk halos.
+time. On a cluster that makes a key holding a third of all rows a single task. Here a key with
+more rows than a task should hold is cut along time into chunks of about so many rows; windows
+run per (key, chunk). Every other key is one chunk. Each chunk of a cut key is given a *halo*:
+the last ``halo`` rows of the key before the chunk starts, taken from per-chunk tails (a
+partial-limited window, so only ``halo`` rows per chunk and map task are shuffled). With the
+halo in place, every bounded look-back (lags up to 5, frames up to 14 rows) sees exactly the
+rows a single whole-key window would see; halo rows are dropped after the window. Global row
+positions inside a key (needed for the chronological split and the tails) come from per-chunk
+counts and a prefix sum over the chunk summary, never from a whole-key window.
+
+The cuts (:func:`plan_chunks`) come from row counts per (key, hour) of the cut keys, so quiet
+hours share a chunk, busy ones are divided, and halo rows are few against a chunk's rows. Tests
+also force one width in seconds on all keys to exercise short chunks.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickwise.functions.scalar import epoch_seconds, pct_change, safe_ratio
+from tickwise.operators.lookup import join_small
+from tickwise.session import materialize
 
 # Rows of look-back the features need: ma14 = 13 preceding rows; the leak-free variant one more.
 FEATURE_HALO = 14
-# Target rows per (key, chunk) task when the width is planned from the data.
+# Rows per (key, chunk) when the cuts are planned from the data; a key with no more is not cut.
 TARGET_CHUNK_ROWS = 1_000_000
-MIN_CHUNK_ROWS = 10_000
-PLAN_BUCKET_S = 3600.0    # burst granularity the width planner looks at
+MIN_CHUNK_ROWS = 100_000
+PLAN_BUCKET_S = 3600.0    # grain of the row counts the cuts are planned from
+PARTS = 1 << 20           # chunk numbers set aside for the divisions of one busy hour
 # P5 / P6 / P7 guards, W9 split, W10 / W11 tails, A9 interval.
 from tickwise.constants import (CONTEXT_POINTS, DEFAULT_INTERVAL, HISTORY_POINTS,  # noqa: E402,F401
                                 INTERVAL_DIFFS, MIN_ROWS_PER_KEY, MIN_ROWS_TOTAL, MIN_VAL_ROWS,
@@ -64,35 +67,55 @@ def base_series(prices: DataFrame, key: str = "symbol", price: str = "price_usd"
     return out.na.drop()
 
 
-def plan_width(df: DataFrame, s: Series, target_rows: int = TARGET_CHUNK_ROWS) -> float:
-    """Chunk width (seconds) so that the densest hour of any key yields about ``target_rows``
-    rows per chunk -- fewer when the data is small, so that there are at least ~3 chunks per
-    core. Planning from the densest (key, hour) rather than a key's average keeps bursty hot
-    keys balanced. Partial aggregates only; one row comes back to the driver."""
-    per_hour = df.groupBy(s.key, F.floor(F.col(s.ts) / F.lit(PLAN_BUCKET_S)).alias("_h")).agg(
-        F.count(F.lit(1)).alias("cnt"), (F.max(s.ts) - F.min(s.ts)).alias("span"))
-    peak, total = per_hour.agg(
-        F.max(F.col("cnt") / F.greatest(F.col("span"), F.lit(1.0))), F.sum("cnt")).first()
-    if not peak:
-        return float(2 ** 40)
+def plan_chunks(df: DataFrame, s: Series, target_rows: int = TARGET_CHUNK_ROWS) -> DataFrame | None:
+    """Where to cut the keys that hold more rows than a chunk should: one row per (key, hour) of
+    these keys with the hour's first chunk (``_c0``), its first time (``_lo``) and, in hours with
+    more rows than a chunk, the length of its divisions (``_w`` seconds, ``_p`` of them). None
+    when no key is that large. ``target_rows`` is lowered on smaller data so that cores get about
+    3 chunks each. Partial aggregates only; the driver sees two numbers."""
+    per_key = df.groupBy(s.key).agg(F.count(F.lit(1)).alias("_n"))
+    total, largest = per_key.agg(F.sum("_n"), F.max("_n")).first()
     cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
-    rows = max(min(MIN_CHUNK_ROWS, target_rows), min(target_rows, total // (3 * cores)))
-    return float(max(1, math.floor(rows / peak)))
-
-
-def _chunked(df: DataFrame, s: Series, width: float) -> DataFrame:
-    return df.withColumn(CHUNK, F.floor(F.col(s.ts) / F.lit(float(width))).cast("long"))
-
-
-def with_halo(df: DataFrame, s: Series, width: float, halo: int) -> DataFrame:
+    rows = max(min(MIN_CHUNK_ROWS, target_rows), min(target_rows, (total or 0) // (3 * cores)))
+    if (largest or 0) <= rows:
+        return None
+    large = df.join(per_key.where(F.col("_n") > rows).select(s.key), s.key, "left_semi")
+    hours = large.groupBy(F.col(s.key).alias("_hk"), F.floor(F.col(s.ts) / F.lit(PLAN_BUCKET_S)).alias("_h")).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.min(s.ts).alias("_lo"), F.max(s.ts).alias("_hi"))
+    before = F.sum("_cnt").over(Window.partitionBy("_hk").orderBy("_h").rowsBetween(Window.unboundedPreceding, -1))
+    parts = F.ceil(F.col("_cnt") / F.lit(rows))
+    busy = (F.col("_cnt") > rows) & (F.col("_hi") > F.col("_lo"))
+    plan = hours.select("_hk", "_h", (F.floor(F.coalesce(before, F.lit(0)) / F.lit(rows)) * PARTS).cast("long").alias("_c0"), "_lo",
+                        F.when(busy, (F.col("_hi") - F.col("_lo")) / parts).alias("_w"), F.when(busy, parts).alias("_p"))
+    return materialize(df.sparkSession, plan, "chunk-plan")
+
+
+def _chunked(df: DataFrame, s: Series, cut: DataFrame | float | None) -> DataFrame:
+    """Rows with their chunk: by the plan, by one width in seconds, or one chunk per key (None)."""
+    if cut is None:
+        return df.withColumn(CHUNK, F.lit(0).cast("long"))
+    if not isinstance(cut, DataFrame):
+        return df.withColumn(CHUNK, F.floor(F.col(s.ts) / F.lit(float(cut))).cast("long"))
+    on = (df[s.key] == cut["_hk"]) & (F.floor(df[s.ts] / F.lit(PLAN_BUCKET_S)) == cut["_h"])
+    part = F.least(F.floor((F.col(s.ts) - F.col("_lo")) / F.col("_w")), F.col("_p") - 1)
+    chunk = F.coalesce(F.col("_c0") + F.when(F.col("_p").isNotNull(), part).otherwise(F.lit(0)), F.lit(0))
+    return join_small(df, cut, on, "left", check=True).select(*[df[c] for c in df.columns], chunk.cast("long").alias(CHUNK))
+
+
+def with_halo(df: DataFrame, s: Series, cut: DataFrame | float | None, halo: int) -> DataFrame:
     """Rows plus, per (key, chunk), the last ``halo`` rows of the key before that chunk
     (flag ``_halo``). Windows over (key, chunk) on this frame equal whole-key windows for
-    look-backs up to ``halo`` rows."""
-    c = _chunked(df, s, width)
+    look-backs up to ``halo`` rows. Keys that are not cut have no halo."""
+    c = _chunked(df, s, cut)
+    if cut is None:
+        return c.withColumn(HALO_FLAG, F.lit(False))
+    parts = c
+    if isinstance(cut, DataFrame):
+        parts = c.join(cut.select(F.col("_hk").alias(s.key)).distinct(), s.key, "left_semi")
     # (ts, tiebreak) first so that the natural struct order is time order
     cols = [s.ts, s.tiebreak] + [x for x in df.columns if x not in (s.key, s.ts, s.tiebreak)]
     desc = Window.partitionBy(s.key, CHUNK).orderBy(F.col(s.ts).desc(), F.col(s.tiebreak).desc())
-    tails = (c.withColumn("_r", F.row_number().over(desc)).where(F.col("_r") <= halo)
+    tails = (parts.withColumn("_r", F.row_number().over(desc)).where(F.col("_r") <= halo)
              .groupBy(s.key, CHUNK)
              .agg(F.collect_list(F.struct(*[F.col(x) for x in cols])).alias("_tail")))
     prev = Window.partitionBy(s.key).orderBy(CHUNK).rowsBetween(-halo, -1)
@@ -149,9 +172,8 @@ def series_features(base: DataFrame, s: Series = Series(), width: float | None =
     """W1-W8 + P2: feature rows per key (rows with any NULL/NaN dropped), skew-balanced.
 
     Output keeps the input columns, adds the feature columns and ``_chunk``."""
-    if width is None:
-        width = plan_width(base, s, target_rows)
-    h = with_halo(base, s, width, FEATURE_HALO + (1 if leak_free else 0))
+    cut = plan_chunks(base, s, target_rows) if width is None else width
+    h = with_halo(base, s, cut, FEATURE_HALO + (1 if leak_free else 0))
     w = Window.partitionBy(s.key, CHUNK).orderBy(*s.order())
     out = _apply(h, _feature_columns(s, w, leak_free)).where(~F.col(HALO_FLAG)).drop(HALO_FLAG)
     return out.na.drop(subset=[*base.columns, *FEATURE_OUT])
@@ -173,9 +195,7 @@ def with_positions(df: DataFrame, s: Series = Series(), width: float | None = No
     (one row per key, e.g. :func:`key_sizes`) is attached through that small summary, so the
     rows are only ever joined on (key, chunk) -- the partitioning they already have."""
     if CHUNK not in df.columns:
-        if width is None:
-            width = plan_width(df, s)
-        df = _chunked(df, s, width)
+        df = _chunked(df, s, plan_chunks(df, s) if width is None else width)
     w = Window.partitionBy(s.key, CHUNK).orderBy(*s.order())
     ranked = df.withColumn("_rn", F.row_number().over(w))
     sizes = df.groupBy(s.key, CHUNK).agg(F.count(F.lit(1)).alias("_cnt"))
@@ -213,12 +233,7 @@ def feature_table(spark, base: DataFrame, s: Series = Series(), width: float | N
     positions add the chunk's offset from a one-row-per-chunk summary, broadcast after a
     bounded count (it has about rows / ``target_rows`` entries), so the rows are never
     shuffled again."""
-    from tickwise.operators.lookup import join_small
-    from tickwise.session import materialize
-
-    if width is None:
-        width = plan_width(base, s, target_rows)
-    f = series_features(base, s, width, leak_free)
+    f = series_features(base, s, width, leak_free, target_rows)
     f = f.withColumn("_rn", F.row_number().over(Window.partitionBy(s.key, CHUNK).orderBy(*s.order())))
     if materialize_rows:
         f = materialize(spark, f, "features")

@@ -48,10 +48,11 @@ def main(argv):
     hot = ev.withColumn("symbol", F.when(F.col("seq") % 3 == 0, F.lit("HOT")).otherwise(F.col("symbol")))
     base = S.base_series(hot)
     total = base.count()
-    width = S.plan_width(base, S.Series(), target) if target else S.plan_width(base, S.Series())
-    hot_chunks = base.where("symbol = 'HOT'").select(F.floor(F.col("ts") / width)).distinct().count()
+    rows = target or S.TARGET_CHUNK_ROWS
+    cut = S.plan_chunks(base, S.Series(), rows)
+    hot_chunks = S._chunked(base, S.Series(), cut).where("symbol = 'HOT'").select(S.CHUNK).distinct().count()
     spark.sparkContext.setJobGroup("chunked", "chunked")
-    S.series_features(base, width=width).write.format("noop").mode("overwrite").save()
+    S.series_features(base, target_rows=rows).write.format("noop").mode("overwrite").save()
     spark.sparkContext.setJobGroup("whole_key", "whole_key")
     S.series_features_whole_key(base).write.format("noop").mode("overwrite").save()
     spark.stop()
