@@ -29,6 +29,20 @@ def test_array_helpers(spark):
     assert abs(r.s - 1.118033988749895) < 1e-12 and r.n5 == -1.0
 
 
+def _object(doc):
+    return json.loads("".join(r.value for r in DOC.document_lines(doc).collect()))
+
+
+def test_document_of_many_rows_over_many_files_is_one_object(spark, tmp_path):
+    """No row limit; repeated rows stay; members are in order across part files."""
+    rows = spark.range(120_000).select((F.col("id") % 100_000).alias("k"), F.lit('a "quoted" \n line').alias("t"))
+    DOC.write_document(DOC.combined_document({"r": (rows, [-F.col("k")]), "none": rows.limit(0)}), str(tmp_path / "d"))
+    parts = sorted((tmp_path / "d").glob("part-*.txt"))
+    d = json.loads("".join(p.read_text() for p in parts))
+    assert [r["k"] for r in d["r"]] == sorted((i % 100_000 for i in range(120_000)), reverse=True)
+    assert d["none"] == [] and d["r"][0]["t"] == 'a "quoted" \n line'
+
+
 def test_combined_document_is_valid_json_with_nulls(spark):
     ev = spark.createDataFrame([("BTC", 1.0, 0.5, "2026-05-04 07:00:00"), ("ETH", 2.0, -0.5, "2026-05-04 08:00:00"),
                                 ("ETH", 4.0, 1.5, "2026-05-04 08:30:00")],
@@ -36,8 +50,8 @@ def test_combined_document_is_valid_json_with_nulls(spark):
         .withColumn("event_ts", F.to_timestamp("event_ts"))
     doc = DOC.combined_document({"statistik": (stats.price_stats(ev), [-F.col("rata_rata_usd")]),
                                  "volatilitas": stats.hourly_volatility(ev),
-                                 "berita": stats.hourly_news_count(ev.limit(0))}).first().json
-    d = json.loads(doc)
+                                 "berita": stats.hourly_news_count(ev.limit(0))})
+    d = _object(doc)
     assert [r["symbol"] for r in d["statistik"]] == ["ETH", "BTC"]
     assert d["statistik"][1]["std_deviasi"] is None           # single row: null, not NaN (R10)
     assert d["berita"] == []
@@ -55,7 +69,7 @@ def test_forecast_views(spark):
     assert al[3].series == "forecast" and al[3].history_price is None and al[3].label == "05/04 07:02"
     s = VW.forecast_summary(res).first()
     assert (s.delta, s.direction, s.history_points, s.forecast_points, s.r2_text) == (1.0, "up", 2, 1, "0.5000")
-    d = json.loads(DOC.forecast_document(res).first().json)
+    d = _object(DOC.forecast_document(res))
     assert d["BTC"]["model"]["name"] == "LinearRegression" and len(d["BTC"]["history"]) == 2
 
 
@@ -84,13 +98,13 @@ def test_served_data_merges_documents(spark):
     ev = spark.createDataFrame([("BTC", 1.0, 0.5, "2026-05-04 07:00:00")],
                                "symbol string, price_usd double, change_24h double, event_ts string") \
         .withColumn("event_ts", F.to_timestamp("event_ts"))
-    res = DOC.combined_document({"statistik": stats.price_stats(ev)})
+    res = {"statistik": stats.price_stats(ev)}
     live = ev.select("symbol", "price_usd")
     news = spark.createDataFrame([("id1", "t")], "article_id string, title string")
-    d = json.loads(DOC.served_data(res, live, news).first().json)
+    d = _object(DOC.served_data(res, live, news))
     assert d["spark"]["statistik"][0]["symbol"] == "BTC" and d["live"][0]["price_usd"] == 1.0
     assert d["news"] == [{"article_id": "id1", "title": "t"}]
-    empty = json.loads(DOC.served_data(None, live.limit(0), news).first().json)
+    empty = _object(DOC.served_data(None, live.limit(0), news))
     assert empty["spark"] == [] and empty["live"] == []
 
 
