@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tests.documents import read_document
 from tickwise.operators import forecast as FC
 from tickwise.operators import models as ML
 from tickwise.operators import regression as RG
@@ -104,11 +105,11 @@ def test_forecast_job_outputs_and_small_run_keeps_previous(spark, tmp_path):
         .withColumn("event_ts", F.timestamp_seconds("ts"))
     out = str(tmp_path / "out")
     assert write_forecast_outputs(spark, build_forecast(spark, prices, models=["LinearRegression"]), out)
-    doc = json.loads(spark.read.text(f"{out}/forecast").first()[0])
+    doc = read_document(f"{out}/forecast")
     assert len(doc["BTC"]["history"]) == 50 and len(doc["BTC"]["forecast"]) == 10
     tiny = build_forecast(spark, prices.limit(19), models=["LinearRegression"])   # P5: < 20 rows
     assert tiny.count() == 0 and not write_forecast_outputs(spark, tiny, out)
-    assert json.loads(spark.read.text(f"{out}/forecast").first()[0]) == doc    # R17: old file kept
+    assert read_document(f"{out}/forecast") == doc    # R17: old file kept
 
 
 def test_one_feature_closed_form_equals_general_solve(spark):

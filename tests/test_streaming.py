@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from tests.documents import read_document
 from tickwise.operators import snapshot
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
 from tickwise.sources import kafka
@@ -107,7 +108,7 @@ def test_analysis_job_end_to_end(spark, tmp_path):
     res = run_analysis(spark, str(root), out)           # no rss directory: empty news (S12)
     assert {r.dataset: r.rows for r in res["counts"].collect()} == {"api": 3, "rss": 0}
     assert spark.sql("SELECT count(*) FROM price_events").first()[0] == 3
-    doc = json.loads(spark.read.text(f"{out}/spark_results").first()[0])
+    doc = read_document(f"{out}/spark_results")
     assert doc["statistik"][0]["rata_rata_usd"] == 101.0 and doc["berita"] == []
     assert len({r.timestamp for r in stamp_poll_time(spark.range(5)).collect()}) == 1
 
@@ -181,6 +182,6 @@ def test_cli_land_analysis_forecast(spark, tmp_path):
                      "--trigger", "availableNow"], spark=spark) == 0
     assert cli.main(["analysis", "--landing", root, "--out", out], spark=spark) == 0
     assert cli.main(["forecast", "--landing", root, "--out", out, "--models", "LinearRegression"], spark=spark) == 0
-    doc = json.loads(spark.read.text(f"{out}/forecast").first()[0])
+    doc = read_document(f"{out}/forecast")
     assert len(doc["BTC"]["forecast"]) == 10
-    assert json.loads(spark.read.text(f"{out}/spark_results").first()[0])["statistik"][0]["jumlah_data"] == 60
+    assert read_document(f"{out}/spark_results")["statistik"][0]["jumlah_data"] == 60
