@@ -35,9 +35,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: one document of each group of near copies stays."""
+    """Operator 1 on sets of 5-word shingles, J >= 8/10: one document of each group of near copies stays."""
     apply_runtime_conf(spark)
-    return ngram_join.keep_one(docs).select(*COLUMNS)
+    return ngram_join.keep_one(docs, words=5, num=8, den=10).select(*COLUMNS)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

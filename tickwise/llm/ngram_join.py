@@ -1,4 +1,5 @@
-"""Jaccard self-join of documents on their word 3-gram sets, by prefix trees.
+"""Jaccard self-join of documents on their word n-gram sets, by prefix trees. Words per n-gram and
+the threshold NUM / DEN are arguments; figures below are for the default, 3 words and J >= 9/10.
 
 A trie of globally ordered sets does the join (``block_links``): n-grams are ordered from rare to
 frequent, a probe walks the trie sharing the overlap counted so far among all sets below a node,
@@ -10,13 +11,14 @@ the set sizes require. Spark brings together the sets that can link:
    that, at least one bucket is equal, so linked sets share a bucket key. A key holds the whole
    content of its bucket, some nine n-grams, which unrelated texts hardly share even where they
    share a passage. Sizes are taken in classes of ratio 10/9; a set has keys for its own and the
-   next class.
+   next class. At lower thresholds buckets are smaller (four n-grams at J >= 8/10) and some are
+   empty; there are as many more buckets as a set may have empty ones (``_spare``).
 3. Sets that share keys form candidate clusters (a star per key, then connected components).
 4. A cluster is one trie block. A large one is dealt by size class, then into chunks, and every
    two chunks of a class meet in one block, so a block is bounded whatever the cluster's size.
    Blocks report links that join something new, not all pairs.
 
-Defined results: ASCII letters are compared in lower case; a text of one or two words has its whole
+Defined results: ASCII letters are compared in lower case; a text of fewer words than an n-gram has its whole
 sequence as its only n-gram; a text without words (or null) has none and links with nothing. Rows
 that repeat a doc_id are rows of their own. The component is named by its smallest doc_id.
 """
@@ -42,38 +44,51 @@ BLOCK = 1024
 DEALS = 4
 
 
-def size_classes(most: int) -> np.ndarray:
+def size_classes(most: int, num: int = NUM, den: int = DEN) -> np.ndarray:
     """Lower bounds of the size classes up to size ``most``: linked sizes lie in one or in two
     neighbouring classes."""
     out = [1]
     while out[-1] <= most:
-        out.append(DEN * out[-1] // NUM + 1)
+        out.append(den * out[-1] // num + 1)
     return np.array(out, np.int64)
 
 
-def _buckets(upper: np.ndarray) -> np.ndarray:
+def _buckets(upper: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     """Buckets of a class whose largest size is ``upper``: one more than linked sets can differ in."""
-    return (DEN - NUM) * 2 * upper // (NUM + DEN) + 1
+    return (den - num) * 2 * upper // (num + den) + 1
 
 
-def bucket_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
+def _spare(upper: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """Buckets to add in a class: as many as its smallest set has empty ones, by chance, at most."""
+    least, spare = upper * (num / den) ** 2, np.zeros(len(upper), np.int64)
+    for _ in range(8):
+        buckets = _buckets(upper, num, den) + spare
+        empty = buckets * np.exp(-least / buckets)
+        spare = np.floor(empty + 1.5 * np.sqrt(empty)).astype(np.int64)
+    return spare
+
+
+def bucket_keys(sets: list[np.ndarray], num: int = NUM, den: int = DEN) -> list[np.ndarray]:
     """Keys of each set for its own and the next size class.
 
     Two linked sets agree in a bucket; it may be one that is empty in both. Rather than give all
     sets with an empty bucket a common key, such a set is dealt anew, DEALS times at most; only
     one that has an empty bucket every time gets keys for empty buckets, in the last deal. So
-    either linked set finds the other: in the first deal in which a filled bucket agrees, or there."""
+    either linked set finds the other: in the first deal in which a filled bucket agrees, or there.
+    With s spare buckets, s + 1 buckets agree, and "an empty bucket" reads "more than s"."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    bounds = size_classes(int(sizes.max(initial=0)) + 1)
-    bounds = np.append(bounds, DEN * bounds[-1] // NUM + 1)
+    bounds = size_classes(int(sizes.max(initial=0)) + 1, num, den)
+    bounds = np.append(bounds, den * bounds[-1] // num + 1)
     own = np.searchsorted(bounds, sizes, side="right") - 1
     grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     who_all, key_all = [], []
     for step in (0, 1):
         cls = np.minimum(own + step, len(bounds) - 2)
-        buckets = np.where(sizes > 0, _buckets(bounds[cls + 1] - 1), 0)
+        buckets = np.where(sizes > 0, _buckets(bounds[cls + 1] - 1, num, den), 0)
         buckets[buckets == 1] = 0   # only equal sets agree in a single bucket, and those are one already
+        spare = _spare(bounds[1:] - 1, num, den)[cls]
+        buckets = np.where(buckets > 0, buckets + spare, 0)
         for deal in range(DEALS):
             if not buckets.any():
                 break
@@ -89,11 +104,11 @@ def bucket_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
             number = (np.arange(first[-1]) - first[who]).astype(np.uint64)
             label = (cls[who].astype(np.uint64) << np.uint64(40)) + (number << np.uint64(4)) + np.uint64(deal)
             key = mix64(total + mix64(label)).view(np.int64)
-            give = filled if deal < DEALS - 1 else np.ones(len(filled), bool)
+            empty = np.bincount(who[~filled], minlength=len(sets))
+            give = filled if deal < DEALS - 1 else filled | (empty > spare)[who]
             who_all.append(who[give])
             key_all.append(key[give])
-            empty = np.bincount(who[~filled], minlength=len(sets))
-            buckets = np.where(empty > 0, buckets, 0)
+            buckets = np.where(empty > spare, buckets, 0)
     if not who_all:
         return [np.zeros(0, np.int64) for _ in sets]
     who, key = np.concatenate(who_all), np.concatenate(key_all)
@@ -101,12 +116,12 @@ def bucket_keys(sets: list[np.ndarray]) -> list[np.ndarray]:
     return np.split(key[order], np.cumsum(np.bincount(who, minlength=len(sets)))[:-1])
 
 
-def gram_sets(texts: pa.Array):
+def gram_sets(texts: pa.Array, k: int = WORDS):
     """The sorted distinct n-gram hashes of every text of a column, row by row."""
     data, offsets = column_bytes(texts)
     for i, j in row_chunks(offsets):
         words, _, _, first = word_hashes(lower_ascii(data[offsets[i]:offsets[j]]), offsets[i:j + 1] - offsets[i])
-        yield [np.unique(s) for s in row_shingles(words, first, WORDS)]
+        yield [np.unique(s) for s in row_shingles(words, first, k)]
 
 
 def set_digest(grams: np.ndarray) -> int:
@@ -114,17 +129,17 @@ def set_digest(grams: np.ndarray) -> int:
     return int(mix64(np.array([np.sum(mix64(grams + np.uint64(0x632BE59BD9B4E019)), dtype=np.uint64) + np.uint64(len(grams))]))[0].view(np.int64))
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, text_hash, n, d (set name, null without n-grams), keys."""
 
     def run(batches):
         for batch in batches:
             n, d, keys = [], [], []
-            for sets in gram_sets(batch.column(2)):
+            for sets in gram_sets(batch.column(2), k):
                 n += [len(s) for s in sets]
                 d += [set_digest(s) if len(s) else None for s in sets]
-                keys += bucket_keys(sets)
-            at = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+                keys += bucket_keys(sets, num, den)
+            at = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists],
                                              names=["doc_id", "text_hash", "n", "d", "keys"])
@@ -133,8 +148,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_hash long, n long, d long, keys array<long>")
 
 
-def _needed(a: int, b: int) -> int:
-    return -(-NUM * (a + b) // (NUM + DEN))
+def _needed(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
+    return -(-num * (a + b) // (num + den))
 
 
 class _Node:
@@ -147,8 +162,8 @@ class _Node:
 class Trie:
     """Sets as ascending token lists. A branch that holds one list so far keeps it as a tail."""
 
-    def __init__(self):
-        self.root = _Node()
+    def __init__(self, num: int = NUM, den: int = DEN):
+        self.root, self.num, self.den = _Node(), num, den
 
     def add(self, tokens: list[int], size: int, name: int) -> None:
         node, i = self.root, 0
@@ -177,25 +192,26 @@ class Trie:
 
     def probe(self, tokens: list[int], size: int):
         """(name, size, overlap bound met) of sets whose overlap with ``tokens`` reaches the need."""
-        n, least_size = len(tokens), -(-NUM * size // DEN)
+        num, den = self.num, self.den
+        n, least_size = len(tokens), -(-num * size // den)
         members = frozenset(tokens)
         stack = [(self.root, 0, 0)]
         while stack:
             node, i, got = stack.pop()
-            if got + min(n - i, node.deep) < _needed(size, max(node.least, least_size)):
+            if got + min(n - i, node.deep) < _needed(size, max(node.least, least_size), num, den):
                 continue
             if node.sets:
                 full = got + (len(members.intersection(node.tail)) if node.tail else 0)
                 for name, other in node.sets:
-                    if other >= least_size and full >= _needed(size, other):
+                    if other >= least_size and full >= _needed(size, other, num, den):
                         yield name
             for token, child in node.children.items():
                 j = bisect_left(tokens, token, i)
                 stack.append((child, j + 1, got + 1) if j < n and tokens[j] == token else (child, j, got))
 
 
-def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | None = None) -> list[tuple[int, int]]:
-    """Links (J >= 0.9) among the sets of a block that connect what was not connected yet; two sets
+def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | None = None, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
+    """Links (J >= num / den) among the sets of a block that connect what was not connected yet; two sets
     that are both not at ``home`` in this block meet elsewhere."""
     sizes = np.array([len(s) for s in sets])
     grams, code, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -211,12 +227,12 @@ def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | Non
             x = parent[x]
         return x
 
-    trie, links = Trie(), []
+    trie, links = Trie(num, den), []
     for k in np.argsort(sizes, kind="stable").tolist():
         part = code[edge[k]:edge[k + 1]]
         tokens = np.sort(part[part >= 0]).tolist()
         size = int(sizes[k])
-        if _needed(size, -(-NUM * size // DEN)) <= len(tokens):
+        if _needed(size, -(-num * size // den), num, den) <= len(tokens):
             for other in trie.probe(tokens, size):
                 a, b = find(k), find(other)
                 if a != b and (home is None or home[k] or home[other]):
@@ -226,14 +242,14 @@ def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | Non
     return links
 
 
-def _blocks(members: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
     """(d, n, cluster) dealt into blocks: adds block (string) and home."""
     count = members.groupBy("cluster").agg(F.count("*").alias("_m"))
     rows = lookup(members, count, ["cluster"])
     small = rows.filter(F.col("_m") <= BLOCK).select("d", "n", "cluster", F.concat_ws("/", "cluster").alias("block"), F.lit(True).alias("home"))
     large = rows.filter(F.col("_m") > BLOCK)
     # a class and, as visitors, the class below it
-    size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(DEN / NUM)))
+    size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num)))
     dealt = large.withColumn("_class", F.explode(F.array(size_class, size_class + 1))).withColumn("home", F.col("_class") == size_class)
     # a visitor may be linked only if sizes allow: the ratio is checked again in the block
     per = dealt.groupBy("cluster", "_class").agg(F.count("*").alias("_n"))
@@ -245,14 +261,14 @@ def _blocks(members: DataFrame) -> DataFrame:
     return small.unionByName(dealt.select("d", "n", "cluster", F.concat_ws("/", "cluster", "_class", "_pair.a", "_pair.b").alias("block"), "home"))
 
 
-def _join_blocks(sets: DataFrame, members: DataFrame) -> DataFrame:
+def _join_blocks(sets: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
     """Links (u, v) found in the blocks. ``sets``: d, grams (binary)."""
 
     def run(batches):
         held, names, grams, home = None, [], [], []
 
         def done():
-            links = block_links(names, grams, home) if len(names) > 1 else []
+            links = block_links(names, grams, home, num, den) if len(names) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([a for a, _ in links], pa.int64()), pa.array([b for _, b in links], pa.int64())], names=["u", "v"])
 
         for batch in batches:
@@ -265,16 +281,17 @@ def _join_blocks(sets: DataFrame, members: DataFrame) -> DataFrame:
                 home.append(at_home)
         yield done()
 
-    blocks = _blocks(members).withColumnRenamed("d", "_d")
+    blocks = _blocks(members, num, den).withColumnRenamed("d", "_d")
     rows = blocks.join(sets, F.col("_d") == sets["d"]).select("block", "d", "home", "grams")
     n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, "block").sortWithinPartitions("block", "d").mapInArrow(run, "u long, v long")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, text_hash, n_shingles, component_id."""
+def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Per row: doc_id, text_hash, n_shingles, component_id; links are J >= num / den on n-grams of
+    ``words`` words."""
     spark = docs.sparkSession
-    keyed = materialize(spark, _keyed(docs), "ngram-keys")
+    keyed = materialize(spark, _keyed(docs, words, num, den), "ngram-keys")
     pairs = keyed.select("d", F.explode("keys").alias("key"))
     shared = pairs.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("key", "lo")
     shared = materialize(spark, shared, "ngram-shared")
@@ -288,14 +305,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     def read_sets(batches):
         for batch in batches:
-            raw = [g.tobytes() for sets in gram_sets(batch.column(1)) for g in sets]
+            raw = [g.tobytes() for sets in gram_sets(batch.column(1), words) for g in sets]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["d", "grams"])
 
     source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
     wanted = members.filter("n > 0").select("d", "doc_id", "text_hash")
     texts = source.join(wanted, (F.col("_doc") == F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
     sets = texts.select("d", "text").mapInArrow(read_sets, "d long, grams binary").dropDuplicates(["d"])
-    links = materialize(spark, _join_blocks(sets, members.select("d", "n", "cluster")), "ngram-links")
+    links = materialize(spark, _join_blocks(sets, members.select("d", "n", "cluster"), num, den), "ngram-links")
     linked = components(links)
     rows = lookup(named, linked.select(F.col("node").alias("d"), F.col("component").alias("_l")), ["d"], "left")
     rows = rows.select("doc_id", "text_hash", "n", F.coalesce("_l", "d").alias("label"))
@@ -306,9 +323,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     return out.unionByName(alone)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id (all rows of
     that id, should it repeat)."""
-    kept = jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = jaccard_components(docs, words, num, den).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = kept.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).distinct()
     return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(docs["text"]) == F.col("_hash")), "left_semi")
