@@ -5,11 +5,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from cases import rows
 import corpus_pipeline as P
-from tickwise.llm import ngram_join
+from tickwise.llm import mixing, ngram_join
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,3 +87,43 @@ def test_linked_sets_share_a_key_at_any_threshold():
                 assert den * both >= num * (len(a) + len(b) - both)
                 x, y = ngram_join.bucket_keys([a, b], num, den)
                 assert lost == 0 or np.intersect1d(x, y).size
+
+
+# ---------------------------------------------------------------- mixing fills a quota past long documents
+def words_of(df):
+    out, listed = mixing.mix(df, F.array("s"), F.col("n"), weights=lambda names: [3 if s == "a" else 1 for s in names], max_repeat=3)
+    return out.collect(), listed
+
+
+@pytest.mark.parametrize("walk", [0, 2000])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_mix_passes_over_documents_that_do_not_fit(spark, monkeypatch, seed, walk):
+    monkeypatch.setattr(mixing, "WALK_ROWS", walk)
+    rng = np.random.RandomState(seed)
+    data = [(i, "a", 500) for i in range(300)] + [(1000 + i, "a", 300_000 + i) for i in range(2)] + [(2000 + i, "b", int(x)) for i, x in enumerate(rng.randint(1, 4000, 200))]
+    data += [(2100, "b", 77), (2100, "b", 77), (None, "b", 5), (None, "b", 5)]
+    got, listed = words_of(spark.createDataFrame(data, "doc_id long, s string, n long").repartition(3))
+    assert len(got) == len(data)
+    for name, (_, target) in listed.items():
+        mine = [r for r in got if r["sources"] == [name]]
+        least = min(r["repeats"] for r in mine)
+        gap = round(target) - sum(r["taken"] for r in mine)
+        same = {}
+        for r in mine:
+            assert r["repeats"] - least in (0, 1)
+            if r["repeats"] == least:
+                same[r["doc_id"], r["size"]] = same.get((r["doc_id"], r["size"]), 0) + r["size"]
+        assert gap >= 0 and all(n > gap for n in same.values())
+
+
+def test_mix_takes_the_short_documents_behind_a_long_one(spark):
+    data = [(i, "a", 500) for i in range(1000)] + [(5000, "a", 1_000_000)]
+    for seed in range(4):
+        base = spark.createDataFrame(data, "doc_id long, s string, n long")
+        order = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "n")
+        base = base.select(F.col("doc_id").cast("string").alias("_id"), F.col("n").alias("_size"), F.lit("p").alias("_pattern"), order.alias("_order"),
+                           F.shiftrightunsigned(order, 64 - mixing.SLICE_BITS).alias("_slice"))
+        rules, hits, _ = mixing._part_pass(base, {"p": 750_000})
+        swept = [r["_size"] for r in base.collect() if any(r["_size"] <= g and r["_slice"] < e for g, e in rules["p"])]
+        listed = [r["_size"] for r in hits.join(base, "_id").collect()]
+        assert sum(swept) + sum(listed) == 500_000

@@ -4,9 +4,9 @@ Documents are aggregated by membership pattern (the set of sources they belong t
 flows from patterns to source quotas; a pattern's first pass costs less than its second and that
 less than its third, so repetition is spread before it deepens (convex costs). The flow says how
 many words of each pattern to take: some whole passes and a part of one more, which goes to the
-documents first in a seeded order.
+documents first in a seeded order; one larger than what is left is passed over.
 
-Only totals by pattern and by source reach the driver. The seeded order is never sorted as a whole:
+Only totals by pattern and by source and a few last documents reach the driver. The seeded order is never sorted as a whole:
 its first bits are counted per pattern, and only the slice in which the quota ends is ordered.
 
 Defined results: null text has size 0 and is never taken; a null or empty source array is a
@@ -24,6 +24,7 @@ from tickwise.session import materialize
 MAX_REPEAT = 3
 SEED = 17
 SLICE_BITS = 12
+WALK_ROWS = 2000    # what a round leaves is gone through on the driver when it is no more rows
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -92,6 +93,64 @@ def min_cost_flow(capacity: list[int], members: list[list[int]], quota: list[int
     return flow
 
 
+def _part_pass(base: DataFrame, gaps: dict[str, int]) -> tuple[dict[str, list[tuple[int, int]]], DataFrame, DataFrame]:
+    """Documents of each pattern in its seeded order, each one that fits what is left of ``gaps``.
+
+    A round takes the slices before the one in which the gap ends, of documents no larger than the
+    gap, and of that slice what fits. The next round goes on with the documents that still fit, until
+    none does. Returns the rounds' (gap, slice) by pattern, the documents taken of end slices, and
+    repeated rows that fit one by one but not together, which are never taken."""
+    spark = base.sparkSession
+    row = ["_id", "_order", "_size", "_pattern", "_slice"]
+    marks = "_id string, _order long, _pattern string"
+    rules: dict[str, list[tuple[int, int]]] = {}
+    hits, blocked = spark.createDataFrame([], marks), spark.createDataFrame([], marks)
+    left = base.select(*row)
+    while gaps:
+        open_ = spark.createDataFrame(list(gaps.items()), "_key string, _gap long")
+        fit = left.join(F.broadcast(open_), F.col("_pattern") == F.col("_key")).filter("_size > 0 AND _size <= _gap").drop("_key")
+        if rules:
+            fit = materialize(spark, fit, "mixing-left")
+            few = fit.limit(WALK_ROWS + 1).collect()
+            if len(few) <= WALK_ROWS:
+                return rules, hits.unionByName(spark.createDataFrame(_walk(few), marks)), blocked
+        sums = fit.groupBy("_pattern", "_slice", "_gap").agg(F.sum("_size").alias("n"))
+        sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("_pattern").orderBy("_slice")))
+        ends = sums.filter("upto > _gap").groupBy("_pattern").agg(F.min(F.struct(F.col("_slice").alias("slice"), (F.col("_gap") - F.col("upto") + F.col("n")).alias("room"))).alias("end"))
+        end = {r["_pattern"]: (r["end"]["slice"], r["end"]["room"]) for r in ends.collect()}
+        for key, gap in gaps.items():
+            rules.setdefault(key, []).append((gap, end.get(key, (1 << SLICE_BITS, 0))[0]))
+        at = spark.createDataFrame([(k, *v) for k, v in end.items()], "_key string, _end long, _room long")
+        marked = fit.join(F.broadcast(at), F.col("_pattern") == F.col("_key")).drop("_key")
+        equal = Window.partitionBy("_pattern", "_order", "_id", "_size")    # rows that are taken alike
+        edge = marked.filter("_slice = _end").withColumn("_all", F.sum("_size").over(equal))
+        running = F.sum(F.when(F.col("_all") <= F.col("_room"), F.col("_size"))).over(Window.partitionBy("_pattern").orderBy("_order", "_id", "_size"))
+        edge = edge.withColumn("extra", (F.col("_all") <= F.col("_room")) & (running <= F.col("_room")))
+        edge = materialize(spark, edge, "mixing-edge")
+        hits = hits.unionByName(edge.filter("extra").select("_id", "_order", "_pattern").distinct())
+        blocked = blocked.unionByName(edge.filter("_all > _room AND _size <= _room").select("_id", "_order", "_pattern").distinct())
+        took = {r["_pattern"]: r["n"] for r in edge.filter("extra").groupBy("_pattern").agg(F.sum("_size").alias("n")).collect()}
+        gaps = {k: room - took.get(k, 0) for k, (_, room) in end.items() if room > took.get(k, 0)}
+        left = marked.filter("_slice > _end").select(*row).unionByName(edge.filter("NOT extra AND _all <= _room").select(*row))
+    return rules, hits, blocked
+
+
+def _walk(rows: list) -> list[tuple]:
+    """The rounds of ``_part_pass`` for a few rows, one document after the other."""
+    groups: dict[tuple, int] = {}
+    gap = {}
+    for r in rows:
+        key = (r["_pattern"], r["_order"], r["_id"] is not None, r["_id"] or "", r["_size"])
+        groups[key] = groups.get(key, 0) + r["_size"]
+        gap[r["_pattern"]] = r["_gap"]
+    out = []
+    for (pattern, order, known, name, _), n in sorted(groups.items()):
+        if n <= gap[pattern]:
+            gap[pattern] -= n
+            out.append((name if known else None, order, pattern))
+    return out
+
+
 def mix(docs: DataFrame, sources: Column, size: Column, weights=None, max_repeat: int = MAX_REPEAT, seed: int = SEED) -> tuple[DataFrame, dict]:
     """``docs`` with sources, size, repeats and taken (columns of those names are replaced), and per
     source its words and its target.
@@ -117,34 +176,17 @@ def mix(docs: DataFrame, sources: Column, size: Column, weights=None, max_repeat
     target = capped_targets(reach, weights(names) if weights else [1 + i % 3 for i in range(len(listed))], max_repeat)
     flow = min_cost_flow(capacity, [[number[m] for m in p] for p in patterns], [round(t) for t in target], max_repeat)
     quota = [sum(f.values()) for f in flow]
-    plan = spark.createDataFrame(pd.DataFrame({
-        "_key": [r["_pattern"] for r in totals],
-        "_full": [q // c if c else 0 for q, c in zip(quota, capacity)],
-        "_rest": [q % c if c else 0 for q, c in zip(quota, capacity)]}), "_key string, _full long, _rest long")
-
-    # the slice of each pattern's seeded order in which the rest of its quota ends
-    sums = base.groupBy("_pattern", "_slice").agg(F.sum("_size").alias("n")).join(plan, F.col("_pattern") == F.col("_key"))
-    sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("_pattern").orderBy("_slice")))
-    ends = (sums.filter("upto > _rest AND upto - n <= _rest").groupBy("_key", "_full", "_rest")
-            .agg(F.min(F.struct(F.col("_slice").alias("slice"), (F.col("upto") - F.col("n")).alias("before"))).alias("end")))
-    ends = materialize(spark, plan.join(ends.select(F.col("_key").alias("_k"), F.col("end.slice").alias("_end"), F.col("end.before").alias("_before")),
-                                        F.col("_key") == F.col("_k"), "left").drop("_k"), "mixing-ends")
-    marked = base.join(ends, F.col("_pattern") == F.col("_key"))
-    running = F.sum("_size").over(Window.partitionBy("_pattern").orderBy("_order", "_id", "_size"))  # equal rows count together
-    edge = marked.filter(F.col("_slice") == F.col("_end")).withColumn("extra", (F.col("_before") + running <= F.col("_rest")) & (F.col("_size") > 0))
-    edge = materialize(spark, edge.select("_id", "_order", "_size", "_pattern", "_before", "_rest", "extra"), "mixing-edge")
-    # what whole documents leave open goes to the untaken document that fills it best
-    gap = edge.groupBy("_pattern").agg((F.first("_rest") - F.first("_before") - F.sum(F.when(F.col("extra"), F.col("_size")).otherwise(0))).alias("gap"))
-    columns = ["_id", "_order", "_size", "_pattern"]
-    untaken = marked.filter(F.col("_slice") > F.col("_end")).select(*columns).unionByName(edge.filter(~F.col("extra")).select(*columns))
-    best = (untaken.join(gap.withColumnRenamed("_pattern", "_g"), F.col("_pattern") == F.col("_g")).filter("_size > 0 AND _size <= gap")
-            .groupBy("_pattern").agg(F.max(F.struct("_size", "_order", "_id")).alias("m")).select("m._id", "m._order"))
-    hits = materialize(spark, edge.filter("extra").select("_id", "_order").unionByName(best).distinct(), "mixing-hits")
-    hits = hits.select(F.col("_id").alias("_hit"), F.col("_order").alias("_hit_order"))
-
-    out = rows.join(ends, F.col("_pattern") == F.col("_key"))
-    out = out.join(hits, F.col("doc_id").cast("string").eqNullSafe(F.col("_hit")) & (F.col("_order") == F.col("_hit_order")), "left")
-    extra = ((F.col("_slice") < F.col("_end")) | F.col("_hit_order").isNotNull()).cast("long")
+    plan = [(r["_pattern"], q // c if c else 0, q % c if c else 0) for r, q, c in zip(totals, quota, capacity)]
+    rules, hits, blocked = _part_pass(base, {key: rest for key, _, rest in plan if rest})
+    plan = spark.createDataFrame([(key, full, rules.get(key, [])) for key, full, _ in plan], "_key string, _full long, _rules array<struct<gap:long,end:long>>")
+
+    out = rows.join(F.broadcast(plan), F.col("_pattern") == F.col("_key"))
+    for marks, flag in ((hits, "_hit"), (blocked, "_blocked")):
+        marks = marks.select(F.col("_id").alias("_m_id"), F.col("_order").alias("_m_order"), F.col("_pattern").alias("_m_pattern"), F.lit(True).alias(flag))
+        same = F.col("doc_id").cast("string").eqNullSafe(F.col("_m_id")) & (F.col("_order") == F.col("_m_order")) & (F.col("_pattern") == F.col("_m_pattern"))
+        out = out.join(marks, same, "left").drop("_m_id", "_m_order", "_m_pattern")
+    swept = F.exists("_rules", lambda r: (F.col("_size") <= r["gap"]) & (F.col("_slice") < r["end"])) & F.col("_blocked").isNull()
+    extra = (swept | F.col("_hit").isNotNull()).cast("long")
     repeats = F.when(F.col("_size") > 0, F.col("_full") + F.coalesce(extra, F.lit(0))).otherwise(0)
     named = F.transform("_members", lambda m: F.when(~m["none"], m["name"]))
     out = out.select(*[F.col(f"`{c}`") for c in own], named.alias("sources"), F.col("_size").alias("size"), repeats.alias("repeats"), (repeats * F.col("_size")).alias("taken"))
