@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import brute
 from cases import rows
 import corpus_pipeline as P
-from tickwise.llm import mixing, ngram_join
+from tickwise.llm import mixing, ngram_join, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -127,3 +127,55 @@ def test_mix_takes_the_short_documents_behind_a_long_one(spark):
         swept = [r["_size"] for r in base.collect() if any(r["_size"] <= g and r["_slice"] < e for g, e in rules["p"])]
         listed = [r["_size"] for r in hits.join(base, "_id").collect()]
         assert sum(swept) + sum(listed) == 500_000
+
+
+# ---------------------------------------------------------------- passages shared past closer neighbours
+def families(n):
+    """A and B share 50 words around a gram; documents that share 45 of them lie between in either sort."""
+    rng = np.random.RandomState(11)
+    fresh = lambda k: [f"n{rng.randint(10 ** 9)}" for _ in range(k)]
+    data = []
+    for f in range(n):
+        gram, left, right = ([f"f{f}{side}{i}" for i in range(k)] for side, k in (("g", 20), ("l", 20), ("r", 20)))
+        doc = lambda l, r: fresh(30) + left[20 - l:] + gram + right[:r] + fresh(30)
+        data += [doc(15, 15), doc(15, 15), *(doc(5, 20) for _ in range(8)), *(doc(20, 5) for _ in range(8))]
+    return [(i, " ".join(w)) for i, w in enumerate(data)]
+
+
+def brute_passages(data, least=50):
+    """Words in windows of another document, and of those the ones whose first copy is elsewhere."""
+    first, holders, words = {}, defaultdict(set), {}
+    for doc, text in sorted(data):
+        words[doc] = brute.WORD.findall(text)
+        for i in range(len(words[doc]) - least + 1):
+            key = tuple(words[doc][i:i + least])
+            first.setdefault(key, doc)
+            holders[key].add(doc)
+    out = {}
+    for doc, w in words.items():
+        at = [(i, tuple(w[i:i + least])) for i in range(len(w) - least + 1)]
+        shared = [(i, k) for i, k in at if len(holders[k]) > 1]
+        out[doc] = ({x for i, _ in shared for x in range(i, i + least)}, {x for i, k in shared if first[k] != doc for x in range(i, i + least)})
+    return out
+
+
+def check_passages(spark, data):
+    want, texts = brute_passages(data), dict(data)
+    for r in suffix_dedup.repeated_passages(rows(spark, [(d, t, "en", "s") for d, t in data])).collect():
+        at = [(i, m.start(), m.end()) for i, m in enumerate(brute.WORD.finditer(texts[r["doc_id"]]))]
+        got = tuple({i for i, a, b in at if any(s["start"] <= a and b <= s["end"] for s in r[c])} for c in ("repeats", "removed"))
+        assert got == want[r["doc_id"]], r["doc_id"]
+
+
+def test_passages_are_found_past_closer_neighbours(spark):
+    data = families(40)
+    assert any(whole for whole, _ in brute_passages(data).values())
+    check_passages(spark, data)
+
+
+def test_second_copies_of_a_passage_inside_longer_matches_go(spark):
+    rng = np.random.RandomState(4)
+    base = [f"b{i}" for i in range(200)]
+    fresh = lambda k: [f"n{rng.randint(10 ** 9)}" for _ in range(k)]
+    cuts = [(0, 120), (0, 120), (60, 200), (40, 140), (70, 130), (10, 200), (75, 125)]
+    check_passages(spark, [(i, " ".join(fresh(20) + base[a:b] + fresh(20))) for i, (a, b) in enumerate(cuts * 3)])

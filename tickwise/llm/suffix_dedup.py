@@ -1,27 +1,23 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages by sparse suffixes, grouped by their first MIN_WORDS words.
 
 Only suffixes at content-selected places are kept: of every WINDOW consecutive GRAM-word grams the
 one with the smallest hash (minimiser), so any common passage of MIN_WORDS words has a kept place
-at the same word in both documents. Places whose gram occurs in one document only are dropped; the
-others carry the words around them. They are sorted by gram and following words and, a second
-time, by gram and preceding words; neighbours from different documents are compared and the match
-is extended to the left and to the right. Matches of MIN_WORDS words or more are merged per
-document into spans.
+at the same word in both documents. Places whose gram occurs in one document only are dropped.
 
-The sort is a range partitioning on the whole key, so a passage shared by very many documents is
-spread over tasks; each task also hands on the rows at its ends, and those few are compared in a
-last step. Words are maximal runs without white space, compared exactly by 32-bit hashes (a span
-of 50 equal hashes in sequence).
+Every MIN_WORDS-word window belongs to one place, its minimiser. The windows of the places left are
+grouped by their words with partial aggregates (the suffixes that a sort would bring together on so
+many words), so every window held by two or more documents is found, whatever else shares its gram,
+and a passage shared by very many documents is spread over tasks. A document's windows are merged
+into spans. Windows are named by 64-bit hashes of their words; words are maximal runs without white
+space.
 
 Defined results: null and short texts have no spans; matches within one document do not count;
 rows that repeat doc_id and text are one document. Spans are code points, ends exclusive. A span
-is ``removed`` unless its passage's first document (smallest doc_id) is the document itself.
+is ``removed`` where a window's first document (smallest doc_id) is another one.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,18 +30,22 @@ from tickwise.session import materialize
 MIN_WORDS = 50
 GRAM = 20
 WINDOW = MIN_WORDS - GRAM + 1
-REACH = MIN_WORDS - GRAM      # words kept on either side of a gram
+BATCH = 1 << 16               # windows in a batch, those of one text at least
 
 
-def minimisers(grams: np.ndarray) -> np.ndarray:
-    """Positions of the smallest (leftmost) gram hash of every WINDOW consecutive grams."""
+def window_minimisers(grams: np.ndarray) -> np.ndarray:
+    """Position of the smallest (leftmost) gram hash of every WINDOW consecutive grams."""
     if len(grams) < WINDOW:
         return np.zeros(0, np.int64)
     picked = []
     for a in range(0, len(grams) - WINDOW + 1, 1 << 16):
         part = grams[a:a + (1 << 16) + WINDOW - 1]
         picked.append(np.lib.stride_tricks.sliding_window_view(part, WINDOW).argmin(axis=1) + np.arange(a, a + len(part) - WINDOW + 1))
-    return np.unique(np.concatenate(picked))
+    return np.concatenate(picked)
+
+
+def minimisers(grams: np.ndarray) -> np.ndarray:
+    return np.unique(window_minimisers(grams))
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -73,111 +73,49 @@ def _anchors(docs: DataFrame) -> DataFrame:
     return _rows(docs).select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, grams array<long>, at array<int>")
 
 
-def _suffixes(docs: DataFrame, hits: DataFrame) -> DataFrame:
-    """gram, before and after (word hashes, nearest first), rid, doc_id, pos for each (rid, ats)."""
+def _windows(docs: DataFrame, hits: DataFrame) -> DataFrame:
+    """rid, doc_id, pos and name of the MIN_WORDS-word windows whose minimiser is one of ``ats``."""
 
     def run(batches):
+        out: list[tuple] = []
+
+        def emit():
+            counts = [len(p) for _, _, p, _ in out]
+            cols = [np.repeat(np.array([o[c] for o in out], object), counts).tolist() for c in (0, 1)]
+            cols += [np.concatenate([o[2] for o in out]), np.concatenate([o[3] for o in out])]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int64()))], names=["rid", "doc_id", "pos", "name"])
+
+        held = 0
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
             data, offsets = column_bytes(batch.column(2))
-            places = batch.column(3).to_pylist()
-            ids, docs_ = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, docs_, places = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
             for i, j in row_chunks(offsets):
                 words, _, _, first = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 for k in range(j - i):
                     own = words[first[k]:first[k + 1]]
-                    short = (own >> np.uint64(32)).astype(">u4")
-                    grams = gram_hashes(own, GRAM).astype(">u8")
-                    for p in sorted(set(places[i + k])):
-                        row = (grams[p:p + 1].tobytes(), short[max(0, p - REACH):p][::-1].tobytes(), short[p + GRAM:p + GRAM + REACH].tobytes(), ids[i + k], docs_[i + k], p)
-                        for col, v in zip(out, row):
-                            col.append(v)
-            kinds = [pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=["gram", "before", "after", "rid", "doc_id", "pos"])
+                    at = np.flatnonzero(np.isin(window_minimisers(gram_hashes(own, GRAM)), places[i + k]))
+                    name = gram_hashes(own, MIN_WORDS).view(np.int64)
+                    for x in range(0, len(at), BATCH):
+                        part = at[x:x + BATCH]
+                        out.append((ids[i + k], docs_[i + k], part.astype(np.int32), name[part]))
+                        held += len(part)
+                        if held >= BATCH:
+                            yield emit()
+                            held = 0
+        if out:
+            yield emit()
 
     source = _rows(docs).withColumnRenamed("rid", "_rid").select("_rid", "text")
     joined = source.join(hits, F.col("_rid") == F.col("rid")).dropDuplicates(["rid"])
-    return joined.select("rid", "doc_id", "text", "ats").mapInArrow(run, _SUFFIX)
-
-
-_SUFFIX = "gram binary, before binary, after binary, rid long, doc_id long, pos int"
-_MATCH = "edge boolean, " + _SUFFIX + ", l int, r int, key long"
-
-
-def _common(a: bytes, b: bytes) -> int:
-    """Equal leading 4-byte words."""
-    n = min(len(a), len(b))
-    differ = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
-    return (n - (differ.bit_length() + 7) // 8) // 4
-
-
-def _window_key(gram: bytes, before: bytes, after: bytes, l: int) -> int:
-    """Name of the passage's MIN_WORDS words that lie furthest left around the gram."""
-    words = hashlib.blake2b(gram + before[:4 * l] + after[:4 * (REACH - l)], digest_size=8, salt=bytes([l]))
-    return int.from_bytes(words.digest(), signed=True)
-
-
-def _neighbours(batches):
-    """Matches between rows that follow each other in the sort and come from different documents;
-    rows at the ends of the run come out marked ``edge``."""
-
-    def match(x, y):
-        if x[0] != y[0] or x[3] == y[3]:
-            return
-        l, r = _common(x[1], y[1]), _common(x[2], y[2])
-        if l + GRAM + r >= MIN_WORDS:
-            for z in (x, y):
-                out.append((False, *z, l, r, _window_key(z[0], z[1], z[2], l)))
-
-    def emit():
-        names = [f.split()[0] for f in _MATCH.split(", ")]
-        kinds = [pa.bool_(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-        batch = pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=names)
-        out.clear()
-        return batch
-
-    out: list[tuple] = []
-    run: list[tuple] = []       # the latest rows of one document with one gram
-    other = None                # the row before them
-    head = True
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if head:
-                out.append((True, *row, 0, 0, 0))
-                head = False
-            if run and (run[-1][3] != row[3] or run[-1][0] != row[0]):
-                for x in run:
-                    match(x, row)
-                other, run = run[-1], []
-            elif other is not None:
-                match(other, row)
-            run.append(row)
-            if len(out) >= 2000:
-                yield emit()
-    for x in [*run, *([other] if other else [])]:
-        out.append((True, *x, 0, 0, 0))
-    yield emit()
-
-
-def _matches(suffixes: DataFrame, near: str, far: str) -> DataFrame:
-    spark = suffixes.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key = ["gram", near, far, "doc_id", "rid", "pos"]
-    found = materialize(spark, suffixes.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(_neighbours, _MATCH), "suffix-neighbours")
-    # a few rows per task
-    ends = found.filter("edge").drop("edge", "l", "r", "key").distinct().coalesce(1).sortWithinPartitions(*key)
-    seams = ends.select("gram", "before", "after", "rid", "doc_id", "pos").mapInArrow(_neighbours, _MATCH)
-    return found.unionByName(seams).filter("not edge").select("rid", "doc_id", "pos", "l", "r", "key").distinct()
-
-
-def _merge(spans):
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return out
+    return joined.select("rid", "doc_id", "text", "ats").mapInArrow(run, "rid long, doc_id long, pos int, name long")
+
+
+def _merge(starts: list[int]) -> list[tuple[int, int]]:
+    """Spans of words that the windows at ``starts`` cover; windows that touch are one span."""
+    at = np.unique(np.array(starts, np.int64))
+    cut = np.flatnonzero(np.diff(at) > MIN_WORDS)
+    return [(int(a), int(b) + MIN_WORDS) for a, b in zip(at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]])] if len(at) else []
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -188,31 +126,32 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     shared = places.groupBy("gram").agg(F.min("rid").alias("lo"), F.max("rid").alias("hi")).filter("lo < hi").select("gram")
     shared = materialize(spark, shared, "suffix-shared")
     hits = materialize(spark, places.join(shared, "gram").groupBy("rid", "doc_id").agg(F.collect_list("at").alias("ats")), "suffix-hits")
-    suffixes = materialize(spark, _suffixes(docs, hits.filter(F.size("ats") > 0)), "suffixes")
-    found = materialize(spark, _matches(suffixes, "after", "before").unionByName(_matches(suffixes, "before", "after")).distinct(), "suffix-matches")
-    first = found.groupBy("key").agg(F.min(F.struct("doc_id", "rid")).alias("f")).select("key", F.col("f.rid").alias("_first"))
-    spans = lookup(found, first, ["key"]).select("rid", F.struct((F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + GRAM + F.col("r")).alias("b"), (F.col("rid") != F.col("_first")).alias("later")).alias("s"))
-    spans = materialize(spark, spans.groupBy(F.col("rid").alias("_rid")).agg(F.collect_set("s").alias("spans")), "suffix-spans")
+    windows = materialize(spark, _windows(docs, hits.filter(F.size("ats") > 0)), "suffix-windows")
+    first = windows.groupBy("name").agg(F.min(F.struct("doc_id", "rid")).alias("f"), F.min("rid").alias("lo"), F.max("rid").alias("hi"))
+    first = materialize(spark, first.filter("lo < hi").select("name", F.col("f.rid").alias("_first")), "suffix-first")
+    spans = lookup(windows, first, ["name"]).select(F.col("rid").alias("_rid"), "pos", (F.col("rid") != F.col("_first")).alias("later"))
+    spans = spans.groupBy("_rid").agg(F.collect_list("pos").alias("at"), F.collect_list(F.when(F.col("later"), F.col("pos"))).alias("later"))
+    spans = materialize(spark, spans, "suffix-spans")
 
     def run(batches):
         for batch in batches:
             data, offsets = column_bytes(batch.column(1))
-            texts, all_spans = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            starts, later = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             repeats, removed, count = [], [], []
-            for k, spans_ in enumerate(all_spans):
+            for k in range(batch.num_rows):
                 raw = data[offsets[k]:offsets[k + 1]]
                 _, start, end, _ = word_hashes(raw, np.array([0, len(raw)]))
                 # byte to code point offsets: count bytes that do not continue a character
                 chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                points = lambda s: [{"start": int(chars[start[a]]), "end": int(chars[end[b - 1]])} for a, b in _merge(s)]
-                whole = [(s["a"], s["b"]) for s in spans_]
+                points = lambda s: [{"start": int(chars[start[a]]), "end": int(chars[end[b - 1]])} for a, b in s]
+                whole = _merge(starts[k])
                 repeats.append(points(whole))
-                removed.append(points([(s["a"], s["b"]) for s in spans_ if s["later"]]))
-                count.append(sum(b - a for a, b in _merge(whole)))
+                removed.append(points(_merge(later[k])))
+                count.append(sum(b - a for a, b in whole))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(repeats, kind), pa.array(removed, kind), pa.array(count, pa.int64())], names=["_r", "repeats", "removed", "repeated_words"])
 
-    texts = _rows(docs).join(spans.filter(F.size("spans") > 0), F.col("rid") == F.col("_rid")).select("rid", "text", "spans").dropDuplicates(["rid"])
+    texts = _rows(docs).join(spans.filter(F.size("at") > 0), F.col("rid") == F.col("_rid")).select("rid", "text", "at", "later").dropDuplicates(["rid"])
     hit = texts.mapInArrow(run, "_r long, repeats array<struct<start:long,end:long>>, removed array<struct<start:long,end:long>>, repeated_words long")
     out = anchors.select("rid", "doc_id").join(hit, F.col("rid") == F.col("_r"), "left")
     return out.select("doc_id", F.coalesce("repeats", F.array()).alias("repeats"), F.coalesce("removed", F.array()).alias("removed"), F.coalesce("repeated_words", F.lit(0)).alias("repeated_words"))
