@@ -14,15 +14,13 @@ from tickwise.session import apply_runtime_conf, materialize
 from tickwise.sources.tables import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-# A document passes when its languages are known and its main one has this share of its n-grams.
-MIN_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: documents without a recognisable language go; ``lang`` becomes the prediction."""
+    """Operator 8: documents without a recognisable language go (``langid.classify``: ``known``),
+    however many languages they mix; ``lang`` becomes the prediction."""
     apply_runtime_conf(spark)
-    out = langid.classify(docs)
-    kept = out.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE))
+    kept = langid.classify(docs).filter("known")
     return kept.select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars")
 
 

@@ -179,3 +179,19 @@ def test_second_copies_of_a_passage_inside_longer_matches_go(spark):
     fresh = lambda k: [f"n{rng.randint(10 ** 9)}" for _ in range(k)]
     cuts = [(0, 120), (0, 120), (60, 200), (40, 140), (70, 130), (10, 200), (75, 125)]
     check_passages(spark, [(i, " ".join(fresh(20) + base[a:b] + fresh(20))) for i, (a, b) in enumerate(cuts * 3)])
+
+
+# ---------------------------------------------------------------- mixed and short texts pass language identification
+def test_language_stage_keeps_mixtures_and_short_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    by = {r["lang"]: r["text"] for r in docs.filter("length(text) > 3000 AND lang IS NOT NULL").dropDuplicates(["lang"]).collect()}
+    langs = sorted(by)
+    assert len(langs) >= 3
+    word = by["en"].split()[3]
+    planted = {-1: "\n".join(by[k][:1200] for k in langs), -2: " ".join(by[k][i:i + 100] for i in range(0, 1200, 100) for k in langs),
+               -3: "ok", -4: "the", -5: f"{word} the and", -6: "\u4e2d\u6587\u6587\u672c\u8bed\u8a00" * 60, -7: "12345 67890", -8: "Hi"}
+    extra = spark.createDataFrame([(k, t, None, "s", len(t)) for k, t in planted.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.language_id(spark, docs.select(*extra.columns).unionByName(extra), SF)
+    assert {r["doc_id"] for r in got.filter("doc_id < 0").collect()} == {-1, -2, -3, -4, -5, -8}
+    # no clean document of the table goes
+    assert got.filter("doc_id >= 0").count() == docs.filter("text RLIKE '[a-zA-Z]'").count()

@@ -5,6 +5,10 @@ smoothed n-gram distribution. A document is a mixture of languages: expectation-
 estimates the proportions from the n-gram likelihoods, and languages join the set one by one as
 long as the log-likelihood gains more than a BIC penalty.
 
+A document is ``known`` unless it is ``und`` or the background, all n-grams alike, explains it better
+than the chosen languages by more than that penalty; a text shorter than one n-gram has no evidence
+against it.
+
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties go to the
 language whose name sorts first; without any training rows every text is ``und``.
 """
@@ -108,9 +112,16 @@ def mixture(weights: np.ndarray, logp: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.array(chosen), share
 
 
+def beats_background(weights: np.ndarray, logp: np.ndarray, share: np.ndarray) -> bool:
+    """Whether n-grams all alike do not explain the document better than its languages do."""
+    most = logp.max(axis=1)
+    level = float(weights @ (most + np.log(np.exp(logp - most[:, None]) @ share)))
+    return level + 0.5 * np.log(weights.sum() + 1) + 2.0 > -float(weights.sum()) * np.log(BUCKETS)
+
+
 def identify(docs: DataFrame, labels: list[str], model: np.ndarray, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns with lang_pred, score (the proportion of the predicted language) and
-    languages (the chosen set, by falling proportion)."""
+    """``keep`` columns with lang_pred, score (the proportion of the predicted language),
+    languages (the chosen set, by falling proportion) and known."""
     fields = [f for f in docs.schema.fields if f.name in keep]
     names = [f.name for f in fields]
     if "text" not in names:
@@ -123,7 +134,7 @@ def identify(docs: DataFrame, labels: list[str], model: np.ndarray, keep: tuple[
             text = batch.column(at)
             data, offsets = column_bytes(text)
             plain = text.to_pylist()
-            pred, score, sets = [], [], []
+            pred, score, sets, known = [], [], [], []
             for i, j in row_chunks(offsets):
                 row, bucket = gram_buckets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 pairs, weight = np.unique(row * BUCKETS + bucket, return_counts=True)
@@ -132,21 +143,23 @@ def identify(docs: DataFrame, labels: list[str], model: np.ndarray, keep: tuple[
                     t = plain[i + k]
                     part = slice(edge[k], edge[k + 1])
                     if not labels or t is None or not _LETTER.search(t):
-                        pred.append(UNKNOWN), score.append(0.0), sets.append([])
+                        pred.append(UNKNOWN), score.append(0.0), sets.append([]), known.append(False)
                         continue
                     if edge[k] == edge[k + 1]:  # shorter than one n-gram: no evidence
-                        pred.append(labels[0]), score.append(1.0 / len(labels)), sets.append([])
+                        pred.append(labels[0]), score.append(1.0 / len(labels)), sets.append([]), known.append(True)
                         continue
-                    chosen, share = mixture(weight[part].astype(float), table[pairs[part] % BUCKETS])
+                    weights, logp = weight[part].astype(float), table[pairs[part] % BUCKETS]
+                    chosen, share = mixture(weights, logp)
+                    known.append(beats_background(weights, logp[:, chosen], share))
                     order = sorted(range(len(chosen)), key=lambda x: (-share[x], chosen[x]))
                     pred.append(labels[chosen[order[0]]])
                     score.append(float(min(1.0, max(0.0, share[order[0]]))))
                     sets.append([labels[chosen[x]] for x in order])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(fields))), pa.array(pred, pa.string()), pa.array(score, pa.float64()),
-                                              pa.array(sets, pa.list_(pa.string()))], names=[*(f.name for f in fields), "lang_pred", "score", "languages"])
+                                              pa.array(sets, pa.list_(pa.string())), pa.array(known, pa.bool_())], names=[*(f.name for f in fields), "lang_pred", "score", "languages", "known"])
 
     schema = T.StructType([*fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
-                           T.StructField("languages", T.ArrayType(T.StringType()))])
+                           T.StructField("languages", T.ArrayType(T.StringType())), T.StructField("known", T.BooleanType())])
     return docs.select(*[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
 
 
@@ -164,10 +177,10 @@ def predict_all(docs: DataFrame) -> DataFrame:
     """Learn from the rows that are not held out, predict every row: doc_id, held_out, lang_pred,
     score, languages."""
     rows = docs.select("doc_id", "text", F.coalesce(held_out(), F.lit(False)).alias("held_out"))
-    return identify(rows, *trained(docs), ("doc_id", "held_out"))
+    return identify(rows, *trained(docs), ("doc_id", "held_out")).drop("known")
 
 
 def classify(docs: DataFrame) -> DataFrame:
-    """``docs`` with lang_pred, score and languages (columns of those names are replaced)."""
-    rows = docs.drop("lang_pred", "score", "languages")
+    """``docs`` with lang_pred, score, languages and known (columns of those names are replaced)."""
+    rows = docs.drop("lang_pred", "score", "languages", "known")
     return identify(rows, *trained(docs), tuple(rows.columns))
