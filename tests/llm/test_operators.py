@@ -447,6 +447,6 @@ def test_fast_ids_equal_the_tokenizers(spark):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(packing.default_vocabulary()[1])
     tok.encode_special_tokens = True
-    encode = packing.encoder(packing.default_vocabulary())
+    encode = packing.Encoder(packing.default_vocabulary())
     for t in ["", " ", "a" * 5000, " " * 20_000 + "x", "\r\n\t  x  y", "<|endoftext|>", "'s 'S don't éé 12٣ \U0001f600‍", "\x00\x85 z"]:
         assert encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)

@@ -33,7 +33,7 @@ def test_stages(spark, tmp_path):
 
 
 def test_run_and_registry(spark):
-    assert [n for n in E.queries() if n == "pipeline" or n.startswith("op")].__len__() == 11
+    assert [n for n in E.queries() if n == "pipeline" or n.startswith("op")].__len__() == 14
     assert set(E.oracle_sql()) <= set(E.queries())
     out = E.queries()["pipeline"](spark, SF)
     assert out.count() > 0 and "sequence_id" in out.columns

@@ -18,7 +18,6 @@ its own; repeated rows are packed each; an empty table gives no pieces.
 from __future__ import annotations
 
 import base64
-import functools
 import re
 import zlib
 
@@ -35,8 +34,6 @@ WINDOW = 64 * LENGTH    # tokens of a round: long enough that pieces stay near s
 END_ID = 0
 _LONG_GAP = re.compile(r"\s{10000}")
 
-_ENCODERS: dict = {}
-
 
 def default_vocabulary() -> tuple[str, str]:
     """Paths of the rank file and of the same vocabulary's tokenizer file."""
@@ -44,39 +41,45 @@ def default_vocabulary() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(paths: tuple[str, str]):
-    """Function text -> ids. The rank file gives the ids of the tokenizer file at several times
-    the speed; texts with very long gaps, on which its splitter recurses, go to the latter."""
-    if paths not in _ENCODERS:
-        import public_tokenizers
-        import tiktoken
-        from tokenizers import Tokenizer
-        with open(paths[0], "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f)}
-        fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+class Encoder:
+    """Text -> ids. The rank file gives the ids of the tokenizer file at several times the speed;
+    texts with very long gaps, on which its splitter recurses, go to the latter. The vocabularies
+    are loaded at first use and never travel: a pickled encoder is its paths."""
+
+    def __init__(self, paths: tuple[str, str]):
+        self.paths, self._fast, self._slow = paths, None, None
 
-        @functools.cache
-        def slow() -> Tokenizer:
-            tokenizer = Tokenizer.from_file(paths[1])
-            tokenizer.encode_special_tokens = True
-            return tokenizer
+    def __getstate__(self):
+        return {"paths": self.paths, "_fast": None, "_slow": None}
 
-        def encode(text: str) -> np.ndarray:
-            if _LONG_GAP.search(text):
-                return np.array(slow().encode(text, add_special_tokens=False).ids, np.uint16)
-            return np.array(fast.encode_ordinary(text), np.uint16)
+    def tokens(self) -> dict[int, bytes]:
+        """Bytes of every id."""
+        with open(self.paths[0], "rb") as f:
+            return {int(b): base64.b64decode(a) for a, b in (line.split() for line in f)}
 
-        _ENCODERS[paths] = encode
-    return _ENCODERS[paths]
+    def __call__(self, text: str) -> np.ndarray:
+        if _LONG_GAP.search(text):
+            if self._slow is None:
+                from tokenizers import Tokenizer
+                self._slow = Tokenizer.from_file(self.paths[1])
+                self._slow.encode_special_tokens = True
+            return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint16)
+        if self._fast is None:
+            import public_tokenizers
+            import tiktoken
+            ranks = {raw: i for i, raw in self.tokens().items()}
+            self._fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return np.array(self._fast.encode_ordinary(text), np.uint16)
 
 
 def tokenise(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """doc_id, source, part (the task's number), start (tokens of the same source before the row
     in the task), tokens, ids (little-endian unsigned 16-bit, the end mark last)."""
+    encode = Encoder(paths)
 
     def run(batches):
         from pyspark import TaskContext
-        part, seen, encode = TaskContext.get().partitionId(), {}, encoder(paths)
+        part, seen = TaskContext.get().partitionId(), {}
         for batch in batches:
             ids, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             texts, at = [t or "" for t in batch.column(2).to_pylist()], 0

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import (exact_dedup, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, secret_scan, suffix_dedup)
+from tickwise.llm import (exact_dedup, fingerprints, langid, line_dedup, mixing, ngram_join, packing, quality, rotated_codes,
+                          secret_scan, segment_resampling, suffix_dedup, token_alignment)
 from tickwise.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +95,18 @@ def op9_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_mixture_packing")
 def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op11_rotated_codes")
+def op11_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotated_codes.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+@register("op12_segment_resampling")
+def op12_segment_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"))
