@@ -29,10 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.packing import Encoder
-from tickwise.llm.text import text_runs
+from tickwise.llm.text import row_chunks, text_runs
 from tickwise.session import materialize
 
 BLOCK_LINKS = 1_000_000
+LOOKUP_LINKS = 1 << 16      # links looked up at once
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 _SPACE_PIECE = "▁"
 
@@ -122,12 +123,13 @@ def align(texts: list[str], words: Vocabularies, bytes_a: pa.Array, bytes_b: pa.
     ids_a, ids_b = emptied(ids_a, same), emptied(ids_b, same)
     keys_a, keys_b = end_keys(ids_a, size_a), end_keys(ids_b, size_b)
     links = link(ids_a, ids_b, keys_a, keys_b)
-    cuts = np.unique(links["key"].to_numpy())
+    ends = links["key"].to_numpy()
+    cuts = ends[np.r_[True, ends[1:] != ends[:-1]]] if len(ends) else ends
     groups = pc.binary_join_element_wise(grouped_text(ids_a, keys_a, cuts), grouped_text(ids_b, keys_b, cuts), "|")
     first = np.searchsorted(cuts >> 32, np.arange(n + 1))
     spelled = pc.binary_join(pa.ListArray.from_arrays(pa.array(first, pa.int32()), groups), ";").to_pylist()
     size = lambda ids: pc.list_value_length(ids).to_numpy()
-    held = np.searchsorted(links["key"].to_numpy() >> 32, np.arange(n + 1))
+    held = np.searchsorted(ends >> 32, np.arange(n + 1))
     digests = [hashlib.sha256(s.encode()).hexdigest() if k else "" for s, k in zip(spelled, size(ids_a))]
     return size(ids_a), size(ids_b), np.diff(first), held, digests, links
 
@@ -232,6 +234,8 @@ def alignment(docs: DataFrame, paths: tuple[str, str, str] | None = None, block_
                     continue
                 if known_ is None:
                     known_ = pa.Table.from_batches(held, schema=held[0].schema if held else part.select(["pair", "n", "top"]).schema)
-                yield _looked_up(part, known_)
+                size = np.cumsum(part.column(names.index("n_links")).to_numpy())
+                for i, j in row_chunks(np.r_[0, size], LOOKUP_LINKS):
+                    yield _looked_up(part.slice(i, j - i), known_)
 
     return dealt.mapInArrow(run, RESULT)
