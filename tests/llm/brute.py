@@ -65,3 +65,27 @@ def line_windows(rows):
         left = text if not gone else "\n".join(kept) if any(s.strip(" \t\n\x0b\x0c\r") for s in kept) else ""
         out[doc, text] = left
     return out
+
+
+def kept_of_near_copies(data, k=5, num=8, den=10):
+    """Smallest doc_id of every component, by comparing all pairs that share a shingle."""
+    sets = [shingles(t, k) for _, t in data]
+    parent = list(range(len(data)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    by = defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            by[g].append(i)
+    for a, b in {p for m in by.values() for p in itertools.combinations(m, 2)}:
+        both = len(sets[a] & sets[b])
+        if den * both >= num * (len(sets[a]) + len(sets[b]) - both):
+            parent[find(a)] = find(b)
+    ids = defaultdict(list)
+    for i, (doc, _) in enumerate(data):
+        ids[find(i)].append(doc)
+    return sorted(min(v) for v in ids.values())

@@ -25,7 +25,7 @@ def test_stages(spark, tmp_path):
     want = brute.line_windows(before)
     assert {(r["doc_id"], r["text"]) for r in after.collect()} == {(d, t) for (d, raw), t in want.items() if t or raw == t}
     before, after = results["ngram_jaccard"]
-    assert sorted(r["doc_id"] for r in after.collect()) == sorted({c for _, c in brute.jaccard_components(before).values()})
+    assert sorted(r["doc_id"] for r in after.collect()) == brute.kept_of_near_copies(before)
     before, after = results["source_mixing"]
     assert {r["doc_id"] for r in after.collect()} <= {d for d, _ in before}
     before, after = results["packing"]

@@ -10,36 +10,12 @@ from pyspark.sql import functions as F
 import brute
 from cases import rows
 import corpus_pipeline as P
-from tickwise.llm import mixing, ngram_join, suffix_dedup
+from tickwise.llm import langid, mixing, ngram_join, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 
 
 # ---------------------------------------------------------------- near copies at 5 words, J >= 0.8
-def kept_of_near_copies(data, k=5, num=8, den=10):
-    """Smallest doc_id of every component, by comparing all pairs that share a shingle."""
-    sets = [brute.shingles(t, k) for _, t in data]
-    parent = list(range(len(data)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    by = defaultdict(list)
-    for i, s in enumerate(sets):
-        for g in s:
-            by[g].append(i)
-    for a, b in {p for m in by.values() for p in itertools.combinations(m, 2)}:
-        both = len(sets[a] & sets[b])
-        if den * both >= num * (len(sets[a]) + len(sets[b]) - both):
-            parent[find(a)] = find(b)
-    ids = defaultdict(list)
-    for i, (doc, _) in enumerate(data):
-        ids[find(i)].append(doc)
-    return sorted(min(v) for v in ids.values())
-
-
 def edited(words, edits, name):
     base = [f"{name}w{i}" for i in range(words)]
     other = list(base)
@@ -65,13 +41,13 @@ def test_stage_on_near_copies_as_in_brute_force(spark, words):
             base[rng.randint(words)] = f"e{rng.randint(10 ** 6)}"
         data.append((i, " ".join(base[rng.randint(0, 2):]), "en", "s"))
     got = P.ngram_jaccard(spark, rows(spark, data), SF).collect()
-    assert sorted(r["doc_id"] for r in got) == kept_of_near_copies([r[:2] for r in data])
+    assert sorted(r["doc_id"] for r in got) == brute.kept_of_near_copies([r[:2] for r in data])
 
 
 def test_stage_on_documents_as_in_brute_force(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet").filter("text IS NOT NULL")
     got = P.ngram_jaccard(spark, df, SF).collect()
-    assert sorted(r["doc_id"] for r in got) == kept_of_near_copies([(r["doc_id"], r["text"]) for r in df.collect()])
+    assert sorted(r["doc_id"] for r in got) == brute.kept_of_near_copies([(r["doc_id"], r["text"]) for r in df.collect()])
 
 
 def test_linked_sets_share_a_key_at_any_threshold():
@@ -108,12 +84,46 @@ def test_mix_passes_over_documents_that_do_not_fit(spark, monkeypatch, seed, wal
         mine = [r for r in got if r["sources"] == [name]]
         least = min(r["repeats"] for r in mine)
         gap = round(target) - sum(r["taken"] for r in mine)
-        same = {}
-        for r in mine:
-            assert r["repeats"] - least in (0, 1)
-            if r["repeats"] == least:
-                same[r["doc_id"], r["size"]] = same.get((r["doc_id"], r["size"]), 0) + r["size"]
-        assert gap >= 0 and all(n > gap for n in same.values())
+        assert all(r["repeats"] - least in (0, 1) for r in mine)
+        assert gap >= 0 and all(r["size"] > gap for r in mine if r["repeats"] == least)
+
+
+@pytest.mark.parametrize("walk", [0, 2000])
+def test_mix_takes_equal_rows_one_by_one(spark, monkeypatch, walk):
+    monkeypatch.setattr(mixing, "WALK_ROWS", walk)
+    data = [(None, "a", 6)] * 10 + [(7, "b", 50)] * 4 + [(8, "b", 30)] * 3
+    for weights in ([1, 9], [9, 1], [2, 3]):
+        df = spark.createDataFrame(data, "doc_id long, s string, n long").repartition(4)
+        out, listed = mixing.mix(df, F.array("s"), F.col("n"), weights=lambda names: weights, max_repeat=3)
+        got = out.collect()
+        assert len(got) == len(data)
+        for name, (_, target) in listed.items():
+            mine = [r for r in got if r["sources"] == [name]]
+            gap, least = round(target) - sum(r["taken"] for r in mine), min(r["repeats"] for r in mine)
+            assert 0 <= gap and all(r["size"] > gap for r in mine if r["repeats"] == least) and max(r["repeats"] for r in mine) <= 3
+
+
+def test_flow_costs_no_more_than_any_other(spark):
+    """Against every split of small capacities over the sources."""
+    rng = np.random.RandomState(8)
+
+    def dearest(used, capacity):
+        return sum((u // c) * c * (u // c - 1) // 2 + (u % c) * (u // c) for u, c in zip(used, capacity))
+
+    for _ in range(25):
+        capacity = [int(x) for x in rng.randint(1, 3, 3)]
+        members = [sorted(rng.choice(2, rng.randint(1, 3), replace=False).tolist()) for _ in capacity]
+        quota = [int(x) for x in rng.randint(0, 6, 2)]
+        flow = mixing.min_cost_flow(capacity, members, quota, 3)
+        best = {}
+        choices = [[dict(zip(m, f)) for f in itertools.product(range(3 * c + 1), repeat=len(m)) if sum(f) <= 3 * c] for c, m in zip(capacity, members)]
+        for combo in itertools.product(*choices):
+            got = [sum(f.get(s, 0) for f in combo) for s in range(2)]
+            if all(g <= q for g, q in zip(got, quota)):
+                cost = dearest([sum(f.values()) for f in combo], capacity)
+                best[sum(got)] = min(best.get(sum(got), 1 << 30), cost)
+        total = sum(sum(f.values()) for f in flow)
+        assert total == max(best) and dearest([sum(f.values()) for f in flow], capacity) == best[total]
 
 
 def test_mix_takes_the_short_documents_behind_a_long_one(spark):
@@ -123,7 +133,7 @@ def test_mix_takes_the_short_documents_behind_a_long_one(spark):
         order = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), "n")
         base = base.select(F.col("doc_id").cast("string").alias("_id"), F.col("n").alias("_size"), F.lit("p").alias("_pattern"), order.alias("_order"),
                            F.shiftrightunsigned(order, 64 - mixing.SLICE_BITS).alias("_slice"))
-        rules, hits, _ = mixing._part_pass(base, {"p": 750_000})
+        rules, hits = mixing._part_pass(base, {"p": 750_000})
         swept = [r["_size"] for r in base.collect() if any(r["_size"] <= g and r["_slice"] < e for g, e in rules["p"])]
         listed = [r["_size"] for r in hits.join(base, "_id").collect()]
         assert sum(swept) + sum(listed) == 500_000
@@ -195,3 +205,10 @@ def test_language_stage_keeps_mixtures_and_short_texts(spark):
     assert {r["doc_id"] for r in got.filter("doc_id < 0").collect()} == {-1, -2, -3, -4, -5, -8}
     # no clean document of the table goes
     assert got.filter("doc_id >= 0").count() == docs.filter("text RLIKE '[a-zA-Z]'").count()
+
+
+def test_language_of_texts_without_a_letter(spark):
+    texts = ["½½½½ ²²²² ⅧⅧ", "①②③ 12", "१२३", "ªº words", "x", "—", None]
+    df = rows(spark, [(5 * i + 1, "plain english words are here", "en", "a") for i in range(30)] + [(1000 + i, t, "en", "a") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict_all(df).collect()}
+    assert [got[1000 + i] for i in range(len(texts))] == ["und", "und", "und", "en", "en", "und", "und"]

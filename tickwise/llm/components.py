@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.joins import lookup
-from tickwise.session import materialize
+from tickwise.session import materialize, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = materialize(spark, edges.select("u", "v").filter("u <> v").distinct(), "edges")
     state = _state(edges)
     while state[0]:
-        edges = materialize(spark, _small_star(_large_star(edges)), "edges")
+        before, edges = edges, materialize(spark, _small_star(_large_star(edges)), "edges")
+        release(spark, before)
         last, state = state, _state(edges)
         if state == last:
             break

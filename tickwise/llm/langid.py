@@ -15,8 +15,6 @@ language whose name sorts first; without any training rows every text is ``und``
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,7 +34,11 @@ _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x61:0x7B] = np.arange(0x61, 0x7B)
 _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x80:] = np.arange(0x80, 0x100)
-_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """A letter in the sense of ``str.isalpha``: superscripts, fractions and number forms are none."""
+    return any(c.isalpha() for c in text)
 
 
 def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +144,7 @@ def identify(docs: DataFrame, labels: list[str], model: np.ndarray, keep: tuple[
                 for k in range(j - i):
                     t = plain[i + k]
                     part = slice(edge[k], edge[k + 1])
-                    if not labels or t is None or not _LETTER.search(t):
+                    if not labels or t is None or not has_letter(t):
                         pred.append(UNKNOWN), score.append(0.0), sets.append([]), known.append(False)
                         continue
                     if edge[k] == edge[k + 1]:  # shorter than one n-gram: no evidence

@@ -10,7 +10,8 @@ Only totals by pattern and by source and a few last documents reach the driver.
 its first bits are counted per pattern, and only the slice in which the quota ends is ordered.
 
 Defined results: null text has size 0 and is never taken; a null or empty source array is a
-membership in nothing and never taken; equal places in the order go by doc_id, then size.
+membership in nothing and never taken; equal places in the order go by doc_id, then size; rows that
+repeat doc_id and size are taken one by one; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickwise.llm.ordering import ranked
 from tickwise.session import materialize
 
 MAX_REPEAT = 3
@@ -93,19 +95,19 @@ def min_cost_flow(capacity: list[int], members: list[list[int]], quota: list[int
     return flow
 
 
-def _part_pass(base: DataFrame, gaps: dict[str, int]) -> tuple[dict[str, list[tuple[int, int]]], DataFrame, DataFrame]:
+def _part_pass(base: DataFrame, gaps: dict[str, int]) -> tuple[dict[str, list[tuple[int, int]]], DataFrame]:
     """Documents of each pattern in its seeded order, each one that fits what is left of ``gaps``.
 
     A round takes the slices before the one in which the gap ends, of documents no larger than the
-    gap, and of that slice what fits. The next round goes on with the documents that still fit, until
-    none does. Returns the rounds' (gap, slice) by pattern, the documents taken of end slices, and
-    repeated rows that fit one by one but not together, which are never taken."""
+    gap, and of that slice what fits, rows that repeat doc_id and size one by one. The next round goes on
+    with the documents that still fit, until none does. Returns the rounds' (gap, slice) by pattern and,
+    of end slices, how many (``_n``) of the equal rows (``_m``) are taken."""
     spark = base.sparkSession
-    row = ["_id", "_order", "_size", "_pattern", "_slice"]
-    marks = "_id string, _order long, _pattern string"
+    key = ["_pattern", "_slice", "_order", "_id", "_size"]
+    marks = "_id string, _order long, _pattern string, _n long, _m long"
     rules: dict[str, list[tuple[int, int]]] = {}
-    hits, blocked = spark.createDataFrame([], marks), spark.createDataFrame([], marks)
-    left = base.select(*row)
+    hits = spark.createDataFrame([], marks)
+    left = base.groupBy(*key).agg(F.count("*").alias("_m"))     # equal rows are one
     while gaps:
         open_ = spark.createDataFrame(list(gaps.items()), "_key string, _gap long")
         fit = left.join(F.broadcast(open_), F.col("_pattern") == F.col("_key")).filter("_size > 0 AND _size <= _gap").drop("_key")
@@ -113,41 +115,35 @@ def _part_pass(base: DataFrame, gaps: dict[str, int]) -> tuple[dict[str, list[tu
             fit = materialize(spark, fit, "mixing-left")
             few = fit.limit(WALK_ROWS + 1).collect()
             if len(few) <= WALK_ROWS:
-                return rules, hits.unionByName(spark.createDataFrame(_walk(few), marks)), blocked
-        sums = fit.groupBy("_pattern", "_slice", "_gap").agg(F.sum("_size").alias("n"))
+                return rules, hits.unionByName(spark.createDataFrame(_walk(few), marks))
+        sums = fit.groupBy("_pattern", "_slice", "_gap").agg(F.sum(F.col("_size") * F.col("_m")).alias("n"))
         sums = sums.withColumn("upto", F.sum("n").over(Window.partitionBy("_pattern").orderBy("_slice")))
         ends = sums.filter("upto > _gap").groupBy("_pattern").agg(F.min(F.struct(F.col("_slice").alias("slice"), (F.col("_gap") - F.col("upto") + F.col("n")).alias("room"))).alias("end"))
         end = {r["_pattern"]: (r["end"]["slice"], r["end"]["room"]) for r in ends.collect()}
-        for key, gap in gaps.items():
-            rules.setdefault(key, []).append((gap, end.get(key, (1 << SLICE_BITS, 0))[0]))
+        for name, gap in gaps.items():
+            rules.setdefault(name, []).append((gap, end.get(name, (1 << SLICE_BITS, 0))[0]))
         at = spark.createDataFrame([(k, *v) for k, v in end.items()], "_key string, _end long, _room long")
         marked = fit.join(F.broadcast(at), F.col("_pattern") == F.col("_key")).drop("_key")
-        equal = Window.partitionBy("_pattern", "_order", "_id", "_size")    # rows that are taken alike
-        edge = marked.filter("_slice = _end").withColumn("_all", F.sum("_size").over(equal))
-        running = F.sum(F.when(F.col("_all") <= F.col("_room"), F.col("_size"))).over(Window.partitionBy("_pattern").orderBy("_order", "_id", "_size"))
-        edge = edge.withColumn("extra", (F.col("_all") <= F.col("_room")) & (running <= F.col("_room")))
-        edge = materialize(spark, edge, "mixing-edge")
-        hits = hits.unionByName(edge.filter("extra").select("_id", "_order", "_pattern").distinct())
-        blocked = blocked.unionByName(edge.filter("_all > _room AND _size <= _room").select("_id", "_order", "_pattern").distinct())
-        took = {r["_pattern"]: r["n"] for r in edge.filter("extra").groupBy("_pattern").agg(F.sum("_size").alias("n")).collect()}
+        before = F.coalesce(F.sum(F.col("_size") * F.col("_m")).over(Window.partitionBy("_pattern").orderBy("_order", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        edge = marked.filter("_slice = _end").withColumn("_before", before)
+        edge = materialize(spark, edge.withColumn("_n", F.expr("least(_m, greatest(0L, (_room - _before) div _size))")), "mixing-edge")
+        hits = hits.unionByName(edge.filter("_n > 0").select("_id", "_order", "_pattern", "_n", "_m"))
+        took = {r["_pattern"]: r["n"] for r in edge.groupBy("_pattern").agg(F.sum(F.col("_size") * F.col("_n")).alias("n")).collect()}
         gaps = {k: room - took.get(k, 0) for k, (_, room) in end.items() if room > took.get(k, 0)}
-        left = marked.filter("_slice > _end").select(*row).unionByName(edge.filter("NOT extra AND _all <= _room").select(*row))
-    return rules, hits, blocked
+        # of rows in part taken the rest is larger than the gap that is left
+        left = marked.filter("_slice > _end").select(*key, "_m").unionByName(edge.filter("_n = 0").select(*key, "_m"))
+    return rules, hits
 
 
 def _walk(rows: list) -> list[tuple]:
     """The rounds of ``_part_pass`` for a few rows, one document after the other."""
-    groups: dict[tuple, int] = {}
-    gap = {}
-    for r in rows:
-        key = (r["_pattern"], r["_order"], r["_id"] is not None, r["_id"] or "", r["_size"])
-        groups[key] = groups.get(key, 0) + r["_size"]
-        gap[r["_pattern"]] = r["_gap"]
+    gap = {r["_pattern"]: r["_gap"] for r in rows}
     out = []
-    for (pattern, order, known, name, _), n in sorted(groups.items()):
-        if n <= gap[pattern]:
-            gap[pattern] -= n
-            out.append((name if known else None, order, pattern))
+    for r in sorted(rows, key=lambda r: (r["_pattern"], r["_order"], r["_id"] is not None, r["_id"] or "", r["_size"])):
+        n = min(r["_m"], gap[r["_pattern"]] // r["_size"])
+        if n:
+            gap[r["_pattern"]] -= n * r["_size"]
+            out.append((r["_id"], r["_order"], r["_pattern"], n, r["_m"]))
     return out
 
 
@@ -157,7 +153,7 @@ def mix(docs: DataFrame, sources: Column, size: Column, weights=None, max_repeat
 
     ``sources`` is an array column (a document may belong to several); ``weights(names)`` gives the
     relative weight of each name in the sorted list (default 1, 2, 3 in turn). Targets share all
-    words by weight (``capped_targets``). Rows that repeat doc_id and size are taken alike."""
+    words by weight (``capped_targets``). Of rows that repeat doc_id and size any may be taken, each counts."""
     spark = docs.sparkSession
     own = [c for c in docs.columns if c not in ("sources", "size", "repeats", "taken")]
     members = F.sort_array(F.array_distinct(F.transform(sources, lambda s: F.struct(s.isNull().alias("none"), F.coalesce(s, F.lit("")).alias("name")))))
@@ -177,16 +173,24 @@ def mix(docs: DataFrame, sources: Column, size: Column, weights=None, max_repeat
     flow = min_cost_flow(capacity, [[number[m] for m in p] for p in patterns], [round(t) for t in target], max_repeat)
     quota = [sum(f.values()) for f in flow]
     plan = [(r["_pattern"], q // c if c else 0, q % c if c else 0) for r, q, c in zip(totals, quota, capacity)]
-    rules, hits, blocked = _part_pass(base, {key: rest for key, _, rest in plan if rest})
+    rules, hits = _part_pass(base, {key: rest for key, _, rest in plan if rest})
     plan = spark.createDataFrame([(key, full, rules.get(key, [])) for key, full, _ in plan], "_key string, _full long, _rules array<struct<gap:long,end:long>>")
 
-    out = rows.join(F.broadcast(plan), F.col("_pattern") == F.col("_key"))
-    for marks, flag in ((hits, "_hit"), (blocked, "_blocked")):
-        marks = marks.select(F.col("_id").alias("_m_id"), F.col("_order").alias("_m_order"), F.col("_pattern").alias("_m_pattern"), F.lit(True).alias(flag))
-        same = F.col("doc_id").cast("string").eqNullSafe(F.col("_m_id")) & (F.col("_order") == F.col("_m_order")) & (F.col("_pattern") == F.col("_m_pattern"))
-        out = out.join(marks, same, "left").drop("_m_id", "_m_order", "_m_pattern")
-    swept = F.exists("_rules", lambda r: (F.col("_size") <= r["gap"]) & (F.col("_slice") < r["end"])) & F.col("_blocked").isNull()
-    extra = (swept | F.col("_hit").isNotNull()).cast("long")
+    rows = rows.join(F.broadcast(plan), F.col("_pattern") == F.col("_key"))
+    hits = materialize(spark, hits.select(*[F.col(c).alias(f"_h{c}") for c in hits.columns]), "mixing-hits")
+    same = F.col("doc_id").cast("string").eqNullSafe(F.col("_h_id")) & (F.col("_order") == F.col("_h_order")) & (F.col("_pattern") == F.col("_h_pattern"))
+    part = hits.filter("_h_n < _h_m")       # one group of equal rows per pattern and round at most
+    out = rows.join(hits, same, "left").filter("_h_n is null OR _h_n = _h_m").withColumn("_nth", F.lit(0).cast("long"))
+    if not part.isEmpty():
+        group = ["_pattern", "_order", "_h_id"]
+        placed = ranked(rows.join(F.broadcast(part), same).withColumn("_row", F.monotonically_increasing_id()), [*group, "_row"], "mixing-part")
+        first = placed.groupBy(*group).agg(F.min("place").alias("_first"))
+        first = first.select(*[F.col(c).alias(f"_f{c}") for c in group], "_first")
+        mine = (F.col("_pattern") == F.col("_f_pattern")) & (F.col("_order") == F.col("_f_order")) & F.col("_h_id").eqNullSafe(F.col("_f_h_id"))
+        placed = placed.join(F.broadcast(first), mine).withColumn("_nth", F.col("place") - F.col("_first") + 1)
+        out = out.unionByName(placed.select(*out.columns))
+    swept = F.exists("_rules", lambda r: (F.col("_size") <= r["gap"]) & (F.col("_slice") < r["end"]))
+    extra = (swept | F.coalesce(F.col("_nth") <= F.col("_h_n"), F.lit(False))).cast("long")
     repeats = F.when(F.col("_size") > 0, F.col("_full") + F.coalesce(extra, F.lit(0))).otherwise(0)
     named = F.transform("_members", lambda m: F.when(~m["none"], m["name"]))
     out = out.select(*[F.col(f"`{c}`") for c in own], named.alias("sources"), F.col("_size").alias("size"), repeats.alias("repeats"), (repeats * F.col("_size")).alias("taken"))

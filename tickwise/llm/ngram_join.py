@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from tickwise.llm.components import components
 from tickwise.llm.joins import lookup
 from tickwise.llm.text import column_bytes, lower_ascii, mix64, row_chunks, row_shingles, word_hashes
-from tickwise.session import materialize
+from tickwise.session import materialize, release
 
 WORDS = 3
 # J >= 9/10: 10 * I >= 9 * U, that is 19 * I >= 9 * (a + b)
@@ -261,8 +261,22 @@ def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
     return small.unionByName(dealt.select("d", "n", "cluster", F.concat_ws("/", "cluster", "_class", "_pair.a", "_pair.b").alias("block"), "home"))
 
 
-def _join_blocks(sets: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (u, v) found in the blocks. ``sets``: d, grams (binary)."""
+def _join_blocks(docs: DataFrame, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links (u, v) found in the blocks. ``members``: d, n, cluster and the (doc_id, text_hash) of the
+    row of ``docs`` whose text gives the set. Texts are dealt once to read their sets, sets once to
+    their blocks; rows that repeat a doc_id and text come to a block together and count once."""
+    places = _blocks(members.select("d", "n", "cluster"), num, den).groupBy("d").agg(F.collect_list(F.struct("block", "home")).alias("places"))
+    wanted = lookup(members.select("d", "doc_id", "text_hash"), places, ["d"])
+    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
+    texts = source.join(wanted, (F.col("_doc") == F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
+
+    def read_sets(batches):
+        for batch in batches:
+            raw = [g.tobytes() for sets in gram_sets(batch.column(2), words) for g in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], names=["d", "places", "grams"])
+
+    sets = texts.select("d", "places", "text").mapInArrow(read_sets, "d long, places array<struct<block:string,home:boolean>>, grams binary")
+    rows = sets.select("d", F.explode("places").alias("p"), "grams").select("p.block", "d", "p.home", "grams")
 
     def run(batches):
         held, names, grams, home = None, [], [], []
@@ -276,14 +290,15 @@ def _join_blocks(sets: DataFrame, members: DataFrame, num: int, den: int) -> Dat
                 if block != held:
                     yield done()
                     held, names, grams, home = block, [], [], []
+                if names and names[-1] == d:
+                    home[-1] |= at_home
+                    continue
                 names.append(d)
                 grams.append(np.frombuffer(raw, np.uint64))
                 home.append(at_home)
         yield done()
 
-    blocks = _blocks(members, num, den).withColumnRenamed("d", "_d")
-    rows = blocks.join(sets, F.col("_d") == sets["d"]).select("block", "d", "home", "grams")
-    n = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, "block").sortWithinPartitions("block", "d").mapInArrow(run, "u long, v long")
 
 
@@ -297,29 +312,22 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     shared = materialize(spark, shared, "ngram-shared")
     edges = pairs.join(shared, "key").filter("d <> lo").select(F.col("d").alias("u"), F.col("lo").alias("v"))
     clusters = components(edges)
+    rows = materialize(spark, keyed.drop("keys"), "ngram-rows")
+    release(spark, keyed)
+    release(spark, shared)
     # one row per candidate set; its n-grams are read again from the text that names it
-    named = keyed.select("doc_id", "text_hash", "n", "d").filter("d is not null")
+    named = rows.filter("d is not null")
     one = named.groupBy("d", "n").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text_hash")).alias("m"))
     members = one.join(clusters, F.col("d") == F.col("node")).withColumnRenamed("component", "cluster")
     members = materialize(spark, members.select("d", "n", "cluster", "m.doc_id", "m.text_hash"), "ngram-members")
-
-    def read_sets(batches):
-        for batch in batches:
-            raw = [g.tobytes() for sets in gram_sets(batch.column(1), words) for g in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["d", "grams"])
-
-    source = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_doc"), F.xxhash64("text").alias("_hash"), "text")
-    wanted = members.filter("n > 0").select("d", "doc_id", "text_hash")
-    texts = source.join(wanted, (F.col("_doc") == F.col("doc_id")) & (F.col("_hash") == F.col("text_hash")))
-    sets = texts.select("d", "text").mapInArrow(read_sets, "d long, grams binary").dropDuplicates(["d"])
-    links = materialize(spark, _join_blocks(sets, members.select("d", "n", "cluster"), num, den), "ngram-links")
+    links = materialize(spark, _join_blocks(docs, members.filter("n > 0"), words, num, den), "ngram-links")
+    release(spark, members)
     linked = components(links)
-    rows = lookup(named, linked.select(F.col("node").alias("d"), F.col("component").alias("_l")), ["d"], "left")
-    rows = rows.select("doc_id", "text_hash", "n", F.coalesce("_l", "d").alias("label"))
-    rows = materialize(spark, rows, "ngram-labels")
-    least = rows.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = lookup(rows, least, ["label"]).select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
-    alone = keyed.filter("d is null").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    labels = lookup(named, linked.select(F.col("node").alias("d"), F.col("component").alias("_l")), ["d"], "left")
+    labels = materialize(spark, labels.select("doc_id", "text_hash", "n", F.coalesce("_l", "d").alias("label")), "ngram-labels")
+    least = labels.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    out = lookup(labels, least, ["label"]).select("doc_id", "text_hash", F.col("n").alias("n_shingles"), "component_id")
+    alone = rows.filter("d is null").select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return out.unionByName(alone)
 
 

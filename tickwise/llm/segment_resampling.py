@@ -26,10 +26,11 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwise.llm.joins import lookup
+from tickwise.llm.ordering import ranked
 from tickwise.llm.text import column_bytes, lower_ascii, row_chunks
 from tickwise.session import materialize
 
@@ -205,30 +206,6 @@ def gain_sums(rows: DataFrame, keys: list[str], gain: np.ndarray, schema: str) -
     return rows.select(*keys, "features").mapInArrow(run, f"{schema}, g long")
 
 
-def ranked(rows: DataFrame, order: list, name: str) -> DataFrame:
-    """``rows`` with ``place`` (from 1) by ``order``, which must tell all rows apart: ranges are sorted one
-    by one and start at the number of rows before them."""
-    spark = rows.sparkSession
-    fields = rows.schema
-
-    def run(batches):
-        from pyspark import TaskContext
-        part, at = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at + 1, at + n + 1))],
-                                             names=[*batch.schema.names, "_part", "_at"])
-            at += n
-
-    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields) + ", _part int, _at long"
-    laid = materialize(spark, dealt.mapInArrow(run, schema), name)
-    # one row per range, as many as partitions
-    before = F.coalesce(F.sum("n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    base = laid.groupBy("_part").agg(F.count("*").alias("n")).select("_part", before.alias("_base"))
-    return laid.join(F.broadcast(base), "_part").select(*[f.name for f in fields], (F.col("_base") + F.col("_at")).alias("place"))
-
-
 def resample(docs: DataFrame, target: DataFrame, percent: int = KEEP_PERCENT, least: int = LEAST_WORDS, buckets: int = BUCKETS, seed: int = SEED) -> DataFrame:
     """Per row of ``docs``: doc_id, n_features, weight, score, rank (null if not drawn). ``target``: a
     table whose column ``text`` shows the wanted distribution."""
