@@ -86,17 +86,6 @@ def test_select_best_rules(spark):
     assert best == {"A": "LinearRegression", "B": "RandomForest"}
 
 
-def test_spark_ml_trees_per_key(spark, feats):
-    metrics, fitted = ML.evaluate_per_key(spark, feats, ["A"], ["RandomForest", "GBT"], parallelism=2)
-    rows = metrics.collect()
-    assert {r.name for r in rows} == {"RandomForest", "GBT"}
-    assert all(math.isfinite(r.r2) and r.mae >= 0 for r in rows)
-    assert set(fitted) == {("A", "RandomForest"), ("A", "GBT")}
-    refit = ML.refit_per_key(feats, [("A", "RandomForest")])
-    fc = FC.forecast_with_model(FC.context(feats.where("symbol = 'A'")), ML.model_predictor(refit["A"])).collect()
-    assert len(fc) == 10 and all(math.isfinite(r.price) for r in fc)
-
-
 def test_forecast_job_outputs_and_small_run_keeps_previous(spark, tmp_path):
     import json
     from tickwise.plans.forecast_job import build_forecast, write_forecast_outputs
@@ -123,14 +112,6 @@ def test_one_feature_closed_form_equals_general_solve(spark):
     assert closed["C"] == pytest.approx((4.5, 0.0))
 
 
-def test_waves_cover_every_item_once(spark):
-    from tickwise.plans.forecast_job import _waves
-    step = lambda xs: spark.createDataFrame([(x,) for x in xs], "x long")
-    assert sorted(r.x for r in _waves(spark, iter(range(7)), 3, "waves", step).collect()) == list(range(7))
-    assert _waves(spark, iter(()), 3, "waves", step).count() == 0
-    assert _waves(spark, iter(()), 3, "waves", lambda xs: None) is None
-
-
 @pytest.mark.parametrize("noise", [1e-2, 1e-5, 1e-7])
 def test_least_squares_keeps_its_digits_around_a_large_mean(spark, noise):
     rng = random.Random(5)

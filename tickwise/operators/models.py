@@ -1,27 +1,21 @@
-"""Spark ML model set, validation and refit.
-
-Linear regression runs keyed for every key at once (``regression.py``: sufficient statistics,
-no per-key job). Tree models cannot be trained per key inside one Spark ML job, so each
-(key, model) fit is its own distributed Spark job over that key's rows of a materialized
-feature table; fits are submitted concurrently from a small thread pool, for a wave of keys at a
-time (``WAVE_KEYS``), and each wave's results are written before the next starts, so the driver
-never holds more than one wave of models.
+"""Model set and validation metrics.
+
+All models run keyed, for every key at once: linear regression by sufficient statistics
+(``regression.py``), tree models by merged histograms (``trees.py``). The Spark ML pipelines of the
+same models (one series at a time) are kept for single series and as the yardstick of the tests.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import IllegalArgumentException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from tickwise.operators import trees as TR
 from tickwise.operators.regression import regression_metrics
 from tickwise.schemas import FEATURE_COLS
 
@@ -31,26 +25,6 @@ LABEL = "pct_change"
 from tickwise.constants import (GBT_DEPTH, GBT_ITER, LR_MAX_ITER, MAE_DIGITS,  # noqa: E402
                                 MODEL_ORDER, R2_DIGITS, RF_DEPTH, RF_TREES, SEED)
 
-# Keys whose models the driver holds at once.
-WAVE_KEYS = 64
-# Rows per partition of one key's training input: Spark ML runs several small jobs per tree
-# level and iteration, so a small key should not be spread over many tiny tasks.
-ROWS_PER_FIT_PARTITION = 500_000
-
-
-def key_rows(split: DataFrame, keys: Sequence, key: str = "symbol") -> dict:
-    """Feature rows per key for a bounded key list (one small aggregate)."""
-    sub = split.where(F.col(key).isin(list(keys)))
-    return {r[0]: r[1] for r in sub.groupBy(key).agg(F.count(F.lit(1))).collect()}
-
-
-def _key_input(split: DataFrame, key: str, value, rows: int | None) -> DataFrame:
-    part = split.where(F.col(key) == F.lit(value))
-    if rows:
-        part = part.coalesce(max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION)))
-    return part
-
-
 def make_estimator(name: str, label: str = LABEL):
     """M3 linear regression, M4 random forest, M5 gradient-boosted trees."""
     if name == "LinearRegression":
@@ -77,44 +51,20 @@ def round_metrics(m: DataFrame) -> DataFrame:
     return m.withColumn("r2", F.round("r2", R2_DIGITS)).withColumn("mae", F.round("mae", MAE_DIGITS))
 
 
-def _fit_eval(split: DataFrame, key: str, value, name: str, order: int, label: str, n_rows=None):
-    rows = _key_input(split, key, value, n_rows)
-    train, val = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "val")
-    try:
-        fitted = make_pipeline(name, label).fit(train)
-        m = regression_metrics(fitted.transform(val), [key], label).first()
-        return (value, name, order, float(m["r2"]), float(m["mae"])), (value, name, fitted)
-    except IllegalArgumentException as e:  # M7: a model that its data does not allow is reported and skipped
-        print(f"model {name} failed for {key}={value}: {str(e)[:200]}")
-        return None, None
-
-
-def evaluate_per_key(spark: SparkSession, split: DataFrame, keys: Sequence, models: Sequence[str],
-                     key: str = "symbol", label: str = LABEL, parallelism: int = 4) -> tuple[DataFrame, dict]:
-    """M3-M7 via Spark ML for each (key, model): validation metrics DataFrame
-    (key, name, order, r2, mae -- unrounded) and the fitted train models."""
-    sizes = key_rows(split, keys, key)
-    jobs = [(k, n, MODEL_ORDER.index(n)) for k in keys for n in models]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        res = list(pool.map(lambda j: _fit_eval(split, key, j[0], j[1], j[2], label, sizes.get(j[0])), jobs))
-    schema = T.StructType([T.StructField(key, split.schema[key].dataType), T.StructField("name", T.StringType()),
-                           T.StructField("order", T.IntegerType()), T.StructField("r2", T.DoubleType()),
-                           T.StructField("mae", T.DoubleType())])
-    metrics = spark.createDataFrame([r for r, _ in res if r is not None], schema)
-    fitted = {(k, n): m for _, fm in res if fm is not None for k, n, m in [fm]}
-    return metrics, fitted
-
-
-def refit_per_key(split: DataFrame, winners: Sequence[tuple], key: str = "symbol", label: str = LABEL,
-                  parallelism: int = 4) -> dict:
-    """M8: refit each key's winning pipeline on all its feature rows."""
-    sizes = key_rows(split, [k for k, _ in winners], key)
-
-    def fit(kn):
-        k, n = kn
-        return (k, make_pipeline(n, label).fit(_key_input(split, key, k, sizes.get(k))))
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        return dict(pool.map(fit, winners))
+def tree_metrics(train: DataFrame, val: DataFrame, name: str, key: str = "symbol", label: str = LABEL,
+                 features: Sequence[str] = FEATURE_COLS) -> DataFrame:
+    """M4 / M5 + A7: validation metrics (key, name, order, r2, mae) of trees fitted on ``train``, all keys at once."""
+    spec = TR.KINDS[name]
+    pred = TR.predict(val, TR.fit(train, key, features, label, spec), key, features, label, spec)
+    return regression_metrics(pred, [key], label).select(
+        key, F.lit(name).alias("name"), F.lit(MODEL_ORDER.index(name)).alias("order"), "r2", "mae")
+
+
+def missing_models(metrics: DataFrame, keys: DataFrame, names: Sequence[str], key: str = "symbol") -> DataFrame:
+    """M7: (key, name) without a usable validation result -- no model, or an R^2 that is not a number."""
+    usable = metrics.where(F.col("r2").isNotNull() & ~F.isnan("r2")).select(key, "name")
+    every = keys.select(key).distinct().select(key, F.explode(F.array(*[F.lit(n) for n in names])).alias("name"))
+    return every.join(usable, [key, "name"], "left_anti")
 
 
 def model_predictor(model: PipelineModel):

@@ -230,15 +230,17 @@ def feature_table(spark, base: DataFrame, s: Series = Series(), width: float | N
     One full shuffle: the (key, chunk) windows compute the features and, in the same pass,
     each row's number inside its chunk. The rows are then written once to the shared
     checkpoint folder (``materialize_rows``), so nothing downstream re-runs the windows. Global
-    positions add the chunk's offset from a one-row-per-chunk summary, broadcast after a
-    bounded count (it has about rows / ``target_rows`` entries), so the rows are never
-    shuffled again."""
+    positions add the chunk's offset from a one-row-per-chunk summary, written once too and
+    broadcast after a byte check (it has about rows / ``target_rows`` entries), so the rows are
+    never shuffled again and the input is not read by any later step."""
     f = series_features(base, s, width, leak_free, target_rows)
     f = f.withColumn("_rn", F.row_number().over(Window.partitionBy(s.key, CHUNK).orderBy(*s.order())))
     if materialize_rows:
         f = materialize(spark, f, "features")
     sizes = f.groupBy(s.key, CHUNK).agg(F.max("_rn").alias("_cnt"))
     offsets = _offsets(sizes, s, key_sizes(base, s.key))
+    if materialize_rows:    # finished: no later step scans the input or counts the chunks again
+        offsets = materialize(spark, offsets, "feature-offsets")
     j = join_small(f, offsets, (f[s.key] == offsets["_k"]) & (f[CHUNK] == offsets["_c"]), check=True)
     return j.withColumn("pos", (F.col("_off") + F.col("_rn")).cast("long")).drop("_k", "_c", "_off", "_rn")
 

@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from itertools import batched, chain
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickwise.functions.scalar import iso_utc
 from tickwise.operators import forecast as FC
 from tickwise.operators import models as ML
 from tickwise.operators import regression as RG
 from tickwise.operators import series as S
+from tickwise.operators import trees as TR
 from tickwise.operators.lookup import join_small
 from tickwise.schemas import FEATURE_COLS, FORECAST_ENTRY
-from tickwise.session import scratch_path
+from tickwise.session import materialize
 
 
 def _empty(spark: SparkSession) -> DataFrame:
@@ -23,31 +23,13 @@ def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _waves(spark: SparkSession, items, size: int, name: str, step) -> DataFrame | None:
-    """``step`` of each ``size`` items, appended to one scratch table; the table, or ``None`` when
-    no step gave one."""
-    path, schema = scratch_path(spark, name), None
-    for wave in chain([()], batched(items, size)):
-        out = step(list(wave))
-        if out is not None:
-            out.write.mode("append").parquet(path)
-            schema = out.schema
-    return None if schema is None else spark.read.schema(schema).parquet(path)
-
-
 def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str] = tuple(ML.MODEL_ORDER),
                    keys: Sequence[str] | None = None, horizon: int = FC.HORIZON, width: float | None = None,
-                   leak_free: bool = False, consistent: bool = False, parallelism: int | None = None,
-                   materialize_features: bool = True, wave_keys: int = ML.WAVE_KEYS) -> DataFrame:
+                   leak_free: bool = False, consistent: bool = False, materialize_features: bool = True) -> DataFrame:
     """Per symbol: history (last 50 points), forecast (``horizon`` points) and the winning
     model (name, R^2, MAE). ``prices`` are normalized price events (symbol, price_usd,
-    event_ts, seq). ``keys`` is the optional allow-list (P4); per-key work is keyed, the
-    original's per-key filter (P3) survives only as the row filter of each per-key tree fit.
-    Tree models are fitted per key, ``wave_keys`` keys at a time, and each wave's metrics and
-    forecasts are appended to a table; the linear model takes all keys in one plan."""
-    # concurrent per-key fits; each is a long chain of small jobs (GBT: ~7 per iteration), so
-    # more threads mostly contend for the driver's scheduler
-    parallelism = parallelism or 4
+    event_ts, seq). ``keys`` is the optional allow-list (P4), the row filter that stands for the
+    original's filter per key (P3). Every model fits, validates and forecasts all keys in one plan."""
     base = S.base_series(prices)
     if keys is not None:
         base = base.where(F.col("symbol").isin(list(keys)))
@@ -65,14 +47,13 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
         metrics.append(RG.regression_metrics(pred, ["symbol"], ML.LABEL)
                        .select("symbol", F.lit("LinearRegression").alias("name"), F.lit(0).alias("order"), "r2", "mae"))
     trees = [m for m in models if m != "LinearRegression"]
-    if trees:
-        keys_seen = (r[0] for r in sp.select("symbol").distinct().toLocalIterator())
-        metrics.append(_waves(spark, keys_seen, wave_keys, "tree-metrics",
-                              lambda ks: ML.evaluate_per_key(spark, sp, ks, trees, parallelism=parallelism)[0]))
+    metrics += [ML.tree_metrics(train, val, name) for name in trees]
     allm = metrics[0]
     for m in metrics[1:]:
         allm = allm.unionByName(m)
     best = FC.select_best(ML.round_metrics(allm))
+    if trees:
+        best = materialize(spark, best, "winners")
 
     ctx = FC.context(sp)
     outs = []
@@ -81,18 +62,12 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
         coefs_all = RG.fit_keyed_ols(sp, "symbol", FEATURE_COLS, ML.LABEL)  # M8 refit on all rows
         ctx_lr = join_small(ctx, lr_keys, F.col("symbol") == F.col("_bk"), "left_semi")
         outs.append(FC.forecast_linear(ctx_lr, coefs_all, horizon=horizon, consistent=consistent))
-    if trees:
-        winners = ((r["symbol"], r["name"]) for r in best.where(F.col("name") != "LinearRegression").toLocalIterator())
-
-        def forecast_wave(pairs):
-            parts = [FC.forecast_with_model(ctx.where(F.col("symbol") == F.lit(k)), ML.model_predictor(model),
-                                            horizon=horizon, consistent=consistent)
-                     for k, model in ML.refit_per_key(sp, pairs, parallelism=parallelism).items()]
-            return reduce(DataFrame.unionByName, parts) if parts else None
-
-        tree_fc = _waves(spark, winners, wave_keys, "tree-forecasts", forecast_wave)
-        if tree_fc is not None:
-            outs.append(tree_fc)
+    for name in trees:  # M8: the winner refits on all rows of its keys
+        mine = best.where(F.col("name") == name).select(F.col("symbol").alias("_bk"))
+        spec = TR.KINDS[name]
+        models_all = TR.fit(join_small(sp, mine, F.col("symbol") == F.col("_bk"), "left_semi"), "symbol", FEATURE_COLS, ML.LABEL, spec)
+        steps = TR.forecast(ctx, models_all, "symbol", FEATURE_COLS, spec, horizon, consistent)
+        outs.append(steps.select("symbol", "step", "ts", iso_utc(F.col("ts")).alias("timestamp"), "price", "pct"))
     if not outs:
         return _empty(spark)
     fc = outs[0]
