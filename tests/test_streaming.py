@@ -144,13 +144,11 @@ def test_two_topic_pipeline(spark, tmp_path):
                             "change_24h": 0.0, "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
     _write_lines(rss_src, [{"article_id": "x", "title": "t", "link": "l", "summary": "", "published": "",
                             "source": "s", "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
-    api = kafka.read_topic(spark, "api", PRICE_EVENT, fmt="json", path=str(api_src))
-    rss_s = kafka.read_topic(spark, "rss", NEWS_EVENT, fmt="json", path=str(rss_src))
-    qs = ingest.start_pipeline(api, rss_s, root, trigger="availableNow",
-                               snapshot_fns={"api": snapshots.price_snapshot_writer(f"{root}/live_api"),
-                                             "rss": snapshots.news_snapshot_writer(f"{root}/live_rss")})
-    for q in qs:
-        q.awaitTermination(120)
+    stream = kafka.read_topics(spark, {"api": str(api_src), "rss": str(rss_src)}, fmt="json")
+    q = ingest.start_pipeline(stream, root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, trigger="availableNow",
+                              snapshot_fns={"api": snapshots.price_snapshot_writer(f"{root}/live_api"),
+                                            "rss": snapshots.news_snapshot_writer(f"{root}/live_rss")})
+    q.awaitTermination(120)
     assert spark.read.parquet(f"{root}/api").count() == 1 and spark.read.parquet(f"{root}/rss").count() == 1
     assert spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_rss", 99)).first().article_id == "x"
     assert spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_api", 99)).first().symbol == "BTC"
@@ -185,3 +183,60 @@ def test_cli_land_analysis_forecast(spark, tmp_path):
     doc = read_document(f"{out}/forecast")
     assert len(doc["BTC"]["forecast"]) == 10
     assert read_document(f"{out}/spark_results")["statistik"][0]["jumlah_data"] == 60
+
+
+def _price(symbol, price, t="2026-05-04T07:00:00+00:00"):
+    return {"symbol": symbol, "coin_id": "c", "price_usd": float(price), "price_idr": 1.0, "change_24h": 0.0, "timestamp": t}
+
+
+def test_rows_of_one_second_keep_their_arrival_order(spark, tmp_path):
+    from tickwise.plans.analysis_job import normalize_prices
+    from tickwise.sources.landing import read_landing
+    src, ck = tmp_path / "src", str(tmp_path / "ck")
+    for b in range(2):
+        _write_lines(src, [_price("BTC", 100 * b + i) for i in range(40)], f"{b}.json")
+        for fmt in ("parquet", "json"):
+            ingest.land(kafka.read_topic(spark, "api", PRICE_EVENT, fmt="json", path=str(src)), str(tmp_path / fmt), f"{ck}-{fmt}", "availableNow", fmt=fmt).awaitTermination(120)
+    want = [float(100 * b + i) for b in range(2) for i in range(40)]
+    for layout, path in (("parquet", "parquet"), ("lines", "json"), ("lines", "src")):
+        rows = normalize_prices(read_landing(spark, str(tmp_path / path), PRICE_EVENT, layout))
+        assert rows.select("seq").distinct().count() == 80
+        assert [r.price_usd for r in rows.repartition(7).orderBy("seq").collect()] == want
+        assert snapshot.latest_per_key(rows.repartition(5), "symbol", ["event_ts", "seq"]).first().price_usd == 139.0
+
+
+def test_offsets_order_the_rows_of_a_partition(spark, tmp_path):
+    rows = [("BTC", "bitcoin", float(o), 1.0, 0.1, "t", "api", p, o) for p in (10, 2) for o in (7, 30, 4)]
+    batch = spark.createDataFrame(rows, PRICE_EVENT.fields and ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PRICE_EVENT.fields)
+                                  + ", _topic string, _partition int, _offset long").repartition(3)
+    snapshots.price_snapshot_writer(str(tmp_path / "s"))(batch, 0)
+    assert spark.read.parquet(snapshots.latest_version_below(spark, str(tmp_path / "s"), 1)).first().price_usd == 30.0
+
+
+def test_a_replayed_batch_adds_nothing(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    batch = spark.createDataFrame([(json.dumps(_price("BTC", i)), "api", f"f{i % 2}") for i in range(6)]
+                                  + [(json.dumps({"article_id": f"a{i}", "title": "t", "link": "l"}), "rss", "f0") for i in range(3)]
+                                  + [("{broken", "api", "f0"), ("{}", "other", "f0")], "value string, _topic string, _file string").coalesce(1)
+    run = ingest.router(root, {"api": PRICE_EVENT, "rss": NEWS_EVENT},
+                        {"api": snapshots.price_snapshot_writer(f"{root}/live_api"), "rss": snapshots.news_snapshot_writer(f"{root}/live_rss")})
+    seen = []
+    for _ in range(2):
+        run(batch, 3)
+        seen.append([sorted(map(str, spark.read.parquet(f"{root}/{t}").collect())) for t in ("api", "rss")]
+                    + [spark.read.parquet(snapshots.latest_version_below(spark, f"{root}/live_{t}", 9)).collect() for t in ("api", "rss")])
+    assert seen[0] == seen[1]
+    assert [len(x) for x in seen[0]] == [6, 3, 1, 3] and seen[0][2][0].price_usd == 5.0
+    run(batch.limit(0), 4)
+    assert len(spark.read.parquet(f"{root}/api").collect()) == 6
+
+
+def test_a_lost_checkpoint_does_not_overwrite_landed_batches(spark, tmp_path):
+    import pytest
+    src, out = tmp_path / "src", str(tmp_path / "land")
+    _write_lines(src, [_price("BTC", 1)], "1.json")
+    stream = lambda: kafka.read_topic(spark, "api", PRICE_EVENT, fmt="json", path=str(src))
+    ingest.land(stream(), out, str(tmp_path / "ck"), "availableNow").awaitTermination(120)
+    with pytest.raises(ValueError):
+        ingest.land(stream(), out, str(tmp_path / "new"), "availableNow")
+    assert spark.read.parquet(out).count() == 1

@@ -56,20 +56,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         write_forecast_outputs(spark, res, args.out)
     else:
         from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
-        from tickwise.sources.kafka import read_topic
+        from tickwise.sources.kafka import read_topics
         from tickwise.streaming import ingest, snapshots
-        topic_src = {"api": args.api_src, "rss": args.rss_src}
-        kw = {"bootstrap": args.bootstrap} if args.format == "kafka" else {}
         # for Kafka the source argument is the topic name, for files it is the directory
-        api = read_topic(spark, topic_src["api"] if args.format == "kafka" else "api",
-                         PRICE_EVENT, fmt=args.format, path=topic_src["api"], **kw)
-        rss = read_topic(spark, topic_src["rss"] if args.format == "kafka" else "rss",
-                         NEWS_EVENT, fmt=args.format, path=topic_src["rss"], **kw)
-        qs = ingest.start_pipeline(api, rss, args.root, args.trigger, snapshot_fns={
+        stream = read_topics(spark, {"api": args.api_src, "rss": args.rss_src}, fmt=args.format, bootstrap=args.bootstrap)
+        query = ingest.start_pipeline(stream, args.root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, args.trigger, snapshot_fns={
             "api": snapshots.price_snapshot_writer(f"{args.root}/live_api"),
             "rss": snapshots.news_snapshot_writer(f"{args.root}/live_rss")})
-        for q in qs:
-            q.awaitTermination()
+        query.awaitTermination()
     return 0
 
 

@@ -9,13 +9,14 @@ from tickwise.functions.scalar import parse_ts
 from tickwise.operators import documents as DOC
 from tickwise.operators import stats
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
+from tickwise.sources.arrival import arrival_order
 from tickwise.sources.landing import load_or_empty, record_counts, write_result
 
 
 def normalize_prices(raw: DataFrame) -> DataFrame:
-    """Landed price_event rows -> typed events with ``event_ts`` and an arrival key ``seq``."""
-    arrival = [F.col(c) for c in ("_file_mtime", "_file", "_pos") if c in raw.columns]
-    return raw.withColumn("event_ts", parse_ts("timestamp")).withColumn("seq", F.struct(*arrival))
+    """Landed price_event rows -> typed events with ``event_ts`` and an arrival key ``seq`` that tells
+    all rows apart (R8)."""
+    return raw.withColumn("event_ts", parse_ts("timestamp")).withColumn("seq", F.struct(*arrival_order(raw)))
 
 
 def normalize_news(raw: DataFrame) -> DataFrame:

@@ -343,6 +343,7 @@ def q_source_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ================================================================ fit, metrics, selection, forecast
 from tickwise.operators import forecast as FC  # noqa: E402
 from tickwise.operators import regression as RG  # noqa: E402
+from tickwise.schemas import FEATURE_COLS  # noqa: E402
 
 _SQL_SPLIT = _SQL_FEATURES + """,
 sp AS (
@@ -669,6 +670,84 @@ def q_ml_forecast_lr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _forecast_rows(build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"]))
 
 
+def _sql_ols7(src: str, name: str) -> str:
+    """Least squares of pct_change on the seven features per symbol over ``src``, by orthogonalising the
+    columns one after the other; ``name`` has b0 (intercept) to b7."""
+    feats = ["1.0", *FEATURE_COLS]
+    out = [f"{name}_g0 AS MATERIALIZED (SELECT symbol, " + ", ".join(f"{c} AS z{i}" for i, c in enumerate(feats)) + f", pct_change AS y FROM {src})"]
+    for k in range(8):
+        later = [f"sum(z{k} * z{j}) / sum(z{k} * z{k}) AS r{k}_{j}" for j in range(k + 1, 8)]
+        out.append(f"{name}_r{k} AS MATERIALIZED (SELECT symbol, " + ", ".join([*later, f"sum(z{k} * y) / sum(z{k} * z{k}) AS beta{k}"]) + f" FROM {name}_g{k} GROUP BY symbol)")
+        if k < 7:
+            out.append(f"{name}_g{k + 1} AS MATERIALIZED (SELECT symbol, " + ", ".join([*[f"z{j} - r{k}_{j} * z{k} AS z{j}" for j in range(k + 1, 8)], f"y - beta{k} * z{k} AS y"])
+                       + f" FROM {name}_g{k} JOIN {name}_r{k} USING (symbol))")
+    back = [f"beta{k}" + "".join(f" - r{k}_{j} * b{j}" for j in range(k + 1, 8)) + f" AS b{k}" for k in range(7, -1, -1)]
+    joins = " ".join(f"JOIN {name}_r{k} USING (symbol)" for k in range(1, 8))
+    out.append(f"{name} AS MATERIALIZED (SELECT symbol, " + ", ".join(back) + f" FROM {name}_r0 {joins})")
+    return ",\n".join(out)
+
+
+def _sql_pred7(values: list[str]) -> str:
+    return "b0 + " + " + ".join(f"b{i + 1} * ({v})" for i, v in enumerate(values))
+
+
+# Features of the next step from the lists of prices (p) and changes (c) so far.
+_SQL_STEP7 = ["c[-1]", "coalesce(c[-2], c[-1])", "coalesce(c[-3], c[-2], c[-1])",
+              "coalesce(p[-1] / nullif(list_avg(p[-7:]), 0), 1)", "coalesce(list_avg(p[-7:]) / nullif(list_avg(p[-14:]), 0), 1)",
+              "sqrt(list_var_pop(c[-7:]))", "coalesce((p[-1] - p[-5]) / nullif(p[-5], 0) * 100, 0)"]
+_FAR = 1e12     # beyond, a forecast counts as diverged: its digits depend on the last bit of the coefficients
+
+
+@register("linear_forecast_seven", "WITH RECURSIVE " + _SQL_SPLIT + "," + _sql_ols7("(SELECT * FROM sp WHERE split = 'train')", "fit") + "," + _sql_ols7("sp", "refit") + f""",
+met AS (
+  SELECT symbol, round(1 - sum((pct_change - yhat) ^ 2) / (sum(pct_change * pct_change) - sum(pct_change) * sum(pct_change) / count(*)), 4) AS r2,
+         avg(abs(pct_change - yhat)) AS mae
+  FROM (SELECT sp.*, {_sql_pred7(FEATURE_COLS)} AS yhat FROM sp JOIN fit USING (symbol) WHERE split = 'val') GROUP BY symbol),
+iv AS (
+  SELECT symbol, max(ts) AS last_ts, CAST(CASE WHEN max(n) > 1 THEN round_even(
+           (max(ts) FILTER (WHERE pos = n) - max(ts) FILTER (WHERE pos = greatest(1, n - 10)))
+           / (max(n) - greatest(1, max(n) - 10)), 0) ELSE 60 END AS BIGINT) AS interval_s
+  FROM sp GROUP BY symbol),
+ctx AS (SELECT symbol, list(price ORDER BY pos) AS p, list(pct_change ORDER BY pos) AS c FROM sp WHERE pos > n - 15 GROUP BY symbol),
+rec(symbol, step, p, c) AS (
+  SELECT symbol, 0, p, c FROM ctx
+  UNION ALL
+  SELECT symbol, step + 1, list_append(p, round(p[-1] * (1 + pct / 100), 2)), list_append(c, pct)
+  FROM (SELECT r.*, {_sql_pred7(_SQL_STEP7)} AS pct FROM rec r JOIN refit USING (symbol) WHERE step < 10 AND abs(p[-1]) <= {_FAR:.0f}))
+SELECT symbol, CAST(s.step AS BIGINT) AS step,
+       strftime(make_timestamp(CAST((last_ts + interval_s * s.step) * 1000000 AS BIGINT)), '%Y-%m-%dT%H:%M:%S') || '+00:00' AS timestamp,
+       CASE WHEN abs(rec.p[-1]) < 100000 THEN printf('%.2f', rec.p[-1]) WHEN abs(rec.p[-1]) <= {_FAR:.0f} THEN printf('%.4e', rec.p[-1]) ELSE 'diverged' END AS price, r2 + 0.0 AS r2, printf('%.6e', mae) AS mae
+FROM met JOIN iv USING (symbol) CROSS JOIN generate_series(1, 10) s(step) LEFT JOIN rec USING (symbol, step)
+""")
+def q_linear_forecast_seven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seven-feature linear model of every key -- fit on the
+    training rows, validated, refit on all rows -- and its 10-step recursive forecast. Prices are shown
+    to the cent, from 100,000 on with five digits; a key's steps from the first price beyond 10^12 on are shown as diverged."""
+    res = build_forecast(spark, price_events(spark, sf_dir), models=["LinearRegression"])
+    near = F.forall(F.slice("forecast", 1, F.col("i") + 1), lambda f: F.coalesce(F.abs(f["price"]) <= F.lit(_FAR), F.lit(False)))
+    pts = res.select("symbol", "model", "forecast", F.posexplode("forecast").alias("i", "p"))
+    return pts.select("symbol", (F.col("i") + 1).cast("long").alias("step"), F.col("p.timestamp").alias("timestamp"),
+                      F.when(near & (F.abs("p.price") < 100000), F.format_string("%.2f", F.col("p.price")))
+                      .when(near, F.format_string("%.4e", F.col("p.price"))).otherwise("diverged").alias("price"),
+                      F.col("model.r2").alias("r2"), F.format_string("%.6e", F.col("model.mae")).alias("mae"))
+
+
+@register("forecast_allow_list", "WITH " + _SQL_SPLIT + """
+SELECT symbol, count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'val') AS n_val,
+       CAST(least(50, max(n)) AS BIGINT) AS n_history, CAST(10 AS BIGINT) AS n_forecast
+FROM sp WHERE symbol IN ('click', 'view') GROUP BY symbol
+""")
+def q_forecast_allow_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P3 + P4 + M4 + M12: the forecast job over an allow-list of keys with random forests; rows of the
+    split, history and forecast points per key."""
+    allow = ["click", "view", "no such key"]
+    res = build_forecast(spark, price_events(spark, sf_dir), models=["RandomForest"], keys=allow)
+    sp = _split(spark, sf_dir).where(F.col("symbol").isin(allow))
+    rows = sp.groupBy("symbol").agg(F.count_if(F.col("split") == "train").alias("n_train"), F.count_if(F.col("split") == "val").alias("n_val"))
+    points = res.select(F.col("symbol").alias("_k"), F.size("history").cast("long").alias("n_history"), F.size("forecast").cast("long").alias("n_forecast"))
+    return rows.join(points, F.col("symbol") == F.col("_k")).drop("_k")
+
+
 @register("ml_forecast")
 def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Linear regression, random forest (100 x depth 6) and gradient-boosted trees
@@ -678,8 +757,8 @@ def q_ml_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("ml_forecast_rf")
 def q_ml_forecast_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M4 + M6-M12: random forest (100 trees, depth 6, seed 42) per key through the Spark ML
-    pipeline, validated, refit on all rows and forecast 10 steps."""
+    """M4 + M7-M12: random forests (100 trees, depth 6, seed 42) of all keys by merged histograms,
+    validated, refit on all rows and forecast 10 steps."""
     return _forecast_rows(build_forecast(spark, price_events(spark, sf_dir), models=["RandomForest"]))
 
 
@@ -784,22 +863,79 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("dedup_key")
 
 
-@register("stream_news_snapshot")
+def _polls(spark: SparkSession, rows: DataFrame, poll, order: str, schema: T.StructType, writer, name: str) -> str:
+    """One run of the stream per poll: a poll's rows are appended as one file in ``order``, then the
+    checkpointed stream reads what is new and calls ``writer``. Returns the snapshot folder."""
+    src, out, ckpt = (scratch_path(spark, f"{name}-{x}") for x in ("src", "snap", "ckpt"))
+    rows = materialize(spark, rows.withColumn("_poll", poll), f"{name}-rows")
+    for p in range(_STREAM_BATCHES):
+        rows.where(F.col("_poll") == p).orderBy(order).coalesce(1).select(*schema.fieldNames()).write.mode("append").json(src)
+        stream = KF.read_topic(spark, name, schema, fmt="json", path=src)
+        _await(stream.writeStream.foreachBatch(writer(out)).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    return snapshots.latest_version_below(spark, out, 1 << 62)
+
+
+@register("stream_news_snapshot", """
+WITH i AS (
+  SELECT page_id, left(md5(url), 8) AS article_id, url AS link,
+         coalesce(nullif(regexp_extract(html, '<title>(.*?)</title>', 1), ''), 'No Title') AS title,
+         CASE WHEN m - page_id < 7 THEN 3 WHEN m - page_id < 16 THEN 2 ELSE page_id % 2 END AS poll
+  FROM pages, (SELECT max(page_id) AS m FROM pages)),
+u AS (SELECT *, row_number() OVER (PARTITION BY article_id ORDER BY poll DESC, page_id) AS nth FROM i)
+SELECT row_number() OVER (ORDER BY poll DESC, page_id) AS _rank, article_id, title, link FROM u WHERE nth = 1 ORDER BY 1 LIMIT 20
+""")
 def q_stream_news_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T5 + U1 + A5 + O6: live news snapshot kept by ``foreachBatch`` over a news stream
-    (pages as feed items): newest batch first, unique ids, 20 kept, versioned writes."""
-    pages = table(spark, sf_dir, "pages")
-    items = pages.select(F.col("url").alias("link"), F.col("html").alias("description"),
-                         F.nullif(F.regexp_extract("html", "<title>(.*?)</title>", 1), F.lit("")).alias("title"),
-                         F.lit(None).cast("string").alias("pubDate"))
-    news = rss.normalize_news(items, F.lit("2024-01-31T00:00:00+00:00"), F.lit("pages"))
-    src = _stream_files(spark, news, scratch_path(spark, "news-src"))
-    out, ckpt = scratch_path(spark, "news-snap"), scratch_path(spark, "news-snap-ckpt")
-    q = (_stream(spark, src, NEWS_EVENT).writeStream.foreachBatch(snapshots.news_snapshot_writer(out))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    _await(q)
-    last = snapshots.latest_version_below(spark, out, 1 << 62)
-    return spark.read.parquet(last).select("_rank", "article_id", "title", "link")
+    """T5 + U1 + A5 + O6 + W12: live news snapshot kept by ``foreachBatch`` over a news stream (pages as
+    feed items in four polls): newest poll first, arrival order within it, unique ids, 20 kept,
+    versioned writes."""
+    pages = _pages_as_items(spark, sf_dir)
+    last = pages.agg(F.max("page_id")).first()[0] or 0
+    back = F.lit(last) - F.col("page_id")
+    news = rss.normalize_news(pages, F.lit("2024-01-31T00:00:00+00:00"), F.lit("pages"), keep=["page_id"])
+    poll = F.when(back < 7, 3).when(back < 16, 2).otherwise(F.col("page_id") % 2)
+    snap = _polls(spark, news, poll, "page_id", NEWS_EVENT, snapshots.news_snapshot_writer, "news")
+    return spark.read.parquet(snap).select("_rank", "article_id", "title", "link")
+
+
+@register("stream_live_prices", """
+WITH e AS (SELECT event_type AS symbol, event_id, value, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp,
+                  CAST(floor(4.0 * (event_id - lo) / (hi - lo + 1)) AS INT) AS poll
+           FROM events, (SELECT min(event_id) AS lo, max(event_id) AS hi FROM events))
+SELECT symbol, price_usd, change_24h, timestamp FROM (
+  SELECT symbol, value AS price_usd, value - 50.0 AS change_24h, timestamp, row_number() OVER (PARTITION BY symbol ORDER BY event_id DESC) AS nth
+  FROM e WHERE poll = 3) WHERE nth = 1
+""")
+def q_stream_live_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 (scope="batch") + W12: the live price snapshot after four polls: per symbol the last row to
+    arrive in the last poll, whatever its event time."""
+    ev = price_events(spark, sf_dir).withColumn("timestamp", F.date_format("event_ts", _ISO_WIRE))
+    lo, hi = ev.agg(F.min("seq"), F.max("seq")).first()
+    poll = F.floor(F.lit(4.0) * (F.col("seq") - F.lit(lo)) / F.lit((hi or 0) - (lo or 0) + 1)).cast("int")
+    snap = _polls(spark, ev, poll, "seq", PRICE_EVENT, snapshots.price_snapshot_writer, "prices")
+    return spark.read.parquet(snap).select("symbol", "price_usd", "change_24h", "timestamp")
+
+
+@register("stream_topics", """
+SELECT 'api' AS topic, event_type AS key, count(*) AS rows, round(sum(value), 2) AS total,
+       min(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00') AS first, max(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00') AS last
+FROM events GROUP BY event_type
+UNION ALL
+SELECT 'rss', left(md5(url), 8), count(*), NULL, '2024-01-31T00:00:00+00:00', '2024-01-31T00:00:00+00:00' FROM pages GROUP BY 2
+""")
+def q_stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 + S8 + S5 + T8: one stream over two topics (events as prices, pages as news) routed to its
+    landing tables and live snapshots, run twice on one checkpoint (the second run adds nothing); rows
+    per key of both tables."""
+    api, root = _price_files(spark, sf_dir), scratch_path(spark, "routed")
+    news = rss.normalize_news(_pages_as_items(spark, sf_dir), F.lit("2024-01-31T00:00:00+00:00"), F.lit("pages"))
+    sources = {"api": api, "rss": _stream_files(spark, news, scratch_path(spark, "news-src"))}
+    for _ in range(2):
+        stream = KF.read_topics(spark, sources, fmt="json", max_files_per_trigger=_files_per_batch(spark, api))
+        _await(ingest.start_pipeline(stream, root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, "availableNow", {
+            "api": snapshots.price_snapshot_writer(f"{root}/live_api"), "rss": snapshots.news_snapshot_writer(f"{root}/live_rss")}))
+    per_key = lambda topic, key, total: spark.read.parquet(f"{root}/{topic}").groupBy(F.lit(topic).alias("topic"), F.col(key).alias("key")).agg(
+        F.count("*").alias("rows"), total.alias("total"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last"))
+    return per_key("api", "symbol", F.round(F.sum("price_usd"), 2)).unionByName(per_key("rss", "article_id", F.lit(None).cast("double")))
 
 
 # ================================================================ dashboard tables, JSON landing path
@@ -832,7 +968,7 @@ def q_dashboard_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("json_landing_stats", ORACLES["price_stats"])
 def q_json_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 + S2 + S3 + S4 + S9 + S10 end to end: every event landed as the original landed them
+    """S1 + S9 + S10 end to end: every event landed as the original landed them
     (one JSON array document per file), read back with the explicit schema, and the analysis
     job's A1 table read from its written output."""
     src = scratch_path(spark, "landing-array")
@@ -872,7 +1008,7 @@ SELECT left(md5(url), 8) AS article_id,
 FROM pages
 """)
 def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S17 + U4 + S13: pages published as RSS feed files (several feeds), read back with the
+    """S17 + U4: pages published as RSS feed files (several feeds), read back with the
     XML source and an explicit schema, all feeds in one read, items normalized."""
     src = scratch_path(spark, "feeds")
     (_pages_as_items(spark, sf_dir).drop("page_id").write.format("xml").option("rootTag", "channel")
@@ -901,7 +1037,7 @@ def q_live_news_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("kafka_records")
 def q_kafka_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S6 + F12 + S8: every price event as a keyed Kafka record (key = symbol, value = JSON)."""
+    """S6 + F12: every price event as a keyed Kafka record (key = symbol, value = JSON)."""
     ev = price_events(spark, sf_dir).withColumn("timestamp", F.date_format("event_ts", _ISO_WIRE))
     return KF.to_records(ev.select(*PRICE_EVENT.fieldNames()), "symbol")
 
@@ -949,20 +1085,24 @@ COVERS = {
     "error_lines": "N4 O8 F24",
     "landing_inventory": "S19 N3 F26",
     "combined_document": "S10 J4 V7 R10",
-    "ml_forecast_lr": "M1 M2 M3 M6 M7 M8 M9 M12 P3 P4 P5 P6 P7",
-    "ml_forecast": "M1 M2 M3 M4 M5 M6 M7 M8 M9 M10 M11 M12",
-    "ml_forecast_rf": "M1 M2 M4 M6 M7 M8 M9 M12",
+    "ml_forecast_lr": "M3 M7 M8 M9 M12 P5 P6 P7",
+    "linear_forecast_seven": "M1 M2 M3 M6 M8 M9 M10 M11 M12 A7 A12 F17 F18 P5",
+    "forecast_allow_list": "P3 P4 M4 M12 W9 W10",
+    "ml_forecast": "M3 M4 M5 M7 M8 M9 M10 M11 M12",
+    "ml_forecast_rf": "M4 M7 M8 M9 M12",
     "forecast_document": "S11 J5 V8",
     "stream_landing": "S5 S7 T1 T8 P11",
     "stream_latest": "T3 R14",
     "stream_dedup": "T4 P13",
-    "stream_news_snapshot": "T5 U1 A5 O6 R15",
+    "stream_news_snapshot": "T5 U1 A5 O6 W12 R8 R15",
+    "stream_live_prices": "T3 W12 R8 R14",
+    "stream_topics": "T2 S8 S5 T8 P11",
     "dashboard_tables": "V2 F19 F21",
-    "json_landing_stats": "S1 S2 S3 S4 S9 S10 S12 F5 F8",
+    "json_landing_stats": "S1 S9 S10 S12 F5 F8",
     "poll_counts": "A11",
-    "rss_items": "S17 U4 S13 P10",
+    "rss_items": "S17 U4 P10",
     "live_news_view": "V3 O7",
-    "kafka_records": "S6 F12 S8",
+    "kafka_records": "S6 F12",
     "served_data": "J4 V7 T3 T5",
 }
 for _name, _ids in COVERS.items():

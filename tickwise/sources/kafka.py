@@ -23,9 +23,33 @@ def read_topic(spark: SparkSession, topic: str, schema: T.StructType, fmt: str =
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     df = reader.json(path)
-    return df.select("*", F.lit(topic).alias("_topic"),
-                     F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_modification_time").alias("_file_mtime"))
+    return df.select("*", F.lit(topic).alias("_topic"), *_file_columns())
+
+
+def _file_columns() -> list:
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").alias("_file_mtime"),
+            F.col("_metadata.file_block_start").alias("_block")]
+
+
+def read_topics(spark: SparkSession, sources: dict[str, str], fmt: str = "kafka", bootstrap: str | None = None,
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """S5 + T2: the messages of several topics as one stream: ``value`` (JSON text), ``_topic`` (the
+    name in ``sources``) and arrival columns. ``sources`` maps a topic's name to the Kafka topic, or to
+    the folder of its JSON-lines files."""
+    if fmt == "kafka":
+        raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+               .option("subscribe", ",".join(sources.values())).option("startingOffsets", "earliest").load())
+        names = F.create_map(*[F.lit(x) for name, topic in sources.items() for x in (topic, name)])
+        return raw.select(F.col("value").cast("string").alias("value"), names[F.col("topic")].alias("_topic"),
+                          F.col("partition").alias("_partition"), F.col("offset").alias("_offset"))
+    out = None
+    for name, path in sources.items():
+        reader = spark.readStream
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        part = reader.text(path).select("value", F.lit(name).alias("_topic"), *_file_columns())
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def to_records(df: DataFrame, key: str) -> DataFrame:

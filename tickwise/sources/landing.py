@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tickwise.sources.arrival import ARRIVAL, BATCH
+
+
 def _arrival_cols(df: DataFrame) -> list[Column]:
     return [F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_modification_time").alias("_file_mtime")]
@@ -64,8 +67,14 @@ def bad_files(spark: SparkSession, path: str | list[str], schema: T.StructType)
 
 def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """S1 for the ``lines`` layout (splittable); malformed lines are dropped by the parser."""
-    df = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-    return df.select(*[f.name for f in schema.fields], *_arrival_cols(df))
+    df = spark.read.schema(_landed(schema)).option("mode", "DROPMALFORMED").json(path)
+    return df.select(*schema.fieldNames(), BATCH, *ARRIVAL.fieldNames(), *_arrival_cols(df),
+                     F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_pos"))
+
+
+def _landed(schema: T.StructType) -> T.StructType:
+    """Columns of a landing table: the record's, and those of its arrival (null in foreign files)."""
+    return T.StructType([*schema.fields, *ARRIVAL.fields, T.StructField(BATCH, T.LongType())])
 
 
 def read_landing(spark: SparkSession, path, schema: T.StructType, layout: str = "array") -> DataFrame:
@@ -76,9 +85,8 @@ def read_landing(spark: SparkSession, path, schema: T.StructType, layout: str =
     if layout == "lines":
         return read_json_lines(spark, path, schema)
     if layout == "parquet":
-        return spark.read.schema(schema).parquet(path).select(
-            *schema.fieldNames(), F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_modification_time").alias("_file_mtime"))
+        return spark.read.schema(_landed(schema)).parquet(path).select(
+            *schema.fieldNames(), BATCH, *ARRIVAL.fieldNames(), *_arrival_cols(None), F.col("_metadata.row_index").alias("_pos"))
     raise ValueError(f"unknown layout {layout!r}")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tickwise.operators import snapshot
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
+from tickwise.sources.arrival import ARRIVAL, with_arrival
 
 from tickwise.constants import NEWS_SNAPSHOT_SIZE  # noqa: E402
 
@@ -78,43 +79,32 @@ def price_snapshot_writer(root: str, keep: int | None = KEEP_VERSIONS):
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        keyed = (batch.withColumn("symbol", F.coalesce(F.col("symbol"), F.lit("")))  # R11: missing -> ""
-                 .withColumn("_a", _arrival_key(batch)))
-        latest = snapshot.latest_per_key(keyed, "symbol", ["_a"])
+        rows = with_arrival(batch)
+        keyed = rows.withColumn("symbol", F.coalesce(F.col("symbol"), F.lit("")))   # R11: missing -> ""
+        latest = snapshot.latest_per_key(keyed, "symbol", ARRIVAL.fieldNames())
         latest.select(*PRICE_EVENT.fieldNames()).write.mode("overwrite").parquet(version_path(root, batch_id))
         prune_versions(batch.sparkSession, root, keep)
     return run
 
 
-def _arrival_key(batch: DataFrame) -> "F.Column":
-    """Text key in arrival order: file modification time, file path, position in the batch."""
-    parts = []
-    if "_file_mtime" in batch.columns:
-        parts.append(F.date_format("_file_mtime", "yyyyMMddHHmmssSSSSSS"))
-    if "_file" in batch.columns:
-        parts.append(F.col("_file"))
-    pos = F.col("_pos") if "_pos" in batch.columns else F.monotonically_increasing_id()
-    parts.append(F.lpad(pos.cast("string"), 20, "0"))
-    return F.concat_ws("|", *parts)
-
-
 def news_snapshot_writer(root: str, k: int = NEWS_SNAPSHOT_SIZE, keep: int | None = KEEP_VERSIONS):
-    """T5: batch rows (oldest first) before the stored snapshot rows, unique article ids
+    """T5: batch rows in arrival order before the stored snapshot rows in theirs, unique article ids
     (first wins, R15), first ``k`` kept, written as the next version with its order."""
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        cols = NEWS_EVENT.fieldNames()
+        cols, order = NEWS_EVENT.fieldNames(), ["_b", *ARRIVAL.fieldNames()]
         stored = T.StructType(NEWS_EVENT.fields + [T.StructField("_rank", T.LongType())])
         prev = read_snapshot(spark, root, batch_id, stored)
-        new_r = batch.select(*cols, F.lit(0).alias("_b"), _arrival_key(batch).alias("_a"))
-        old_r = prev.select(*cols, F.lit(1).alias("_b"), F.format_string("%020d", F.col("_rank")).alias("_a"))
+        new_r = with_arrival(batch).select(*cols, F.lit(0).alias("_b"), *ARRIVAL.fieldNames())
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in ARRIVAL.fields[:-1]]
+        old_r = prev.select(*cols, F.lit(1).alias("_b"), *nothing, F.col("_rank").alias("arrival_row"))
         both = new_r.unionByName(old_r).withColumn("article_id", F.coalesce(F.col("article_id"), F.lit("")))
-        snap = snapshot.first_per_key(both, "article_id", ["_b", "_a"])
-        top = snapshot.newest_k(snap, [F.col("_b"), F.col("_a")], k)
+        snap = snapshot.first_per_key(both, "article_id", order)
+        top = snapshot.newest_k(snap, order, k)
         from pyspark.sql import Window
-        out = top.withColumn("_rank", F.row_number().over(Window.orderBy("_b", "_a")).cast("long"))
+        out = top.withColumn("_rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
         out.select(*cols, "_rank").write.mode("overwrite").parquet(version_path(root, batch_id))
         prune_versions(spark, root, keep)
     return run
