@@ -50,19 +50,51 @@ def test_stage_on_documents_as_in_brute_force(spark):
     assert sorted(r["doc_id"] for r in got) == brute.kept_of_near_copies([(r["doc_id"], r["text"]) for r in df.collect()])
 
 
-def test_linked_sets_share_a_key_at_any_threshold():
+def prefixes(spark, sets, num, den, ranges):
+    """{name: keys} through the packed exchanges, without Spark."""
+    names = [ngram_join.set_digest(s) for s in sets]
+    by = defaultdict(list)
+    for i in (0, 1):        # two tasks
+        for r, heads, codes in ngram_join._pack(names[i::2], sets[i::2], ranges):
+            by[r].append((heads, codes))
+    found = []
+    for r, parts in by.items():
+        heads = np.frombuffer(b"".join(h for h, _ in parts), ngram_join._HEAD)
+        d, codes, held = ngram_join._shared_codes(heads, np.frombuffer(b"".join(c for _, c in parts), "<u4"))
+        found.append((d, codes.astype(np.int64) + (r << 32), held))
+    size = {n: (len(np.unique(ngram_join._codes(s, ranges))), len(s)) for n, s in zip(names, sets)}
+
+    def alone_and_prefix(d, count):
+        return np.array([size[x][0] for x in d]) - count, ngram_join.prefix_length(np.array([size[x][1] for x in d]), num, den)
+
+    out = defaultdict(set)
+    for d, k in zip(*ngram_join._prefix_of(*(np.concatenate(c) for c in zip(*found)), alone_and_prefix)):
+        out[d].add(int(k))
+    return [out[n] for n in names]
+
+
+@pytest.mark.parametrize("num, den", [(9, 10), (8, 10), (7, 10)])
+def test_linked_sets_share_a_key_at_any_threshold(spark, num, den):
     rng = np.random.RandomState(3)
-    for num, den in ((9, 10), (8, 10), (7, 10)):
-        for n in (4, 5, 10, 18, 40, 200, 1500):
-            for _ in range(30):
-                a = np.unique(rng.randint(0, 2 ** 62, n).astype(np.uint64))
-                lost = (den - num) * n // (num + den)   # a change takes one n-gram and brings one
-                new = np.unique(rng.randint(0, 2 ** 62, lost).astype(np.uint64))
-                b = np.sort(np.concatenate([rng.choice(a, n - lost, replace=False), new]))
-                both = len(np.intersect1d(a, b))
-                assert den * both >= num * (len(a) + len(b) - both)
-                x, y = ngram_join.bucket_keys([a, b], num, den)
-                assert lost == 0 or np.intersect1d(x, y).size
+    sets, pairs = [], []
+    common = np.unique(rng.randint(0, 2 ** 62, 300).astype(np.uint64))
+    for n in (4, 5, 10, 18, 40, 200, 1500):
+        for _ in range(30):
+            own = np.unique(rng.randint(0, 2 ** 62, n).astype(np.uint64))
+            a = np.unique(np.concatenate([own[n // 3:], rng.choice(common, min(len(common), n // 3), replace=False)]))
+            lost = (den - num) * len(a) // (num + den)   # a change takes one n-gram and brings one
+            b = np.unique(np.concatenate([rng.choice(a, len(a) - lost, replace=False), rng.randint(0, 2 ** 62, lost).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            if lost and den * both >= num * (len(a) + len(b) - both):
+                pairs.append((len(sets), len(sets) + 1))
+                sets += [a, b]
+    assert len(pairs) >= 90
+    for ranges in (1, 7):
+        keys = prefixes(spark, sets + sets[:50], num, den, ranges)       # copies change nothing
+        assert all(keys[i] & keys[j] for i, j in pairs)
+        assert keys[:len(sets)] == prefixes(spark, sets, num, den, ranges)
+    lone = [np.unique(rng.randint(0, 2 ** 62, 100).astype(np.uint64)) for _ in range(20)]
+    assert not any(prefixes(spark, sets + lone, num, den, 7)[len(sets):])
 
 
 # ---------------------------------------------------------------- mixing fills a quota past long documents

@@ -1,5 +1,5 @@
 """Jaccard self-join of documents on their word n-gram sets, by prefix trees. Words per n-gram and
-the threshold NUM / DEN are arguments; figures below are for the default, 3 words and J >= 9/10.
+the threshold NUM / DEN are arguments (default: 3 words and J >= 9/10).
 
 A trie of globally ordered sets does the join (``block_links``): n-grams are ordered from rare to
 frequent, a probe walks the trie sharing the overlap counted so far among all sets below a node,
@@ -7,12 +7,12 @@ and leaves a subtree as soon as the n-grams remaining on either side cannot reac
 the set sizes require. Spark brings together the sets that can link:
 
 1. Equal sets become one (a 64-bit digest of the sorted n-gram hashes names a set).
-2. Sets of J >= 0.9 differ in at most (a + b) / 19 n-grams. Dealt by hash into one bucket more than
-   that, at least one bucket is equal, so linked sets share a bucket key. A key holds the whole
-   content of its bucket, some nine n-grams, which unrelated texts hardly share even where they
-   share a passage. Sizes are taken in classes of ratio 10/9; a set has keys for its own and the
-   next class. At lower thresholds buckets are smaller (four n-grams at J >= 8/10) and some are
-   empty; there are as many more buckets as a set may have empty ones (``_spare``).
+2. The n-grams of the corpus have one order, by the number of sets that hold them, then by hash. Linked
+   sets overlap in J * n n-grams, so they share one among the first n - ceil(J * n) + 1 of either (the
+   prefix). N-grams of a single set come first and link nothing, so most texts that are no near copies
+   have no key at all. Counts need one exchange of packed n-grams by ranges of their codes, which gives
+   equal results for any number of ranges, and one back of those that several sets hold. Codes are
+   narrower than hashes: codes that coincide only add candidates (``prefix_keys``).
 3. Sets that share keys form candidate clusters (a star per key, then connected components).
 4. A cluster is one trie block. A large one is dealt by size class, then into chunks, and every
    two chunks of a class meet in one block, so a block is bounded whatever the cluster's size.
@@ -44,76 +44,156 @@ BLOCK = 1024
 DEALS = 4
 
 
-def size_classes(most: int, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Lower bounds of the size classes up to size ``most``: linked sizes lie in one or in two
-    neighbouring classes."""
-    out = [1]
-    while out[-1] <= most:
-        out.append(den * out[-1] // num + 1)
-    return np.array(out, np.int64)
-
-
-def _buckets(upper: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Buckets of a class whose largest size is ``upper``: one more than linked sets can differ in."""
-    return (den - num) * 2 * upper // (num + den) + 1
-
-
-def _spare(upper: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Buckets to add in a class: as many as its smallest set has empty ones, by chance, at most."""
-    least, spare = upper * (num / den) ** 2, np.zeros(len(upper), np.int64)
-    for _ in range(8):
-        buckets = _buckets(upper, num, den) + spare
-        empty = buckets * np.exp(-least / buckets)
-        spare = np.floor(empty + 1.5 * np.sqrt(empty)).astype(np.int64)
-    return spare
-
-
-def bucket_keys(sets: list[np.ndarray], num: int = NUM, den: int = DEN) -> list[np.ndarray]:
-    """Keys of each set for its own and the next size class.
-
-    Two linked sets agree in a bucket; it may be one that is empty in both. Rather than give all
-    sets with an empty bucket a common key, such a set is dealt anew, DEALS times at most; only
-    one that has an empty bucket every time gets keys for empty buckets, in the last deal. So
-    either linked set finds the other: in the first deal in which a filled bucket agrees, or there.
-    With s spare buckets, s + 1 buckets agree, and "an empty bucket" reads "more than s"."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    bounds = size_classes(int(sizes.max(initial=0)) + 1, num, den)
-    bounds = np.append(bounds, den * bounds[-1] // num + 1)
-    own = np.searchsorted(bounds, sizes, side="right") - 1
-    grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    who_all, key_all = [], []
-    for step in (0, 1):
-        cls = np.minimum(own + step, len(bounds) - 2)
-        buckets = np.where(sizes > 0, _buckets(bounds[cls + 1] - 1, num, den), 0)
-        buckets[buckets == 1] = 0   # only equal sets agree in a single bucket, and those are one already
-        spare = _spare(bounds[1:] - 1, num, den)[cls]
-        buckets = np.where(buckets > 0, buckets + spare, 0)
-        for deal in range(DEALS):
-            if not buckets.any():
-                break
-            first = np.concatenate([[0], np.cumsum(buckets)])
-            live = buckets[owner] > 0
-            g, o = grams[live], owner[live]
-            mixed = mix64(g ^ mix64(np.uint64([deal + 1]))[0])
-            at = first[o] + (mixed >> np.uint64(20)).astype(np.int64) % buckets[o]
-            total, filled = np.zeros(first[-1], np.uint64), np.zeros(first[-1], bool)
-            np.add.at(total, at, mix64(mixed + np.uint64(deal)))
-            filled[at] = True
-            who = np.repeat(np.arange(len(sets)), buckets)
-            number = (np.arange(first[-1]) - first[who]).astype(np.uint64)
-            label = (cls[who].astype(np.uint64) << np.uint64(40)) + (number << np.uint64(4)) + np.uint64(deal)
-            key = mix64(total + mix64(label)).view(np.int64)
-            empty = np.bincount(who[~filled], minlength=len(sets))
-            give = filled if deal < DEALS - 1 else filled | (empty > spare)[who]
-            who_all.append(who[give])
-            key_all.append(key[give])
-            buckets = np.where(empty > spare, buckets, 0)
-    if not who_all:
-        return [np.zeros(0, np.int64) for _ in sets]
-    who, key = np.concatenate(who_all), np.concatenate(key_all)
-    order = np.argsort(who, kind="stable")
-    return np.split(key[order], np.cumsum(np.bincount(who, minlength=len(sets)))[:-1])
+_HEAD = np.dtype([("d", "<i8"), ("count", "<u4")])
+SPREAD_GRAMS = 1 << 20      # n-grams that a task packs at once
+
+
+def prefix_length(n: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """First n-grams of a set of ``n`` among which a linked set's first ones must appear."""
+    return n - -(-num * n // den) + 1
+
+
+def _codes(grams: np.ndarray, ranges: int) -> np.ndarray:
+    """Range (upper half) and 32-bit code of n-grams as one number."""
+    mixed = mix64(grams ^ np.uint64(0x5851F42D4C957F2D))
+    return (((mixed >> np.uint64(32)) % np.uint64(ranges)) << np.uint64(32)) | (mixed & np.uint64(0xFFFFFFFF))
+
+
+def _runs(values: np.ndarray):
+    """(from, to) of every run of equal values."""
+    cut = np.flatnonzero(np.r_[True, values[1:] != values[:-1]]) if len(values) else np.zeros(0, np.int64)
+    return zip(cut.tolist(), [*cut[1:].tolist(), len(values)])
+
+
+def _firsts(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row differs from the one before it."""
+    if not len(columns[0]):
+        return np.zeros(0, bool)
+    return np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)]
+
+
+def _pack(names: list[int], sets: list[np.ndarray], ranges: int):
+    """(range, heads, codes) of some sets: for every set in a range a head and its distinct codes."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    full = _codes(np.concatenate(sets), ranges)
+    part = (full >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((full, owner, part))
+    full, owner, part = full[order], owner[order], part[order]
+    new = _firsts(full, owner)
+    full, owner, part = full[new], owner[new], part[new]
+    first = np.flatnonzero(_firsts(part, owner))
+    heads = np.zeros(len(first), _HEAD)
+    heads["d"], heads["count"] = np.array(names, np.int64)[owner[first]], np.diff(np.r_[first, len(full)])
+    code = (full & np.uint64(0xFFFFFFFF)).astype("<u4")
+    for i, j in _runs(part[first]):
+        lo, hi = first[i], first[j] if j < len(first) else len(full)
+        yield int(part[lo]), heads[i:j].tobytes(), code[lo:hi].tobytes()
+
+
+def _shared_codes(heads: np.ndarray, codes: np.ndarray):
+    """(sets, codes, numbers of holding sets, 255 at most) for the codes of a range that several sets hold,
+    sorted by set. A set that comes several times (copies) counts once."""
+    d = np.repeat(heads["d"], heads["count"])
+    order = np.lexsort((d, codes))
+    codes, d = codes[order], d[order]
+    new = _firsts(codes, d)
+    codes, d = codes[new], d[new]
+    first = np.flatnonzero(_firsts(codes))
+    size = np.diff(np.r_[first, len(codes)])
+    held = np.repeat(size, size)
+    keep = held > 1
+    codes, d, held = codes[keep], d[keep], np.minimum(held[keep], 255).astype(np.uint8)
+    order = np.lexsort((codes, d))
+    return d[order], codes[order], held[order]
+
+
+def _prefix_of(d: np.ndarray, keys: np.ndarray, held: np.ndarray, alone_and_prefix) -> tuple[np.ndarray, np.ndarray]:
+    """(set, key) for the shared codes that lie in their set's prefix. Codes that no other set holds come
+    before them in the order; ``alone_and_prefix(sets, counts)`` gives how many these are, and the prefix."""
+    order = np.lexsort((keys, held, d))
+    d, keys = d[order], keys[order]
+    first = np.flatnonzero(_firsts(d))
+    count = np.diff(np.r_[first, len(d)])
+    alone, prefix = alone_and_prefix(d[first], count)
+    place = np.arange(len(d)) - np.repeat(first, count)
+    mine = np.repeat(alone, count) + place < np.repeat(prefix, count)
+    return d[mine], keys[mine]
+
+
+def _packs(batches, at: str):
+    """Per value of the (sorted) column ``at``: its rows."""
+    held, rows = None, []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row[at] != held:
+                if rows:
+                    yield held, rows
+                held, rows = row[at], []
+            rows.append(row)
+    if rows:
+        yield held, rows
+
+
+def prefix_keys(docs: DataFrame, rows: DataFrame, ranges: int, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """(d, key): for every set the n-grams of its prefix that other sets hold too. ``rows``: d, n and codes
+    (its number of distinct codes, ``_codes`` for ``ranges``) of the sets of ``docs``."""
+
+    def spread(batches):
+        names, sets, met = [], [], 0
+
+        def packed():
+            out = list(_pack(names, sets, ranges))
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=["range", "heads", "codes"])
+
+        for batch in batches:
+            for some in gram_sets(batch.column(0), words):
+                for s in some:
+                    if len(s):
+                        names.append(set_digest(s))
+                        sets.append(s)
+                        met += len(s)
+                if met >= SPREAD_GRAMS:
+                    yield packed()
+                    names, sets, met = [], [], 0
+        if sets:
+            yield packed()
+
+    def meet(batches):
+        for number, found in _packs(batches, "range"):
+            heads = np.frombuffer(b"".join(r["heads"] for r in found), _HEAD)
+            d, codes, held = _shared_codes(heads, np.frombuffer(b"".join(r["codes"] for r in found), "<u4"))
+            home = d % ranges
+            order = np.argsort(home, kind="stable")
+            d, codes, held, home = d[order], codes[order], held[order], home[order]
+            out = []
+            for i, j in _runs(home):
+                first = np.flatnonzero(_firsts(d[i:j]))
+                head = np.zeros(len(first), _HEAD)
+                head["d"], head["count"] = d[i:j][first], np.diff(np.r_[first, j - i])
+                out.append((int(home[i]), number, head.tobytes(), codes[i:j].tobytes(), held[i:j].tobytes()))
+            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], names=["home", "range", "heads", "codes", "held"])
+
+    def choose(batches):
+        for _, found in _packs(batches, "home"):
+            packs, sets = [r for r in found if r["heads"] is not None], [r for r in found if r["heads"] is None]
+            if not packs or not sets:
+                continue
+            info = np.array(sorted({(r["d"], r["n"], r["distinct"]) for r in sets}), np.int64)
+
+            def alone_and_prefix(d, count, info=info):
+                n, codes = info[np.searchsorted(info[:, 0], d)][:, 1:].T
+                return codes - count, prefix_length(n, num, den)
+
+            heads = np.concatenate([np.frombuffer(r["heads"], _HEAD) for r in packs])
+            keys = np.concatenate([np.frombuffer(r["codes"], "<u4").astype(np.int64) + (r["range"] << 32) for r in packs])
+            d, key = _prefix_of(np.repeat(heads["d"], heads["count"]), keys, np.concatenate([np.frombuffer(r["held"], np.uint8) for r in packs]), alone_and_prefix)
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(key)], names=["d", "key"])
+
+    packed = docs.select("text").mapInArrow(spread, "range int, heads binary, codes binary")
+    shared = packed.repartition(ranges, "range").sortWithinPartitions("range").mapInArrow(meet, "home int, range int, heads binary, codes binary, held binary")
+    sets = rows.filter("d is not null").select(F.pmod("d", F.lit(ranges)).cast("int").alias("home"), "d", "n", "distinct")
+    return shared.unionByName(sets, allowMissingColumns=True).repartition(ranges, "home").sortWithinPartitions("home").mapInArrow(choose, "d long, key long")
 
 
 def gram_sets(texts: pa.Array, k: int = WORDS):
@@ -129,23 +209,17 @@ def set_digest(grams: np.ndarray) -> int:
     return int(mix64(np.array([np.sum(mix64(grams + np.uint64(0x632BE59BD9B4E019)), dtype=np.uint64) + np.uint64(len(grams))]))[0].view(np.int64))
 
 
-def _keyed(docs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, text_hash, n, d (set name, null without n-grams), keys."""
+def _named(docs: DataFrame, k: int, ranges: int) -> DataFrame:
+    """doc_id, text_hash, n, d (set name, null without n-grams), distinct (codes of the set)."""
 
     def run(batches):
         for batch in batches:
-            n, d, keys = [], [], []
-            for sets in gram_sets(batch.column(2), k):
-                n += [len(s) for s in sets]
-                d += [set_digest(s) if len(s) else None for s in sets]
-                keys += bucket_keys(sets, num, den)
-            at = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists],
-                                             names=["doc_id", "text_hash", "n", "d", "keys"])
+            sets = [(len(s), set_digest(s) if len(s) else None, len(np.unique(_codes(s, ranges)))) for some in gram_sets(batch.column(2), k) for s in some]
+            cols = list(zip(*sets)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(c, pa.int64()) for c in cols]], names=["doc_id", "text_hash", "n", "d", "distinct"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, d long, keys array<long>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n long, d long, distinct long")
 
 
 def _needed(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
@@ -306,15 +380,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, num: int = NUM, den:
     """Per row: doc_id, text_hash, n_shingles, component_id; links are J >= num / den on n-grams of
     ``words`` words."""
     spark = docs.sparkSession
-    keyed = materialize(spark, _keyed(docs, words, num, den), "ngram-keys")
-    pairs = keyed.select("d", F.explode("keys").alias("key"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = materialize(spark, _named(docs, words, ranges), "ngram-rows")
+    pairs = materialize(spark, prefix_keys(docs, rows, ranges, words, num, den), "ngram-keys")
     shared = pairs.groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).filter("lo < hi").select("key", "lo")
-    shared = materialize(spark, shared, "ngram-shared")
-    edges = pairs.join(shared, "key").filter("d <> lo").select(F.col("d").alias("u"), F.col("lo").alias("v"))
+    edges = lookup(pairs, shared, ["key"]).filter("d <> lo").select(F.col("d").alias("u"), F.col("lo").alias("v"))
     clusters = components(edges)
-    rows = materialize(spark, keyed.drop("keys"), "ngram-rows")
-    release(spark, keyed)
-    release(spark, shared)
+    release(spark, pairs)
     # one row per candidate set; its n-grams are read again from the text that names it
     named = rows.filter("d is not null")
     one = named.groupBy("d", "n").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc_id"), "text_hash")).alias("m"))
