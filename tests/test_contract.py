@@ -12,9 +12,6 @@ from conftest import SF_MID as SF_GATE
 import __spark_entry__ as E
 from tools.check_contract import TABLES, digest
 
-SLOW = {"ml_forecast"}  # Spark ML trees per key: covered in test_models on a fixture
-
-
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
@@ -33,7 +30,7 @@ def test_every_oracle_key_is_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_GATE)
     cols, rows = df.columns, [tuple(r) for r in df.collect()]

@@ -106,6 +106,11 @@ def test_analysis_job_end_to_end(spark, tmp_path):
     (root / "api").mkdir(parents=True)
     (root / "api" / "prices_2026-05-04_07-00-00.json").write_text(json.dumps(api))
     res = run_analysis(spark, str(root), out)           # no rss directory: empty news (S12)
+    from tickwise.plans.analysis_job import sql_results
+    by_sql = sql_results(spark)
+    assert set(by_sql) == {"statistik", "volatilitas", "berita"}
+    for name, df in by_sql.items():
+        assert df.columns == res[name].columns and sorted(df.collect()) == sorted(res[name].collect())
     assert {r.dataset: r.rows for r in res["counts"].collect()} == {"api": 3, "rss": 0}
     assert spark.sql("SELECT count(*) FROM price_events").first()[0] == 3
     doc = read_document(f"{out}/spark_results")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.functions.scalar import parse_ts
@@ -10,7 +11,7 @@ from tickwise.operators import documents as DOC
 from tickwise.operators import stats
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
 from tickwise.sources.arrival import arrival_order
-from tickwise.sources.landing import load_or_empty, record_counts, write_result
+from tickwise.sources.landing import load_or_empty, write_result
 
 
 def normalize_prices(raw: DataFrame) -> DataFrame:
@@ -44,17 +45,52 @@ def analysis_results(prices: DataFrame, news: DataFrame) -> dict[str, DataFrame]
     }
 
 
+# A1-A3 as SQL over the views; :digits and :fine are bound, not pasted.
+SQL_RESULTS = {
+    "statistik": """
+        SELECT symbol, round(avg(price_usd), :digits) AS rata_rata_usd, round(max(price_usd), :digits) AS tertinggi_usd,
+               round(min(price_usd), :digits) AS terendah_usd, round(stddev_samp(price_usd), :digits) AS std_deviasi, count(*) AS jumlah_data
+        FROM IDENTIFIER(:prices) GROUP BY symbol ORDER BY rata_rata_usd DESC""",
+    "volatilitas": """
+        SELECT hour(event_ts) AS jam, symbol, round(avg(abs(change_24h)), :fine) AS avg_volatilitas, count(*) AS jumlah_data
+        FROM IDENTIFIER(:prices) GROUP BY hour(event_ts), symbol ORDER BY avg_volatilitas DESC""",
+    "berita": """
+        SELECT hour(event_ts) AS jam, count(*) AS jumlah_artikel
+        FROM IDENTIFIER(:news) GROUP BY hour(event_ts) ORDER BY jumlah_artikel DESC""",
+}
+
+
+def sql_results(spark: SparkSession, api_view: str = "price_events", rss_view: str = "news_events") -> dict[str, DataFrame]:
+    """S3: the three aggregates by SQL over the registered views, with bound arguments."""
+    bound = {"prices": api_view, "news": rss_view, "digits": 2, "fine": 4}
+    return {name: spark.sql(text, {k: v for k, v in bound.items() if f":{k}" in text}) for name, text in SQL_RESULTS.items()}
+
+
+def _observed_rows(seen: Observation) -> int:
+    """Rows an observation met; none when the optimizer removed an input known to be empty."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError as e:
+        if "AssertionError" in str(e.java_exception):
+            return 0
+        raise
+
+
 def run_analysis(spark: SparkSession, landing_root: str, out_root: str, layout: str = "array",
                  write_document: bool = True) -> dict[str, DataFrame]:
     """Read ``{landing_root}/api`` and ``/rss`` (S1/S2, explicit schemas, S12 when absent),
-    report counts (S4), write the three result tables (S9) and the combined document (S10)."""
+    report counts (S4, observed in the same passes), write the three result tables (S9) and the combined document (S10)."""
     prices = normalize_prices(load_or_empty(spark, f"{landing_root}/api", PRICE_EVENT, layout))
     news = normalize_news(load_or_empty(spark, f"{landing_root}/rss", NEWS_EVENT, layout))
     register_views(prices, news)
-    counts = record_counts(api=prices, rss=news)
+    seen = {"api": Observation(), "rss": Observation()}     # S4: counted while the results are written
+    rows = F.count(F.lit(1)).alias("rows")
     res = analysis_results(prices, news)
+    res["statistik"] = stats.price_stats(prices.observe(seen["api"], rows))
+    res["berita"] = stats.hourly_news_count(news.observe(seen["rss"], rows))
     for name, df in res.items():
         write_result(df, f"{out_root}/{name}")
+    counts = spark.createDataFrame([(name, _observed_rows(o)) for name, o in seen.items()], "dataset string, rows long")
     if write_document:
         # read back the written tables: the document does not recompute the aggregates
         back = {n: spark.read.schema(df.schema).json(f"{out_root}/{n}") for n, df in res.items()}

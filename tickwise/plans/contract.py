@@ -776,7 +776,7 @@ from pyspark.sql import types as T  # noqa: E402
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT, STATS  # noqa: E402
 from tickwise.session import materialize, scratch_path  # noqa: E402
 from tickwise.streaming import ingest, snapshots  # noqa: E402
-from tickwise.plans.analysis_job import normalize_prices, run_analysis  # noqa: E402
+from tickwise.plans.analysis_job import normalize_prices, register_views, run_analysis, sql_results  # noqa: E402
 
 _STREAM_BATCHES = 4        # micro-batches at every scale; their size grows with the data
 _ARRAY_DOC_ROWS = 2000     # records per landed JSON array document
@@ -1017,6 +1017,29 @@ def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return news.select("article_id", "title", "link", "summary")
 
 
+@register("rss_feeds_rejected", """
+SELECT left(md5(url), 8) AS article_id, url AS link FROM pages
+""")
+def q_rss_feeds_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S13 + S17: two large feeds of all pages, and a feed of well-formed items with a malformed one,
+    which is skipped whole."""
+    src = scratch_path(spark, "feeds")
+    items = _pages_as_items(spark, sf_dir)
+    items.drop("page_id").coalesce(2).write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(f"{src}/good")
+    item = F.concat(F.lit("<item><title>t</title><link>bad/"), F.col("page_id").cast("string"), F.lit("</link></item>"))
+    broken = items.select(F.when(F.col("page_id") % 50 == 7, F.lit("<item><title>t</link></item>")).otherwise(item).alias("value"))
+    broken.coalesce(1).write.text(f"{src}/bad")
+    news = rss.read_feeds(spark, [f"{src}/good", f"{src}/bad"], poll_ts=F.lit("2024-01-31T00:00:00+00:00"))
+    return news.select("article_id", "link")
+
+
+@register("sql_results", ORACLES["hourly_volatility"])
+def q_sql_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + A2: the hourly volatility by SQL text over the registered views, with bound arguments."""
+    register_views(price_events(spark, sf_dir), news_events(spark, sf_dir))
+    return sql_results(spark)["volatilitas"]
+
+
 @register("live_news_view", """
 SELECT title, url AS link, '2024-01-31T00:00:00+00:00' AS published, 'pages' AS source FROM (
   SELECT url, page_id,
@@ -1098,9 +1121,11 @@ COVERS = {
     "stream_live_prices": "T3 W12 R8 R14",
     "stream_topics": "T2 S8 S5 T8 P11",
     "dashboard_tables": "V2 F19 F21",
-    "json_landing_stats": "S1 S9 S10 S12 F5 F8",
+    "json_landing_stats": "S1 S4 S9 S10 S12 F5 F8",
     "poll_counts": "A11",
     "rss_items": "S17 U4 P10",
+    "rss_feeds_rejected": "S13 S17 U4",
+    "sql_results": "S3 A2 O2",
     "live_news_view": "V3 O7",
     "kafka_records": "S6 F12",
     "served_data": "J4 V7 T3 T5",

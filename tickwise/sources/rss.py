@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,12 +42,10 @@ def read_feeds(spark: SparkSession, paths, poll_ts: Column | None = None) -> Dat
              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).load(paths)
              .withColumn("_feed", F.col("_metadata.file_path"))
              .withColumn("_mtime", F.col("_metadata.file_modification_time")))
-    # one pass: a feed (one file, a small bounded group) is dropped when any item is malformed.
-    # The frame is ordered by link so that a data column is always read: Spark refuses scans
-    # whose only column is the corrupt-record column (e.g. under a bare count()).
-    w = (Window.partitionBy("_feed").orderBy("link")
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    good = (items.withColumn("_bad", F.max(F.col("_corrupt_record").isNotNull()).over(w))
-            .where(~F.col("_bad")))
+    # feeds with a malformed item, by partial aggregates: a feed of any size is one row per task. (The
+    # link is read besides: Spark refuses scans whose only column is the corrupt-record column.)
+    sign = F.when(F.col("_corrupt_record").isNotNull(), F.concat(F.lit("-"), F.coalesce("link", F.lit(""))))
+    bad = items.groupBy("_feed").agg(F.max(sign).alias("_sign")).where(F.col("_sign").isNotNull()).select("_feed")
+    good = items.join(bad, "_feed", "left_anti")
     pts = poll_ts if poll_ts is not None else F.date_format("_mtime", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     return normalize_news(good, pts, F.col("_feed"))
