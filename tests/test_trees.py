@@ -130,3 +130,13 @@ def test_next_features_equal_the_column_expressions(spark, consistent):
         want = TR.next_features(list(r["prices"]), list(r["pcts"]), consistent)
         for n, v in want.items():
             assert (r[n] is None and math.isnan(v)) or r[n] == pytest.approx(v, rel=1e-9, abs=1e-12), n
+
+
+def test_a_diverging_forecast_ends_without_an_error(spark):
+    big = TR.next_features([1e300, -1e300] * 5, [1e300, -1e300] * 5, False)
+    assert math.isinf(big["volatility"]) or math.isnan(big["volatility"])
+    rows = spark.createDataFrame([("k", i, *[float(i)] * 7, 1e9 * (1 if i % 2 else 3)) for i in range(40)], "symbol string, pos long, " + ", ".join(f"{f} double" for f in ML.FEATURE_COLS) + ", y double")
+    spec = TR.Trees(3, 2, 0, True)
+    ctx = spark.createDataFrame([("k", [1e200, 2e200], [1.0, 2.0], 0.0, 60)], "symbol string, prices array<double>, pcts array<double>, last_ts double, interval_s long")
+    got = TR.forecast(ctx, TR.fit(rows, "symbol", ML.FEATURE_COLS, "y", spec), "symbol", ML.FEATURE_COLS, spec, 30).collect()
+    assert [r["step"] for r in got] == list(range(1, 31)) and not all(math.isfinite(r["price"]) for r in got)

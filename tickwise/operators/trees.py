@@ -407,7 +407,7 @@ def next_features(prices: list[float], pcts: list[float], consistent: bool) -> d
     lag2 = pcts[-2] if len(pcts) > 1 else lag1
     last7 = pcts[-7:]
     mean = sum(last7) / len(last7)
-    squares = sum((p - mean) ** 2 for p in last7)
+    squares = sum((p - mean) * (p - mean) for p in last7)     # a power would raise where this overflows
     ma7, ma14 = sum(prices[-7:]) / len(prices[-7:]), sum(prices[-14:]) / len(prices[-14:])
     back, free = (6, 1) if consistent else (5, 0)
     base = prices[-back] if len(prices) >= back else 0.0
@@ -425,7 +425,7 @@ def forecast(ctx: DataFrame, models: DataFrame, key: str, features: Sequence[str
     schema = _schema(ctx, key, "step long, ts double, price double, pct double")
 
     def cents(x: float) -> float:
-        return float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP)) if np.isfinite(x) else x
+        return float(Decimal(repr(x)).quantize(Decimal("0.01"), ROUND_HALF_UP)) if abs(x) < 1e15 else x    # beyond, no cents are left
 
     def run(batches):
         for batch in batches:
