@@ -129,18 +129,73 @@ def test_snapshot_versions_are_pruned(spark, tmp_path):
     assert snap.price_usd == 4.0
 
 
-def test_analysis_refresher_on_trigger(spark, tmp_path):
-    root, out, ck = tmp_path / "land", str(tmp_path / "res"), str(tmp_path / "ck")
-    src = tmp_path / "src"
-    _write_lines(src, [{"symbol": "BTC", "coin_id": "bitcoin", "price_usd": 10.0, "price_idr": 1.0,
-                        "change_24h": 1.0, "timestamp": "2026-05-04T07:00:00+00:00"}], "1.json")
-    ingest.land(kafka.read_topic(spark, "api", PRICE_EVENT, fmt="json", path=str(src)),
-                str(root / "api"), str(tmp_path / "lck"), "availableNow").awaitTermination(120)
-    refresh = snapshots.analysis_refresher(spark, str(root), out, layout="parquet")
-    q = (spark.readStream.schema(PRICE_EVENT).json(str(src)).writeStream.foreachBatch(refresh)
-         .option("checkpointLocation", ck).trigger(availableNow=True).start())
-    q.awaitTermination(120)
-    assert spark.read.json(f"{out}/statistik").first().jumlah_data == 1
+def test_states_merge_to_the_whole(spark):
+    from tickwise.operators.running import RESULTS
+    from tickwise.plans.analysis_job import analysis_results
+    base = 1e9      # raw sums of squares would cancel
+    rows = [(s, base + i % 7 if i % 11 else None, (-1.0) ** i * i, f"2026-05-04 {i % 24:02d}:00:00") for s in ("BTC", None, "ETH") for i in range(60)]
+    rows += [("ONE", 5.0, None, None), ("NIL", None, 1.0, "2026-05-04 00:00:00")]
+    df = spark.createDataFrame(rows, "symbol string, price_usd double, change_24h double, t string").withColumn("event_ts", F.to_timestamp("t"))
+    want = analysis_results(df, df)
+    parts = [df.where(F.abs(F.hash("t", "price_usd")) % 3 == k) for k in range(3)]
+    for name, result in {**RESULTS["api"], **RESULTS["rss"]}.items():
+        states = result.of(df.limit(0))
+        for part in parts:
+            states = result.merged(states, part)
+        got = result.show(states)
+        assert got.columns == want[name].columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want[name].collect()))
+
+
+def test_refresh_follows_the_batches(spark, tmp_path):
+    from tickwise.plans.analysis_job import normalize_prices, run_analysis
+    from tickwise.plans.forecast_job import build_forecast
+    from tickwise.sources.landing import read_landing
+    from tickwise.streaming import refresh
+    root, states, out = str(tmp_path / "lake"), str(tmp_path / "states"), str(tmp_path / "out")
+    run = ingest.router(root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, {
+        "api": refresh.in_turn(refresh.results_refresher(states, "api", out),
+                               refresh.forecast_refresher(f"{root}/api", f"{states}/forecast", out, ["LinearRegression"])),
+        "rss": refresh.results_refresher(states, "rss", out)})
+
+    def batch(symbols, first, n, news):
+        rows = [(json.dumps(_price(s, 100 + (i * 7) % 13 + i / 10, f"2026-05-04T{i // 60:02d}:{i % 60:02d}:00+00:00")), "api", f"f{first}")
+                for s in symbols for i in range(first, first + n)]
+        rows += [(json.dumps({"article_id": f"a{i}", "timestamp": f"2026-05-04T0{i}:00:00+00:00"}), "rss", "n") for i in range(news)]
+        return spark.createDataFrame(rows, "value string, _topic string, _file string").coalesce(1)
+
+    assert all(df.count() == 0 for df in refresh.refreshed_results(spark, states).values()) and refresh.refreshed_forecast(spark, f"{states}/forecast") is None
+    run(batch(["BTC"], 0, 10, 2), 0)
+    assert refresh.refreshed_forecast(spark, f"{states}/forecast") is None          # below the minimum
+    run(batch(["BTC", "ETH"], 10, 60, 3), 1)
+    first = {r.symbol: r for r in refresh.refreshed_forecast(spark, f"{states}/forecast").collect()}
+    last = batch(["BTC"], 70, 25, 0)
+    seen = []
+    for _ in range(2):      # the second run is a replay
+        run(last, 2)
+        seen.append([sorted(map(str, df.collect())) for df in refresh.refreshed_results(spark, states).values()])
+    assert seen[0] == seen[1]
+    whole = run_analysis(spark, root, str(tmp_path / "rescan"), layout="parquet")
+    assert seen[0] == [sorted(map(str, whole[n].collect())) for n in ("statistik", "volatilitas", "berita")]
+    assert read_document(f"{out}/spark_results") == read_document(str(tmp_path / "rescan/spark_results"))
+    got = {r.symbol: r for r in refresh.refreshed_forecast(spark, f"{states}/forecast").collect()}
+    prices = normalize_prices(read_landing(spark, f"{root}/api", PRICE_EVENT, "parquet"))
+    want = {r.symbol: r for r in build_forecast(spark, prices, ["LinearRegression"]).collect()}
+    assert set(got) == {"BTC", "ETH"} == set(want) and got["ETH"] == first["ETH"] and got["BTC"] != first["BTC"]
+    for s in want:
+        assert [p.timestamp for p in got[s].forecast] == [p.timestamp for p in want[s].forecast] and got[s].history == want[s].history
+        assert all(abs(p.price - q.price) <= 0.011 for p, q in zip(got[s].forecast, want[s].forecast))
+    assert len(read_document(f"{out}/forecast")["BTC"]["forecast"]) == 10
+
+
+def test_states_need_no_landing_table(spark, tmp_path):
+    from tickwise.streaming import refresh
+    states = str(tmp_path / "states")
+    run = refresh.results_refresher(states, "api")
+    for b in range(3):
+        run(spark.createDataFrame([("BTC", "b", float(b), 1.0, 0.1, "2026-05-04T07:00:00+00:00")], PRICE_EVENT), b)
+    row = refresh.refreshed_results(spark, states)["statistik"].first()
+    assert (row.jumlah_data, row.rata_rata_usd, row.terendah_usd, row.tertinggi_usd) == (3, 1.0, 0.0, 2.0)
 
 
 def test_two_topic_pipeline(spark, tmp_path):
@@ -188,6 +243,11 @@ def test_cli_land_analysis_forecast(spark, tmp_path):
     doc = read_document(f"{out}/forecast")
     assert len(doc["BTC"]["forecast"]) == 10
     assert read_document(f"{out}/spark_results")["statistik"][0]["jumlah_data"] == 60
+    again = str(tmp_path / "lake2")
+    assert cli.main(["land", "--api-src", str(src), "--rss-src", str(rss_src), "--root", again, "--trigger", "availableNow",
+                     "--results", f"{again}/out", "--models", "LinearRegression"], spark=spark) == 0
+    assert read_document(f"{again}/out/forecast") == doc
+    assert read_document(f"{again}/out/spark_results") == read_document(f"{out}/spark_results")
 
 
 def _price(symbol, price, t="2026-05-04T07:00:00+00:00"):

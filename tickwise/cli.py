@@ -36,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--format", default="json", choices=["json", "kafka"])
     s.add_argument("--bootstrap", default=None)
     s.add_argument("--trigger", default=LANDING_TRIGGER)
+    s.add_argument("--results", default=None, help="refresh result tables, forecasts and documents here with every batch")
+    s.add_argument("--models", nargs="+", default=list(MODEL_ORDER))
     return p
 
 
@@ -57,12 +59,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     else:
         from tickwise.schemas import NEWS_EVENT, PRICE_EVENT
         from tickwise.sources.kafka import read_topics
-        from tickwise.streaming import ingest, snapshots
+        from tickwise.streaming import ingest, refresh, snapshots
         # for Kafka the source argument is the topic name, for files it is the directory
         stream = read_topics(spark, {"api": args.api_src, "rss": args.rss_src}, fmt=args.format, bootstrap=args.bootstrap)
-        query = ingest.start_pipeline(stream, args.root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, args.trigger, snapshot_fns={
-            "api": snapshots.price_snapshot_writer(f"{args.root}/live_api"),
-            "rss": snapshots.news_snapshot_writer(f"{args.root}/live_rss")})
+        api = [snapshots.price_snapshot_writer(f"{args.root}/live_api")]
+        rss = [snapshots.news_snapshot_writer(f"{args.root}/live_rss")]
+        if args.results:
+            states = f"{args.root}/states"
+            api += [refresh.results_refresher(states, "api", args.results),
+                    refresh.forecast_refresher(f"{args.root}/api", f"{states}/forecast", args.results, args.models)]
+            rss += [refresh.results_refresher(states, "rss", args.results)]
+        query = ingest.start_pipeline(stream, args.root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, args.trigger,
+                                      snapshot_fns={"api": refresh.in_turn(*api), "rss": refresh.in_turn(*rss)})
         query.awaitTermination()
     return 0
 

@@ -76,6 +76,21 @@ def _observed_rows(seen: Observation) -> int:
         raise
 
 
+def write_results(spark: SparkSession, res: dict[str, DataFrame], out_root: str, write_document: bool = True) -> None:
+    """The three result tables (S9) and, from the written tables, the combined document."""
+    for name, df in res.items():
+        write_result(df, f"{out_root}/{name}")
+    if write_document:
+        # read back the written tables: the document does not recompute the aggregates
+        back = {n: spark.read.schema(df.schema).json(f"{out_root}/{n}") for n, df in res.items()}
+        doc = DOC.combined_document({
+            "statistik": (back["statistik"], [-F.col("rata_rata_usd"), F.col("symbol")]),
+            "volatilitas": (back["volatilitas"], [-F.col("avg_volatilitas"), F.col("jam"), F.col("symbol")]),
+            "berita": (back["berita"], [-F.col("jumlah_artikel"), F.col("jam")]),
+        })
+        DOC.write_document(doc, f"{out_root}/spark_results")
+
+
 def run_analysis(spark: SparkSession, landing_root: str, out_root: str, layout: str = "array",
                  write_document: bool = True) -> dict[str, DataFrame]:
     """Read ``{landing_root}/api`` and ``/rss`` (S1/S2, explicit schemas, S12 when absent),
@@ -88,17 +103,7 @@ def run_analysis(spark: SparkSession, landing_root: str, out_root: str, layout:
     res = analysis_results(prices, news)
     res["statistik"] = stats.price_stats(prices.observe(seen["api"], rows))
     res["berita"] = stats.hourly_news_count(news.observe(seen["rss"], rows))
-    for name, df in res.items():
-        write_result(df, f"{out_root}/{name}")
+    write_results(spark, res, out_root, write_document)
     counts = spark.createDataFrame([(name, _observed_rows(o)) for name, o in seen.items()], "dataset string, rows long")
-    if write_document:
-        # read back the written tables: the document does not recompute the aggregates
-        back = {n: spark.read.schema(df.schema).json(f"{out_root}/{n}") for n, df in res.items()}
-        doc = DOC.combined_document({
-            "statistik": (back["statistik"], [-F.col("rata_rata_usd"), F.col("symbol")]),
-            "volatilitas": (back["volatilitas"], [-F.col("avg_volatilitas"), F.col("jam"), F.col("symbol")]),
-            "berita": (back["berita"], [-F.col("jumlah_artikel"), F.col("jam")]),
-        })
-        DOC.write_document(doc, f"{out_root}/spark_results")
     res["counts"] = counts
     return res

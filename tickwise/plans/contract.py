@@ -775,7 +775,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tickwise.schemas import NEWS_EVENT, PRICE_EVENT, STATS  # noqa: E402
 from tickwise.session import materialize, scratch_path  # noqa: E402
-from tickwise.streaming import ingest, snapshots  # noqa: E402
+from tickwise.streaming import ingest, refresh, snapshots  # noqa: E402
 from tickwise.plans.analysis_job import normalize_prices, register_views, run_analysis, sql_results  # noqa: E402
 
 _STREAM_BATCHES = 4        # micro-batches at every scale; their size grows with the data
@@ -938,6 +938,33 @@ def q_stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_key("api", "symbol", F.round(F.sum("price_usd"), 2)).unionByName(per_key("rss", "article_id", F.lit(None).cast("double")))
 
 
+@register("stream_refresh", f"""
+SELECT 'statistik' AS result, CAST(NULL AS BIGINT) AS jam, symbol, rata_rata_usd AS mean, tertinggi_usd AS high, terendah_usd AS low,
+       std_deviasi AS deviation, jumlah_data AS rows FROM ({ORACLES["price_stats"]})
+UNION ALL SELECT 'volatilitas', jam, symbol, avg_volatilitas, NULL, NULL, NULL, jumlah_data FROM ({ORACLES["hourly_volatility"]})
+UNION ALL SELECT 'berita', jam, NULL, NULL, NULL, NULL, NULL, jumlah_artikel FROM ({ORACLES["hourly_news_count"]})
+""")
+def q_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 + S8: the three results refreshed with every batch of one stream over both topics (events as
+    prices and as news), each batch merged into the states of the batches before it."""
+    api, root = _price_files(spark, sf_dir), scratch_path(spark, "refreshed")
+    news = news_events(spark, sf_dir).withColumn("timestamp", F.date_format("event_ts", _ISO_WIRE))
+    sources = {"api": api, "rss": _stream_files(spark, news.select("article_id", "timestamp"), scratch_path(spark, "news-src"))}
+    stream = KF.read_topics(spark, sources, fmt="json", max_files_per_trigger=_files_per_batch(spark, api))
+    _await(ingest.start_pipeline(stream, root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, "availableNow", {
+        t: refresh.results_refresher(f"{root}/states", t) for t in ("api", "rss")}))
+    got = refresh.refreshed_results(spark, f"{root}/states")
+    none = F.lit(None)
+    shown = {"statistik": (none, F.col("symbol"), "rata_rata_usd", "tertinggi_usd", "terendah_usd", "std_deviasi", "jumlah_data"),
+             "volatilitas": (F.col("jam"), F.col("symbol"), "avg_volatilitas", none, none, none, "jumlah_data"),
+             "berita": (F.col("jam"), none, none, none, none, none, "jumlah_artikel")}
+    kinds = ("long", "string", "double", "double", "double", "double", "long")
+    names = ("jam", "symbol", "mean", "high", "low", "deviation", "rows")
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    parts = [got[r].select(F.lit(r).alias("result"), *[col(c).cast(k).alias(n) for c, k, n in zip(cols, kinds, names)]) for r, cols in shown.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ================================================================ dashboard tables, JSON landing path
 @register("dashboard_tables", f"""
 WITH st AS (
@@ -1119,6 +1146,7 @@ COVERS = {
     "stream_dedup": "T4 P13",
     "stream_news_snapshot": "T5 U1 A5 O6 W12 R8 R15",
     "stream_live_prices": "T3 W12 R8 R14",
+    "stream_refresh": "T7 T2 S8 A1 A2 A3",
     "stream_topics": "T2 S8 S5 T8 P11",
     "dashboard_tables": "V2 F19 F21",
     "json_landing_stats": "S1 S4 S9 S10 S12 F5 F8",

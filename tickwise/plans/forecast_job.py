@@ -25,7 +25,8 @@ def _empty(spark: SparkSession) -> DataFrame:
 
 def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str] = tuple(ML.MODEL_ORDER),
                    keys: Sequence[str] | None = None, horizon: int = FC.HORIZON, width: float | None = None,
-                   leak_free: bool = False, consistent: bool = False, materialize_features: bool = True) -> DataFrame:
+                   leak_free: bool = False, consistent: bool = False, materialize_features: bool = True,
+                   min_rows: int = S.MIN_ROWS_TOTAL) -> DataFrame:
     """Per symbol: history (last 50 points), forecast (``horizon`` points) and the winning
     model (name, R^2, MAE). ``prices`` are normalized price events (symbol, price_usd,
     event_ts, seq). ``keys`` is the optional allow-list (P4), the row filter that stands for the
@@ -33,7 +34,7 @@ def build_forecast(spark: SparkSession, prices: DataFrame, models: Sequence[str]
     base = S.base_series(prices)
     if keys is not None:
         base = base.where(F.col("symbol").isin(list(keys)))
-    if not S.has_rows(base, S.MIN_ROWS_TOTAL):  # P5
+    if not S.has_rows(base, min_rows):  # P5
         return _empty(spark)
     feats = S.feature_table(spark, base, width=width, leak_free=leak_free,
                             materialize_rows=materialize_features)

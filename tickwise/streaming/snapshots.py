@@ -1,4 +1,4 @@
-"""Live snapshots and stream dedup.
+"""Live snapshots and stream dedup.
 
 Snapshots are written per micro-batch into versioned directories ``v=<batch_id>``; a batch
 reads the newest version below its own id. A replayed batch (after a failure) rewrites the
@@ -129,13 +129,3 @@ def dedup_stream(stream: DataFrame, key: str = "article_id", watermark: tuple[st
         return stream.dropDuplicates([key])
     ts, delay = watermark
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
-
-
-def analysis_refresher(spark: SparkSession, landing: str, out_root: str, layout: str = "parquet"):
-    """On every trigger recompute the three batch aggregates over the landing table and
-    overwrite the result tables and the combined document (S9, S10)."""
-    from tickwise.plans.analysis_job import run_analysis
-
-    def run(_batch: DataFrame, _batch_id: int) -> None:
-        run_analysis(spark, landing, out_root, layout=layout)
-    return run
