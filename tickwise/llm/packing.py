@@ -1,15 +1,17 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Every source has a queue, its documents' tokens in a fixed order. A round gives each source its
-quantum of tokens, in proportion to the targets; what a quantum lacks of whole tokens is carried
-as the source's deficit into the next round. Written out, the tokens source s has got after round
-k are ``served(s, k) = min(T_s, floor((k + 1) * N_s / D))``, so the round and place of any token
-follow from its index in its queue, without visiting earlier rounds: partitions need only the
-number of tokens that earlier partitions hold of each source. Rounds follow each other without
-gaps in one stream, which is cut into sequences of ``LENGTH`` tokens; the tail becomes sequences
-of falling powers of two, so nothing is padded.
-
-The token table is written once (2 bytes a token) and read once; no exchange moves texts or ids.
+Every source has a queue, its documents' tokens in a fixed order. A round is one window of ``window``
+tokens (a sequence by default) and gives each source its quantum, in proportion to the targets; what a
+quantum lacks of whole tokens is carried as the source's deficit into the next round. Written out, the
+tokens source s has got after round k are ``served(s, k) = min(T_s, floor(k * N_s / D))``, so the round
+and place of any token follow from its index in its queue, without visiting earlier rounds: partitions
+need only the number of tokens that earlier partitions hold of each source, and deficits carry over
+windows and partitions alike. Rounds follow each other without gaps in one stream, which is cut into
+sequences of ``LENGTH`` tokens; any stretch of a round's length holds each source's quantum, up to a few
+tokens, until queues run dry. The tail becomes sequences of falling powers of two, so nothing is padded.
+
+The token table is written once (2 bytes a token) and read once; no exchange moves texts or ids. A
+piece costs one sum over the sources.
 
 Defined results: null text counts as empty and is the end mark alone; a null source is a queue of
 its own; repeated rows are packed each; an empty table gives no pieces.
@@ -30,7 +32,10 @@ from tickwise.llm.text import text_runs
 from tickwise.session import materialize
 
 LENGTH = 1024
-WINDOW = 64 * LENGTH    # tokens of a round: long enough that pieces stay near sequence length
+WINDOW = LENGTH         # tokens of a round
+PARTS = 1 << 20         # a quantum is a whole number of these parts of a token
+SLICE = 1 << 16         # tokens placed at once
+EMIT = 1 << 15          # pieces in a batch, those of one text at least
 END_ID = 0
 _LONG_GAP = re.compile(r"\s{10000}")
 
@@ -109,49 +114,55 @@ class Rounds:
     def __init__(self, totals: list[int], weights: list[float] | None = None, window: int = WINDOW, length: int = LENGTH):
         self.totals, self.length = np.array(totals, np.int64), length
         self.all = int(self.totals.sum())
-        if weights is None:
-            rounds = max(1, -(-self.all // window))
-            self.num, self.den = self.totals.copy(), rounds
-        else:
-            self.den = 1 << 20
-            share = np.array(weights, float) / sum(weights)
-            self.num = np.maximum(1, np.round(share * window * self.den)).astype(np.int64)
-        self.whole, self.part = self.num // self.den, self.num % self.den
+        share = np.array(totals if weights is None else weights, float)
+        self.num = np.maximum(1, np.round(share / max(share.sum(), 1e-300) * window * PARTS)).astype(np.int64)
+        self.whole, self.part = self.num // PARTS, self.num % PARTS
         self.tail = self.all - self.all % length
-
-    def served(self, k: int) -> np.ndarray:
-        """Tokens each queue has given after ``k`` rounds."""
-        return np.minimum(self.totals, k * self.whole + k * self.part // self.den)
+        rest = self.all - self.tail         # the tail's sequences: falling powers of two
+        sizes = [1 << i for i in range(rest.bit_length() - 1, -1, -1) if rest >> i & 1]
+        self.tail_starts = self.tail + np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)[:-1]]).astype(np.int64)
+
+    def served(self, k) -> np.ndarray:
+        """Tokens each queue has given after ``k`` rounds (one row for each of several ``k``)."""
+        k = np.asarray(k, np.int64)[..., None]
+        return np.minimum(self.totals, k * self.whole + k * self.part // PARTS)
+
+    def round_of(self, s: int, start: int, n: int) -> np.ndarray:
+        """Round of each of tokens start .. start + n of queue ``s``: the first that serves beyond it."""
+        num = int(self.num[s])
+        q, r = divmod(start * PARTS, num)
+        return q + (r + np.arange(1, n + 1, dtype=np.int64) * PARTS - 1) // num
+
+    def places(self, s: int, start: int, n: int) -> np.ndarray:
+        """Place in the stream of each of tokens start .. start + n of queue ``s``."""
+        k = self.round_of(s, start, n)
+        new = np.r_[True, k[1:] != k[:-1]]
+        rounds, base = k[new], []
+        step = max(1, (1 << 20) // len(self.totals))
+        for a in range(0, len(rounds), step):
+            before, after = self.served(rounds[a:a + step]), self.served(rounds[a:a + step] + 1)
+            # the round's tokens of earlier queues, then those of the queue itself
+            base.append(after[:, :s].sum(axis=1) + before[:, s:].sum(axis=1) - before[:, s])
+        return np.concatenate(base)[np.cumsum(new) - 1] + np.arange(start, start + n)
+
+    def sequence(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sequence and offset in it for places of the stream."""
+        number, offset = place // self.length, place % self.length
+        late = place >= self.tail
+        if late.any():
+            at = np.searchsorted(self.tail_starts, place[late], side="right") - 1
+            number[late], offset[late] = self.tail // self.length + at, place[late] - self.tail_starts[at]
+        return number, offset
 
     def pieces(self, s: int, start: int, n: int):
-        """(index in the document, length, place in the stream) of the parts of tokens
-        start .. start + n of queue ``s``, cut at rounds and at sequences."""
-        at = start
-        while at < start + n:
-            k = int(at * self.den // int(self.num[s]))          # served(k) <= at, up to rounding
-            while int(min(self.totals[s], k * self.whole[s] + k * self.part[s] // self.den)) > at:
-                k -= 1
-            while int(min(self.totals[s], (k + 1) * self.whole[s] + (k + 1) * self.part[s] // self.den)) <= at:
-                k += 1
-            before, after = self.served(k), self.served(k + 1)
-            stop = min(start + n, int(after[s]))
-            place = int(after[:s].sum() + before[s:].sum()) + at - int(before[s])
-            while at < stop:
-                _, offset, size = self.sequence(place)
-                m = min(stop - at, size - offset)
-                yield at - start, m, place
-                at, place = at + m, place + m
-
-    def sequence(self, place: int) -> tuple[int, int, int]:
-        """Sequence, offset in it and its length for a place of the stream."""
-        if place < self.tail:
-            return place // self.length, place % self.length, self.length
-        rest, number, at = self.all - self.tail, self.tail // self.length, place - self.tail
-        while True:
-            size = 1 << (rest.bit_length() - 1)
-            if at < size:
-                return number, at, size
-            rest, number, at = rest - size, number + 1, at - size
+        """Index in the document, length, sequence and offset of the pieces of tokens start .. start + n
+        of queue ``s``: runs of neighbouring places in one sequence (cut where a slice ends, too)."""
+        for a in range(0, n, SLICE):
+            m = min(SLICE, n - a)
+            place = self.places(s, start + a, m)
+            number, offset = self.sequence(place)
+            first = np.flatnonzero(np.r_[True, (place[1:] != place[:-1] + 1) | (number[1:] != number[:-1])])
+            yield first + a, np.diff(np.r_[first, m]), number[first], offset[first]
 
 
 PIECES = "doc_id long, source string, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -172,19 +183,39 @@ def pack(docs: DataFrame, weights: dict | None = None, window: int = WINDOW, len
     rounds = Rounds([n for _, n in totals] or [0], [weights[s] for s, _ in totals] if weights else None, window, length)
     schema = PIECES + (", ids binary" if with_ids else "")
 
+    names = [f.split()[0] for f in schema.split(", ")]
+
     def run(batches):
         for batch in batches:
-            col = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
-            out = []
-            for doc, source, base_, start, n, ids in zip(col["doc_id"], col["source"], col["base"], col["start"], col["tokens"], col["ids"]):
-                wide = np.frombuffer(ids, "<u2").astype("<u4")
-                for first, m, place in rounds.pieces(queue[source], base_ + start, n):
-                    number, offset, _ = rounds.sequence(place)
-                    raw = wide[first:first + m].tobytes()
-                    out.append((doc, source, first, m, zlib.crc32(raw), n, number, offset, raw)[:9 if with_ids else 8])
-            names = [f.split()[0] for f in schema.split(", ")]
-            kinds = [pa.string() if x == "source" else pa.binary() if x == "ids" else pa.int64() for x in names]
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=names)
+            col = {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names) if n != "ids"}
+            out, counts, crcs, raws, held = [], [], [], [], 0
+
+            def emit(lo: int, hi: int):
+                """The pieces of rows ``lo`` .. ``hi`` of the batch."""
+                first, length, number, offset = (np.concatenate(x) for x in zip(*out)) if out else [np.zeros(0, np.int64)] * 4
+                rep = lambda name, kind: pa.array(col[name][lo:hi], kind).take(pa.array(np.repeat(np.arange(hi - lo), counts)))
+                cols = [rep("doc_id", pa.int64()), rep("source", pa.string()), pa.array(first), pa.array(length), pa.array(crcs, pa.int64()),
+                        rep("tokens", pa.int64()), pa.array(number), pa.array(offset)] + ([pa.array(raws, pa.binary())] if with_ids else [])
+                for x in (out, counts, crcs, raws):
+                    x.clear()
+                return pa.RecordBatch.from_arrays(cols, names=names)
+
+            lo = 0
+            for i in range(batch.num_rows):
+                wide = memoryview(np.frombuffer(batch.column("ids")[i].as_buffer(), "<u2").astype("<u4")).cast("B")
+                counts.append(0)
+                for part in rounds.pieces(queue[col["source"][i]], col["base"][i] + col["start"][i], col["tokens"][i]):
+                    out.append(part)
+                    counts[-1] += len(part[0])
+                    cut = [wide[4 * f:4 * (f + m)] for f, m in zip(part[0].tolist(), part[1].tolist())]
+                    crcs += map(zlib.crc32, cut)
+                    if with_ids:
+                        raws += map(bytes, cut)
+                held += counts[-1]
+                if held >= EMIT:
+                    yield emit(lo, i + 1)
+                    lo, held = i + 1, 0
+            yield emit(lo, batch.num_rows)
 
     b = base.select("part", F.col("source").alias("_s"), "base")
     # one row per task and source: joined by Spark's own size check, broadcast only while small
