@@ -226,6 +226,29 @@ def test_dedup_stream_with_watermark_bounds_state(spark, tmp_path):
     assert sorted(r.article_id for r in spark.read.parquet(out).collect()) == ["x", "y"]
 
 
+def test_first_sightings_forget_and_survive_restarts(spark, tmp_path):
+    src, out, ck = tmp_path / "w", str(tmp_path / "wo"), str(tmp_path / "wck")
+
+    def poll(name, rows):
+        _write_lines(src, [{"id": i, "ts": t and f"2026-05-04T{t}", "n": n} for i, t, n in rows], name)
+        st = spark.readStream.schema("id string, ts string, n int").json(str(src)).withColumn("ts", F.to_timestamp("ts"))
+        q = (snapshots.first_sightings(st, "id", "ts", "10 minutes", "5 minutes").writeStream.format("parquet")
+             .option("checkpointLocation", ck).trigger(availableNow=True).start(out))     # each poll is a restart
+        q.awaitTermination(120)
+        state = q.lastProgress["stateOperators"][0]
+        assert any("rocksdb" in m for m in state["customMetrics"])
+        return state["numRowsTotal"], sorted((r.id or "", r.n, r.sightings) for r in spark.read.parquet(out).collect())
+
+    held, got = poll("1.json", [("x", "07:04:00", 2), ("x", "07:00:00", 1), ("y", "07:01:00", 3), (None, "07:02:00", 4), ("z", None, 5)])
+    assert (held, got) == (3, [])
+    # x is seen again (same session, one row late), y is quiet for long; at 07:30 - 5 min all older sessions are closed
+    held, got = poll("2.json", [("x", "07:12:00", 6), ("x", "07:09:00", 7), ("y", "07:30:00", 8)])
+    assert (held, got) == (1, [("", 4, 1), ("x", 1, 4), ("y", 3, 1)])
+    held, got = poll("3.json", [(f"k{i}", f"{8 + i // 60:02d}:{i % 60:02d}:00", i) for i in range(300)])
+    assert held <= 16 and len(got) >= 4 + 284      # the state holds a quarter of an hour, not the stream
+    assert sum(n for _, _, n in got) == len(got) + 3
+
+
 def test_cli_land_analysis_forecast(spark, tmp_path):
     from tickwise import cli
     src = tmp_path / "api_src"

@@ -455,6 +455,7 @@ from tickwise.operators import documents as DOC  # noqa: E402
 from tickwise.operators import monitor as MON  # noqa: E402
 from tickwise.operators import views as VW  # noqa: E402
 from tickwise.sources import kafka as KF  # noqa: E402
+from tickwise.sources import landing as LD  # noqa: E402
 from tickwise.sources.landing import landing_inventory  # noqa: E402
 
 _FMT2 = "rtrim(rtrim(format('{{:,.2f}}', {x}), '0'), '.')"
@@ -863,6 +864,29 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("dedup_key")
 
 
+@register("stream_first_sightings", """
+WITH e AS (SELECT event_type || '-' || user_id AS id, ts, event_id FROM events),
+s AS (SELECT *, CASE WHEN ts < lag(ts) OVER w + INTERVAL 12 HOUR THEN 0 ELSE 1 END AS opens FROM e WINDOW w AS (PARTITION BY id ORDER BY ts)),
+n AS (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY ts RANGE UNBOUNDED PRECEDING) AS nth FROM s)
+SELECT id, min(ts) AS ts, arg_min(event_id, (ts, event_id)) AS event_id, count(*) AS sightings
+FROM n GROUP BY id, nth HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+""")
+def q_stream_first_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 with bounded state: events by (type, user) in four polls of event time, each id new again after
+    12 quiet hours; the sessions closed at the end of the stream."""
+    ev = table(spark, sf_dir, "events").select(F.concat_ws("-", "event_type", "user_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    lo, hi = ev.agg(F.min("ts"), F.max("ts")).first()
+    src, out, ckpt = (scratch_path(spark, f"sightings-{x}") for x in ("src", "out", "ckpt"))
+    span = F.unix_micros(F.lit(hi)) - F.unix_micros(F.lit(lo)) + 1
+    poll = F.floor((F.unix_micros("ts") - F.unix_micros(F.lit(lo))) * F.lit(float(_STREAM_BATCHES)) / span)
+    for p in range(_STREAM_BATCHES):
+        ev.where(poll == p).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(ev.schema).parquet(src)
+        seen = snapshots.first_sightings(stream, "id", "ts", "12 hours", "1 hour")
+        _await(seen.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
+    return spark.read.parquet(out).select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id", "sightings")
+
+
 def _polls(spark: SparkSession, rows: DataFrame, poll, order: str, schema: T.StructType, writer, name: str) -> str:
     """One run of the stream per poll: a poll's rows are appended as one file in ``order``, then the
     checkpointed stream reads what is new and calls ``writer``. Returns the snapshot folder."""
@@ -1002,15 +1026,36 @@ def q_json_landing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = price_events(spark, sf_dir).select(
         "symbol", "coin_id", "price_usd", "price_idr", "change_24h",
         F.date_format("event_ts", _ISO_WIRE).alias("timestamp"))
-    # one array document per file: group rows of a file-sized bucket into one JSON text row
-    bucket = F.floor(F.monotonically_increasing_id() / F.lit(_ARRAY_DOC_ROWS))
-    (ev.groupBy(bucket.alias("_b")).agg(F.to_json(F.collect_list(F.struct(*ev.columns))).alias("value"))
-     .select("value").write.option("maxRecordsPerFile", 1).text(f"{src}/api"))
+    _array_documents(ev, F.collect_list(F.struct(*ev.columns)), f"{src}/api")
     out = scratch_path(spark, "analysis-out")
     run_analysis(spark, src, out, layout="array")
     return spark.read.schema(STATS).json(f"{out}/statistik")
 
 
+def _array_documents(rows: DataFrame, document, path: str) -> None:
+    """One JSON document per file: the rows of a file-sized bucket, as ``document`` gathers them."""
+    bucket = F.floor(F.monotonically_increasing_id() / F.lit(_ARRAY_DOC_ROWS))
+    (rows.groupBy(bucket.alias("_b")).agg(F.to_json(document).alias("value"))
+     .select("value").write.option("maxRecordsPerFile", 1).text(path))
+
+
+@register("json_wrapped_news", """
+SELECT left(md5(url), 8) AS article_id, url AS link FROM pages
+""")
+def q_json_wrapped_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + S12 + S13: pages landed as wrapper objects (the records in a member beside text, numbers and
+    other arrays), next to a file that is no JSON and one without records."""
+    src = scratch_path(spark, "landing-wrapped")
+    items = _pages_as_items(spark, sf_dir).select(F.substring(F.md5("link"), 1, 8).alias("article_id"), "title", "link")
+    wrapper = F.struct(F.array(F.lit(1), F.lit(2)).alias("codes"), F.count("*").alias("found"),
+                       F.collect_list(F.struct(*items.columns)).alias("items"), F.lit("[]").alias("status"))
+    _array_documents(items, wrapper, f"{src}/rss")
+    spark.range(1).select(F.lit('{"items": [{"article_id": "x"').alias("value")).write.mode("append").text(f"{src}/rss")
+    spark.range(1).select(F.lit('{"status": "none", "found": 0}').alias("value")).write.mode("append").text(f"{src}/rss")
+    news = LD.load_or_empty(spark, f"{src}/rss", NEWS_EVENT, "array")
+    return news.unionByName(LD.load_or_empty(spark, f"{src}/absent", NEWS_EVENT, "array")).select("article_id", "link")
+
+
 @register("poll_counts", """
 SELECT strftime(o_orderdate, '%Y-%m-%d') AS poll, COUNT(*) AS rows FROM orders GROUP BY 1
 """)
@@ -1146,6 +1191,8 @@ COVERS = {
     "stream_dedup": "T4 P13",
     "stream_news_snapshot": "T5 U1 A5 O6 W12 R8 R15",
     "stream_live_prices": "T3 W12 R8 R14",
+    "stream_first_sightings": "T4",
+    "json_wrapped_news": "S1 S2 S12 S13",
     "stream_refresh": "T7 T2 S8 A1 A2 A3",
     "stream_topics": "T2 S8 S5 T8 P11",
     "dashboard_tables": "V2 F19 F21",

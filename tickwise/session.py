@@ -26,6 +26,10 @@ BASE_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     # each statement's shuffle files go when it ends; lineage is cut by written tables, not by shuffles
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # stream state off the heap and on disk, uploaded as changes; sessions merged before their exchange
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

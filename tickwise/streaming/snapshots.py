@@ -129,3 +129,19 @@ def dedup_stream(stream: DataFrame, key: str = "article_id", watermark: tuple[st
         return stream.dropDuplicates([key])
     ts, delay = watermark
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+
+def first_sightings(stream: DataFrame, key: str, ts: str, quiet: str, late: str) -> DataFrame:
+    """T4 with bounded memory and a rule that does not depend on batches: an id that was not seen for
+    ``quiet`` of event time is new again. Per id, rows less than ``quiet`` apart are one session, whose
+    earliest row (ties: the smallest row) is kept with ``sightings``, the number of its rows.
+
+    Rows may come up to ``late`` behind the newest one; later ones are dropped. A row is given out once its
+    session can no longer change, and its state is freed then: the state holds the sessions of the last
+    ``quiet + late`` of event time, whatever the length of the stream. Rows without a time are left out; a
+    null id is an id like any other. Sessions are merged before the exchange, so a busy id is a few rows there."""
+    cols = [c for c in stream.columns if not c.startswith("_")]
+    first = F.min(F.struct(F.col(ts), *[F.col(c) for c in cols if c != ts])).alias("_row")
+    timed = stream.where(F.col(ts).isNotNull()).withWatermark(ts, late)
+    g = timed.groupBy(F.session_window(ts, quiet).alias("_session"), F.col(key).alias("_id")).agg(first, F.count(F.lit(1)).alias("sightings"))
+    return g.select(*[F.col(f"_row.{c}").alias(c) for c in cols], "sightings")
