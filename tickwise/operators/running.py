@@ -45,10 +45,14 @@ def _mean() -> Column:
 
 @dataclass(frozen=True)
 class Running:
-    """A result kept as states: its keys, the measured value and the columns shown."""
+    """A result kept as states: its keys, the measured value, the columns shown and their digits."""
     keys: dict[str, Callable[[], Column]]
     value: Callable[[], Column]
-    show: Callable[[DataFrame], DataFrame]
+    columns: Callable[[DataFrame, int], DataFrame]
+    digits: int = 0
+
+    def show(self, states: DataFrame, digits: int | None = None) -> DataFrame:
+        return self.columns(states, self.digits if digits is None else digits)
 
     def of(self, rows: DataFrame) -> DataFrame:
         return summarise(rows, {k: c() for k, c in self.keys.items()}, self.value())
@@ -60,13 +64,13 @@ class Running:
 _hour = lambda: F.hour("event_ts")
 _symbol = lambda: F.col("symbol")
 
-PRICE_STATS = Running({"symbol": _symbol}, lambda: F.col("price_usd"), lambda s: s.select(
-    "symbol", F.round(_mean(), 2).alias("rata_rata_usd"), F.round("hi", 2).alias("tertinggi_usd"), F.round("lo", 2).alias("terendah_usd"),
-    F.round(F.sqrt(F.try_divide(F.col("m2"), F.when(F.col("m") > 1, F.col("m") - 1))), 2).alias("std_deviasi"),
-    F.col("n").alias("jumlah_data")).orderBy(F.col("rata_rata_usd").desc()))
-HOURLY_VOLATILITY = Running({"jam": _hour, "symbol": _symbol}, lambda: F.abs(F.col("change_24h")), lambda s: s.select(
-    "jam", "symbol", F.round(_mean(), 4).alias("avg_volatilitas"), F.col("n").alias("jumlah_data")).orderBy(F.col("avg_volatilitas").desc()))
-HOURLY_NEWS = Running({"jam": _hour}, lambda: F.lit(None), lambda s: s.select(
+PRICE_STATS = Running({"symbol": _symbol}, lambda: F.col("price_usd"), lambda s, d: s.select(
+    "symbol", F.round(_mean(), d).alias("rata_rata_usd"), F.round("hi", d).alias("tertinggi_usd"), F.round("lo", d).alias("terendah_usd"),
+    F.round(F.sqrt(F.try_divide(F.col("m2"), F.when(F.col("m") > 1, F.col("m") - 1))), d).alias("std_deviasi"),
+    F.col("n").alias("jumlah_data")).orderBy(F.col("rata_rata_usd").desc()), 2)
+HOURLY_VOLATILITY = Running({"jam": _hour, "symbol": _symbol}, lambda: F.abs(F.col("change_24h")), lambda s, d: s.select(
+    "jam", "symbol", F.round(_mean(), d).alias("avg_volatilitas"), F.col("n").alias("jumlah_data")).orderBy(F.col("avg_volatilitas").desc()), 4)
+HOURLY_NEWS = Running({"jam": _hour}, lambda: F.lit(None), lambda s, _: s.select(
     "jam", F.col("n").alias("jumlah_artikel")).orderBy(F.col("jumlah_artikel").desc()))
 
 # Results by the topic whose rows feed them.

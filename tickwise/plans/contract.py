@@ -962,22 +962,23 @@ def q_stream_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_key("api", "symbol", F.round(F.sum("price_usd"), 2)).unionByName(per_key("rss", "article_id", F.lit(None).cast("double")))
 
 
-@register("stream_refresh", f"""
-SELECT 'statistik' AS result, CAST(NULL AS BIGINT) AS jam, symbol, rata_rata_usd AS mean, tertinggi_usd AS high, terendah_usd AS low,
-       std_deviasi AS deviation, jumlah_data AS rows FROM ({ORACLES["price_stats"]})
-UNION ALL SELECT 'volatilitas', jam, symbol, avg_volatilitas, NULL, NULL, NULL, jumlah_data FROM ({ORACLES["hourly_volatility"]})
-UNION ALL SELECT 'berita', jam, NULL, NULL, NULL, NULL, NULL, jumlah_artikel FROM ({ORACLES["hourly_news_count"]})
+@register("stream_refresh", """
+SELECT 'statistik' AS result, CAST(NULL AS BIGINT) AS jam, event_type AS symbol, round(avg(value), 9) AS mean, round(max(value), 9) AS high,
+       round(min(value), 9) AS low, round(stddev_samp(value), 9) AS deviation, count(*) AS rows FROM events GROUP BY event_type
+UNION ALL SELECT 'volatilitas', CAST(hour(ts) AS BIGINT), event_type, round(avg(abs(value - 50.0)), 9), NULL, NULL, NULL, count(*)
+          FROM events GROUP BY 2, 3
+UNION ALL SELECT 'berita', CAST(hour(ts) AS BIGINT), NULL, NULL, NULL, NULL, NULL, count(*) FROM events GROUP BY 2
 """)
 def q_stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 + S8: the three results refreshed with every batch of one stream over both topics (events as
-    prices and as news), each batch merged into the states of the batches before it."""
+    prices and as news), each batch merged into the states of the batches before it; to 9 digits."""
     api, root = _price_files(spark, sf_dir), scratch_path(spark, "refreshed")
     news = news_events(spark, sf_dir).withColumn("timestamp", F.date_format("event_ts", _ISO_WIRE))
     sources = {"api": api, "rss": _stream_files(spark, news.select("article_id", "timestamp"), scratch_path(spark, "news-src"))}
     stream = KF.read_topics(spark, sources, fmt="json", max_files_per_trigger=_files_per_batch(spark, api))
     _await(ingest.start_pipeline(stream, root, {"api": PRICE_EVENT, "rss": NEWS_EVENT}, "availableNow", {
         t: refresh.results_refresher(f"{root}/states", t) for t in ("api", "rss")}))
-    got = refresh.refreshed_results(spark, f"{root}/states")
+    got = refresh.refreshed_results(spark, f"{root}/states", digits=9)
     none = F.lit(None)
     shown = {"statistik": (none, F.col("symbol"), "rata_rata_usd", "tertinggi_usd", "terendah_usd", "std_deviasi", "jumlah_data"),
              "volatilitas": (F.col("jam"), F.col("symbol"), "avg_volatilitas", none, none, none, "jumlah_data"),

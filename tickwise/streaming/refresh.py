@@ -63,15 +63,16 @@ def results_refresher(root: str, topic: str, out_root: str | None = None, keep:
     return run
 
 
-def refreshed_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """A1-A3 over all rows merged so far, from the newest states; empty where no batch came yet."""
+def refreshed_results(spark: SparkSession, root: str, digits: int | None = None) -> dict[str, DataFrame]:
+    """A1-A3 over all rows merged so far, from the newest states; empty where no batch came yet.
+    ``digits`` replaces the results' own 2 and 4, at which the order of summation decides exact ties."""
     out = {}
     for topic, results in RESULTS.items():
         _, schema = _TYPED[topic]
         for name, result in results.items():
             newest = latest_version_below(spark, f"{root}/{name}", _ALL)
             states = spark.read.parquet(newest) if newest else result.of(_typed_rows(spark.createDataFrame([], schema), topic))
-            out[name] = result.show(states)
+            out[name] = result.show(states, digits)
     return out
 
 
