@@ -1,6 +1,7 @@
 """The operators against plain versions on small tables, and on rows that are easily forgotten."""
 
 import hashlib
+import itertools
 import math
 import re
 import zlib
@@ -75,17 +76,40 @@ def test_jaccard_on_messy_and_empty(messy, empty):
     assert ngram_join.jaccard_components(empty).count() == 0
 
 
-def test_bucket_keys_are_shared_by_linked_sets():
-    rng = np.random.RandomState(3)
-    for n in (9, 10, 11, 19, 20, 40, 200):
-        for _ in range(60):
-            a = np.unique(rng.randint(0, 2 ** 62, n).astype(np.uint64))
-            cut = n // 10 if n % 10 == 0 else n // 11
-            b = np.sort(rng.choice(a, len(a) - max(1, cut), replace=False))
-            both = len(np.intersect1d(a, b))
-            if 10 * both >= 9 * (len(a) + len(b) - both):
-                x, y = ngram_join.bucket_keys([a, b])
-                assert np.intersect1d(x, y).size
+def test_long_sets_are_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_GRAMS", 500)
+    check_components(rows(spark, near_copies(120, 60, seed=4) + [(i + 200, t, lang, s) for i, t, lang, s in near_copies(30, 700, seed=5)]))
+
+
+@pytest.mark.parametrize("num, den", [(9, 10), (8, 10), (1, 2)])
+def test_block_links_join_what_all_pairs_join(num, den):
+    rng = np.random.RandomState(num)
+    for size in (1, 2, 5, 20, 300):
+        bases = [rng.randint(0, 2 ** 62, size).astype(np.uint64) for _ in range(3)]
+        sets = []
+        for k in range(60):
+            own = bases[k % 3].copy()
+            own[rng.randint(0, size, rng.randint(0, max(1, size // 3) + 1))] = rng.randint(0, 2 ** 62)
+            sets.append(np.unique(own[:rng.randint(max(1, size - 4), size + 1)]))
+        names = [1000 + k for k in range(len(sets))]
+        links = ngram_join.block_links(names, sets, num=num, den=den)
+        want = {(a, b) for a, b in itertools.combinations(range(60), 2)
+                if den * len(np.intersect1d(sets[a], sets[b])) >= num * len(np.union1d(sets[a], sets[b]))}
+        assert all(tuple(sorted((u - 1000, v - 1000))) in want for u, v in links)
+
+        def groups(pairs):
+            label = list(range(60))
+            for a, b in pairs:
+                label = [label[a] if x == label[b] else x for x in label]
+            return {frozenset(i for i in range(60) if label[i] == x) for x in label}
+
+        assert groups((u - 1000, v - 1000) for u, v in links) == groups(want)
+
+
+def test_two_long_copies_share_one_run():
+    whole = np.arange(400_000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = [np.sort(whole), np.sort(whole[:-3]), np.sort(whole[5:])]
+    assert len(ngram_join.block_links([1, 2, 3], sets)) == 2
 
 
 def test_keep_one_keeps_the_smallest_id(spark):

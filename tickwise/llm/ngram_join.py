@@ -14,9 +14,9 @@ the set sizes require. Spark brings together the sets that can link:
    equal results for any number of ranges, and one back of those that several sets hold. Codes are
    narrower than hashes: codes that coincide only add candidates (``prefix_keys``).
 3. Sets that share keys form candidate clusters (a star per key, then connected components).
-4. A cluster is one trie block. A large one is dealt by size class, then into chunks, and every
-   two chunks of a class meet in one block, so a block is bounded whatever the cluster's size.
-   Blocks report links that join something new, not all pairs.
+4. A cluster is one trie block. A large one (by sets or by n-grams) is dealt by size class, then into
+   chunks, and every two chunks of a class meet in one block, so a block is bounded whatever the
+   cluster's size. Blocks report links that join something new, not all pairs.
 
 Defined results: ASCII letters are compared in lower case; a text of fewer words than an n-gram has its whole
 sequence as its only n-gram; a text without words (or null) has none and links with nothing. Rows
@@ -25,8 +25,6 @@ that repeat a doc_id are rows of their own. The component is named by its smalle
 
 from __future__ import annotations
 
-from bisect import bisect_left
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,9 +38,8 @@ from tickwise.session import materialize, release
 WORDS = 3
 # J >= 9/10: 10 * I >= 9 * U, that is 19 * I >= 9 * (a + b)
 NUM, DEN = 9, 10
-BLOCK = 1024
-DEALS = 4
-
+BLOCK = 1024                # sets of a block
+BLOCK_GRAMS = 1 << 20       # and their n-grams, besides its longest set
 
 _HEAD = np.dtype([("d", "<i8"), ("count", "<u4")])
 SPREAD_GRAMS = 1 << 20      # n-grams that a task packs at once
@@ -227,61 +224,63 @@ def _needed(a: int, b: int, num: int = NUM, den: int = DEN) -> int:
 
 
 class _Node:
-    __slots__ = ("children", "sets", "tail", "least", "deep")
+    """A run of tokens (``label``), the sets that end behind it, and branches by their next token."""
+
+    __slots__ = ("label", "children", "sets", "least", "deep")
 
-    def __init__(self):
-        self.children, self.sets, self.tail, self.least, self.deep = {}, [], (), 1 << 62, 0
+    def __init__(self, label: np.ndarray):
+        self.label, self.children, self.sets, self.least, self.deep = label, {}, [], 1 << 62, 0
 
 
 class Trie:
-    """Sets as ascending token lists. A branch that holds one list so far keeps it as a tail."""
+    """Sets as ascending token arrays (tokens below ``codes``). Runs of tokens without a branch are
+    one node, so there are at most two nodes a set, however long the sets are."""
 
-    def __init__(self, num: int = NUM, den: int = DEN):
-        self.root, self.num, self.den = _Node(), num, den
+    def __init__(self, codes: int, num: int = NUM, den: int = DEN):
+        self.root, self.num, self.den = _Node(np.zeros(0, np.int64)), num, den
+        self.marked = np.zeros(codes, bool)
 
-    def add(self, tokens: list[int], size: int, name: int) -> None:
+    def add(self, tokens: np.ndarray, size: int, name: int) -> None:
         node, i = self.root, 0
         while True:
-            node.least = min(node.least, size)
-            node.deep = max(node.deep, len(tokens) - i)
-            if not node.children and not node.sets:
-                node.tail, node.sets = tuple(tokens[i:]), [(name, size)]
-                return
-            if node.tail:
-                if node.tail == tuple(tokens[i:]):
-                    node.sets.append((name, size))
-                    return
-                below = _Node()     # push the tail one level down
-                below.tail, below.sets, below.deep = node.tail[1:], node.sets, len(node.tail) - 1
-                below.least = min(s for _, s in node.sets)
-                node.children[node.tail[0]] = below
-                node.tail, node.sets = (), []
+            node.least, node.deep = min(node.least, size), max(node.deep, len(tokens) - i)
+            i += len(node.label)
             if i == len(tokens):
                 node.sets.append((name, size))
                 return
-            child = node.children.get(tokens[i])
+            token = int(tokens[i])
+            child = node.children.get(token)
             if child is None:
-                child = node.children[tokens[i]] = _Node()
-            node, i = child, i + 1
-
-    def probe(self, tokens: list[int], size: int):
-        """(name, size, overlap bound met) of sets whose overlap with ``tokens`` reaches the need."""
+                child = node.children[token] = _Node(tokens[i:])
+            else:
+                n = min(len(child.label), len(tokens) - i)
+                other = np.flatnonzero(child.label[:n] != tokens[i:i + n])
+                same = int(other[0]) if len(other) else n
+                if same < len(child.label):     # branch off inside the run
+                    upper = node.children[token] = _Node(child.label[:same])
+                    upper.least, upper.deep = child.least, child.deep
+                    child.label, child.deep = child.label[same:], child.deep - same
+                    upper.children[int(child.label[0])] = child
+                    child = upper
+            node = child
+
+    def probe(self, tokens: np.ndarray, size: int):
+        """Names of the sets whose overlap with ``tokens`` reaches the need."""
         num, den = self.num, self.den
         n, least_size = len(tokens), -(-num * size // den)
-        members = frozenset(tokens)
-        stack = [(self.root, 0, 0)]
+        self.marked[tokens] = True
+        found, stack = [], [(self.root, 0, 0)]
         while stack:
             node, i, got = stack.pop()
             if got + min(n - i, node.deep) < _needed(size, max(node.least, least_size), num, den):
                 continue
-            if node.sets:
-                full = got + (len(members.intersection(node.tail)) if node.tail else 0)
-                for name, other in node.sets:
-                    if other >= least_size and full >= _needed(size, other, num, den):
-                        yield name
-            for token, child in node.children.items():
-                j = bisect_left(tokens, token, i)
-                stack.append((child, j + 1, got + 1) if j < n and tokens[j] == token else (child, j, got))
+            if len(node.label):
+                got += int(np.count_nonzero(self.marked[node.label]))
+                i += int(np.searchsorted(tokens[i:], node.label[-1], side="right"))
+            found += [name for name, other in node.sets if other >= least_size and got >= _needed(size, other, num, den)]
+            stack += [(child, i, got) for child in node.children.values()]
+        self.marked[tokens] = False
+        return found
 
 
 def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | None = None, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
@@ -301,10 +300,10 @@ def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | Non
             x = parent[x]
         return x
 
-    trie, links = Trie(num, den), []
+    trie, links = Trie(len(grams), num, den), []
     for k in np.argsort(sizes, kind="stable").tolist():
         part = code[edge[k]:edge[k + 1]]
-        tokens = np.sort(part[part >= 0]).tolist()
+        tokens = np.sort(part[part >= 0])
         size = int(sizes[k])
         if _needed(size, -(-num * size // den), num, den) <= len(tokens):
             for other in trie.probe(tokens, size):
@@ -318,16 +317,16 @@ def block_links(names: list[int], sets: list[np.ndarray], home: list[bool] | Non
 
 def _blocks(members: DataFrame, num: int, den: int) -> DataFrame:
     """(d, n, cluster) dealt into blocks: adds block (string) and home."""
-    count = members.groupBy("cluster").agg(F.count("*").alias("_m"))
-    rows = lookup(members, count, ["cluster"])
-    small = rows.filter(F.col("_m") <= BLOCK).select("d", "n", "cluster", F.concat_ws("/", "cluster").alias("block"), F.lit(True).alias("home"))
-    large = rows.filter(F.col("_m") > BLOCK)
+    fits = (F.count("*") <= BLOCK) & (F.sum("n") <= BLOCK_GRAMS)
+    rows = lookup(members, members.groupBy("cluster").agg(fits.alias("_fits")), ["cluster"])
+    small = rows.filter("_fits").select("d", "n", "cluster", F.concat_ws("/", "cluster").alias("block"), F.lit(True).alias("home"))
+    large = rows.filter("NOT _fits")
     # a class and, as visitors, the class below it
     size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(den / num)))
     dealt = large.withColumn("_class", F.explode(F.array(size_class, size_class + 1))).withColumn("home", F.col("_class") == size_class)
     # a visitor may be linked only if sizes allow: the ratio is checked again in the block
-    per = dealt.groupBy("cluster", "_class").agg(F.count("*").alias("_n"))
-    per = per.select("cluster", "_class", F.ceil(F.col("_n") / (BLOCK // 2)).cast("int").alias("chunks"))
+    chunks = F.greatest(F.ceil(F.count("*") / (BLOCK // 2)), F.ceil(F.sum("n") / (BLOCK_GRAMS // 2)))
+    per = dealt.groupBy("cluster", "_class").agg(chunks.cast("int").alias("chunks"))
     dealt = lookup(dealt, per, ["cluster", "_class"])
     own = F.pmod(F.xxhash64("d"), F.col("chunks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.struct(F.least(own, j).alias("a"), F.greatest(own, j).alias("b")))
