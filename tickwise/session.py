@@ -20,6 +20,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # rows may hold long texts: small batches bound the memory of a Python worker
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     # a join that needs few rows of a large scan filters the scan by a Bloom filter (8 MB at most)
     # of the small side's keys before the exchange
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "16MB",
