@@ -9,7 +9,8 @@ proportion to their weights. The noise comes from a hash of seed, doc_id and wei
 The target model is fitted on at most TARGET_ROWS labelled documents (those with the smallest
 seeded hash; their ids are the only thing broadcast); the raw model counts every document.
 Defined results: a text without words has weight 0; equal keys go by doc_id; rows that repeat a
-doc_id and text get the same key, and all of them when the k-th key is theirs.
+doc_id and text get the same key, and all of them when the k-th key is theirs; null text has no words;
+labels with a null id or a null quality mark nothing; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -103,7 +104,7 @@ def kth_key(rows: DataFrame, k: int) -> tuple[float, int | None] | None:
 
 def select_quality(docs: DataFrame, labels: DataFrame, share: float = KEEP_SHARE) -> DataFrame:
     """Per row: doc_id, n_grams, log_weight, key, kept."""
-    good = labels.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     target = good.orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(TARGET_ROWS)
     rows = materialize(docs.sparkSession, weigh(docs, log_ratio(docs.withColumn("doc_id", F.col("doc_id").cast("long")), target)), "quality")
     edge = kth_key(rows, round(rows.count() * share))
