@@ -52,6 +52,17 @@ def test_shards_and_layout_do_not_change_a_tree(spark, spec):
     assert {k: got[k] for k in alone} == alone and "small" in got
 
 
+@pytest.mark.parametrize("spec", [TR.Trees(4, 3, 3, False), TR.Trees(4, 3, 0, True)])
+def test_rows_are_dealt_once_for_all_levels(spark, spec, monkeypatch):
+    calls, dealt = [], TR._dealt
+    monkeypatch.setattr(TR, "_dealt", lambda *a, **kw: calls.append(1) or dealt(*a, **kw))
+    monkeypatch.setattr(TR, "KEPT_SPLITS", 20, raising=False)
+    df = table(spark, 2, 200, seed=8).cache()
+    many = models(df, spec, shard_rows=60)
+    assert len(calls) == 2      # keys of one shard, and keys of several: not per level or tree
+    assert many == models(df, spec)
+
+
 def test_first_split_is_the_best_of_all(spark):
     df = table(spark, 1, 60, seed=4)
     rows = sorted(df.collect(), key=lambda r: r["pos"])

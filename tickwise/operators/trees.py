@@ -8,10 +8,13 @@ from a seeded hash of the tree, the row's position and the node.
 
 Rows of a key are dealt to shards of about ``SHARD_ROWS``. A key of one shard grows all its trees in the
 task that holds the shard, all such keys in one job. Keys of several shards grow together: one
-aggregation per level over all of them, whatever their number, for a forest all trees at once; boosting
-keeps each row's prediction so far in a written table. Both ways run the same functions on the same sums
-and give the same trees. No task holds more than a shard's rows, a key's trees and one level's sums of a
-key's tree.
+aggregation per level over all of them, whatever their number, for a forest all trees at once. Their rows
+are dealt once, into a table with one row per shard (bins, labels and predictions so far as packed
+arrays); a level reads that table where it lies and shuffles only the nodes' sums, one row per shard and
+node. Boosting writes the shards anew after each tree, with the moved predictions and the next tree's
+root sums; the splits of the tree in growth (at most 31 for each key of several shards) go over the
+driver, as in Spark ML, for its hundreds of short jobs take longer to plan than to run. Both ways run the same functions on the same sums and give the same trees. No task holds more
+than a few shards' rows, a key's trees and one level's sums of a key's tree.
 
 Split rule: left if value <= cut; the largest drop of the squared error wins, ties go to the earlier
 feature, then the lower cut; a node without a drop is a leaf. Forests average ``RF_TREES`` trees of
@@ -22,6 +25,7 @@ residual with rate ``RATE`` after a first tree on the label, the squared-error g
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -31,11 +35,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickwise.constants import GBT_DEPTH, GBT_ITER, RF_DEPTH, RF_TREES, SEED
-from tickwise.session import materialize, release
+from tickwise.operators.lookup import BROADCAST_MAX_BYTES
+from tickwise.session import materialize, release, scratch_path
 
 BINS = 32               # bins of a feature, as in Spark ML
 QUANTILE_ACCURACY = 10_000
-SHARD_ROWS = 100_000
+SHARD_ROWS = 250_000
 RATE = 0.1              # weight of every boosted tree after the first
 _SCALE_BITS = 28        # labels become integers of at most so many bits
 
@@ -86,32 +91,48 @@ def allowed(spec: Trees, tree: int, node: int, features: int) -> np.ndarray:
     return out
 
 
+@lru_cache(1024)
+def usable(spec: Trees, tree: int, level: int, features: int) -> np.ndarray:
+    """Features (ascending) that each node of the level may split on, [node, feature]."""
+    first = (1 << level) - 1
+    return np.stack([np.flatnonzero(allowed(spec, tree, first + i, features)) for i in range(1 << level)])
+
+
 def codes_of(x: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     """Bin of each value: the first cut that is not below it."""
     return np.stack([np.searchsorted(cuts[f], x[:, f], side="left") for f in range(x.shape[1])], axis=1).astype(np.uint8)
 
 
+def step(codes: np.ndarray, node: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Node of every row one step further (heap numbers, root 0); leaves keep theirs."""
+    f = feature.take(node)
+    code = codes.reshape(-1).take(np.arange(len(codes)) * codes.shape[1] + np.maximum(f, 0))
+    return np.where(f >= 0, 2 * node + 1 + (code > cut.take(node)), node)
+
+
 def route(codes: np.ndarray, feature: np.ndarray, cut: np.ndarray, levels: int) -> np.ndarray:
-    """Node of every row after at most ``levels`` steps (heap numbers, root 0); leaves keep theirs."""
+    """Node of every row after at most ``levels`` steps."""
     node = np.zeros(len(codes), np.int64)
-    rows = np.arange(len(codes))
     for _ in range(levels):
-        f = feature[node]
-        node = np.where(f >= 0, 2 * node + 1 + (codes[rows, f] > cut[node]), node)
+        node = step(codes, node, feature, cut)
     return node
 
 
-def histogram(codes: np.ndarray, node: np.ndarray, level: int, weight: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weight and weighted label sum by (node of the level, feature, bin); whole numbers."""
-    first, features = (1 << level) - 1, codes.shape[1]
-    live = node >= first
-    at = ((node[live] - first)[:, None] * features + np.arange(features)) * BINS + codes[live]
-    size = (1 << level) * features * BINS
-    w = np.repeat(weight[live], features)
-    n = np.bincount(at.ravel(), w, size)
-    s = np.bincount(at.ravel(), w * np.repeat(label[live], features), size)
-    shape = (1 << level, features, BINS)
-    return n.reshape(shape).astype(np.int64), s.reshape(shape).astype(np.int64)
+def histogram(codes: np.ndarray, node: np.ndarray, level: int, weight: np.ndarray | None, label: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weight (None: 1 each) and weighted label sum by (node of the level, usable feature, bin); whole numbers."""
+    first, features, size = (1 << level) - 1, codes.shape[1], BINS << level
+    live = np.flatnonzero(node >= first)
+    at, start, w, y = node[live] - first, live * features, weight, label
+    if len(live) < len(node):
+        w, y = None if w is None else w[live], y[live]
+    wy = y if w is None else w * y
+    flat, cell = codes.reshape(-1), at * BINS
+    n, s = np.empty((2, 1 << level, use.shape[1], BINS), np.int64)
+    for j in range(use.shape[1]):
+        i = cell + flat.take(start + use[:, j].take(at))
+        n[:, j] = np.bincount(i, w, size).reshape(-1, BINS)
+        s[:, j] = np.bincount(i, wy, size).reshape(-1, BINS)
+    return n, s
 
 
 def best_split(n: np.ndarray, s: np.ndarray, may: np.ndarray) -> tuple[int, int, int, int, int, int]:
@@ -133,6 +154,12 @@ def best_split(n: np.ndarray, s: np.ndarray, may: np.ndarray) -> tuple[int, int,
     return f, b, int(ln[f, b]), int(ls[f, b]), int(rn[f, b]), int(rs[f, b])
 
 
+def split_of(n: np.ndarray, s: np.ndarray, use: np.ndarray) -> tuple[int, int, int, int, int, int]:
+    """The best split of a node from the sums of its usable features."""
+    f, *rest = best_split(n, s, np.ones(len(use), bool))
+    return (int(use[f]) if f >= 0 else f, *rest)
+
+
 def note(split: tuple, node: int, feature: np.ndarray, cut: np.ndarray, n: np.ndarray, s: np.ndarray) -> None:
     """Enter a node's split (or leaf) into the tree's arrays."""
     f, b, ln, ls, rn, rs = split
@@ -162,26 +189,35 @@ class Grown:
         note(split, node, self.feature[tree], self.cut[tree], self.n[tree], self.s[tree])
 
 
-def tree_labels(spec: Trees, tree: int, label: np.ndarray, so_far: np.ndarray, scale: float) -> np.ndarray:
+def tree_labels(spec: Trees, tree: int, label: np.ndarray, so_far: np.ndarray | None, scale: float) -> np.ndarray:
     """Whole-number labels that the tree fits: the label, or twice the residual of the boosting so far."""
     y = 2.0 * (label - so_far) if spec.boosted and tree else label
     return np.rint(y * scale)
 
 
+def drawn(spec: Trees, tree: int, codes: np.ndarray, pos: np.ndarray | None, y: np.ndarray) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """Codes, weights and labels of the rows that count for a tree."""
+    if spec.boosted:
+        return codes, None, y
+    w = row_weights(tree, pos)
+    kept = np.flatnonzero(w)
+    return codes[kept], w[kept], y[kept]
+
+
 def grow(codes: np.ndarray, pos: np.ndarray, label: np.ndarray, scale: float, spec: Trees) -> Grown:
     """All trees of a key whose rows are at hand."""
     out, so_far = Grown(spec), np.zeros(len(label))
     for t in range(spec.count):
-        w = np.ones(len(label)) if spec.boosted else row_weights(t, pos)
-        y = tree_labels(spec, t, label, so_far, scale)
+        part, w, y = drawn(spec, t, codes, pos, tree_labels(spec, t, label, so_far, scale))
+        node = np.zeros(len(y), np.int64)
         for level in range(spec.depth):
-            node = route(codes, out.feature[t], out.cut[t], level)
-            n, s = histogram(codes, node, level, w, y)
+            use = usable(spec, t, level, codes.shape[1])
+            n, s = histogram(part, node, level, w, y, use)
             for i in np.flatnonzero(n[:, 0].sum(axis=1)).tolist():
-                at = (1 << level) - 1 + i
-                out.add(t, at, best_split(n[i], s[i], allowed(spec, t, at, codes.shape[1])))
+                out.add(t, (1 << level) - 1 + i, split_of(n[i], s[i], use[i]))
+            node = step(part, node, out.feature[t], out.cut[t])
         if spec.boosted:
-            so_far += out.values(scale)[t][route(codes, out.feature[t], out.cut[t], spec.depth)]
+            so_far += out.values(scale)[t][node]
     return out
 
 
@@ -199,16 +235,17 @@ def key_info(rows: DataFrame, key: str, features: Sequence[str], label: str, sha
                                  F.ceil(F.count("*") / shard_rows).cast("int").alias("shards"))
 
 
-def _dealt(rows: DataFrame, per_key: DataFrame, key: str, features: Sequence[str], label: str, extra: Sequence[str] = ()) -> DataFrame:
+def _dealt(rows: DataFrame, per_key: DataFrame, key: str, features: Sequence[str], label: str, parts: int | None = None) -> DataFrame:
     """``per_key`` rows (kind 0, one to each shard) and data rows (kind 1) sorted by (key, shard, kind)."""
     fields = per_key.schema.fields
     heads = per_key.withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).withColumn("kind", F.lit(0))
     data = rows.join(per_key.select(key, "shards"), key)
     data = data.select(key, F.pmod(F.xxhash64("pos"), F.col("shards")).cast("int").alias("shard"), F.lit(1).alias("kind"),
-                       F.array(*[F.col(f).cast("double") for f in features]).alias("x"), F.col(label).cast("double").alias("y"), F.col("pos").cast("long").alias("pos"), *extra)
+                       F.array(*[F.col(f).cast("double") for f in features]).alias("x"), F.col(label).cast("double").alias("y"), F.col("pos").cast("long").alias("pos"))
     both = heads.unionByName(data, allowMissingColumns=True).select(
-        key, "shard", "kind", "x", "y", "pos", *extra, *[f.name for f in fields if f.name != key])
-    return both.repartition(key, "shard").sortWithinPartitions(key, "shard", "kind")
+        key, "shard", "kind", "x", "y", "pos", *[f.name for f in fields if f.name != key])
+    spread = both.repartition(parts, key, "shard") if parts else both.repartition(key, "shard")
+    return spread.sortWithinPartitions(key, "shard", "kind")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Table]]:
@@ -269,25 +306,32 @@ def fit(rows: DataFrame, key: str, features: Sequence[str], label: str, spec: Tr
 
     models = _dealt(rows, info.filter("shards = 1"), key, features, label).mapInArrow(local, out)
     large = info.filter("shards > 1")
-    if large.isEmpty():
+    keys, shards = large.agg(F.count("*"), F.sum("shards")).first()
+    if not keys:
         return models
-    return models.unionByName(_fit_sharded(rows, large, key, features, label, spec, out))
+    return models.unionByName(_fit_sharded(rows, large, keys, shards, key, features, label, spec, out))
 
 
 SPLIT = "tree int, node int, f int, b int, ln long, ls long, rn long, rs long"
+SPLIT_BYTES = 128        # of a split in a broadcast list, roughly
+KEPT_SPLITS = 50_000     # splits of finished trees that the driver holds before it writes them
+SHARD = "scale double, codes binary, pos binary, y binary, so_far binary, root binary"
 
 
-def _with_splits(info: DataFrame, splits: list[DataFrame], key: str) -> DataFrame:
-    """``info`` with the list ``grown`` of each key's splits so far."""
-    if not splits:
+def _with_splits(info: DataFrame, splits: DataFrame | None, key: str) -> DataFrame:
+    """``info`` with the list ``grown`` of each key's splits."""
+    if splits is None:
         return info.withColumn("grown", F.array().cast(f"array<struct<{SPLIT.replace(' ', ':').replace(',:', ',')}>>"))
-    every = splits[0]
-    for s in splits[1:]:
-        every = every.unionByName(s)
-    lists = every.groupBy(key).agg(F.collect_list(F.struct(*[c.split()[0] for c in SPLIT.split(", ")])).alias("grown"))
+    lists = splits.groupBy(key).agg(F.collect_list(F.struct(*[c.split()[0] for c in SPLIT.split(", ")])).alias("grown"))
     return info.join(lists, key)
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _grown(head: dict, spec: Trees) -> Grown:
     out = Grown(spec)
     for r in sorted(head["grown"] or [], key=lambda r: (r["tree"], r["node"])):
@@ -295,77 +339,120 @@ def _grown(head: dict, spec: Trees) -> Grown:
     return out
 
 
-def _fit_sharded(rows: DataFrame, info: DataFrame, key: str, features: Sequence[str], label: str, spec: Trees, out: T.StructType) -> DataFrame:
-    """Trees of the keys that have several shards, all of them level by level."""
-    spark = rows.sparkSession
-    cells = _schema(rows, key, "tree int, node int, feature int, bin int, n long, s long")
-    found = _schema(rows, key, SPLIT)
-    state = materialize(spark, rows.join(info.select(key), key, "left_semi").select(key, "pos", *features, label).withColumn("so_far", F.lit(0.0)), "tree-state")
-    splits: list[DataFrame] = []
+def _fit_sharded(rows: DataFrame, info: DataFrame, keys: int, shards: int, key: str, features: Sequence[str], label: str, spec: Trees, out: T.StructType) -> DataFrame:
+    """Trees of the ``keys`` keys that have several shards (``shards`` in all), level by level."""
+    spark, width = rows.sparkSession, len(features)
+    shard, cells, found = _schema(rows, key, SHARD), _schema(rows, key, "tree int, node int, sums binary"), _schema(rows, key, SPLIT)
+    home = scratch_path(spark, "tree-splits")
+
+    def packed(key_value, codes, pos, y, so_far, scale, tree):
+        """A shard's row; for boosting with the sums of the tree's root."""
+        if not spec.boosted:
+            return _batch([(key_value, scale, codes.tobytes(), pos.tobytes(), y.tobytes(), None, None)], shard)
+        root = histogram(codes, np.zeros(len(y), np.int64), 0, None, tree_labels(spec, tree, y, so_far, scale), usable(spec, tree, 0, width))
+        return _batch([(key_value, scale, codes.tobytes(), None, y.tobytes(), so_far.tobytes(), np.stack(root)[:, 0].tobytes())], shard)
+
+    def pack_shards(batches):
+        for head, table in _groups(batches):
+            codes, pos, y, _ = _arrays(head, table)
+            yield packed(head[key], codes, pos, y, np.zeros(len(y)), head["scale"], 0)
+
+    def arrays(head):
+        part = [None if head.get(c) is None else np.frombuffer(head[c], kind) for c, kind in (("codes", np.uint8), ("pos", np.int64), ("y", np.float64), ("so_far", np.float64))]
+        return part[0].reshape(-1, width), *part[1:]
+
+    def splits(names: list[str]) -> DataFrame | None:
+        return spark.read.schema(found).parquet(*[f"{home}/{n}" for n in names]) if names else None
+
+    def met(table: DataFrame, names: list[str], held: int) -> DataFrame:
+        """Shards with their keys' splits, at most ``held`` a key; few enough are sent to the shards."""
+        if spec.boosted:
+            return table
+        heads = _with_splits(info.select(key), splits(names), key)
+        return table.join(F.broadcast(heads) if keys * held * SPLIT_BYTES <= BROADCAST_MAX_BYTES else heads, key)
+
+    def by_key(tree: list) -> dict:
+        out = {}
+        for r in tree:
+            out.setdefault(r[key], []).append(r.asDict())
+        return out
+
+    def level_cells(trees: range, level: int, names: list[str], tree: list) -> DataFrame:
+        known = by_key(tree)
 
-    def level_splits(trees: range, level: int) -> DataFrame:
         def sums(batches):
-            for head, table in _groups(batches):
-                codes, pos, y, _ = _arrays(head, table)
-                so_far, grown = table["so_far"].to_numpy(), _grown(head, spec)
+            for head in _rows(batches):
+                codes, pos, label_, so_far = arrays(head)
+                grown, first = _grown({"grown": known.get(head[key])} if spec.boosted else head, spec), (1 << level) - 1
                 for t in trees:
-                    w = np.ones(len(y)) if spec.boosted else row_weights(t, pos)
-                    node = route(codes, grown.feature[t], grown.cut[t], level)
-                    n, s = histogram(codes, node, level, w, tree_labels(spec, t, y, so_far, head["scale"]))
-                    may = np.stack([allowed(spec, t, (1 << level) - 1 + i, codes.shape[1]) for i in range(1 << level)])
-                    i, f, b = np.nonzero((n > 0) & may[:, :, None])
-                    yield _batch(list(zip([head[key]] * len(i), [t] * len(i), (i + (1 << level) - 1).tolist(), f.tolist(), b.tolist(), n[i, f, b].tolist(), s[i, f, b].tolist())), cells)
-
-        def choose(batches):
-            at, n, s = None, None, None
-            for batch in batches:
-                rows_ = []
-                for k, t, node, f, b, dn, ds in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                    if (k, t, node) != at:
-                        if at:
-                            rows_.append((*at, *best_split(n, s, n.sum(1) > 0)))
-                        at, n, s = (k, t, node), np.zeros((len(features), BINS), np.int64), np.zeros((len(features), BINS), np.int64)
-                    n[f, b], s[f, b] = dn, ds
-                yield _batch(rows_, found)
-            if at:
-                yield _batch([(*at, *best_split(n, s, n.sum(1) > 0))], found)
-
-        heads = _with_splits(info, splits, key)
-        part = _dealt(state, heads, key, features, label, ["so_far"]).mapInArrow(sums, cells)
-        by = [key, "tree", "node"]
-        total = part.groupBy(*by, "feature", "bin").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-        return materialize(spark, total.repartition(*by).sortWithinPartitions(*by).mapInArrow(choose, found), "tree-splits")
+                    part, w, y = drawn(spec, t, codes, pos, tree_labels(spec, t, label_, so_far, head["scale"]))
+                    n, s = histogram(part, route(part, grown.feature[t], grown.cut[t], level), level, w, y, usable(spec, t, level, width))
+                    yield _batch([(head[key], t, first + i, np.stack([n[i], s[i]]).tobytes()) for i in np.flatnonzero(n[:, 0].sum(axis=1)).tolist()], cells)
+
+        if spec.boosted and not level:
+            return state.select(key, F.lit(trees.start).alias("tree"), F.lit(0).alias("node"), F.col("root").alias("sums"))
+        return met(state.drop("root"), names, len(trees) << level).mapInArrow(sums, cells)
+
+    def choose(batches):
+        def best():
+            k, t, node = at
+            level = (node + 1).bit_length() - 1
+            return *at, *split_of(*total, usable(spec, t, level, width)[node + 1 - (1 << level)])
+
+        at, total = None, None
+        for batch in batches:
+            done = []
+            for *one, sums in zip(*(c.to_pylist() for c in batch.columns)):
+                if one != at:
+                    if at:
+                        done.append(best())
+                    at, total = one, 0
+                total = total + np.frombuffer(sums, np.int64).reshape(2, -1, BINS)
+            yield _batch(done, found)
+        if at:
+            yield _batch([best()], found)
+
+    by, parts = [key, "tree", "node"], max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    state = materialize(spark, _dealt(rows, info, key, features, label, parts).mapInArrow(pack_shards, shard), "tree-state")
+    every: list[str] = []
+    done: list = []
+
+    def keep(name: str) -> None:
+        spark.createDataFrame(done, found).write.parquet(f"{home}/{name}")
+        every.append(name)
+        done.clear()
 
     for trees in [range(t, t + 1) for t in range(spec.count)] if spec.boosted else [range(spec.count)]:
+        tree: list = []
         for level in range(spec.depth):
-            splits.append(level_splits(trees, level))
-        if spec.boosted and trees.stop < spec.count:
-            # the round's levels become one table, and the rows' predictions move on by its tree
-            done = materialize(spark, _with_splits(info, splits, key).select(key, F.inline("grown")), "tree-rounds")
-            for table in splits:
-                release(spark, table)
-            splits = [done]
-            state_schema = state.schema
-
-            def move(batches, t=trees.start, schema=state_schema):
-                for head, table in _groups(batches):
-                    codes, _, _, _ = _arrays(head, table)
-                    grown = _grown(head, spec)
-                    step = grown.values(head["scale"])[t][route(codes, grown.feature[t], grown.cut[t], spec.depth)]
-                    x = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table["x"].chunks]).reshape(table.num_rows, -1)
-                    cols = [pa.array([head[key]] * table.num_rows), table["pos"].combine_chunks(), *[pa.array(x[:, f]) for f in range(x.shape[1])],
-                            table["y"].combine_chunks(), pa.array(table["so_far"].to_numpy() + step)]
-                    yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-
-            kept = T.StructType([T.StructField(f.name, T.LongType() if f.name == "pos" else f.dataType if f.name == key else T.DoubleType()) for f in state_schema.fields])
-            before, state = state, materialize(spark, _dealt(state, _with_splits(info, splits, key), key, features, label, ["so_far"]).mapInArrow(move, kept), "tree-state")
+            part = level_cells(trees, level, every, tree).repartition(*by).sortWithinPartitions(*by).mapInArrow(choose, found)
+            if spec.boosted:
+                tree += part.collect()
+            else:
+                part.write.parquet(f"{home}/{level}")
+                every.append(f"{level}")
+        done += tree
+        if len(done) > KEPT_SPLITS:
+            keep(f"until-{trees.start}")
+        if spec.boosted and trees.stop < spec.count:    # the rows' predictions move on by the round's tree
+            def move(batches, t=trees.start, known=by_key(tree)):
+                for head in _rows(batches):
+                    codes, _, y, so_far = arrays(head)
+                    grown = _grown({"grown": known[head[key]]}, spec)
+                    moved = so_far + grown.values(head["scale"])[t][route(codes, grown.feature[t], grown.cut[t], spec.depth)]
+                    yield packed(head[key], codes, None, y, moved, head["scale"], t + 1)
+
+            before, state = state, materialize(spark, state.drop("root").mapInArrow(move, shard), "tree-state")
             release(spark, before)
+    if done:
+        keep("last")
+    release(spark, state)
 
     def pack(batches):
         for batch in batches:
             yield _batch([_model_row(head[key], head["cuts"], _grown(head, spec), head["scale"]) for head in batch.to_pylist()], out)
 
-    return _with_splits(info, splits, key).select(key, "cuts", "scale", "grown").mapInArrow(pack, out)
+    return _with_splits(info, splits(every), key).select(key, "cuts", "scale", "grown").mapInArrow(pack, out)
 
 
 def unpack(head: dict, spec: Trees, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
