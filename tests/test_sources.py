@@ -117,3 +117,15 @@ def test_vendor_b_null_change_fails_poll_absent_change_is_zero(spark):
                                                 ("p2", a_bad, json.dumps(b_absent))])).collect()
     assert {r.timestamp for r in out} == {"p2"}
     assert [r.change_24h for r in out if r.symbol == "ETH"] == [0.0]
+
+
+def test_rejected_feeds_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    from tickwise.plans import contract
+    # no page number that ends the run of well-formed items: every feed still holds a malformed one
+    pages = spark.createDataFrame([(50 * i, f"http://p/{i}", f"<title>t{i}</title>") for i in range(60)], "page_id long, url string, html string")
+    pages.repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(contract, "_FEED_ITEMS", 10, raising=False)
+    monkeypatch.setattr(contract, "scratch_path", lambda *_: str(tmp_path / "feeds"))
+    assert sorted(r["link"] for r in contract.q_rss_feeds_rejected(spark, str(tmp_path)).collect()) == sorted(f"http://p/{i}" for i in range(60))
+    sizes = [f.read_text().count("<item>") for f in (tmp_path / "feeds" / "good").glob("part-*")]
+    assert sum(sizes) == 60 and max(sizes) <= 10

@@ -1066,6 +1066,9 @@ def q_poll_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.poll_counts(o)
 
 
+_FEED_ITEMS = 10_000       # pages of a feed at most, a few tens of MB
+
+
 def _pages_as_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", F.col("url").alias("link"), F.col("html").alias("description"),
@@ -1094,14 +1097,16 @@ def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT left(md5(url), 8) AS article_id, url AS link FROM pages
 """)
 def q_rss_feeds_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S13 + S17: two large feeds of all pages, and a feed of well-formed items with a malformed one,
-    which is skipped whole."""
+    """S13 + S17: feeds of all pages, and as many feeds of well-formed items with malformed ones, which
+    are skipped whole. A feed is a file, written and read by one task, so their number grows with the pages."""
     src = scratch_path(spark, "feeds")
     items = _pages_as_items(spark, sf_dir)
-    items.drop("page_id").coalesce(2).write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(f"{src}/good")
+    (items.drop("page_id").write.format("xml").option("rootTag", "channel").option("rowTag", "item")
+     .option("maxRecordsPerFile", _FEED_ITEMS).save(f"{src}/good"))
     item = F.concat(F.lit("<item><title>t</title><link>bad/"), F.col("page_id").cast("string"), F.lit("</link></item>"))
-    broken = items.select(F.when(F.col("page_id") % 50 == 7, F.lit("<item><title>t</link></item>")).otherwise(item).alias("value"))
-    broken.coalesce(1).write.text(f"{src}/bad")
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0     # of a task, hence of its feed
+    broken = items.select(F.when(first | (F.col("page_id") % 50 == 7), F.lit("<item><title>t</link></item>")).otherwise(item).alias("value"))
+    broken.write.text(f"{src}/bad")
     news = rss.read_feeds(spark, [f"{src}/good", f"{src}/bad"], poll_ts=F.lit("2024-01-31T00:00:00+00:00"))
     return news.select("article_id", "link")
 
